@@ -219,3 +219,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     final = classes.join(parts.withColumnRenamed("id", "pid"), F.col("rep") == F.col("pid"), "left").select("digest", F.coalesce("component", "rep").alias("found"))
     out = made.select("doc_id", "n_shingles", "digest").join(final, "digest", "left").select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document, that of the smallest id, of each component of near duplicates.
+
+    Of rows that repeat a kept doc_id all stay, as do rows without a doc_id.
+    """
+    gone = near_duplicates(docs, k, percent).where("not kept").select(F.col("doc_id").alias("copy")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col("copy"), "left_anti")

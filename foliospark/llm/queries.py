@@ -6,19 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import minhash
+from foliospark.llm import decontaminate, minhash, pieces, suffixes, toxicity
+
+
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer file of this machine lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_digests(_read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_spans(_read(spark, sf_dir, "documents"))
+
+
+_ALL = (op1_toxicity, op4_minhash_near_dedup, op5_benchmark_decontamination, op6_sentencepiece, op10_suffix_array_dedup)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_minhash_near_dedup,)}
+    return {f.__name__: f for f in _ALL}
 
 
 def oracle_sql() -> dict[str, str]:
