@@ -18,7 +18,9 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from foliospark.llm import common
 
 SPACE = "▁"
 SHORT = 24
-#: Chunks a worker remembers; then it starts again.
+#: Chunks a worker remembers in each of two generations; the older one goes when the younger is full.
 REMEMBERED = 300_000
 
 
@@ -58,7 +60,8 @@ class Pieces:
         # symbols beyond the vocabulary (single characters) are numbered from n on, as they are met
         self.extra: dict[str, int] = {}
         self._tables()
-        self.memory: dict[str, bytes] = {"\n": np.array([self.bytes[10]], "<u4").tobytes()}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _tables(self) -> None:
         """Pairs of pieces that join to a piece, as sorted keys with the joint id and rank."""
@@ -84,6 +87,25 @@ class Pieces:
         score = np.array(self.scores)
         levels = np.unique(score)  # ascending: a higher rank is a better score
         self.rank = np.searchsorted(levels, score).astype(np.int64) + 1
+        # the pair table by open addressing: a power of two of slots, at most a quarter of them filled
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.full((1 << bits) + 64, -1, np.int64)
+        self.slot_joint = np.full((1 << bits) + 64, -1, np.int64)
+        left = np.arange(len(self.keys))
+        at = self._slot(self.keys)
+        self.probes = 0
+        while len(left):
+            self.probes += 1
+            free = self.slots[at] == -1
+            _, first = np.unique(np.where(free, at, -1 - np.arange(len(at))), return_index=True)
+            first = first[free[first]]
+            self.slots[at[first]], self.slot_joint[at[first]] = self.keys[left[first]], self.joint[left[first]]
+            keep = np.ones(len(left), bool)
+            keep[first] = False
+            left, at = left[keep], at[keep] + 1
+        if self.probes > 60:
+            raise ValueError("the pair table is too uneven")
         self.pairs = {int(k): int(j) for k, j in zip(self.keys, self.joint, strict=True)}
 
     def _symbol(self, c: str) -> int:
@@ -169,36 +191,76 @@ class Pieces:
                 new = self._joint(grid[who, where], grid[who, where + 1])
                 joint[who, where] = new
                 best[who, where] = np.where(new >= 0, self.rank[new], 0)
-        out = []
-        for g, n in zip(grid, length, strict=True):
-            ids = g[:n]
-            out.append((ids.astype("<u4") if ids.max() < len(self.scores) else np.array(self._ids(ids.tolist(), names), "<u4")).tobytes())
+        ids = grid[np.arange(wide + 1)[None, :] < length[:, None]]
+        ends = np.cumsum(length)
+        raw = ids.astype("<u4").tobytes()
+        out = [raw[4 * x : 4 * y] for x, y in zip((ends - length).tolist(), ends.tolist(), strict=True)]
+        for r in np.unique(np.searchsorted(ends, np.flatnonzero(ids >= len(self.scores)), side="right")).tolist():
+            out[r] = np.array(self._ids(grid[r, : length[r]].tolist(), names), "<u4").tobytes()
         return out
 
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
     def _joint(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = np.where((left >= 0) & (right >= 0), left << 20 | right, -1)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.joint[at], -1)
+        """The piece that each pair joins to, or -1."""
+        key = np.where((left >= 0) & (right >= 0), left << 20 | right, -2)
+        flat = key.ravel()
+        out = np.full(len(flat), -1, np.int64)
+        at = self._slot(flat)
+        look = np.flatnonzero(self.slots[at] != -1)
+        for _ in range(self.probes):
+            if not len(look):
+                break
+            slot = at[look]
+            hit = self.slots[slot] == flat[look]
+            out[look[hit]] = self.slot_joint[slot[hit]]
+            look = look[~hit]
+            at[look] += 1
+            look = look[self.slots[at[look]] != -1]
+        return out.reshape(key.shape)
+
+    def _solve(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks: remembered ones, then short and long new ones."""
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        found: list[bytes | None] = list(map(self.young.get, chunks))
+        for known in (self.old, None):
+            left = [i for i, ids in enumerate(found) if ids is None]
+            missing = [chunks[i] for i in left]
+            ids = list(map(known.get, missing)) if known is not None else self._new(missing)
+            for i, x in zip(left, ids, strict=True):
+                found[i] = x
+            self.young.update((c, x) for c, x in zip(missing, ids, strict=True) if x is not None and len(c) <= SHORT)
+        return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, without begin and end, as little-endian 32-bit integers."""
-        parts = [self.chunks.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        if len(self.memory) > REMEMBERED:
-            self.memory = {"\n": self.memory["\n"]}
-        known = self.memory
-        new = {c for p in parts for c in p if c not in known}
-        short = sorted((c for c in new if len(c) <= SHORT), key=len)
+    def _new(self, chunks: list[str]) -> list[bytes]:
+        short = sorted((i for i, c in enumerate(chunks) if len(c) <= SHORT), key=lambda i: len(chunks[i]))
+        out = [b"" if len(c) <= SHORT else self.alone(c) for c in chunks]
         for a in range(0, len(short), 4096):
             some = short[a : a + 4096]
-            known.update(zip(some, self.together(some), strict=True))
-        known.update((c, self.alone(c)) for c in new if len(c) > SHORT)
-        out = [b"".join([known[c] for c in p]) for p in parts]
-        if any(len(c) > 200 for c in new):
-            for c in new:
-                if len(c) > 200:
-                    del known[c]
+            for i, ids in zip(some, self.together([chunks[i] for i in some]), strict=True):
+                out[i] = ids
         return out
 
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, without begin and end."""
+        parts = [self.chunks.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        number: defaultdict[str, int] = defaultdict()
+        number.default_factory = number.__len__
+        which = np.fromiter(map(number.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))
+        if not len(which):
+            return [np.zeros(0, "<u4") for _ in texts]
+        solved = self._solve(list(number))
+        size = np.array([len(x) for x in solved], np.int64) // 4
+        pool, start = np.frombuffer(b"".join(solved), "<u4"), np.cumsum(size) - size
+        many = size[which]
+        ends = np.cumsum(many)
+        ids = pool[np.repeat(start[which] - ends + many, many) + np.arange(ends[-1])]
+        chunks = np.cumsum([len(p) for p in parts])
+        cuts = np.concatenate([[0], ends])[chunks]
+        return np.split(ids, cuts[:-1])
+
 
 _MODELS: dict[str, Pieces] = {}
 
@@ -212,21 +274,21 @@ def load(path: str) -> Pieces:
 def _encode(path: str, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
-        ends = np.array([model.bos], "<u4").tobytes(), np.array([model.eos], "<u4").tobytes()
+        first, last = np.array([model.bos], "<u4"), np.array([model.eos], "<u4")
         for batch in common.slices(batches, "text", 2 << 20):
             texts = [t or "" for t in common.column(batch, "text").to_pylist()]
-            ids = [ends[0] + x + ends[1] for x in model.encode(texts)]
-            lists = [np.frombuffer(x, "<u4").tolist() for x in ids]
+            ids = [np.concatenate([first, x, last]) for x in model.encode(texts)]
+            lists = [x.tolist() for x in ids]
             for ours, theirs, t in zip(lists, model.library.encode(texts, add_bos=True, add_eos=True, num_threads=1), texts, strict=True):
                 if ours != theirs:
                     raise AssertionError(f"encoding differs from the library's for a text of {len(t)} characters: {t[:80]!r}")
             decoded = model.library.decode(lists, num_threads=1) if lists else []
-            first = [common.column(batch, "doc_id"), pa.array([len(x) for x in lists], pa.int64())]
+            known = [common.column(batch, "doc_id"), pa.array([len(x) for x in lists], pa.int64())]
             if digests:
-                rest = [pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded])]
-                yield pa.RecordBatch.from_arrays(first + rest, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                rest = [pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids]), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded])]
+                yield pa.RecordBatch.from_arrays(known + rest, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
             else:
-                yield pa.RecordBatch.from_arrays([*first, pa.array(lists, pa.list_(pa.int32())), pa.array(decoded)], names=["doc_id", "n_tokens", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([*known, pa.array(lists, pa.list_(pa.int32())), pa.array(decoded)], names=["doc_id", "n_tokens", "ids", "decoded"])
 
     return run
 
