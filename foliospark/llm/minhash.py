@@ -12,14 +12,16 @@ Plan
 1. One Arrow pass makes a sketch and a 128-bit digest of the shingle set.
    Documents with equal sets form a class, whose smallest id stands for it.
 2. Sketches are cut into ``bands``; classes that share a band are candidates.
-   Each band's members are paired with the band's smallest member only.
-3. Pairs are verified on whole shingle sets, streamed past one set at a time.
-   Verified pairs give first components.
-4. What a band holds from different components is compared by sketch in blocks
-   of bounded size; pairs that could still be links are verified like before.
-   Afterwards no band holds an unverified pair from two components, so the
-   components are those of all candidate pairs, and a group of g near copies
-   never becomes g * g rows.
+   The smallest member of a band is its center; each class is paired with the
+   two centers that it meets in most bands and that is smallest. Pairs are
+   verified on whole shingle sets, streamed past the center's set, and give
+   first components. There are at most two pairs for each class.
+3. What bands then hold from different components is dealt to blocks of about
+   ``BLOCK`` classes, alike ones together. Two blocks that meet in a band are
+   compared on whole shingle sets through an inverted list, and only links
+   between components are returned. Afterwards no band holds an unverified
+   pair from two components, so the components are those of all candidate
+   pairs, though a group of g near copies never becomes g * g rows.
 """
 
 from __future__ import annotations
@@ -36,9 +38,7 @@ from foliospark.llm import common
 from foliospark.llm.common import U64, mix
 
 BANDS, ROWS = 32, 5
-BLOCK = 128
-#: Sketches may underestimate the similarity by this much (over 3.5 standard deviations at 160 coordinates and 0.8).
-SLACK = 0.12
+BLOCK = 256
 
 
 def sketch(grams: np.ndarray, row: np.ndarray, rows: int, coordinates: int) -> np.ndarray:
@@ -64,20 +64,30 @@ def sketch(grams: np.ndarray, row: np.ndarray, rows: int, coordinates: int) -> n
     return ((bins & U64(0xFFFFFFFF)) ^ ((bins >> U64(32)) * U64(0x9E3779B1) & U64(0xFFFFFFFF))).astype(np.uint32).reshape(rows, coordinates)
 
 
-def _sketches(k: int, coordinates: int):
+def band_keys(made: np.ndarray, bands: int) -> np.ndarray:
+    """A 64-bit key for each band of each sketch."""
+    parts = made.reshape(len(made), bands, -1).astype(U64)
+    key = np.broadcast_to(np.arange(1, bands + 1, dtype=U64) * U64(0x9E3779B97F4A7C15), parts.shape[:2]).copy()
+    for r in range(parts.shape[2]):
+        key = mix(key * U64(0xD6E8FEB86659FD93) + parts[:, :, r])
+    return key
+
+
+def _sketches(k: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             sets = common.shingle_sets(common.column(batch, "text"), k)
             sizes = np.array([len(s) for s in sets], np.int64)
-            made = sketch(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), len(sets), coordinates)
+            made = sketch(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), len(sets), bands * rows)
+            keys = band_keys(made, bands).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     common.column(batch, "doc_id"),
                     pa.array(sizes),
                     pa.array([xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([m.tobytes() for m in made], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel())),
                 ],
-                names=["doc_id", "n_shingles", "digest", "sketch"],
+                names=["doc_id", "n_shingles", "digest", "bands"],
             )
 
     return run
@@ -121,51 +131,76 @@ def verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
     return dealt.mapInArrow(_verify(k, percent), "a long, b long")
 
 
-def _near(least: float, percent: int):
-    """Pairs from two components within each (band, i, j); rows come sorted by these."""
-
-    def compare(rows: dict[str, list]) -> list[tuple[int, int]]:
-        made = np.frombuffer(b"".join(rows["sketch"]), np.uint32).reshape(len(rows["id"]), -1)
-        ids, comp, size = (np.array(rows[x], np.int64) for x in ("id", "component", "n_shingles"))
-        left = np.array(rows["block"]) == rows["i"][0]
-        right = np.array(rows["block"]) == rows["j"][0]
-        out = []
-        other = np.flatnonzero(right)
-        for x in np.flatnonzero(left):
-            could = other[(comp[other] != comp[x]) & (100 * np.minimum(size[other], size[x]) >= percent * np.maximum(size[other], size[x]))]
-            if len(could):
-                alike = could[(made[could] == made[x]).mean(axis=1) >= least]
-                out += [(min(p), max(p)) for p in zip(np.full(len(alike), ids[x]).tolist(), ids[alike].tolist(), strict=True)]
-        return out
+def _meet(k: int, percent: int):
+    """Links between components for each pair of blocks; rows come sorted by (x, y, side)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "component", "n_shingles", "sketch", "block", "i", "j"]
-        now, rows, found = None, {n: [] for n in names}, set()
-
-        def flush():
-            out = pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["center", "member"])
-            found.clear()
-            return out
-
-        for batch in batches:
-            got = batch.to_pydict()
-            for r in range(batch.num_rows):
-                key = (got["band"][r], got["i"][r], got["j"][r])
-                if key != now:
-                    if now is not None:
-                        found.update(compare(rows))
-                    now, rows = key, {n: [] for n in names}
-                    if len(found) > 50_000:
-                        yield flush()
-                for n in names:
-                    rows[n].append(got[n][r])
-        if now is not None:
-            found.update(compare(rows))
-        yield flush()
+        now = None
+        left: list[tuple[int, int, np.ndarray]] = []  # id, component, set
+        ready: tuple | None = None
+
+        def invert():
+            sizes = np.array([len(s) for _, _, s in left], np.int64)
+            grams = np.concatenate([s for _, _, s in left])
+            order = np.argsort(grams, kind="stable")
+            distinct, start = np.unique(grams[order], return_index=True)
+            return sizes, distinct, np.append(start, len(order)), np.repeat(np.arange(len(left)), sizes)[order]
+
+        def links(own: int, component: int, s: np.ndarray) -> dict[int, int]:
+            sizes, distinct, start, holder = ready
+            at = np.searchsorted(distinct, s)
+            at = at[(at < len(distinct)) & (distinct[np.minimum(at, len(distinct) - 1)] == s)]
+            reach = start[at + 1] - start[at]
+            if not len(at):
+                return {}
+            flat = np.repeat(start[at] - np.cumsum(reach) + reach, reach) + np.arange(reach.sum())
+            both = np.bincount(holder[flat], minlength=len(left))
+            found = np.flatnonzero(100 * both >= percent * (sizes + len(s) - both))
+            return {left[i][1]: left[i][0] for i in found.tolist() if left[i][1] != component and left[i][0] != own}
+
+        for batch in common.slices(batches, "text", 1 << 20):
+            sets = common.shingle_sets(common.column(batch, "text"), k)
+            got = batch.select(["x", "y", "side", "id", "component"]).to_pydict()
+            out: tuple[list[int], list[int]] = ([], [])
+            for x, y, side, own, component, s in zip(got["x"], got["y"], got["side"], got["id"], got["component"], sets, strict=True):
+                if (x, y) != now:
+                    now, left, ready = (x, y), [], None
+                if side == 0:
+                    left.append((own, component, s))
+                elif left:
+                    ready = ready or invert()
+                    for other in links(own, component, s).values():
+                        out[0].append(min(own, other))
+                        out[1].append(max(own, other))
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["a", "b"])
 
     return run
 
 
+def _rest(docs: DataFrame, buckets: DataFrame, parts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components of ``parts`` that share a band."""
+    spark = docs.sparkSession
+    labelled = buckets.join(parts.withColumnRenamed("id", "pid"), F.col("id") == F.col("pid"), "left").select("band", "id", "center", F.coalesce("component", "id").alias("component"))
+    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
+    mixed = common.table(labelled.join(mixed, "band"), "mixed")
+    who = mixed.groupBy("id").agg(F.min("center").alias("family"), F.first("component").alias("component"))
+    families = who.groupBy("family", "component").agg(F.count("*").alias("n"))
+    large = families.where(F.col("n") > BLOCK // 2).select(F.col("family").alias("f"), F.col("component").alias("c"), (F.col("n") / BLOCK + 1).cast("int").alias("own"))
+    small = families.where(F.col("n") <= BLOCK // 2).groupBy(F.col("family").alias("g")).agg((F.sum("n") / BLOCK + 1).cast("int").alias("joint"))
+    dealt = who.join(large, (F.col("family") == F.col("f")) & (F.col("component") == F.col("c")), "left").join(small, F.col("family") == F.col("g"), "left")
+    block = F.when(F.col("own").isNotNull(), F.xxhash64("family", "component", F.pmod(F.xxhash64("id"), F.col("own")))).otherwise(F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("joint"))))
+    dealt = common.table(dealt.select("id", "component", block.alias("block")), "blocks")
+
+    at = mixed.join(dealt.select(F.col("id").alias("did"), "block"), F.col("id") == F.col("did")).groupBy("band", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    other = at.select(F.col("band").alias("band2"), F.col("block").alias("y"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    meet = at.withColumnRenamed("block", "x").join(other, (F.col("band") == F.col("band2")) & (F.col("x") <= F.col("y")))
+    meet = common.table(meet.where("least(low, low2) <> greatest(high, high2)").select("x", "y").distinct(), "meetings")
+    sides = meet.select("x", "y", F.lit(0).alias("side"), F.col("x").alias("own")).unionAll(meet.select("x", "y", F.lit(1).alias("side"), F.col("y").alias("own")))
+    rows = sides.join(dealt, F.col("own") == F.col("block")).join(docs, F.col("id") == F.col("doc_id")).select("x", "y", "side", "id", "component", "text")
+    sorted_ = rows.repartition(common.partitions(spark), "x", "y").sortWithinPartitions("x", "y", "side")
+    return sorted_.mapInArrow(_meet(k, percent), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
 
@@ -183,36 +218,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     A pair of the least similarity is missed by all bands with a chance of
     (1 - s ** rows) ** bands: 3e-6 at 0.80, 2e-8 at 0.85.
     """
-    spark = docs.sparkSession
-    n = common.partitions(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    made = common.table(docs.mapInArrow(_sketches(k, bands * rows), "doc_id long, n_shingles long, digest binary, sketch binary"), "sketches")
+    made = common.table(docs.mapInArrow(_sketches(k, bands, rows), "doc_id long, n_shingles long, digest binary, bands array<long>"), "sketches")
     classes = common.table(made.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = made.join(classes.select(F.col("rep").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n_shingles", "sketch")
+    reps = made.join(classes.select(F.col("rep").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"])
 
-    width = 4 * rows
-    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.substring("sketch", b * width + 1, F.lit(width))))
-    banded = common.table(reps.select("id", F.explode(keys).alias("band")), "bands")
-    shared = banded.groupBy("band").agg(F.count("*").alias("members"), F.min("id").alias("center")).where("members > 1")
-    buckets = common.table(banded.join(shared, "band").select("band", "id", "center", "members"), "buckets")
+    banded = common.table(reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band")), "bands")
+    shared = banded.groupBy("band").agg(F.count("*").alias("members"), F.min("id").alias("center")).where("members > 1").select("band", "center")
+    buckets = common.table(banded.join(shared, "band").select("band", "id", "center"), "buckets")
     common.drop_table(banded)
 
-    stars = common.table(buckets.where("id <> center").select("center", F.col("id").alias("member")).distinct(), "stars")
+    met = buckets.where("id <> center").groupBy("id", "center").agg(F.count("*").alias("n"))
+    near = met.groupBy("id").agg(F.max_by("center", F.struct("n", -F.col("center"))).alias("most"), F.min("center").alias("least"))
+    stars = common.table(near.select(F.explode(F.array_distinct(F.array("most", "least"))).alias("center"), F.col("id").alias("member")), "stars")
     first = common.table(verify(docs, stars, k, percent), "links")
     parts = common.components(first)
-
-    labelled = buckets.join(parts.withColumnRenamed("id", "pid"), F.col("id") == F.col("pid"), "left").select("band", "id", "members", F.coalesce("component", "id").alias("component"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-    cut = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int")
-    blocks = labelled.join(mixed, "band").withColumn("blocks", cut).withColumn("block", own)
-    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "id", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    filled = blocks.join(reps.withColumnRenamed("id", "rid"), F.col("id") == F.col("rid")).select("band", "i", "j", "id", "component", "n_shingles", "sketch", "block")
-    dealt = filled.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-    pairs = dealt.mapInArrow(_near(percent / 100 - SLACK, percent), "center long, member long").distinct()
-    rest = common.table(pairs.join(stars, ["center", "member"], "left_anti"), "pairs")
+    second = common.table(_rest(docs, buckets, parts, k, percent), "links")
     common.drop_table(buckets)
-    second = common.table(verify(docs, rest, k, percent), "links")
     if second.limit(1).count():
         parts = common.components(first.unionByName(second))
 
