@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import decontaminate, minhash, pieces, suffixes, toxicity
+from foliospark.llm import decontaminate, language, licenses, minhash, pieces, suffixes, toxicity, unigram, vectors, warc
 
 
 def tokenizer(name: str) -> str:
@@ -24,6 +24,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_read(spark, sf_dir, "documents"))
+
+
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(_read(spark, sf_dir, "pages"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), k=3, percent=85)
 
@@ -36,11 +44,34 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(_read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(_read(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.token_counts(_read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_spans(_read(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_toxicity, op4_minhash_near_dedup, op5_benchmark_decontamination, op6_sentencepiece, op10_suffix_array_dedup)
+_ALL = (
+    op1_toxicity,
+    op2_license_scan,
+    op3_warc_derivatives,
+    op4_minhash_near_dedup,
+    op5_benchmark_decontamination,
+    op6_sentencepiece,
+    op7_embedding_near_dedup,
+    op8_language_id,
+    op9_token_counts,
+    op10_suffix_array_dedup,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -48,4 +79,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can say the same; tests/llm holds the others against brute force or held-out rows."""
+    return {"op2_license_scan": licenses.sql()}
