@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliospark.plans import texts, trees  # noqa: F401
+from foliospark.plans import changed, texts, trees  # noqa: F401
 from foliospark.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
