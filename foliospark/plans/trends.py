@@ -300,7 +300,7 @@ def prefix_theta_semi(spark, sf):
 
 
 _SAMPLED = " OR ".join(f"page BETWEEN f{i} AND least(n, f{i} + span - 1)" for i in range(4))
-_FIRST = ", ".join(f"least(greatest(1, floor(n * ({0.08 + 0.84 * i / 3})::DOUBLE)::BIGINT - span // 2), greatest(1, n - span + 1)) AS f{i}" for i in range(4))
+_FIRST = ", ".join(f"least(greatest(1, floor(n * ({0.08 + (0.92 - 0.08) * i / 3!r})::DOUBLE)::BIGINT - span // 2), greatest(1, n - span + 1)) AS f{i}" for i in range(4))
 
 
 @query("block_sample", f"WITH p AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id)::BIGINT AS page, count(*) OVER (PARTITION BY source) AS n FROM documents), s AS (SELECT *, least(16, greatest(1, n // 4)) AS span FROM p), f AS (SELECT *, {_FIRST} FROM s) SELECT source, doc_id, page FROM f WHERE {_SAMPLED}")
