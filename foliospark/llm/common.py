@@ -75,12 +75,27 @@ def _sweep() -> None:
         _delete(path)
 
 
+#: At most so many ids are broadcast (16 MB as such, some 60 MB as a hash table).
+BROADCAST_IDS = 1_000_000
+
+
+def restrict(rows: DataFrame, ids: DataFrame, key: str, id_: str, how: str = "left_semi", most: int = BROADCAST_IDS) -> DataFrame:
+    """``rows`` whose ``key`` is (``left_anti``: is not) among ``ids``.
+
+    The ids are counted: up to ``most`` they are broadcast, so that texts are
+    not shuffled for the sake of a few; beyond, the join is shuffled.
+    """
+    ids = table(ids.select(F.col(id_).cast("long").alias("_id")).where("_id is not null").distinct(), "ids")
+    side = F.broadcast(ids) if ids.count() <= most else ids.hint("merge")
+    return rows.join(side, rows[key].cast("long") == F.col("_id"), how)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 # ----------------------------------------------------------------- Arrow pieces
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``most`` bytes of text in each."""
     for batch in batches:
         n = batch.num_rows
@@ -94,6 +109,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
             end = max(start + 1, int(np.searchsorted(total, base + most, side="right")))
             yield batch.slice(start, end - start)
             start = end
+    pa.default_memory_pool().release_unused()  # workers live on after a task
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

@@ -193,5 +193,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, most_to
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    bad = leaks(docs, benchmark, percent).select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col("leaked"), "left_anti")
+    return common.restrict(docs, leaks(docs, benchmark, percent), "doc_id", "doc_id", "left_anti")

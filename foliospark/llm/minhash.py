@@ -16,8 +16,8 @@ Plan
    two centers that it meets in most bands and that is smallest. Pairs are
    verified on whole shingle sets, streamed past the center's set, and give
    first components. There are at most two pairs for each class.
-3. What bands then hold from different components is dealt to blocks of about
-   ``BLOCK`` classes, alike ones together. Two blocks that meet in a band are
+3. What bands then hold from different components is dealt to blocks of
+   bounded size, alike ones together. Two blocks that meet in a band are
    compared on whole shingle sets through an inverted list, and only links
    between components are returned. Afterwards no band holds an unverified
    pair from two components, so the components are those of all candidate
@@ -38,7 +38,10 @@ from foliospark.llm import common
 from foliospark.llm.common import U64, mix
 
 BANDS, ROWS = 32, 5
-BLOCK = 256
+#: Characters of text in a block, about; a single longer text is a block of its own size.
+BLOCK = 1_000_000
+#: Entries of an inverted list that are counted at once.
+AT_ONCE = 2_000_000
 
 
 def sketch(grams: np.ndarray, row: np.ndarray, rows: int, coordinates: int) -> np.ndarray:
@@ -153,8 +156,13 @@ def _meet(k: int, percent: int):
             reach = start[at + 1] - start[at]
             if not len(at):
                 return {}
-            flat = np.repeat(start[at] - np.cumsum(reach) + reach, reach) + np.arange(reach.sum())
-            both = np.bincount(holder[flat], minlength=len(left))
+            both = np.zeros(len(left), np.int64)
+            ends = np.cumsum(reach)
+            for a in range(0, int(ends[-1]), AT_ONCE):
+                some = slice(np.searchsorted(ends, a, side="right"), np.searchsorted(ends, a + AT_ONCE, side="right"))
+                n, first = reach[some], start[at][some]
+                if len(n):
+                    both += np.bincount(holder[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())], minlength=len(left))
             found = np.flatnonzero(100 * both >= percent * (sizes + len(s) - both))
             return {left[i][1]: left[i][0] for i in found.tolist() if left[i][1] != component and left[i][0] != own}
 
@@ -184,7 +192,8 @@ def _rest(docs: DataFrame, buckets: DataFrame, parts: DataFrame, k: int, percent
     mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
     mixed = common.table(labelled.join(mixed, "band"), "mixed")
     who = mixed.groupBy("id").agg(F.min("center").alias("family"), F.first("component").alias("component"))
-    families = who.groupBy("family", "component").agg(F.count("*").alias("n"))
+    who = who.join(docs.select("doc_id", F.length("text").alias("n")).dropDuplicates(["doc_id"]), F.col("id") == F.col("doc_id")).drop("doc_id")
+    families = who.groupBy("family", "component").agg(F.sum("n").alias("n"))
     large = families.where(F.col("n") > BLOCK // 2).select(F.col("family").alias("f"), F.col("component").alias("c"), (F.col("n") / BLOCK + 1).cast("int").alias("own"))
     small = families.where(F.col("n") <= BLOCK // 2).groupBy(F.col("family").alias("g")).agg((F.sum("n") / BLOCK + 1).cast("int").alias("joint"))
     dealt = who.join(large, (F.col("family") == F.col("f")) & (F.col("component") == F.col("c")), "left").join(small, F.col("family") == F.col("g"), "left")
@@ -228,12 +237,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     buckets = common.table(banded.join(shared, "band").select("band", "id", "center"), "buckets")
     common.drop_table(banded)
 
+    texts = common.table(common.restrict(docs, buckets, "doc_id", "id"), "texts")  # of candidates only
     met = buckets.where("id <> center").groupBy("id", "center").agg(F.count("*").alias("n"))
     near = met.groupBy("id").agg(F.max_by("center", F.struct("n", -F.col("center"))).alias("most"), F.min("center").alias("least"))
     stars = common.table(near.select(F.explode(F.array_distinct(F.array("most", "least"))).alias("center"), F.col("id").alias("member")), "stars")
-    first = common.table(verify(docs, stars, k, percent), "links")
+    first = common.table(verify(texts, stars, k, percent), "links")
     parts = common.components(first)
-    second = common.table(_rest(docs, buckets, parts, k, percent), "links")
+    second = common.table(_rest(texts, buckets, parts, k, percent), "links")
     common.drop_table(buckets)
     if second.limit(1).count():
         parts = common.components(first.unionByName(second))
@@ -248,5 +258,4 @@ def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> D
 
     Of rows that repeat a kept doc_id all stay, as do rows without a doc_id.
     """
-    gone = near_duplicates(docs, k, percent).where("not kept").select(F.col("doc_id").alias("copy")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("copy"), "left_anti")
+    return common.restrict(docs, near_duplicates(docs, k, percent).where("not kept"), "doc_id", "doc_id", "left_anti")

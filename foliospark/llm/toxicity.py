@@ -222,5 +222,4 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
 
 def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``docs`` without the documents that :func:`scores` predicts as toxic."""
-    bad = scores(docs, labels, sample).where("predicted = 1").select(F.col("doc_id").alias("rejected")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col("rejected"), "left_anti")
+    return common.restrict(docs, scores(docs, labels, sample).where("predicted = 1"), "doc_id", "doc_id", "left_anti")
