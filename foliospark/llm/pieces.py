@@ -33,7 +33,7 @@ from foliospark.llm import common
 SPACE = "▁"
 SHORT = 24
 #: Chunks a worker remembers in each of two generations; the older one goes when the younger is full.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 
 
 class Pieces:
@@ -292,7 +292,7 @@ def _encode(path: str, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
         first, last = np.array([model.bos], "<u4"), np.array([model.eos], "<u4")
-        for batch in common.slices(batches, "text", 2 << 20):
+        for batch in common.slices(batches, "text"):
             texts = [t or "" for t in common.column(batch, "text").to_pylist()]
             ids = [np.concatenate([first, x, last]) for x in model.encode(texts)]
             lists = [x.tolist() for x in ids]

@@ -26,7 +26,7 @@ from foliospark.llm import common
 
 SPACE = "▁"
 UNKNOWN = 10.0
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 class Counter:
