@@ -87,7 +87,7 @@ def restrict(rows: DataFrame, ids: DataFrame, key: str, id_: str, how: str = "le
     """
     ids = table(ids.select(F.col(id_).cast("long").alias("_id")).where("_id is not null").distinct(), "ids")
     side = F.broadcast(ids) if ids.count() <= most else ids.hint("merge")
-    return rows.join(side, rows[key].cast("long") == F.col("_id"), how)
+    return rows.join(side, rows[key].cast("long") == side["_id"], how)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -201,14 +201,14 @@ def without_repeats(docs: DataFrame, least: int = LEAST, window: int = WINDOW) -
     grouped = spans.groupBy(F.col("doc_id").alias("sid")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans"))
     hit = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").dropDuplicates(["doc_id"]).join(grouped, F.col("doc_id") == F.col("sid"))
     new = hit.select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, text string").select(F.col("doc_id").alias("new_id"), F.col("text").alias("new_text"))
-    joined = docs.join(new, F.col("doc_id") == F.col("new_id"), "left")
-    text = F.when(F.col("text").isNotNull(), F.coalesce("new_text", "text"))
+    joined = docs.join(new, docs["doc_id"].cast("long") == new["new_id"], "left")
+    text = F.when(docs["text"].isNotNull(), F.coalesce(new["new_text"], docs["text"]))
     columns = []
     for c in docs.columns:
         if c == "text":
             columns.append(text.alias(c))
         elif c == "n_chars":
-            columns.append(F.when(F.col("new_id").isNotNull(), F.length(text).cast("long")).otherwise(F.col("n_chars")).alias(c))
+            columns.append(F.when(new["new_id"].isNotNull(), F.length(text).cast("long")).otherwise(docs[c]).alias(c))
         else:
-            columns.append(F.col(f"`{c}`"))
+            columns.append(docs[f"`{c}`"])
     return joined.select(*columns)
