@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliospark.operators.lineage import cut
+
 MOST_LEVELS = 64
 
 
@@ -23,8 +25,10 @@ def levels(nodes: DataFrame, most: int = MOST_LEVELS) -> DataFrame:
     for depth in range(1, most):
         up = front.select(F.col("id").alias("up"), F.col("path_ord").alias("up_ord"), F.col("chain").alias("up_chain"))
         front = below.join(up, below.parent == F.col("up")).select("id", "parent", "sib_ord", F.lit(depth).alias("depth"), F.concat("up_ord", F.array("sib_ord")).alias("path_ord"), F.concat("up_chain", F.array("id")).alias("chain"))
-        if depth > 2 and front.limit(1).count() == 0:  # the first levels are cheaper planned than probed
-            break
+        if depth > 2:  # the first levels are cheaper planned than probed
+            front = cut(front)
+            if front.limit(1).count() == 0:
+                break
         out = out.unionAll(front)
     return out
 
