@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import html
 from foliospark.functions import text as tx
-from foliospark.operators import coverage, render
+from foliospark.operators import compare, coverage, render
 from foliospark.plans import trends
 from foliospark.plans.trees import sequenced
 from foliospark.registry import query
@@ -116,3 +116,25 @@ def stream_event_windows(spark, sf):
 def stream_user_sessions(spark, sf):
     out = feeds.drain(feeds.sessions(feeds.event_stream(spark, f"{sf}/events.parquet")))
     return out.groupBy("user_id").agg(F.count("*").alias("sessions"), F.sum("n").cast("long").alias("events"))
+
+
+def _two_sides(spark, sf):
+    """Conversations as documents of eight books, and the same text printed on pages with some words changed."""
+    c = read(spark, sf, "conversations").where("turn < 2").withColumn("book", (F.col("conv_id") % 8).cast("string"))
+    docs = c.where("turn = 1").select("book", F.col("conv_id").alias("id"), F.concat(F.lit("Libro "), "book", F.lit(", Letra "), F.col("conv_id").cast("string")).alias("path"), F.concat(F.lit("Norma "), F.col("conv_id").cast("string"), F.lit(" fin")).alias("title"), F.col("text").alias("markdown"))
+    body = F.when(F.col("id") % 3 == 0, F.regexp_replace("markdown", "e", "a")).otherwise(F.col("markdown"))
+    pages = docs.select("book", F.col("id").alias("page"), tx.canonical(F.concat_ws(" ", "path", "title", body)).alias("text"))
+    return docs, pages
+
+
+@query("compared_publications")
+def compared_publications(spark, sf):
+    docs, pages = _two_sides(spark, sf)
+    found = compare.compared(docs, compare.aligned(docs, pages))
+    return found.select("book", "id", "page", "page_end", "anchored_by", "pdf_words", "web_words", "only_in_pdf", "only_in_web", F.round("coverage_pdf", 6).alias("coverage_pdf"), F.round("coverage_web", 6).alias("coverage_web"), "alignment_suspect", "verdict")
+
+
+@query("comparison_report", "SELECT (conv_id % 8)::VARCHAR AS book, count(*)::BIGINT AS documents FROM conversations WHERE turn = 1 GROUP BY 1")
+def comparison_report(spark, sf):
+    docs, pages = _two_sides(spark, sf)
+    return compare.report(docs, compare.compared(docs, compare.aligned(docs, pages))).select("book", "documents")

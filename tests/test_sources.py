@@ -115,7 +115,7 @@ def test_html_and_binaries(spark, tmp_path):
     assert rows(files.html_pages(spark, str(tmp_path))) == [("7", "<p>ñ</p>")]
     got = {r["src"].rsplit("/", 1)[1]: r["file"] for r in files.binaries(spark, str(tmp_path)).collect()}
     assert got["a.PNG"].endswith(".png") and len(got["a.PNG"]) == 68
-    assert files.folder_size(spark, str(tmp_path)) == (12, 2)
+    assert files.folder_size(spark, str(tmp_path)) == (10, 2)
 
 
 def test_markdown_sink(spark, tmp_path):
