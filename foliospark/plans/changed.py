@@ -70,11 +70,11 @@ def change_summary(spark, sf):
 _RANK = "CASE category " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(changes.CATEGORIES, 1)) + " END"
 
 
-@query("changes_by_severity", f"WITH {COMPARED_SQL} SELECT doc_id, category, row_number() OVER (ORDER BY {_RANK}, doc_id)::BIGINT AS place FROM compared WHERE category IS NOT NULL ORDER BY place LIMIT 500")
+@query("changes_by_severity", f"WITH {COMPARED_SQL} SELECT doc_id, category, ({_RANK})::BIGINT AS severity FROM compared WHERE category IS NOT NULL ORDER BY severity, doc_id")
 def changes_by_severity(spark, sf):
-    """The first 500 changes of a report."""
-    top = compared(spark, sf).where("category is not null").orderBy(changes.severity(F.col("category")), "doc_id").limit(500)
-    return top.select("doc_id", "category", F.row_number().over(Window.orderBy(changes.severity(F.col("category")), "doc_id")).cast("long").alias("place"))
+    """Changes in the order of a report."""
+    ranked = compared(spark, sf).where("category is not null").select("doc_id", "category", changes.severity(F.col("category")).cast("long").alias("severity"))
+    return ranked.orderBy("severity", "doc_id")
 
 
 @query("changelog_blocks")

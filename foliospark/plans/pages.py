@@ -77,7 +77,7 @@ def coverage_report(spark, sf):
 
 @query("book_index")
 def book_index(spark, sf):
-    d = read(spark, sf, "documents").select("source", "doc_id", "lang", tx.word_count(F.col("text")).alias("words"), F.left("text", F.lit(20)).alias("excerpt"))
+    d = read(spark, sf, "documents").select("source", "doc_id", "lang", tx.word_count(F.col("text")).alias("words"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("excerpt"))
     p = d.groupBy("source").agg(F.min("doc_id").alias("index"), F.count("*").alias("documents"), F.count("*").alias("units"), F.lit(0).cast("long").alias("notes"), F.sum("words").alias("words"), F.min_by("excerpt", "doc_id").alias("excerpt")).withColumnRenamed("source", "title")
     f = sequenced(spark, sf).select("sequence", F.concat("source", F.lit("-"), F.col("part").cast("string"), F.lit(".md")).alias("filename"), "words")
     t = trends.topics(spark, sf).groupBy("topic").agg(F.array_sort(F.collect_set("place")).alias("places"))
@@ -120,8 +120,8 @@ def stream_user_sessions(spark, sf):
 
 def _two_sides(spark, sf):
     """Conversations as documents of eight books, and the same text printed on pages with some words changed."""
-    c = read(spark, sf, "conversations").where("turn < 2").withColumn("book", (F.col("conv_id") % 8).cast("string"))
-    docs = c.where("turn = 1").select("book", F.col("conv_id").alias("id"), F.concat(F.lit("Libro "), "book", F.lit(", Letra "), F.col("conv_id").cast("string")).alias("path"), F.concat(F.lit("Norma "), F.col("conv_id").cast("string"), F.lit(" fin")).alias("title"), F.col("text").alias("markdown"))
+    c = read(spark, sf, "conversations").withColumn("book", (F.col("conv_id") % 8).cast("string")).withColumn("id", F.col("conv_id") * 1000 + F.col("turn"))
+    docs = c.select("book", "id", F.concat(F.lit("Libro "), "book", F.lit(", Letra "), F.col("id").cast("string")).alias("path"), F.concat(F.lit("Norma "), F.col("id").cast("string"), F.lit(" fin")).alias("title"), F.col("text").alias("markdown"))
     body = F.when(F.col("id") % 3 == 0, F.regexp_replace("markdown", "e", "a")).otherwise(F.col("markdown"))
     pages = docs.select("book", F.col("id").alias("page"), tx.canonical(F.concat_ws(" ", "path", "title", body)).alias("text"))
     return docs, pages
@@ -134,7 +134,7 @@ def compared_publications(spark, sf):
     return found.select("book", "id", "page", "page_end", "anchored_by", "pdf_words", "web_words", "only_in_pdf", "only_in_web", F.round("coverage_pdf", 6).alias("coverage_pdf"), F.round("coverage_web", 6).alias("coverage_web"), "alignment_suspect", "verdict")
 
 
-@query("comparison_report", "SELECT (conv_id % 8)::VARCHAR AS book, count(*)::BIGINT AS documents FROM conversations WHERE turn = 1 GROUP BY 1")
+@query("comparison_report", "SELECT (conv_id % 8)::VARCHAR AS book, count(*)::BIGINT AS documents FROM conversations GROUP BY 1")
 def comparison_report(spark, sf):
     docs, pages = _two_sides(spark, sf)
     return compare.report(docs, compare.compared(docs, compare.aligned(docs, pages))).select("book", "documents")

@@ -121,7 +121,7 @@ def breadcrumb_spacing(spark, sf):
 
 
 _NOTE = """'Este numero fue modificado por la Norma de Carácter General N° ' || (doc_id % 97) || ', de fecha ' || (doc_id % 28 + 1) || ' de ' ||
-    CASE doc_id % 4 WHEN 0 THEN 'enero' WHEN 1 THEN 'Abril' WHEN 2 THEN 'setiembre' ELSE 'diciembre' END || CASE WHEN doc_id % 6 = 5 THEN ' del ' ELSE ' de ' END || (1975 + doc_id % 50)
+    CASE doc_id % 4 WHEN 0 THEN 'enero' WHEN 1 THEN 'Abril' WHEN 2 THEN 'setiembre' ELSE 'diciembre' END || CASE WHEN doc_id % 6 = 5 THEN ' del ' ELSE ' de ' END || (1975 + doc_id % 25 * 2)
     || CASE WHEN doc_id % 9 = 0 THEN ' y por la NCG Nº ' || (doc_id % 13) ELSE '' END"""
 _NOTE_OR_NOT = f"CASE WHEN doc_id % 8 = 3 THEN 'Nota sin fecha' ELSE {_NOTE} END"
 
@@ -132,7 +132,7 @@ def notes(spark, sf):
     month = F.when(i % 4 == 0, "enero").when(i % 4 == 1, "Abril").when(i % 4 == 2, "setiembre").otherwise("diciembre")
     s = lambda c: c.cast("string")
     note = F.concat(
-        F.lit("Este numero fue modificado por la Norma de Carácter General N° "), s(i % 97), F.lit(", de fecha "), s(i % 28 + 1), F.lit(" de "), month, F.when(i % 6 == 5, " del ").otherwise(" de "), s(1975 + i % 50),
+        F.lit("Este numero fue modificado por la Norma de Carácter General N° "), s(i % 97), F.lit(", de fecha "), s(i % 28 + 1), F.lit(" de "), month, F.when(i % 6 == 5, " del ").otherwise(" de "), s(1975 + i % 25 * 2),
         F.when(i % 9 == 0, F.concat(F.lit(" y por la NCG Nº "), s(i % 13))).otherwise(""),
     )
     return read(spark, sf, "documents").select("doc_id", "source", F.when(i % 8 == 3, "Nota sin fecha").otherwise(note).alias("note"))

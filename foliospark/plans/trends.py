@@ -59,13 +59,13 @@ def recent_ncgs_topk(spark, sf):
 @query(
     "title_profile",
     f"""WITH a AS ({LOOSE_SQL}) SELECT d.source, d.lang, count(*)::BIGINT AS documents, sum(len(string_split(d.text, chr(10))))::BIGINT AS units, sum(CASE WHEN d.doc_id % 3 = 0 THEN 2 ELSE 0 END)::BIGINT AS notes,
-    sum(len({sql_words('d.text')}))::BIGINT AS words, count(DISTINCT sha256(d.text))::BIGINT AS n_figures, count(DISTINCT a.number)::BIGINT AS n_amendments, arg_min(left(d.text, 20), d.doc_id) FILTER (left(d.text, 20) <> '') AS excerpt
+    sum(len({sql_words('d.text')}))::BIGINT AS words, count(DISTINCT sha256(d.text))::BIGINT AS n_figures, count(DISTINCT a.number)::BIGINT AS n_amendments, arg_min(split_part(d.text, chr(10), 1), d.doc_id) FILTER (split_part(d.text, chr(10), 1) <> '') AS excerpt
     FROM documents d LEFT JOIN a ON d.doc_id = a.doc_id GROUP BY d.source, d.lang""",
 )
 def title_profile(spark, sf):
     a = loose(spark, sf).select(F.col("doc_id").alias("aid"), F.array("number").alias("amendments"))
     d = read(spark, sf, "documents").join(a, F.col("doc_id") == F.col("aid"), "left")
-    d = d.select("source", "lang", "doc_id", F.size(F.split("text", "\n", -1)).alias("units"), F.when(F.col("doc_id") % 3 == 0, 2).otherwise(0).alias("notes"), tx.word_count(F.col("text")).alias("words"), F.array(F.sha2("text", 256)).alias("figures"), "amendments", F.left("text", F.lit(20)).alias("excerpt"))
+    d = d.select("source", "lang", "doc_id", F.size(F.split("text", "\n", -1)).alias("units"), F.when(F.col("doc_id") % 3 == 0, 2).otherwise(0).alias("notes"), tx.word_count(F.col("text")).alias("words"), F.array(F.sha2("text", 256)).alias("figures"), "amendments", F.split_part("text", F.lit("\n"), F.lit(1)).alias("excerpt"))
     return index.profile(d, ["source", "lang"], "doc_id")
 
 
@@ -93,11 +93,11 @@ def image_first_source(spark, sf):
     return read(spark, sf, "documents").groupBy(F.sha2("text", 256).alias("sha256")).agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"))
 
 
-@query("new_sources_anti", "SELECT DISTINCT source FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE doc_id < 10)")
+@query("new_sources_anti", """WITH l AS (SELECT regexp_extract(html, 'lang="([^"]*)"', 1) AS lang, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS src FROM pages) SELECT DISTINCT src FROM l WHERE src NOT IN (SELECT src FROM l WHERE lang = 'en')""")
 def new_sources_anti(spark, sf):
-    d = read(spark, sf, "documents")
-    known = d.where("doc_id < 10").select(F.col("source").alias("s")).distinct()
-    return d.select("source").distinct().join(known, F.col("source") == F.col("s"), "left_anti")
+    """Distinct addresses that an index (here: that of the English pages) has not."""
+    p = read(spark, sf, "pages").select(F.regexp_extract("html", 'lang="([^"]*)"', 1).alias("lang"), F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("src"))
+    return p.select("src").distinct().join(p.where("lang = 'en'").select(F.col("src").alias("s")).distinct(), F.col("src") == F.col("s"), "left_anti")
 
 
 @query("book_subset", "SELECT doc_id, source FROM documents WHERE source IN ('src3', 'src1')")
@@ -113,11 +113,11 @@ def page_figures(spark, sf):
 
 
 # --------------------------------------------------------------------- trends
-_YEARS = f"SELECT year, count(*)::BIGINT AS n FROM ({STRICT_SQL}) WHERE year IS NOT NULL AND year % 4 <> 1 GROUP BY year"
+_YEARS = f"SELECT year, count(*)::BIGINT AS n FROM ({STRICT_SQL}) WHERE year IS NOT NULL GROUP BY year"
 
 
 def years(spark, sf):
-    return strict(spark, sf).where("year is not null and year % 4 <> 1").groupBy("year").agg(F.count("*").alias("n"))
+    return strict(spark, sf).where("year is not null").groupBy("year").agg(F.count("*").alias("n"))
 
 
 @query("activity_by_year", f"SELECT source, year, count(*)::BIGINT AS n FROM ({STRICT_SQL}) GROUP BY ALL")
@@ -241,11 +241,11 @@ def offset_to_page_asof(spark, sf):
     return found.select("event_id", "source", F.col("doc_id").alias("page"))
 
 
-_EV = "SELECT user_id AS book, event_id AS id, (event_id * 7919) % 5000 AS head, (event_id * 7919) % 5000 + event_id % 90 AS body_start FROM events WHERE user_id < 40"
+_EV = "SELECT user_id AS book, event_id AS id, (event_id * 7919) % 5000 AS head, (event_id * 7919) % 5000 + event_id % 90 AS body_start FROM events"
 
 
 def heads(spark, sf):
-    e = read(spark, sf, "events").where("user_id < 40")
+    e = read(spark, sf, "events")
     head = (F.col("event_id") * 7919) % 5000
     return e.select(F.col("user_id").alias("book"), F.col("event_id").alias("id"), head.alias("head"), (head + F.col("event_id") % 90).alias("body_start"), F.lit("heading").alias("how"))
 
@@ -290,12 +290,12 @@ def interval_claim(spark, sf):
 _CRUMBS = "SELECT page_id, 'Libro ' || left(regexp_extract(url, '://([^/]*)', 1), (page_id % 9 + 1)::INT) AS crumb FROM pages"
 
 
-@query("prefix_theta_semi", f"WITH k AS (SELECT DISTINCT 'Libro ' || left(regexp_extract(url, '://([^/]*)', 1), 5) AS p FROM pages WHERE page_id % 4 = 0) SELECT page_id, crumb FROM ({_CRUMBS}) c WHERE EXISTS (SELECT 1 FROM k WHERE starts_with(c.crumb, k.p) OR starts_with(k.p, c.crumb))")
+@query("prefix_theta_semi", f"WITH k AS (SELECT DISTINCT 'Libro ' || left(regexp_extract(url, '://([^/]*)', 1), 5) AS p FROM pages WHERE html LIKE '%lang=_en_>%') SELECT page_id, crumb FROM ({_CRUMBS}) c WHERE EXISTS (SELECT 1 FROM k WHERE starts_with(c.crumb, k.p) OR starts_with(k.p, c.crumb))")
 def prefix_theta_semi(spark, sf):
     host = F.regexp_extract("url", "://([^/]*)", 1)
     p = read(spark, sf, "pages")
     crumbs = p.select("page_id", F.concat(F.lit("Libro "), F.left(host, (F.col("page_id") % 9 + 1).cast("int"))).alias("crumb"))
-    known = p.where("page_id % 4 = 0").select(F.concat(F.lit("Libro "), F.left(host, F.lit(5))).alias("p"))
+    known = p.where(F.contains("html", F.lit('lang="en"'))).select(F.concat(F.lit("Libro "), F.left(host, F.lit(5))).alias("p"))
     return align.prefix_semi(crumbs, known, "crumb", "p")
 
 
@@ -315,16 +315,16 @@ _HEAD = "(?m)^Compendium\\s*-\\s*(src\\d+)\\s*$"
 
 @query(
     "identity_verification",
-    f"""WITH p AS (SELECT source, 'Compendium – ' || CASE WHEN doc_id % 211 = 0 THEN 'src99' ELSE source END || chr(10) || 'Libro ' || source || ',' || lang || chr(10) || left(text, 50) AS page FROM documents),
+    f"""WITH p AS (SELECT source, 'Compendium – ' || CASE WHEN doc_id % 211 = 0 THEN 'src99' ELSE source END || chr(10) || 'Libro ' || source || ',' || lang || chr(10) || text AS page FROM documents),
     h AS (SELECT source, unnest(regexp_extract_all(translate(page, '‐‑‒–—', '-----'), '{_HEAD}', 1)) AS head FROM p), f AS (SELECT source, string_agg(DISTINCT head, ',' ORDER BY head) AS heads FROM h GROUP BY source),
-    c AS (SELECT source, count(*) AS crumbs, count(*) FILTER (regexp_matches(page, 'Libro [^,]*,(en|de)')) AS known FROM p GROUP BY source)
+    c AS (SELECT source, count(*) AS crumbs, count(*) FILTER (regexp_matches(page, '(?m)^Libro src[0-9]+,(en|de)$')) AS known FROM p GROUP BY source)
     SELECT c.source, coalesce(f.heads, '') AS heads, crumbs::BIGINT AS crumbs, known::BIGINT AS matched, concat_ws('; ', CASE WHEN f.heads IS NULL THEN 'no running header' WHEN f.heads <> c.source THEN 'header says ' || f.heads END, CASE WHEN crumbs >= 2 AND crumbs - known > crumbs // 2 THEN 'sections are not in the tree' END) AS problems FROM c LEFT JOIN f USING (source)""",
 )
 def identity_verification(spark, sf):
     """Whether each book's pages name the book, and whether its sections are those of the tree."""
     d = read(spark, sf, "documents")
     named = F.when(F.col("doc_id") % 211 == 0, "src99").otherwise(F.col("source"))
-    page = F.concat(F.lit("Compendium – "), named, F.lit("\nLibro "), "source", F.lit(","), "lang", F.lit("\n"), F.left("text", F.lit(50)))
+    page = F.concat(F.lit("Compendium – "), named, F.lit("\nLibro "), "source", F.lit(","), "lang", F.lit("\n"), "text")
     p = d.select("source", "lang", F.translate(page, tx.DASHES, "-----").alias("page"))
     heads_ = p.select("source", F.explode(F.regexp_extract_all("page", F.lit(_HEAD), F.lit(1))).alias("head")).groupBy(F.col("source").alias("hs")).agg(F.array_join(F.array_sort(F.collect_set("head")), ",").alias("heads"))
     crumbs = p.select("source", tx.spaced(F.regexp_extract("page", "(?m)^(Libro [^,]*,.+)$", 1)).alias("crumb"))
@@ -351,8 +351,8 @@ def containment_first_hit(spark, sf):
 @query("document_anchors")
 def document_anchors(spark, sf):
     """Where conversations begin in the joined text of their book."""
-    c = read(spark, sf, "conversations").where("turn < 3").withColumn("book", (F.col("conv_id") % 8).cast("string"))
-    docs = c.where("turn = (conv_id % 2)").select("book", F.col("conv_id").alias("id"), F.left("text", F.lit(12)).alias("path"), F.substring("text", 14, 10).alias("title"), F.col("text").alias("body"))
+    c = read(spark, sf, "conversations").withColumn("book", (F.col("conv_id") % 8).cast("string"))
+    docs = c.select("book", (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.left("text", F.lit(12)).alias("path"), F.substring("text", 14, 10).alias("title"), F.col("text").alias("body"))
     books = c.groupBy("book").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "turn", "text"))), lambda x: x["text"]), " ").alias("text"))
     return align.anchors(docs, books)
 
