@@ -95,6 +95,17 @@ def partitions(spark: SparkSession) -> int:
 
 
 # ----------------------------------------------------------------- Arrow pieces
+#: Rows in an Arrow batch at most; texts may be very long.
+BATCH_ROWS = 1000
+
+
+def lean(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows: a worker holds one or two whole batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``most`` bytes of text in each."""
     for batch in batches:

@@ -173,6 +173,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, most_to
     are read. Words are compared by 64-bit fingerprints.
     """
     spark = docs.sparkSession
+    common.lean(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
     size = items.agg(F.coalesce(F.sum(F.length("text") / 2 + 1), F.lit(0)).alias("n")).first()["n"]

@@ -169,6 +169,7 @@ def predict(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     learned from. All rows stay, repeated ones too. Only ``doc_id``, ``text``
     and ``lang`` are read.
     """
+    common.lean(docs.sparkSession)
     remainder = F.crc32(F.col("doc_id").cast("string")) % 3
     model = fit(docs.where(remainder != 1), sample)
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -227,6 +227,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     A pair of the least similarity is missed by all bands with a chance of
     (1 - s ** rows) ** bands: 3e-6 at 0.80, 2e-8 at 0.85.
     """
+    common.lean(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     made = common.table(docs.mapInArrow(_sketches(k, bands, rows), "doc_id long, n_shingles long, digest binary, bands array<long>"), "sketches")
     classes = common.table(made.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")

@@ -317,9 +317,11 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     Only ``doc_id`` and ``text`` are read. ``model`` is the place of the model
     file on every executor. A batch where the library does not agree fails.
     """
+    common.lean(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(model, False), "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, model: str) -> DataFrame:
     """:func:`encode` with SHA-256 digests for the ids (unsigned 32-bit, little-endian) and the decoded text."""
+    common.lean(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(model, True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

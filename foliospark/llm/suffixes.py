@@ -143,6 +143,7 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, window: int = WINDOW) ->
     Words are compared by 64-bit fingerprints.
     """
     spark = docs.sparkSession
+    common.lean(spark)
     n = common.partitions(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     digested = docs.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"))

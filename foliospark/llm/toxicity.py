@@ -213,6 +213,7 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
     Only ``doc_id``, ``text`` and ``toxic`` are read.
     """
     spark = docs.sparkSession
+    common.lean(spark)
     remainder = lambda c: F.crc32(F.col(c).cast("string")) % 3
     model = fit(docs, labels.where(remainder("doc_id") != 1), sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -125,4 +125,5 @@ def token_counts(docs: DataFrame, model: str) -> DataFrame:
     ``doc_id`` and ``text`` are read. ``model`` is the place of the vocabulary
     file on every executor.
     """
+    common.lean(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_count(model), "doc_id long, n_tokens long")

@@ -287,6 +287,7 @@ def near_duplicates(embeddings: DataFrame, least: float = COSINE) -> DataFrame:
     these three columns are read.
     """
     spark = embeddings.sparkSession
+    common.lean(spark)
     n = common.partitions(spark)
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long").alias("label")).where("vec_id is not null")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

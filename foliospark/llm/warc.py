@@ -123,5 +123,6 @@ def derivatives(pages: DataFrame) -> DataFrame:
     that no value breaks out of its line. Pages are read whole; unclosed
     scripts, styles and comments are no text. Other columns are ignored.
     """
+    common.lean(pages.sparkSession)
     optional = [F.col(c).cast("string").alias(c) if c in pages.columns else F.lit(None).cast("string").alias(c) for c in ("headers", "date", "record_id")]
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", *optional).mapInArrow(_derive, _SCHEMA)
