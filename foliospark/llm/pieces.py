@@ -84,15 +84,15 @@ class Pieces:
                     keys.append(self._symbol(halves[0]) << 20 | self._symbol(halves[1]))
                     joint.append(i)
         order = np.argsort(keys, kind="stable")
-        self.keys, self.joint = np.array(keys, np.int64)[order], np.array(joint, np.int64)[order]
+        self.keys, self.joint = np.array(keys, np.int64)[order], np.array(joint, np.int32)[order]
         score = np.array(self.scores)
         levels = np.unique(score)  # ascending: a higher rank is a better score
-        self.rank = np.searchsorted(levels, score).astype(np.int64) + 1
+        self.rank = np.searchsorted(levels, score).astype(np.int32) + 1
         # the pair table by open addressing: a power of two of slots, at most a quarter of them filled
         bits = max(4, int(4 * len(keys)).bit_length())
         self.shift = np.uint64(64 - bits)
         self.slots = np.full((1 << bits) + 64, -1, np.int64)
-        self.slot_joint = np.full((1 << bits) + 64, -1, np.int64)
+        self.slot_joint = np.full((1 << bits) + 64, -1, np.int32)
         left = np.arange(len(self.keys))
         at = self._slot(self.keys)
         self.probes = 0
@@ -157,13 +157,13 @@ class Pieces:
         code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         some, which = np.unique(code, return_inverse=True)
         names = {self._symbol(chr(c)): chr(c) for c in some.tolist()}
-        number = np.array([self._symbol(chr(c)) for c in some.tolist()], np.int64)
-        grid = np.full((len(chunks), wide + 1), -1, np.int64)
+        number = np.array([self._symbol(chr(c)) for c in some.tolist()], np.int32)
+        grid = np.full((len(chunks), wide + 1), -1, np.int32)
         row = np.repeat(np.arange(len(chunks)), size)
         grid[row, np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)] = number[which]
         length = size.copy()
         joint = self._joint(grid[:, :-1], grid[:, 1:])
-        best = np.where(joint >= 0, self.rank[joint], 0)
+        best = np.where(joint >= 0, self.rank[joint], np.int32(0))
         active = np.arange(len(chunks))
         while len(active):
             at = best[active].argmax(axis=1)  # the leftmost of the best
@@ -205,9 +205,9 @@ class Pieces:
 
     def _joint(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that each pair joins to, or -1."""
-        key = np.where((left >= 0) & (right >= 0), left << 20 | right, -2)
+        key = np.where((left >= 0) & (right >= 0), left.astype(np.int64) << 20 | right, -2)
         flat = key.ravel()
-        out = np.full(len(flat), -1, np.int64)
+        out = np.full(len(flat), -1, np.int32)
         at = self._slot(flat)
         look = np.flatnonzero(self.slots[at] != -1)
         for _ in range(self.probes):
@@ -225,14 +225,19 @@ class Pieces:
         """The ids of distinct chunks: remembered ones, then short and long new ones."""
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
-        found: list[bytes | None] = list(map(self.young.get, chunks))
-        for known in (self.old, None):
-            left = [i for i, ids in enumerate(found) if ids is None]
-            missing = [chunks[i] for i in left]
-            ids = list(map(known.get, missing)) if known is not None else self._new(missing)
-            for i, x in zip(left, ids, strict=True):
-                found[i] = x
-            self.young.update((c, x) for c, x in zip(missing, ids, strict=True) if x is not None and len(c) <= SHORT)
+        found = list(map(self.young.get, chunks))
+        left = [i for i, ids in enumerate(found) if ids is None]
+        missing = [chunks[i] for i in left]
+        older = list(map(self.old.get, missing))
+        fresh = [j for j, ids in enumerate(older) if ids is None]
+        for j, ids in zip(fresh, self._new([missing[j] for j in fresh]), strict=True):
+            older[j] = ids
+        for i, ids in zip(left, older, strict=True):
+            found[i] = ids
+        self.young.update(zip(missing, older, strict=True))
+        for c in missing:
+            if len(c) > SHORT:
+                del self.young[c]
         return found
 
     def _new(self, chunks: list[str]) -> list[bytes]:
@@ -247,9 +252,12 @@ class Pieces:
         """
         whole = [len(c) > 1 and c[0] == SPACE for c in chunks]
         texts = [c[1:].replace(SPACE, " ") if w else "\n" + c.replace(SPACE, " ") for c, w in zip(chunks, whole, strict=True)]
-        for chunk, w, ours, theirs in zip(chunks, whole, ids, self.library.encode(texts, num_threads=1), strict=True):
-            if np.frombuffer(ours, "<u4").tolist() != (theirs if w else theirs[2:]):
-                raise AssertionError(f"encoding differs from the library's for {chunk[:80]!r}")
+        theirs = [x if w else x[2:] for x, w in zip(self.library.encode(texts, num_threads=1), whole, strict=True)]
+        sizes = [4 * len(x) for x in theirs]
+        if sizes == list(map(len, ids)) and np.array_equal(np.frombuffer(b"".join(ids), "<u4"), np.fromiter(chain.from_iterable(theirs), np.uint32, sum(sizes) // 4)):
+            return
+        wrong = next(c for c, x, y in zip(chunks, ids, theirs, strict=True) if np.frombuffer(x, "<u4").tolist() != y)
+        raise AssertionError(f"encoding differs from the library's for {wrong[:80]!r}")
 
     def _solved(self, chunks: list[str]) -> list[bytes]:
         short = sorted((i for i, c in enumerate(chunks) if len(c) <= SHORT), key=lambda i: len(chunks[i]))
