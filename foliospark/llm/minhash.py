@@ -235,6 +235,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
 
     banded = common.table(reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band")), "bands")
     shared = banded.groupBy("band").agg(F.count("*").alias("members"), F.min("id").alias("center")).where("members > 1").select("band", "center")
+    shared = common.table(shared, "shared")  # apart from the join, so that a band of very many members is split there
     buckets = common.table(banded.join(shared, "band").select("band", "id", "center"), "buckets")
     common.drop_table(banded)
 

@@ -160,6 +160,7 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, window: int = WINDOW) ->
 
     windows = common.table(docs.join(found, "doc_id").mapInArrow(_extend(least, window), "doc_id long, start int, key long"), "windows")
     shared = windows.groupBy("key").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")).where("first_doc_id <> last_doc_id").select("key", "first_doc_id")
+    shared = common.table(shared, "shared")  # apart from the join, so that a passage that very many documents hold is split there
     marked = windows.join(shared, "key").select("doc_id", "start", "first_doc_id", (F.col("doc_id") == F.col("first_doc_id")).alias("first"))
 
     order = Window.partitionBy("doc_id", "first").orderBy("start")
