@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm import common
-from foliospark.llm.common import U64
 
 LEAST = 50
 WINDOW = 16

@@ -33,10 +33,10 @@ DEGREE = 24
 POOL = 64
 ALPHA = 1.2
 BEAM = 32
-#: Vectors that centroids are fitted on: at most so many for each label.
-SAMPLE = 4_000
-#: At most so many clusters for each label; larger clusters are cut into blocks.
-CLUSTERS = 256
+#: Vectors that centroids are fitted on: at most so many for each label, and about so many for all.
+SAMPLE, SAMPLE_ALL = 4_000, 200_000
+#: At most so many clusters for each label, and about so many for all; larger clusters are cut into blocks.
+CLUSTERS, CLUSTERS_ALL = 256, 20_000
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -139,15 +139,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def centroids(spark: SparkSession, classes: DataFrame, sizes: dict[tuple[int, int], int]) -> dict[tuple[int, int], np.ndarray]:
-    """Spherical k-means for each (label, width) on a bounded sample of its classes."""
-    share = F.lit(0.0)
-    for (label, width), n in sizes.items():
-        share = F.when((F.col("label") == label) & (F.col("width") == width), F.lit(min(1.0, SAMPLE / n))).otherwise(share)
-    sample = classes.where(F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(1 << 20)) < share * (1 << 20)).select("rep", "label", "width", "embedding").toPandas()
+    """Spherical k-means for each large (label, width) of ``sizes`` on a bounded sample of its classes."""
+    if not sizes:
+        return {}
+    fewer = min(1.0, SAMPLE_ALL / sum(min(SAMPLE, n) for n in sizes.values()))
+    shares = spark.createDataFrame([(label, width, fewer * min(1.0, SAMPLE / n)) for (label, width), n in sizes.items()], "label long, width int, share double")
+    drawn = classes.join(F.broadcast(shares), ["label", "width"])  # a row for each large label, at most CLUSTERS_ALL
+    sample = drawn.where(F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("rep", "label", "width", "embedding").toPandas()
+    wanted = {key: min(CLUSTERS, -(-n // SHARD) * OVERLAP) for key, n in sizes.items()}
+    scale = min(1.0, CLUSTERS_ALL / sum(wanted.values()))
     out = {}
-    for (label, width), n in sizes.items():
-        own = sample[(sample["label"] == label) & (sample["width"] == width)].sort_values("rep")
-        k = min(CLUSTERS, max(1, -(-n // SHARD) * OVERLAP if n > SHARD else 1))
+    groups = dict(list(sample.groupby(["label", "width"])))
+    for (label, width), k in wanted.items():
+        own = groups.get((label, width), sample.iloc[:0]).sort_values("rep")
+        k = max(1, int(k * scale))
         x = unit(np.array(own["embedding"].tolist(), np.float64)) if len(own) else np.ones((1, width)) / np.sqrt(width)
         rng = np.random.default_rng(0)
         c = x[rng.choice(len(x), min(k, len(x)), replace=False)]
@@ -170,9 +175,12 @@ def _assign(shared):
             label, width = common.column(batch, "label").to_numpy(), common.column(batch, "width").to_numpy()
             for key in sorted({*zip(label.tolist(), width.tolist(), strict=True)}):
                 rows = pa.array(np.flatnonzero((label == key[0]) & (width == key[1])))
-                c, x = shared.value[key], unit(_matrix(common.column(batch, "embedding").take(rows)))
-                many = min(OVERLAP, len(c))
-                near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :many]
+                c = shared.value.get(key)
+                if c is None:  # one cluster
+                    near = np.zeros((len(rows), 1), np.int64)
+                else:
+                    x = unit(_matrix(common.column(batch, "embedding").take(rows)))
+                    near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, : min(OVERLAP, len(c))]
                 yield pa.RecordBatch.from_arrays([common.column(batch, "rep").take(rows), pa.array(list(near), pa.list_(pa.int64()))], names=["rep", "clusters"])
 
     return run
@@ -298,8 +306,10 @@ def near_duplicates(embeddings: DataFrame, least: float = COSINE) -> DataFrame:
     sized = common.table(grouped, "classes")
     classes = keyed.join(sized.select(F.col("rep").alias("vec_id"), "size"), "vec_id").dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("rep"), "label", "width", "embedding", "size")
     classes = common.table(classes, "reps")
-    sizes = {(r["label"], r["width"]): r["n"] for r in classes.groupBy("label", "width").agg(F.count("*").alias("n")).collect()}
-    shared = spark.sparkContext.broadcast(centroids(spark, classes, sizes) if sizes else {})
+    # the largest labels; what others have is one cluster each, in blocks where it is large
+    large = classes.groupBy("label", "width").agg(F.count("*").alias("n")).where(F.col("n") > SHARD).orderBy(F.desc("n"), "label", "width").limit(CLUSTERS_ALL)
+    sizes = {(r["label"], r["width"]): r["n"] for r in large.collect()}
+    shared = spark.sparkContext.broadcast(centroids(spark, classes, sizes))
 
     near = classes.mapInArrow(_assign(shared), "rep long, clusters array<long>")
     placed = common.table(near.select("rep", F.posexplode("clusters").alias("rank", "cluster")), "clusters").join(classes, "rep")
