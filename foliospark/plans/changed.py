@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from foliospark.functions import text as tx
 from foliospark.operators import changes, coverage, guard, units
 from foliospark.plans.texts import sql_words
 from foliospark.registry import query
