@@ -61,8 +61,8 @@ def compared(docs: DataFrame, other: DataFrame, node_titles: DataFrame | None =
     bags = lambda df: df.select("book", F.explode(tx.words(F.lower("text"))).alias("word")).groupBy("book", "word").agg(F.count("*").alias("n"))
 
     def side(own: DataFrame, whole: DataFrame, name: str) -> DataFrame:
-        rows = own.select("book", "key", F.explode(tx.shingles(tx.words(F.lower("text")), n)).alias("shingle")).groupBy("book", "key", "shingle").agg(F.count("*").alias("c"))
-        found = rows.join(grams(whole).withColumn("hit", F.lit(1)), ["book", "shingle"], "left").groupBy("key").agg(F.sum("c").alias(f"{name}_words"), F.sum(F.when(F.col("hit").isNull(), F.col("c")).otherwise(0)).alias(f"only_in_{name}"))
+        rows = own.select("book", "key", F.explode(tx.shingles(tx.words(F.lower("text")), n)).alias("shingle"))
+        found = rows.join(grams(whole).withColumn("hit", F.lit(1)), ["book", "shingle"], "left").groupBy("key").agg(F.count("*").alias(f"{name}_words"), F.count_if(F.col("hit").isNull()).alias(f"only_in_{name}"))
         words = own.select("book", "key", F.explode(tx.words(F.lower("text"))).alias("word")).groupBy("book", "key", "word").agg(F.count("*").alias("c"))
         shared = words.join(bags(whole), ["book", "word"], "left").groupBy("key").agg((F.sum(F.least("c", F.coalesce("n", F.lit(0)))) / F.sum("c")).alias(f"lexical_{name}"))
         out = own.select("key").join(found, "key", "left").join(shared, "key", "left").na.fill(0, [f"{name}_words", f"only_in_{name}"]).na.fill(1.0, [f"lexical_{name}"])

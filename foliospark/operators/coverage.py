@@ -29,10 +29,14 @@ def missing(rows: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def ngram_coverage(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text", n: int = N) -> DataFrame:
-    """(key, total, n_only, coverage): n-gram positions, those not in the reference, and 1 - n_only / total; 1.0 where there are none."""
-    rows = shingle_rows(docs, [key], text, n).groupBy(key, "shingle").agg(F.count("*").alias("c"))
+    """(key, total, n_only, coverage): n-gram positions, those not in the reference, and 1 - n_only / total; 1.0 where there are none.
+
+    Positions are joined as they are: where the reference is small enough to be
+    broadcast, no n-gram is shuffled, only counts are.
+    """
+    rows = shingle_rows(docs, [key], text, n).select(key, "shingle")
     marked = rows.join(known.withColumn("found", F.lit(1)), "shingle", "left")
-    counts = marked.groupBy(F.col(key).alias("_k")).agg(F.sum("c").alias("total"), F.sum(F.when(F.col("found").isNull(), F.col("c")).otherwise(0)).alias("n_only"))
+    counts = marked.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("total"), F.count_if(F.col("found").isNull()).alias("n_only"))
     joined = docs.select(key).join(counts, F.col(key) == F.col("_k"), "left")
     total, only = F.coalesce("total", F.lit(0)), F.coalesce("n_only", F.lit(0))
     return joined.select(key, total.alias("total"), only.alias("n_only"), ratio(total - only, total).alias("coverage"))
