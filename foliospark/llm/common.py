@@ -9,6 +9,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -106,6 +107,14 @@ def lean(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Return free memory to the system: Python workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``most`` bytes of text in each."""
     for batch in batches:
@@ -120,7 +129,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20)
             end = max(start + 1, int(np.searchsorted(total, base + most, side="right")))
             yield batch.slice(start, end - start)
             start = end
-    pa.default_memory_pool().release_unused()  # workers live on after a task
+    give_back()
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
