@@ -23,8 +23,6 @@ from foliospark.llm import common
 SAMPLE = 4_000
 BITS = 16
 STEPS = 10
-#: Counts above this are as telling as this: what a text repeats over and over is not evidence each time.
-OFTEN = 8
 PENALTY = 2.0
 
 _FOLD: list[np.ndarray] = []
@@ -74,7 +72,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang = np.array(common.column(batch, "lang").to_pylist(), object)
         for name in set(lang.tolist()):
             own = (lang == name)[row]
-            total[name] = total.get(name, 0) + np.bincount(bucket[own], np.minimum(count[own], OFTEN), 2**BITS)
+            total[name] = total.get(name, 0) + np.bincount(bucket[own], count[own], 2**BITS)
     for name, counts in total.items():
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some), pa.array(counts[some])], names=["lang", "bucket", "n"])
@@ -93,13 +91,13 @@ class Model:
             part = p * share[row].astype(np.float32)
             part *= (count / part.sum(axis=1))[:, None]
             new = np.zeros_like(share)
-            new[present] = np.add.reduceat(part, begin, axis=0) / total[present, None]
+            new[present] = np.add.reduceat(part, begin, axis=0, dtype=np.float64) / total[present, None]
             done = np.abs(new - share).max(initial=0) < 1e-3
             share = new
             if done:
                 break
         loglik = np.zeros(len(share))
-        loglik[present] = np.add.reduceat(count * np.log(np.maximum((p * share[row].astype(np.float32)).sum(axis=1), 1e-30)), begin)
+        loglik[present] = np.add.reduceat(count * np.log(np.maximum((p * share[row].astype(np.float32)).sum(axis=1), 1e-30)), begin, dtype=np.float64)
         return share, loglik
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -110,7 +108,6 @@ class Model:
             return ["und"] * n, np.zeros(n)
         best, score = np.zeros(n, np.int64), np.zeros(n)
         if len(row):
-            count = np.minimum(count, OFTEN)
             p = self.p[bucket]
             total = np.maximum(np.bincount(row, count, n), 1e-9)
             share, _ = self._shares(row, count, p, total, np.ones((n, k)))

@@ -441,6 +441,17 @@ def test_language_of_held_out_rows(spark, odd, none):
     assert {r["lang_pred"] for r in language.predict(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("share", [0.75, 0.6, 0.1])
+def test_shares_of_a_long_mixture(spark, share):
+    rng = random.Random(7)
+    data = [(i, phrase(rng, lang, 40), lang) for i in range(300) for lang in [rng.choice(list(SYLLABLES))]]
+    parts = {"aa": phrase(rng, "aa", int(20_000 * share)), "bb": phrase(rng, "bb", 20_000 - int(20_000 * share))}
+    df = spark.createDataFrame([*data, (1000, " ".join(parts.values()), None)], "doc_id long, text string, lang string")
+    got = language.predict(df).where("doc_id = 1000").first()
+    top = max(parts, key=lambda lang: len(parts[lang]))
+    assert got["lang_pred"] == top and abs(got["score"] - len(parts[top]) / sum(map(len, parts.values()))) < 0.03
+
+
 # ------------------------------------------------------------------- unigram
 def test_counts_equal_the_library():
     from tokenizers import Tokenizer, models
