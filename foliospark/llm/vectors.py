@@ -4,9 +4,10 @@ Vectors of one label are dealt to clusters, each to its ``OVERLAP`` nearest, so
 that shards overlap; centroids come from a bounded sample. Each shard builds a
 flat graph by robust pruning, the adjacency lists of a vector from all its
 shards are united, and each vector then searches the shard of its nearest
-cluster: greedily from the shard's medoid until the beam holds no nearer vector
-to expand, then expanding its range, through every neighbour within the radius,
-until nothing new is in range. What is found is verified by cosines in double
+cluster: greedily from the medoids of the shard's regions, and from its own
+entry where it is a member, until the beam holds no nearer vector to expand,
+then expanding its range, through every neighbour within the radius, until
+nothing new is in range. What is found is verified by cosines in double
 precision.
 
 Equal vectors form one class, which is searched once and counted with its size.
@@ -31,6 +32,8 @@ OVERLAP = 3
 SHARD = 1500
 DEGREE = 24
 POOL = 64
+#: Random links from each vector, besides its degree.
+FAR = 8
 ALPHA = 1.2
 BEAM = 32
 #: Vectors that centroids are fitted on: at most so many for each label, and about so many for all.
@@ -64,7 +67,8 @@ def prune(own: np.ndarray, candidates: np.ndarray, near: np.ndarray, units: np.n
 def build(units: np.ndarray) -> list[np.ndarray]:
     """Adjacency lists of a shard: pruned pools of nearest vectors, with edges back, pruned again where too many.
 
-    Random links from each vector join regions that pools alone would not.
+    Random links from each vector, and back, join regions that pools alone
+    would not; no degree limit cuts them off.
     """
     n = len(units)
     if n == 1:
@@ -72,14 +76,16 @@ def build(units: np.ndarray) -> list[np.ndarray]:
     pool = min(POOL, n - 1)
     rng = np.random.default_rng(n)
     lists: list[np.ndarray] = []
+    joined: list[list[int]] = [[] for _ in range(n)]
     for a in range(0, n, 512):
         cosines = units[a : a + 512] @ units.T
         cosines[np.arange(len(cosines)), np.arange(a, a + len(cosines))] = -2
         nearest = np.argpartition(-cosines, pool - 1, axis=1)[:, :pool]
         for r in range(len(cosines)):
-            far = np.setdiff1d(rng.integers(0, n, 8), [a + r])
-            some = np.unique(np.concatenate([nearest[r], far]))
-            some = some[np.argsort(-cosines[r, some], kind="stable")]
+            for j in np.setdiff1d(rng.integers(0, n, FAR), [a + r]).tolist():
+                joined[a + r].append(j)
+                joined[j].append(a + r)
+            some = nearest[r][np.argsort(-cosines[r, nearest[r]], kind="stable")]
             lists.append(prune(units[a + r], some, cosines[r, some], units))
     back: list[list[int]] = [[] for _ in range(n)]
     for i, own in enumerate(lists):
@@ -91,25 +97,43 @@ def build(units: np.ndarray) -> list[np.ndarray]:
             near = units[both] @ units[i]
             order = np.argsort(-near, kind="stable")
             both = prune(units[i], both[order], near[order], units, 2 * DEGREE)
-        lists[i] = both
+        lists[i] = np.union1d(both, np.array(joined[i], np.int64))
     return lists
 
 
-def medoid(units: np.ndarray) -> int:
-    return int(np.argmax(units @ units.mean(axis=0)))
+def medoids(units: np.ndarray, least: float) -> np.ndarray:
+    """The vector nearest to the mean, and one for each region: that with the most others within ``least``, then that of those not within ``least`` of one taken before, and so on.
+
+    Pools of more than ``DEGREE`` near vectors can be links to themselves only;
+    so many regions of that size at most are in a shard.
+    """
+    crowd = np.concatenate([(units[a : a + 512] @ units.T >= least).sum(axis=1) for a in range(0, len(units), 512)])
+    out = [int(np.argmax(units @ units.mean(axis=0)))]
+    for _ in range(len(units) // DEGREE + 1):
+        i = int(np.argmax(crowd))
+        if crowd[i] <= 1:  # no others
+            break
+        out.append(i)
+        crowd[units @ units[i] >= least] = 0
+        crowd[i] = 0
+    return np.unique(out)
 
 
 class Graph:
-    def __init__(self, units: np.ndarray, lists: list[np.ndarray]):
-        self.units, self.lists, self.start = units, lists, medoid(units)
+    def __init__(self, units: np.ndarray, lists: list[np.ndarray], least: float = COSINE):
+        self.units, self.lists, self.starts = units, lists, medoids(units, least)
+
+    def within(self, query: np.ndarray, least: float, beam: int = BEAM, own: int = -1) -> np.ndarray:
+        """Vectors whose cosine with ``query`` is at least ``least``, as far as the search meets them.
 
-    def within(self, query: np.ndarray, least: float, beam: int = BEAM) -> np.ndarray:
-        """Vectors whose cosine with ``query`` is at least ``least``, as far as the search meets them."""
+        ``own``: where the query itself is in the shard, or -1.
+        """
+        ids = np.union1d(self.starts, [own]) if own >= 0 else self.starts
         seen = np.zeros(len(self.units), bool)
-        seen[self.start] = True
-        ids = np.array([self.start])
+        seen[ids] = True
         near = self.units[ids] @ query
-        done = np.zeros(1, bool)
+        order = np.argsort(-near, kind="stable")[:beam]
+        ids, near, done = ids[order], near[order], np.zeros(len(order), bool)
         while not done.all():
             # greedily: the nearest few of the beam that are not expanded yet
             at = np.flatnonzero(~done)[:4]
@@ -232,12 +256,12 @@ def _search(least: float):
                 at = np.minimum(np.searchsorted(ids, np.array(near, np.int64)), len(ids) - 1)
                 lists.append(at[ids[at] == np.array(near, np.int64)])
             vectors = _matrix(members["embedding"].combine_chunks())
-            graph, home = Graph(unit(vectors), lists), members["home"].to_numpy(zero_copy_only=False)
+            graph, home = Graph(unit(vectors), lists, least), members["home"].to_numpy(zero_copy_only=False)
             size = members["size"].to_numpy()
             own, q = asking["rep"].to_numpy(), unit(_matrix(asking["embedding"].combine_chunks()))
-            found = [graph.within(v, least) for v in q]
             place = np.minimum(np.searchsorted(ids, own), len(ids) - 1)
             place = np.where(ids[place] == own, place, -1)
+            found = [graph.within(v, least, own=p) for v, p in zip(q, place.tolist(), strict=True)]
             here = place.copy()
             here[here >= 0] = np.where(home[here[here >= 0]], here[here >= 0], -1)
             # links between two homes of this shard are made mutual; those to guests are returned as pairs

@@ -411,6 +411,30 @@ def test_vectors_of_an_oversized_cluster(spark, monkeypatch):
     assert {c for _, c in got.values()} == {0}
 
 
+def near_copies(groups, each, width, noise, seed=0):
+    rng = np.random.default_rng(seed)
+    x = np.concatenate([rng.normal(size=width) + rng.normal(size=(each, width)) * noise for _ in range(groups)])
+    return vectors.unit(rng.permutation(x))
+
+
+@pytest.mark.parametrize(("groups", "each", "width", "noise"), [(4, 375, 64, 0.1), (4, 400, 64, 0.1), (6, 250, 256, 0.15), (10, 150, 64, 0.1)])
+def test_search_of_groups_beyond_the_degree(groups, each, width, noise):
+    x = near_copies(groups, each, width, noise)
+    graph, found = vectors.Graph(x, vectors.build(x)), np.zeros((len(x), len(x)), bool)
+    for i, v in enumerate(x):
+        found[i, graph.within(v, 0.93)] = True
+    there = x @ x.T >= 0.93
+    assert not (found & ~there).any() and ((found | found.T) & there).sum() >= 0.9 * there.sum()
+
+
+def test_vectors_of_groups_beyond_the_degree(spark):
+    x = near_copies(6, 250, 256, 0.15)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicates(df).collect()}
+    there = (x @ x.T >= 0.93).sum(axis=1) - 1
+    assert sum(got.values()) >= 0.9 * there.sum() and all(got[i] <= n for i, n in enumerate(there.tolist()))
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_duplicates(df).count() == 0
