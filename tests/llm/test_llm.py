@@ -435,6 +435,21 @@ def test_vectors_of_groups_beyond_the_degree(spark):
     assert sum(got.values()) >= 0.9 * there.sum() and all(got[i] <= n for i, n in enumerate(there.tolist()))
 
 
+def test_a_shard_of_bad_recall_is_searched_exhaustively():
+    x = near_copies(3, 40, 16, 0.1)
+    n = len(x)
+    fixed = {"label": [1] * n, "width": [16] * n, "cluster": [0] * n, "block": [0] * n, "rep": list(range(n)), "embedding": x.tolist()}
+    none = pa.array([[]] * n, pa.list_(pa.int64()))  # no links at all
+    batches = [pa.RecordBatch.from_pydict(fixed | {"near": none, "home": [True] * n, "size": [1] * n, "query": [query] * n}) for query in (False, True)]
+    count = {a: k for out in vectors._search(0.93)(iter(batches)) for kind, a, k in zip(*(out[c].to_pylist() for c in ("kind", "a", "n")), strict=True) if kind == "count"}
+    assert count == {i: k - 1 for i, k in enumerate((x @ x.T >= 0.93).sum(axis=1).tolist())}
+
+
+def test_audit_of_a_lone_vector(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [1.0, 0.0], 2), (2, [1.0, 0.0], 2)], "vec_id long, embedding array<double>, label int")
+    assert rows(vectors.audit(df, vectors.near_duplicates(df), every=1)) == [(0, 0, 0), (1, 1, 1), (2, 1, 1)]
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_duplicates(df).count() == 0
