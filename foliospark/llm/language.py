@@ -100,13 +100,13 @@ class Model:
         loglik[present] = np.add.reduceat(count * np.log(np.maximum((p * share[row].astype(np.float32)).sum(axis=1), 1e-30)), begin, dtype=np.float64)
         return share, loglik
 
-    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        """The language of each text, and the share that it has."""
+    def mixtures(self, texts: pa.Array) -> list[list[tuple[str, float]]]:
+        """The selected languages of each text with their shares, largest first; none where nothing tells."""
         row, bucket, count, has = trigrams(texts)
         n, k = len(texts), len(self.names)
         if not k:
-            return ["und"] * n, np.zeros(n)
-        best, score = np.zeros(n, np.int64), np.zeros(n)
+            return [[]] * n
+        chosen, selected = np.zeros((n, k)), np.zeros((n, k), bool)
         if len(row):
             p = self.p[bucket]
             total = np.maximum(np.bincount(row, count, n), 1e-9)
@@ -126,9 +126,9 @@ class Model:
                 now = loglik - PENALTY * (m - 1) * np.log(total + 1)
                 better = open_rows & (now > value)
                 value[better] = now[better]
-                top = of.argmax(axis=1)
-                best[better], score[better] = top[better], of[np.arange(n), top][better]
-        return [self.names[b] if h else "und" for b, h in zip(best.tolist(), has.tolist(), strict=True)], np.where(has, np.clip(score, 0.0, 1.0), 0.0)
+                chosen[better], selected[better] = of[better], allowed[better] > 0
+        chosen, order = np.clip(chosen, 0.0, 1.0), np.argsort(-chosen, axis=1, kind="stable")
+        return [[(self.names[j], own[j]) for j in by if some[j]] if h else [] for own, some, by, h in zip(chosen.tolist(), selected.tolist(), order.tolist(), has.tolist(), strict=True)]
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
@@ -146,23 +146,29 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(names, ((counts + 0.1) / (counts.sum(axis=0) + 0.1 * 2**BITS)).astype(np.float32))
 
 
-def _predict(shared):
+_LANGUAGES = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
+
+
+def _mixtures(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text", 1 << 20):
-            lang, score = shared.value.predict(common.column(batch, "text"))
-            yield pa.RecordBatch.from_arrays([common.column(batch, "doc_id"), pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+            found = shared.value.mixtures(common.column(batch, "text"))
+            languages = [[{"lang": lang, "share": share} for lang, share in some] for some in found]
+            yield pa.RecordBatch.from_arrays([common.column(batch, "doc_id"), pa.array(languages, _LANGUAGES)], names=["doc_id", "languages"])
 
     return run
 
 
-def predict(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) for each row of ``docs``.
+def mixtures(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, held_out, languages) for each row of ``docs``.
+
+    ``languages``: the selected set as (lang, share) in falling order of
+    shares, which add up to 1.
 
     Rows whose crc32(doc_id as text) mod 3 is 1 are held out of learning.
-    ``score`` is the share of the predicted language in the text.
 
-    Null texts and texts without a letter are ``und`` with score 0, as is every
-    text where nothing could be learned. A null doc_id is not held out and not
+    Null texts and texts without a letter have no languages, nor has any text
+    where nothing could be learned. A null doc_id is not held out and not
     learned from. All rows stay, repeated ones too. Only ``doc_id``, ``text``
     and ``lang`` are read.
     """
@@ -170,5 +176,14 @@ def predict(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     remainder = F.crc32(F.col("doc_id").cast("string")) % 3
     model = fit(docs.where(remainder != 1), sample)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double")
-    return out.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_mixtures(shared), "doc_id long, languages array<struct<lang string, share double>>")
+    return out.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "languages")
+
+
+def predict(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) of :func:`mixtures`: the language of the largest share, and that share.
+
+    Texts without languages are ``und`` with score 0.
+    """
+    top = F.get("languages", F.lit(0))
+    return mixtures(docs, sample).select("doc_id", "held_out", F.coalesce(top["lang"], F.lit("und")).alias("lang_pred"), F.coalesce(top["share"], F.lit(0.0)).alias("score"))

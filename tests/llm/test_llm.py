@@ -480,6 +480,18 @@ def test_language_of_held_out_rows(spark, odd, none):
     assert {r["lang_pred"] for r in language.predict(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_mixtures_keep_the_selected_set(spark):
+    rng = random.Random(8)
+    data = [(i, phrase(rng, lang, 40), lang) for i in range(300) for lang in [rng.choice(list(SYLLABLES))]]
+    asked = [(1000, phrase(rng, "aa", 60) + " " + phrase(rng, "bb", 20), None), (1001, phrase(rng, "cc", 60), None), (1002, "12", None)]
+    df = spark.createDataFrame(data + asked, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: [tuple(x) for x in r["languages"]] for r in language.mixtures(df).collect()}
+    assert [[lang for lang, _ in got[i]] for i in (1000, 1001, 1002)] == [["aa", "bb"], ["cc"], []]
+    assert all(abs(sum(share for _, share in x) - 1) < 1e-6 for x in got.values() if x)
+    top = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(df).collect()}
+    assert top == {i: (x or [("und", 0.0)])[0] for i, x in got.items()}
+
+
 @pytest.mark.parametrize("share", [0.75, 0.6, 0.1])
 def test_shares_of_a_long_mixture(spark, share):
     rng = random.Random(7)
