@@ -111,13 +111,16 @@ def scan(docs: DataFrame, licenses: DataFrame | None = None, notices: DataFrame
     whole. Only ``doc_id`` and ``text`` are read.
     """
     spark = docs.sparkSession
+    built_in = notices is None
     licenses = known(spark, LICENSES) if licenses is None else licenses.select("license_id", "digest")
-    notices = known(spark, NOTICES) if notices is None else notices.select("license_id", "digest")
+    notices = known(spark, NOTICES) if built_in else notices.select("license_id", "digest")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     whole = rows.select("doc_id", digest(F.col("text")).alias("digest"))
     whole = whole.join(licenses, "digest", "left").groupBy("doc_id").agg(F.min("digest").alias("text_digest"), F.min("license_id").alias("license_id"))
-    # every notice names a licence, so lines without "licens", "licenc" can't be one
-    lines = rows.select("doc_id", F.explode(F.filter(F.split("text", "\n"), lambda x: x.rlike("(?i)licen[sc]"))).alias("line"))
+    lines = F.split("text", "\n")
+    if built_in:  # those that "licens", "licenc" are not in can't be one of ours
+        lines = F.filter(lines, lambda x: x.rlike("(?i)licen[sc]"))
+    lines = rows.select("doc_id", F.explode(lines).alias("line"))
     found = lines.select("doc_id", digest(F.col("line")).alias("digest")).join(notices, "digest")
     found = found.groupBy(F.col("doc_id").alias("nid")).agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notice_ids"))
     joined = whole.join(found, F.col("doc_id").eqNullSafe(F.col("nid")), "left")

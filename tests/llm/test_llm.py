@@ -154,6 +154,12 @@ def test_licence_scan(spark, odd, none):
     assert "Python" not in licenses.scan(d)._jdf.queryExecution().toString() and "Arrow" not in licenses.scan(d)._jdf.queryExecution().toString()
 
 
+def test_notices_of_a_caller_need_not_name_a_licence(spark):
+    given = licenses.known(spark, [("GPL-2.0", "This is free software under the GPL, version 2.")])
+    d = docs(spark, ["intro\nthis is free software under the GPL, version 2\nend", "Released under the MIT License"])
+    assert {r["doc_id"]: r["notice_ids"] for r in licenses.scan(d, notices=given).collect()} == {0: "GPL-2.0", 1: ""}
+
+
 def test_licence_scan_equals_sql(spark, tmp_path):
     duckdb = pytest.importorskip("duckdb")
     mit = next(t for i, t in licenses.LICENSES if i == "MIT")
