@@ -1,19 +1,32 @@
 """Passages that repeat across documents: a sparse suffix array over minimiser positions.
 
 A suffix is retained where its first ``GRAM`` words hash lowest among
-``window`` neighbouring positions, so equal texts retain the same suffixes.
-Any passage of ``least`` words holds a retained suffix that runs on for at
-least ``least - window + 1`` words within it. Retained suffixes are sorted by
-(fingerprint of those words, doc, position) over range partitions; a suffix
-with the same beginning as a neighbour in that order survives. From survivors
-the match is extended left and right: every run of ``least`` words about a
-survivor is fingerprinted, and those found in two documents are true matches,
-whose union gives the repeated spans.
-
-The range sort cuts a beginning that is shared by any number of documents into
-many partitions. The first and last suffix of a partition survive without a
-neighbour; extension is exact, so this costs a few more windows and loses
-nothing. Equal texts are held once, by their smallest doc_id.
+``window`` neighbouring positions, so equal passages retain the same suffixes:
+each run of ``least`` words has one position of its own, within its first
+``window``, from which ``least - window + 1`` words (the reach) are inside it.
+
+Plan
+----
+1. Sort. Retained suffixes are ordered block by block, a block of ``GRAM`` words
+   being one letter of the alphabet (in the order of the letters'
+   fingerprints), down to the reach. Range partitions are consecutive pieces of
+   the suffix array; suffixes with the same beginning, however many, are spread
+   over several by document and position.
+2. Compare neighbours. The common prefix of each suffix with the one before it
+   and the one after it is counted in words. Where neither is as long as the
+   reach, the suffix is in no repeated passage. The first and the last of a
+   partition stay.
+3. Extend. The others are sorted again, each with the runs of ``least`` words
+   that it stands for: those that reach d words to its left and ``least - d`` to
+   its right. Neighbours whose common prefix is the reach are an interval of the
+   array. Within an interval, two suffixes match over d words to the left and
+   the rest to the right where their runs of that d have the same fingerprint.
+   Runs that another document has too are joined to passages.
+
+An interval is settled where it lies, in one piece of the array, unless it
+crosses the border of a piece or is larger than ``PIECE``; what is then left
+open is aggregated by the fingerprint of its runs, partly before any shuffle.
+Equal texts are held once, by their smallest doc_id.
 """
 
 from __future__ import annotations
@@ -23,153 +36,268 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm import common
+from foliospark.llm.common import U64
 
 LEAST = 50
 WINDOW = 16
 GRAM = 8
+#: Suffixes of the array that are held at once.
+PIECE = 20_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def retained(grams: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the lowest entry (the rightmost of equals) of each ``window`` consecutive ``grams``."""
-    n = len(grams) - window + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
+def chosen(grams: np.ndarray, window: int) -> np.ndarray:
+    """For each ``window`` consecutive ``grams`` the position of the lowest (the rightmost of equals). It never falls."""
+    n = max(0, len(grams) - window + 1)
     order = np.arange(len(grams))
     best, at = grams[:n].copy(), order[:n].copy()
     for j in range(1, window):
         lower = grams[j : j + n] <= best
         best[lower] = grams[j : j + n][lower]
         at[lower] = order[j : j + n][lower]
-    return np.unique(at)
+    return at
 
 
-def _suffixes(least: int, window: int):
+def letters(grams: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first four blocks of the suffixes at ``at``, 32 bits of each, two to a number. ``grams`` are blocks from every position."""
+    block = [(grams[at + i * GRAM] if len(at) else grams[:0]) >> U64(32) for i in range(4)]
+    return (block[0] << U64(32) | block[1]).view(np.int64), (block[2] << U64(32) | block[3]).view(np.int64)
+
+
+def common_prefix(one: list[np.ndarray], other: list[np.ndarray], reach: int) -> np.ndarray:
+    """Words that suffixes have in common at their beginnings, in whole blocks, up to the reach; of (letters, letters, head)."""
+    (a, b, head), (c, d, other_head) = one, other
+    first = np.where(a == c, 2, (a >> 32 == c >> 32).astype(np.int64))
+    second = np.where(b == d, 2, (b >> 32 == d >> 32).astype(np.int64))
+    return np.where(head == other_head, reach, np.minimum(GRAM * (first + np.where(first == 2, second, 0)), reach - 1))
+
+
+def _retained(least: int, window: int):
     reach = least - window + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             offsets, words = common.word_hashes(common.column(batch, "text"), lower=False)
             grams, heads = common.gram_hashes(words, GRAM), common.gram_hashes(words, reach)
-            keys, places = [], []
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                if b - a < least:
-                    keys.append([])
-                    places.append([])
-                    continue
-                at = retained(grams[a : b - reach + 1], window)
-                keys.append(heads[a + at].view(np.int64))
-                places.append(at.astype(np.int32))
+            at = [np.unique(chosen(grams[a : b - reach + 1], window)) if b - a >= least else np.zeros(0, np.int64) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in at])]).astype(np.int32)
+            place = np.concatenate([x + a for x, a in zip(at, offsets[:-1], strict=True)])
+            values = [*letters(grams, place), heads[place].view(np.int64), np.concatenate(at).astype(np.int32)]
             yield pa.RecordBatch.from_arrays(
-                [common.column(batch, "doc_id"), common.column(batch, "digest"), pa.array(np.diff(offsets).astype(np.int32)), pa.array(keys, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
-                names=["doc_id", "digest", "n_words", "keys", "places"],
+                [common.column(batch, c) for c in ("doc_id", "text_hash", "digest")] + [pa.array(np.diff(offsets).astype(np.int32)), *(pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in values)],
+                names=["doc_id", "text_hash", "digest", "n_words", "high", "low", "head", "pos"],
             )
 
     return run
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, those with the key of a neighbour, and the first and the last."""
-    last = None  # the row held back: key, doc, pos, survives
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, doc, pos = (common.column(batch, n).to_numpy() for n in ("key", "doc_id", "pos"))
-        same = key[1:] == key[:-1]
-        alive = np.zeros(len(key), bool)
-        alive[1:] |= same
-        alive[:-1] |= same
-        out = ([], [])
-        if last is None:
-            alive[0] = True
-        else:
-            if last[0] == key[0]:
-                alive[0] = True
-            if last[3] or last[0] == key[0]:
-                out = ([last[1]], [last[2]])
-        last = (key[-1], doc[-1], pos[-1], alive[-1])
-        alive[-1] = False
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.array(out[0], np.int64), doc[alive]])), pa.array(np.concatenate([np.array(out[1], np.int32), pos[alive]]))], names=["doc_id", "pos"])
-    if last is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([last[1]], pa.int64()), pa.array([last[2]], pa.int32())], names=["doc_id", "pos"])
-
-
-def _extend(least: int, window: int):
-    """Every run of ``least`` words that holds a survivor in its first ``window`` positions."""
+def _neighbours(reach: int):
+    """Of a piece of the suffix array, the suffixes that share the reach with a neighbour, and the first and the last."""
+    columns = ("high", "low", "head")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the row not told yet, and whether it stays
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            piece = pa.Table.from_batches([batch])
+            keep = np.zeros(batch.num_rows, bool)
+            if held is None:
+                keep[0] = True
+            else:
+                piece = pa.concat_tables([held[0], piece])
+                keep = np.concatenate([[held[1]], keep])
+            keys = [piece[c].to_numpy() for c in columns]
+            alike = common_prefix([k[1:] for k in keys], [k[:-1] for k in keys], reach) >= reach
+            keep[1:] |= alike
+            keep[:-1] |= alike
+            held = piece.slice(len(keep) - 1), bool(keep[-1])
+            yield from piece.slice(0, len(keep) - 1).filter(pa.array(keep[:-1])).select(["doc_id", "text_hash", "pos"]).to_batches()
+        if held is not None:
+            yield from held[0].select(["doc_id", "text_hash", "pos"]).to_batches()
+
+    return run
+
+
+def _runs(least: int, window: int):
+    """Each suffix that stayed with the runs of ``least`` words that it stands for, by their fingerprints."""
+    reach = least - window + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text", 1 << 20):
             offsets, words = common.word_hashes(common.column(batch, "text"), lower=False)
-            runs = common.gram_hashes(words, least)
-            ids, found = common.column(batch, "doc_id").to_pylist(), common.column(batch, "found").to_pylist()
-            docs, starts, keys = [], [], []
-            for doc, at, a, b in zip(ids, found, offsets[:-1], offsets[1:], strict=True):
-                n = b - a - least + 1
-                if n <= 0:
+            grams, heads, runs = (common.gram_hashes(words, n) for n in (GRAM, reach, least))
+            found = common.column(batch, "found").to_pylist()
+            rows, starts, places, sizes = [], [], [], []
+            for row, a, b in zip(range(len(found)), offsets[:-1], offsets[1:], strict=True):
+                if b - a < least:
                     continue
-                mark = np.zeros(n + 1, np.int64)
-                at = np.array(at, np.int64)
-                np.add.at(mark, np.clip(at - window + 1, 0, n), 1)
-                np.add.at(mark, np.clip(at + 1, 0, n), -1)
-                start = np.flatnonzero(np.cumsum(mark[:n]) > 0)
-                docs.append(np.full(len(start), doc, np.int64))
-                starts.append(start.astype(np.int32))
-                keys.append(runs[a + start].view(np.int64))
-            if docs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (docs, starts, keys)], names=["doc_id", "start", "key"])
+                at = chosen(grams[a : b - reach + 1], window)
+                stays = np.flatnonzero(np.isin(at, np.array(found[row], np.int64)))
+                if not len(stays):
+                    continue
+                first = np.concatenate([[0], np.flatnonzero(np.diff(at[stays])) + 1])
+                sizes.append(np.diff(np.append(first, len(stays))))
+                starts.append(stays[first])
+                rows.append(np.stack([np.full(len(first), row), a + at[stays[first]]]))
+                places.append(a + stays)
+            if rows:
+                row, place = np.concatenate(rows, axis=1)
+                of, ends = pa.array(row), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        common.column(batch, "doc_id").take(of),
+                        common.column(batch, "text_hash").take(of),
+                        pa.array(heads[place].view(np.int64)),
+                        pa.array(np.concatenate(starts).astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(runs[np.concatenate(places)].view(np.int64))),
+                    ],
+                    names=["doc_id", "text_hash", "head", "start", "runs"],
+                )
+
+    return run
+
+
+_MATCH = "doc_id long, text_hash long, start int, last int, first_doc_id long, run long"
+
+
+def _flat(piece: pa.Table) -> tuple[np.ndarray, ...]:
+    """(row, place, fingerprint) of all runs of a piece."""
+    listed = piece["runs"].combine_chunks()
+    n = pc.list_value_length(listed).to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    place = piece["start"].to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    return row, place, listed.flatten().to_numpy()
+
+
+def _settled(piece: pa.Table) -> pa.RecordBatch:
+    """Matches within whole intervals: places start to last whose runs another document has too, the smallest such one."""
+    row, place, run = _flat(piece)
+    doc = piece["doc_id"].to_numpy()[row]
+    order = np.lexsort((doc, run))
+    _, first, which = np.unique(run[order], return_index=True, return_inverse=True)
+    low, high = doc[order][first], doc[order][np.append(first[1:], len(order)) - 1]
+    smallest, several = np.empty(len(run), np.int64), np.empty(len(run), bool)
+    smallest[order], several[order] = low[which], (low != high)[which]
+    row, place, smallest = row[several], place[several], smallest[several]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1) | (smallest[1:] != smallest[:-1])
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(row))[: len(begin)] - 1
+    of = row[begin]
+    return _matches(piece["doc_id"].to_numpy()[of], piece["text_hash"].to_numpy()[of], place[begin], place[end], pa.array(smallest[begin]), pa.nulls(len(begin), pa.int64()))
+
+
+def _open(piece: pa.Table) -> pa.RecordBatch:
+    row, place, run = _flat(piece)
+    return _matches(piece["doc_id"].to_numpy()[row], piece["text_hash"].to_numpy()[row], place, place, pa.nulls(len(row), pa.int64()), pa.array(run))
+
+
+def _matches(doc, text, start, last, first, run) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(text, pa.int64()), pa.array(start, pa.int32()), pa.array(last, pa.int32()), first, run], names=["doc_id", "text_hash", "start", "last", "first_doc_id", "run"])
+
+
+def _extend(most: int):
+    """Matches of a piece of the array, sorted by (head, doc_id, start); see :data:`_MATCH`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, parts, n, border = None, [], 0, True  # border: the interval that ``held`` begins with began before it
+
+        def cut(rows: pa.Table, border: bool, end: bool) -> tuple[list[pa.RecordBatch], pa.Table | None, bool]:
+            """What is told now, what is held, and whether that continues an interval that is told as open."""
+            head = rows["head"].to_numpy()
+            starts = np.flatnonzero(head[1:] != head[:-1]) + 1
+            if not len(starts):  # one interval
+                return ([_open(rows)], None, True) if end or border or len(head) >= most else ([], rows, border)
+            out, a, b = [], 0, int(starts[-1])
+            if border:
+                a = int(starts[0])
+                out.append(_open(rows.slice(0, a)))
+            if a < b:
+                out.append(_settled(rows.slice(a, b - a)))
+            if end:
+                return [*out, _open(rows.slice(b))], None, True
+            return out, rows.slice(b), False
+
+        for batch in batches:
+            if batch.num_rows:
+                parts.append(batch)
+                n += batch.num_rows
+            if n >= most:
+                rows = pa.Table.from_batches(parts)
+                rows = pa.concat_tables([held, rows]) if held is not None else rows
+                told, held, border = cut(rows, border, False)
+                yield from told
+                parts, n = [], 0
+        if parts or held is not None:
+            rows = pa.concat_tables(([held] if held is not None else []) + ([pa.Table.from_batches(parts)] if parts else []))
+            yield from cut(rows, border, True)[0]
+        common.give_back()
 
     return run
 
 
-def repeated_spans(docs: DataFrame, least: int = LEAST, window: int = WINDOW) -> DataFrame:
+def repeated_spans(docs: DataFrame, least: int = LEAST, window: int = WINDOW, piece: int = PIECE) -> DataFrame:
     """Spans of words that are in ``least``-word passages found in two documents or more.
 
     Rows: doc_id, start_word, end_word (exclusive), n_words, first_doc_id (the
     smallest document with the passage; of a span with several, the smallest),
     first (the document is the one that holds the passages first, so that they
-    can stay here and go elsewhere). Spans with ``first`` and without may
-    overlap in one document. Words are runs of characters other than space and
-    \\x09-\\x0D, compared exactly.
+    can stay here and go elsewhere), text_hash (xxhash64 of the text). Spans
+    with ``first`` and without may overlap in one document. Words are runs of
+    characters other than space and \\x09-\\x0D, compared exactly. ``least`` is
+    ``window`` and four blocks of ``GRAM`` words at least.
 
     Null, empty and short texts have no spans; a passage that repeats only
     within one document is none. Of rows with the same text each has its whole
-    text as a span, if it is long enough. Rows of one doc_id count as one
-    document; a null doc_id is left out. Only ``doc_id`` and ``text`` are read.
-    Words are compared by 64-bit fingerprints.
+    text as a span, if it is long enough. Rows of one doc_id are one document:
+    equal ones count once, and of different texts each has its own spans, told
+    by ``text_hash``, in whatever order they come. A null doc_id is left out.
+    Only ``doc_id`` and ``text`` are read. Words and runs are compared by 64-bit
+    fingerprints.
     """
     spark = docs.sparkSession
     common.lean(spark)
-    n = common.partitions(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    digested = docs.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"))
-    made = common.table(digested.mapInArrow(_suffixes(least, window), "doc_id long, digest binary, n_words int, keys array<long>, places array<int>"), "suffixes")
-    long = made.where(F.col("n_words") >= least)
-    equal = common.table(long.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("high")).where("rep < high"), "equal")
-    copies = common.table(long.join(equal, "digest").select("doc_id", "n_words", "rep").distinct(), "copies")
-
-    live = long.join(copies.where("doc_id <> rep").select("doc_id"), "doc_id", "left_anti")
-    sorted_ = live.select("doc_id", F.explode(F.arrays_zip("keys", "places")).alias("s")).select(F.col("s.keys").alias("key"), "doc_id", F.col("s.places").alias("pos"))
-    sorted_ = sorted_.repartitionByRange(n, "key", "doc_id", "pos").sortWithinPartitions("key", "doc_id", "pos")
-    survivors = sorted_.mapInArrow(_neighbours, "doc_id long, pos int")
-    found = common.table(survivors.groupBy("doc_id").agg(F.collect_list("pos").alias("found")), "survivors")
-
-    windows = common.table(docs.join(found, "doc_id").mapInArrow(_extend(least, window), "doc_id long, start int, key long"), "windows")
-    shared = windows.groupBy("key").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")).where("first_doc_id <> last_doc_id").select("key", "first_doc_id")
+    n, reach = common.partitions(spark), least - window + 1
+    if reach < 4 * GRAM:
+        raise ValueError(f"least must be {4 * GRAM + window - 1} for this window, or more")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").where("doc_id is not null and text is not null")
+    digested = docs.select("doc_id", "text_hash", "text", F.unhex(F.md5("text")).alias("digest"))
+    made = digested.mapInArrow(_retained(least, window), "doc_id long, text_hash long, digest binary, n_words int, high array<long>, low array<long>, head array<long>, pos array<int>")
+    made = common.table(made.where(F.col("n_words") >= least), "suffixes")
+    texts = common.table(made.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("high_id")), "texts")
+    copies = made.select("doc_id", "text_hash", "digest", "n_words").join(texts.where("rep < high_id"), "digest").select("doc_id", "text_hash", "n_words", "rep").distinct()
+
+    live = made.join(texts.select(F.col("digest"), F.col("rep").alias("doc_id")), ["doc_id", "digest"])
+    suffix = live.select("doc_id", "text_hash", F.explode(F.arrays_zip("high", "low", "head", "pos")).alias("s")).select("s.*", "doc_id", "text_hash")
+    order = ("high", "low", "head", "doc_id", "pos")
+    array = suffix.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    stays = array.mapInArrow(_neighbours(reach), "doc_id long, text_hash long, pos int")
+    found = common.table(stays.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("found")), "survivors")
+
+    told = docs.join(found, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "found").mapInArrow(_runs(least, window), "doc_id long, text_hash long, head long, start int, runs array<long>")
+    pieces = told.repartitionByRange(n, "head", "doc_id", "start").sortWithinPartitions("head", "doc_id", "start")
+    matches = common.table(pieces.mapInArrow(_extend(piece), _MATCH), "matches")
+    open_ = matches.where("run is not null").select("doc_id", "text_hash", "start", "last", "run")
+    shared = open_.groupBy("run").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")).where("first_doc_id <> last_doc_id").select("run", "first_doc_id")
     shared = common.table(shared, "shared")  # apart from the join, so that a passage that very many documents hold is split there
-    marked = windows.join(shared, "key").select("doc_id", "start", "first_doc_id", (F.col("doc_id") == F.col("first_doc_id")).alias("first"))
-
-    order = Window.partitionBy("doc_id", "first").orderBy("start")
-    opens = F.when(F.col("start") > F.lag("start").over(order) + least, 1).otherwise(0)
-    spans = marked.withColumn("open", opens).withColumn("island", F.sum("open").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = spans.groupBy("doc_id", "first", "island").agg(F.min("start").alias("start_word"), (F.max("start") + least).alias("end_word"), F.min("first_doc_id").alias("first_doc_id"))
-    spans = spans.select("doc_id", "start_word", "end_word", "first_doc_id", "first")
-    whole = copies.select("doc_id", F.lit(0).alias("start_word"), F.col("n_words").alias("end_word"), F.col("rep").alias("first_doc_id"), (F.col("doc_id") == F.col("rep")).alias("first"))
+    columns = ["doc_id", "text_hash", "start", "last", "first_doc_id"]
+    marked = matches.where("run is null").select(*columns).unionByName(open_.join(shared, "run").select(*columns))
+    marked = marked.withColumn("first", F.col("doc_id") == F.col("first_doc_id"))
+
+    by = Window.partitionBy("doc_id", "text_hash", "first").orderBy("start", "last")
+    opens = F.when(F.col("start") > F.lag("last").over(by) + least, 1).otherwise(0)
+    spans = marked.withColumn("opens", opens).withColumn("island", F.sum("opens").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = spans.groupBy("doc_id", "text_hash", "first", "island").agg(F.min("start").alias("start_word"), (F.max("last") + least).alias("end_word"), F.min("first_doc_id").alias("first_doc_id"))
+    spans = spans.select("doc_id", "start_word", "end_word", "first_doc_id", "first", "text_hash")
+    whole = copies.select("doc_id", F.lit(0).alias("start_word"), F.col("n_words").alias("end_word"), F.col("rep").alias("first_doc_id"), (F.col("doc_id") == F.col("rep")).alias("first"), "text_hash")
     out = spans.unionByName(whole)
-    return out.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "first_doc_id", "first")
+    return out.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "first_doc_id", "first", "text_hash")
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -185,31 +313,39 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in common.slices(batches, "text"):
-        new = [cut(t, [(s["start_word"], s["end_word"]) for s in spans]) for t, spans in zip(common.column(batch, "text").to_pylist(), common.column(batch, "spans").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([common.column(batch, "doc_id"), pa.array(new, pa.string())], names=["doc_id", "text"])
+def _cut(spans_name: str):
+    """Rows with their texts cut where they have spans, and ``n_chars`` set to the new length there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches, "text"):
+            spans = common.column(batch, spans_name)
+            out = batch.select([c for c in batch.schema.names if c != spans_name])
+            if spans.null_count < len(spans):
+                text = [t if s is None else cut(t, [(x["start_word"], x["end_word"]) for x in s]) for t, s in zip(common.column(batch, "text").to_pylist(), spans.to_pylist(), strict=True)]
+                i = out.schema.get_field_index("text")
+                out = out.set_column(i, out.schema.field(i), pa.array(text, out.schema.field(i).type))
+                if (i := out.schema.get_field_index("n_chars")) >= 0 and pa.types.is_integer(out.schema.field(i).type):
+                    kind = out.schema.field(i).type
+                    new = pc.if_else(spans.is_valid(), pc.utf8_length(common.column(out, "text")).cast(kind), common.column(out, "n_chars"))
+                    out = out.set_column(i, out.schema.field(i), new)
+            yield out
+
+    return run
 
 
 def without_repeats(docs: DataFrame, least: int = LEAST, window: int = WINDOW) -> DataFrame:
     """``docs`` with each repeated passage left only in the first document that has it.
 
     No row is dropped; a text may become shorter or empty, and ``n_chars``,
-    where there is such a column, follows it. Rows without repeated passages
-    stay as they are.
+    where there is such a number, follows it. Rows without repeated passages
+    stay as they are. Each row is cut by the spans of its own text, also where
+    its doc_id stands before other texts.
     """
     spans = common.table(repeated_spans(docs, least, window).where("not first"), "spans")
-    grouped = spans.groupBy(F.col("doc_id").alias("sid")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans"))
-    hit = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").dropDuplicates(["doc_id"]).join(grouped, F.col("doc_id") == F.col("sid"))
-    new = hit.select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, text string").select(F.col("doc_id").alias("new_id"), F.col("text").alias("new_text"))
-    joined = docs.join(new, docs["doc_id"].cast("long") == new["new_id"], "left")
-    text = F.when(docs["text"].isNotNull(), F.coalesce(new["new_text"], docs["text"]))
-    columns = []
-    for c in docs.columns:
-        if c == "text":
-            columns.append(text.alias(c))
-        elif c == "n_chars":
-            columns.append(F.when(new["new_id"].isNotNull(), F.length(text).cast("long")).otherwise(docs[c]).alias(c))
-        else:
-            columns.append(docs[f"`{c}`"])
-    return joined.select(*columns)
+    grouped = spans.groupBy(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("own_spans"))
+    name = "spans"
+    while name in docs.columns:
+        name += "_"
+    columns = [docs[f"`{c}`"] for c in docs.columns]
+    joined = docs.join(grouped, (docs["doc_id"].cast("long") == grouped["own_id"]) & (F.xxhash64(docs["text"]) == grouped["own_hash"]), "left")
+    return joined.select(*columns, grouped["own_spans"].alias(name)).mapInArrow(_cut(name), docs.schema)
