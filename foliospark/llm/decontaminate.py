@@ -4,13 +4,18 @@ Documents and benchmark items are token sequences (words, case-folded, without
 punctuation at their ends). A document and an item that share a seed of
 ``SEED`` tokens are tiled: the longest common runs of unmarked tokens are
 marked first, ties by place in the item and then in the document, until no
-common run of ``SEED`` tokens is left. Runs are found by Karp-Rabin
-fingerprints and verified token by token. The share of an item's tokens that
-tiles cover does not depend on their order, so reordered passages count too.
+common run of ``SEED`` tokens is left. Candidates are found by running
+Karp-Rabin: the fingerprint of each window follows from the one before it by
+the token that leaves and the one that comes, and equal fingerprints are
+verified token by token and extended. The share of an item's tokens that tiles
+cover does not depend on their order, so reordered passages count too.
+
+Tiles are runs of ``SEED`` tokens or more, each of whose tokens is in a shared
+seed; a pair whose shared seeds are too few for ``percent`` is not tiled.
 
 The benchmark's index is broadcast where its size is proven small
 (``MOST_TOKENS``); a larger benchmark is met by a shuffled join on seeds, which
-leads to the same tiling and the same rows.
+leads to the same candidates, the same tiling and the same rows.
 """
 
 from __future__ import annotations
@@ -41,12 +46,32 @@ def plain(word: str) -> str:
     return word[a:b].casefold()
 
 
+#: Of the rolling fingerprint: an odd base, so that it has an inverse among 64-bit numbers.
+BASE = 0x9E3779B97F4A7C15
+_BACK = pow(BASE, -1, 2**64)
+
+
+def rolled(tokens: np.ndarray, n: int) -> np.ndarray:
+    """The Karp-Rabin fingerprint of each window of ``n`` tokens.
+
+    Tokens are weighed by rising powers of the base and summed from the left;
+    the sum of a window is the difference of two such sums, which a power of the
+    inverse shifts back to the window's beginning.
+    """
+    if not 0 < n <= len(tokens):
+        return np.zeros(0, U64)
+    power, back = np.full(len(tokens), BASE, U64), np.full(len(tokens) - n + 1, _BACK, U64)
+    power[0] = back[0] = 1
+    total = np.concatenate([np.zeros(1, U64), np.cumsum(tokens * np.cumprod(power), dtype=U64)])
+    return common.mix((total[n:] - total[:-n]) * np.cumprod(back) + U64(n))
+
+
 def tiles(item: np.ndarray, doc: np.ndarray, least: int = SEED) -> list[tuple[int, int, int]]:
     """Greedy tiling of two token sequences: (place in item, place in doc, length), longest first."""
     least = min(least, len(item))
     if not least or len(doc) < least:
         return []
-    print_item, print_doc = common.gram_hashes(item, least), common.gram_hashes(doc, least)
+    print_item, print_doc = rolled(item, least), rolled(doc, least)
     where = defaultdict(list)
     for i, h in enumerate(print_item.tolist()):
         where[h].append(i)
@@ -88,7 +113,13 @@ def _sequences(texts: pa.Array) -> list[np.ndarray]:
 
 
 def _seeds(tokens: np.ndarray) -> np.ndarray:
-    return np.unique(common.gram_hashes(tokens, min(SEED, len(tokens)))) if len(tokens) else np.zeros(0, U64)
+    """The seed at each place of an item; an item shorter than a seed is one as a whole."""
+    return rolled(tokens, min(SEED, len(tokens)))
+
+
+def _enough(shared: np.ndarray, tokens: np.ndarray, percent: int) -> np.ndarray:
+    """Whether so many seed places of an item that are shared can cover ``percent`` of its tokens."""
+    return 100 * shared * np.minimum(SEED, tokens) >= percent * tokens
 
 
 _COLUMNS = "doc_id long, item_id long, item_tokens int, covered_tokens int, tiles int, longest int, coverage double"
@@ -108,48 +139,86 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)], names=_NAMES)
 
 
+class Index:
+    """Items by seed, in sorted arrays: 24 bytes for a token at most."""
+
+    def __init__(self, ids: list[int], items: list[np.ndarray]):
+        self.ids, self.sizes = np.array(ids, np.int64), np.array([len(t) for t in items], np.int64)
+        self.ends = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.tokens = np.concatenate([np.zeros(0, U64), *items])
+        places = [_seeds(t) for t in items]
+        seeds, of = np.concatenate([np.zeros(0, U64), *places]), np.repeat(np.arange(len(items), dtype=np.int32), [len(x) for x in places])
+        order = np.argsort(seeds, kind="stable")
+        self.seeds, self.of = seeds[order], of[order]
+        self.lengths = np.unique(np.minimum(SEED, self.sizes))
+
+    def item(self, k: int) -> np.ndarray:
+        return self.tokens[self.ends[k] : self.ends[k + 1]]
+
+    def candidates(self, offsets: np.ndarray, words: np.ndarray, percent: int) -> np.ndarray:
+        """(document, item) pairs, sorted, that share enough seeds; documents are cut by ``offsets``."""
+        docs, hits = [], []
+        for size in self.lengths.tolist():
+            grams = rolled(words, size)
+            at = np.flatnonzero(np.isin(grams, self.seeds))
+            doc = np.searchsorted(offsets, at, side="right") - 1
+            inside = at + size <= offsets[doc + 1]
+            docs.append(doc[inside])
+            hits.append(grams[at[inside]])
+        if not docs:
+            return np.zeros((0, 2), np.int64)
+        doc, gram = (np.concatenate(x) for x in (docs, hits))
+        order = np.lexsort((gram, doc))
+        doc, gram = doc[order], gram[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1])
+        doc, gram = doc[new], gram[new]
+        low, high = np.searchsorted(self.seeds, gram, side="left"), np.searchsorted(self.seeds, gram, side="right")
+        n = high - low
+        item = self.of[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        pair, shared = np.unique(np.repeat(doc, n) * np.int64(len(self.ids)) + item, return_counts=True)
+        pairs = np.stack([pair // max(1, len(self.ids)), pair % max(1, len(self.ids))], axis=1)
+        return pairs[_enough(shared, self.sizes[pairs[:, 1]], percent)]
+
+
 def _tile_all(shared, percent: int):
-    """The scan with a broadcast benchmark: {item_id: tokens}."""
+    """The scan with a broadcast :class:`Index`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items: dict[int, np.ndarray] = {k: np.frombuffer(v, U64) for k, v in shared.value.items()}
-        by_seed = defaultdict(list)
-        for k, tokens in items.items():
-            for h in _seeds(tokens).tolist():
-                by_seed[h].append(k)
-        sizes = sorted({min(SEED, len(t)) for t in items.values() if len(t)})
-        known = np.array(sorted(by_seed), U64)
+        index: Index = shared.value
         for batch in common.slices(batches, "text"):
             offsets, words = common.word_hashes(common.column(batch, "text"), lower=False, clean=plain)
-            hits = []
-            for size in sizes:
-                grams = common.gram_hashes(words, size)
-                at = np.flatnonzero(np.isin(grams, known))
-                doc = np.searchsorted(offsets, at, side="right") - 1
-                inside = at + size <= offsets[doc + 1]
-                hits.append((doc[inside], grams[at[inside]]))
-            pairs = sorted({(d, k) for ds, hs in hits for d, h in zip(ds.tolist(), hs.tolist(), strict=True) for k in by_seed[h]})
             ids = common.column(batch, "doc_id")
-            rows = [r for d, k in pairs if (r := _row(ids[d].as_py(), k, items[k], words[offsets[d] : offsets[d + 1]], percent))]
+            pairs = index.candidates(offsets, words, percent).tolist()
+            rows = [r for d, k in pairs if (r := _row(ids[d].as_py(), int(index.ids[k]), index.item(k), words[offsets[d] : offsets[d + 1]], percent))]
             if rows:
                 yield _batch(rows)
 
     return run
 
 
-def _seed_of(wide: bool):
+def _seed_rows(lengths: list[int] | None = None):
+    """(id, text_hash, tokens, seed, places) of each item, or of each document with its seeds of ``lengths``, once each."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
-            for own, tokens in zip(common.column(batch, "id").to_pylist(), _sequences(common.column(batch, "text")), strict=True):
-                sizes = range(1, SEED + 1) if wide else [min(SEED, len(tokens))]
-                seeds = [np.unique(common.gram_hashes(tokens, n)) for n in sizes if 0 < n <= len(tokens)]
-                if seeds:
-                    joined = np.concatenate(seeds)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(joined), own, np.int64)), pa.array(joined.view(np.int64))], names=["id", "seed"])
+            for own, text, tokens in zip(common.column(batch, "id").to_pylist(), common.column(batch, "text_hash").to_pylist(), _sequences(common.column(batch, "text")), strict=True):
+                if lengths is not None:
+                    seeds = np.unique(np.concatenate([np.zeros(0, U64), *(rolled(tokens, n) for n in lengths)]))
+                    places = np.ones(len(seeds), np.int64)
+                elif len(tokens):
+                    seeds, places = np.unique(_seeds(tokens), return_counts=True)
+                else:
+                    continue
+                if len(seeds):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seeds), x, np.int64)) for x in (own, text, len(tokens))] + [pa.array(seeds.view(np.int64)), pa.array(places)], names=["id", "text_hash", "tokens", "seed", "places"])
 
     return run
 
 
+_SEEDS = "id long, text_hash long, tokens long, seed long, places long"
+
+
 def _tile_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text", 1 << 20):
@@ -168,28 +237,35 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, most_to
     Rows: doc_id, item_id, item_tokens, covered_tokens, tiles, longest (tile),
     coverage. Null, empty and wordless texts and items make no pairs; an item
     shorter than a seed is a seed as a whole. A null doc_id or item_id is left
-    out; of repeated rows of the benchmark's item_id the smallest text counts,
-    repeated documents give one row. Only ``doc_id``, ``item_id`` and ``text``
-    are read. Words are compared by 64-bit fingerprints.
+    out. Rows that repeat a doc_id or an item_id with other texts are tiled
+    each for itself, and of a pair of ids the best covered of its texts tells
+    (then the one with more tokens, a longer tile, fewer tiles), whatever their
+    order. Only ``doc_id``, ``item_id`` and ``text`` are read. Words are
+    compared by 64-bit fingerprints.
     """
     spark = docs.sparkSession
     common.lean(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()
     size = items.agg(F.coalesce(F.sum(F.length("text") / 2 + 1), F.lit(0)).alias("n")).first()["n"]
     if size <= most_tokens:
-        held: dict[int, bytes] = {}
-        rows = items.collect()  # of proven size: at most most_tokens words
-        for row, tokens in zip(rows, _sequences(pa.array([r["text"] for r in rows], pa.string())), strict=True):
-            if len(tokens):
-                held[row["item_id"]] = tokens.tobytes()
-        return docs.mapInArrow(_tile_all(spark.sparkContext.broadcast(held), percent), _COLUMNS).dropDuplicates(["doc_id", "item_id"])
-    items = common.table(items, "items")
-    item_seeds = items.select(F.col("item_id").alias("id"), "text").mapInArrow(_seed_of(False), "id long, seed long").withColumnRenamed("id", "item_id")
-    doc_seeds = docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(_seed_of(True), "id long, seed long").withColumnRenamed("id", "doc_id")
-    pairs = common.table(doc_seeds.join(item_seeds, "seed").select("doc_id", "item_id").distinct(), "pairs")
-    texts = docs.dropDuplicates(["doc_id"]).join(pairs, "doc_id").join(items.withColumnRenamed("text", "item_text"), "item_id")
-    return texts.select("doc_id", "item_id", "text", "item_text").mapInArrow(_tile_pairs(percent), _COLUMNS)
+        held = [(r["item_id"], r["text"]) for r in items.orderBy("item_id", "text").collect()]  # of proven size: at most most_tokens words
+        known = [(i, t) for (i, _), t in zip(held, _sequences(pa.array([t for _, t in held], pa.string())), strict=True) if len(t)]
+        found = docs.mapInArrow(_tile_all(spark.sparkContext.broadcast(Index([i for i, _ in known], [t for _, t in known])), percent), _COLUMNS)
+    else:
+        items = common.table(items.withColumn("item_hash", F.xxhash64("text")), "items")
+        keyed = docs.withColumn("text_hash", F.xxhash64("text"))
+        item_seeds = items.select(F.col("item_id").alias("id"), F.col("item_hash").alias("text_hash"), "text").mapInArrow(_seed_rows(), _SEEDS).toDF("item_id", "item_hash", "tokens", "seed", "places")
+        item_seeds = common.table(item_seeds, "item-seeds")
+        lengths = [r["n"] for r in item_seeds.select(F.least(F.lit(SEED), F.col("tokens")).alias("n")).distinct().collect()]  # SEED at most
+        doc_seeds = keyed.select(F.col("doc_id").alias("id"), "text_hash", "text").mapInArrow(_seed_rows(lengths), _SEEDS).select(F.col("id").alias("doc_id"), "text_hash", "seed").distinct()
+        pairs = doc_seeds.join(item_seeds, "seed").groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(F.sum("places").alias("shared"), F.first("tokens").alias("tokens"))
+        pairs = common.table(pairs.where(F.lit(100) * F.col("shared") * F.least(F.lit(SEED), F.col("tokens")) >= F.lit(percent) * F.col("tokens")).drop("shared", "tokens"), "pairs")
+        texts = keyed.join(pairs, ["doc_id", "text_hash"]).join(items.withColumnRenamed("text", "item_text"), ["item_id", "item_hash"])
+        found = texts.select("doc_id", "item_id", "text", "item_text").mapInArrow(_tile_pairs(percent), _COLUMNS)
+    best = F.max(F.struct("coverage", "item_tokens", "longest", (-F.col("tiles")).alias("fewer"), "covered_tokens"))
+    found = found.groupBy("doc_id", "item_id").agg(best.alias("b"))
+    return found.select("doc_id", "item_id", "b.item_tokens", "b.covered_tokens", (-F.col("b.fewer")).alias("tiles"), "b.longest", "b.coverage")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
