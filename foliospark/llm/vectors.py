@@ -1,19 +1,26 @@
 """Near-duplicate embeddings through robust-pruned flat graphs.
 
 Vectors of one label are dealt to clusters, each to its ``OVERLAP`` nearest, so
-that shards overlap; centroids come from a bounded sample. Each shard builds a
-flat graph by robust pruning, the adjacency lists of a vector from all its
-shards are united, and each vector then searches the shard of its nearest
-cluster: greedily from the medoids of the shard's regions, and from its own
-entry where it is a member, until the beam holds no nearer vector to expand,
-then expanding its range, through every neighbour within the radius, until
-nothing new is in range. Every 50th search of a shard is held against all its
-members; where it falls short, the shard is searched exhaustively. What is found is verified by cosines in double
-precision.
+that shards overlap. Centroids are fitted on a bounded sample of a cluster, on
+the executors, and a cluster that is still too large is dealt again in the next
+round, so their number grows with the label; a round deals a vector to the
+``OVERLAP`` nearest parts of the cluster it is home in and to the nearest part
+of the others it is in. Each shard builds a flat graph by robust pruning, the
+adjacency lists of a vector from all its shards are united, and each vector then
+searches the shard of its nearest cluster: greedily from the medoids of the
+shard's regions, and from its own entry where it is a member, until the beam
+holds no nearer vector to expand, then expanding its range, through every
+neighbour within the radius, until nothing new is in range. Every ``EVERY``-th
+member of a shard is audited: it is searched for and held against all members.
+Where too little of that is found, the shard is searched exhaustively. What is
+found is verified by cosines in double precision.
 
 Equal vectors form one class, which is searched once and counted with its size.
-A cluster of more than ``SHARD`` classes is cut into blocks; its members are
-home in one block and search all of them.
+A cluster that can't be dealt further is cut into blocks; its members are home
+in one block and search all of them, one batch of askers at a time. A search
+returns a number for each vector and one edge for each vector and component,
+never pairs: a vector counts what is in the clusters it searches, and is told by
+others only what its own search can't see.
 """
 
 from __future__ import annotations
@@ -22,14 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm import common
 
 COSINE = 0.93
 OVERLAP = 3
-#: Classes in a shard, about and at most twice as many.
+#: Classes in a shard, about; twice as many are dealt again or cut.
 SHARD = 1500
 DEGREE = 24
 POOL = 64
@@ -37,16 +44,18 @@ POOL = 64
 FAR = 8
 ALPHA = 1.2
 BEAM = 32
-#: Of the searches of a shard one in so many, and eight at least, are audited; below this recall all are made anew.
+#: Of the members of a shard one in so many, and eight at least, are audited; below this recall all searches are exhaustive.
 EVERY, RECALL = 50, 0.9
-#: Vectors that centroids are fitted on: at most so many for each label, and about so many for all.
-SAMPLE, SAMPLE_ALL = 4_000, 200_000
-#: At most so many clusters for each label, and about so many for all; larger clusters are cut into blocks.
-CLUSTERS, CLUSTERS_ALL = 256, 20_000
+#: Vectors that the centroids of a cluster are fitted on, and parts that it is dealt to in a round, at most.
+SAMPLE, PARTS = 4_000, 256
+#: A part with so much of its cluster is not dealt again.
+STUCK = 0.9
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    """Vectors of length one. Scaled by the largest component first, so that no square over- or underflows."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 # ------------------------------------------------------------------- flat graph
@@ -159,21 +168,18 @@ class Graph:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def searched(graph: Graph, queries: np.ndarray, places: np.ndarray, least: float) -> list[np.ndarray]:
-    """What each query finds; ``places``: where it is in the shard itself, or -1.
-
-    Audited queries meet all members in blocks, and so do all queries of a
-    shard where the searches found less than ``RECALL`` of the audited links.
-    """
-
-    def exact(at: np.ndarray) -> list[np.ndarray]:
-        return [np.flatnonzero(near >= least) for a in range(0, len(at), 512) for near in queries[at[a : a + 512]] @ graph.units.T]
-
-    found = [graph.within(v, least, own=p) for v, p in zip(queries, places.tolist(), strict=True)]
-    audited = np.arange(0, len(queries), max(1, min(EVERY, len(queries) // 8)))
-    there = [np.setdiff1d(x, places[i]) for i, x in zip(audited.tolist(), exact(audited), strict=True)]
-    met = sum(int(np.isin(x, found[i]).sum()) for i, x in zip(audited.tolist(), there, strict=True))
-    return found if met >= RECALL * sum(map(len, there)) else exact(np.arange(len(queries)))
+def trusted(graph: Graph, least: float) -> bool:
+    """Whether searches find at least ``RECALL`` of the links of audited members."""
+    n = len(graph.units)
+    audited = np.arange(0, n, max(1, min(EVERY, n // 8)))
+    there = met = 0
+    for a in range(0, len(audited), 512):
+        some = audited[a : a + 512]
+        for i, near in zip(some.tolist(), graph.units[some] @ graph.units.T, strict=True):
+            exact = np.setdiff1d(np.flatnonzero(near >= least), [i])
+            there += len(exact)
+            met += int(np.isin(exact, graph.within(graph.units[i], least, own=i)).sum())
+    return met >= RECALL * there
 
 
 # --------------------------------------------------------------------- the plan
@@ -182,74 +188,89 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def centroids(spark: SparkSession, classes: DataFrame, sizes: dict[tuple[int, int], int]) -> dict[tuple[int, int], np.ndarray]:
-    """Spherical k-means for each large (label, width) of ``sizes`` on a bounded sample of its classes."""
-    if not sizes:
-        return {}
-    fewer = min(1.0, SAMPLE_ALL / sum(min(SAMPLE, n) for n in sizes.values()))
-    shares = spark.createDataFrame([(label, width, fewer * min(1.0, SAMPLE / n)) for (label, width), n in sizes.items()], "label long, width int, share double")
-    drawn = classes.join(F.broadcast(shares), ["label", "width"])  # a row for each large label, at most CLUSTERS_ALL
-    sample = drawn.where(F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("rep", "label", "width", "embedding").toPandas()
-    wanted = {key: min(CLUSTERS, -(-n // SHARD) * OVERLAP) for key, n in sizes.items()}
-    scale = min(1.0, CLUSTERS_ALL / sum(wanted.values()))
-    out = {}
-    groups = dict(list(sample.groupby(["label", "width"])))
-    for (label, width), k in wanted.items():
-        own = groups.get((label, width), sample.iloc[:0]).sort_values("rep")
-        k = max(1, int(k * scale))
-        x = unit(np.array(own["embedding"].tolist(), np.float64)) if len(own) else np.ones((1, width)) / np.sqrt(width)
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spherical k-means of each cluster's sample: its centroids in one row."""
+    for (node,), rows in _groups(batches, ["node"]):
+        x = unit(_matrix(rows["embedding"].combine_chunks()))
         rng = np.random.default_rng(0)
-        c = x[rng.choice(len(x), min(k, len(x)), replace=False)]
+        c = x[rng.choice(len(x), min(rows["parts"][0].as_py(), len(x)), replace=False)]
         for _ in range(8):
             near = (x @ c.T).argmax(axis=1)
-            for j in range(len(c)):
-                if (near == j).any():
-                    mean = x[near == j].sum(axis=0)
-                    if np.linalg.norm(mean) > 0:
-                        c[j] = mean / np.linalg.norm(mean)
-        out[label, width] = c
-    return out
+            for j in np.unique(near).tolist():
+                mean = x[near == j].sum(axis=0)
+                if (length := np.linalg.norm(mean)) > 0:
+                    c[j] = mean / length
+        yield pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([c.ravel()], pa.list_(pa.float64()))], names=["node", "embedding"])
 
 
-def _assign(shared):
-    """For each class its clusters: rank 0 is the home."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            label, width = common.column(batch, "label").to_numpy(), common.column(batch, "width").to_numpy()
-            for key in sorted({*zip(label.tolist(), width.tolist(), strict=True)}):
-                rows = pa.array(np.flatnonzero((label == key[0]) & (width == key[1])))
-                c = shared.value.get(key)
-                if c is None:  # one cluster
-                    near = np.zeros((len(rows), 1), np.int64)
-                else:
-                    x = unit(_matrix(common.column(batch, "embedding").take(rows)))
-                    near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, : min(OVERLAP, len(c))]
-                yield pa.RecordBatch.from_arrays([common.column(batch, "rep").take(rows), pa.array(list(near), pa.list_(pa.int64()))], names=["rep", "clusters"])
-
-    return run
+def _segments(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Rows that come sorted by ``keys``, in parts of one key each."""
+    for batch in batches:
+        if batch.num_rows:
+            columns = [common.column(batch, k).to_numpy(zero_copy_only=False) for k in keys]
+            change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+            for a, b in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows], strict=True):
+                yield tuple(c[a] for c in columns), batch.slice(a, b - a)
+
+
+def _assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each member of a cluster its nearest parts; rows come sorted by (node, salt, rep), the centroids first, without a rep."""
+    c = np.zeros((0, 0))
+    for _, rows in _segments(batches, ["node", "salt"]):
+        if not common.column(rows, "rep")[0].is_valid:
+            width = common.column(rows, "width")[0].as_py()
+            c, rows = common.column(rows, "embedding")[0].values.to_numpy().reshape(-1, width), rows.slice(1)
+        if rows.num_rows:
+            near = np.argsort(-(unit(_matrix(common.column(rows, "embedding"))) @ c.T), axis=1, kind="stable")[:, :OVERLAP]
+            home = common.column(rows, "home").to_numpy(zero_copy_only=False)
+            parts = [x if h else x[:1] for x, h in zip(near, home, strict=True)]
+            yield pa.RecordBatch.from_arrays([common.column(rows, "node"), common.column(rows, "rep"), common.column(rows, "home"), pa.array(parts, pa.list_(pa.int64()))], names=["node", "rep", "home", "parts"])
+
+
+def shards(classes: DataFrame) -> DataFrame:
+    """(rep, node, home) of ``classes`` (rep, label, width, embedding): the clusters that each is in, home in one."""
+    n = common.partitions(classes.sparkSession)
+    nobody = F.lit(None).cast("long")
+    now = common.table(classes.select("rep", F.xxhash64("label", "width").alias("node"), F.lit(True).alias("home"), nobody.alias("before")), "clusters")
+    done = []
+    while True:
+        sizes = now.groupBy("node").agg(F.count("*").alias("n"), F.first("before").alias("before"))
+        large = sizes.where((F.col("n") > 2 * SHARD) & F.expr(f"before is null or n < {STUCK} * before"))
+        large = common.table(large.select("node", "n", F.least(F.lit(PARTS), F.ceil(F.col("n") / SHARD) * OVERLAP).cast("int").alias("parts"), F.ceil(F.col("n") / (16 * SHARD)).cast("int").alias("salts")), "large-clusters")
+        if not large.limit(1).count():
+            done.append(now)
+            break
+        done.append(common.table(now.join(large.select("node"), "node", "left_anti").select(*now.columns), "clusters"))
+        rows = now.join(large, "node").join(classes.select("rep", "width", "embedding"), "rep")
+        sample = rows.where(F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(1 << 30)) < F.lit(float(SAMPLE * (1 << 30))) / F.col("n"))
+        fitted = common.table(sample.select("node", "rep", "parts", "embedding").repartition(n, "node").sortWithinPartitions("node", "rep").mapInArrow(_fit, "node long, embedding array<double>"), "centroids")
+        members = rows.select("node", F.pmod(F.xxhash64("rep", F.lit(4)), F.col("salts")).cast("int").alias("salt"), "rep", "width", "home", "embedding")
+        centers = fitted.join(rows.groupBy("node").agg(F.first("width").alias("width"), F.first("salts").alias("salts")), "node")
+        centers = centers.select("node", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), nobody.alias("rep"), "width", F.lit(False).alias("home"), "embedding")
+        dealt = members.unionByName(centers).repartition(n, "node", "salt").sortWithinPartitions("node", "salt", F.col("rep").asc_nulls_first())
+        near = dealt.mapInArrow(_assign, "node long, rep long, home boolean, parts array<long>").join(large.select("node", "n"), "node")
+        near = near.select("rep", "node", "n", "home", F.posexplode("parts").alias("rank", "part"))
+        now = common.table(near.select("rep", F.xxhash64("node", "part").alias("node"), (F.col("home") & (F.col("rank") == 0)).alias("home"), F.col("n").alias("before")), "clusters")
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out.select("rep", "node", "home")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
-    """Whole groups of rows that come sorted by ``keys``."""
+    """Whole groups, of bounded size, of rows that come sorted by ``keys``."""
     now, parts = None, []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [common.column(batch, k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        for a, b in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows], strict=True):
-            key = tuple(c[a] for c in columns)
-            if key != now and parts:
-                yield now, pa.Table.from_batches(parts)
-                parts = []
-            now = key
-            parts.append(batch.slice(a, b - a))
+    for key, rows in _segments(batches, keys):
+        if key != now and parts:
+            yield now, pa.Table.from_batches(parts)
+            parts = []
+        now = key
+        parts.append(rows)
     if parts:
         yield now, pa.Table.from_batches(parts)
 
 
-_SHARD_KEYS = ["label", "width", "cluster", "block"]
+_SHARD_KEYS = ["node", "block"]
 
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,72 +280,100 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([ids[x] for x in lists], pa.list_(pa.int64()))], names=["rep", "near"])
 
 
+class Shard:
+    """The members of a shard, what they are found by, and components as labels: the place of a member of the same component."""
+
+    def __init__(self, members: pa.Table, least: float):
+        members = members.take(pa.array(np.argsort(members["rep"].to_numpy(), kind="stable")))
+        self.least, self.ids, self.size = least, members["rep"].to_numpy(), members["size"].to_numpy()
+        self.home, self.lives = members["home"].to_numpy(zero_copy_only=False), members["lives"].to_numpy()
+        lists = []
+        for near in members["near"].combine_chunks():
+            near = near.values.to_numpy()
+            at = np.minimum(np.searchsorted(self.ids, near), len(self.ids) - 1)
+            lists.append(at[self.ids[at] == near])
+        self.graph = Graph(unit(_matrix(members["embedding"].combine_chunks())), lists, least)
+        self.by_graph = trusted(self.graph, least)
+        self.met = np.zeros((len(self.ids), len(self.ids)), bool)
+        self.told, self.label = np.zeros(len(self.ids), np.int64), np.arange(len(self.ids))
+
+    def join(self, places: np.ndarray) -> None:
+        labels = np.unique(self.label[places])
+        if len(labels) > 1:
+            self.label[np.isin(self.label, labels)] = labels[0]
+
+    def ask(self, rows: pa.RecordBatch) -> pa.RecordBatch:
+        """What a batch of vectors finds, but for links between two homes of this shard, which are made mutual in the end."""
+        own, sizes = common.column(rows, "rep").to_numpy(), common.column(rows, "size").to_numpy()
+        clusters, units = common.column(rows, "nodes"), unit(_matrix(common.column(rows, "embedding")))
+        place = np.minimum(np.searchsorted(self.ids, own), len(self.ids) - 1)
+        place = np.where(self.ids[place] == own, place, -1)
+        exact = None if self.by_graph else units @ self.graph.units.T >= self.least
+        count, edges = np.zeros(len(own), np.int64), ([], [])
+        for r, p in enumerate(place.tolist()):
+            hits = self.graph.within(units[r], self.least, own=p) if exact is None else np.flatnonzero(exact[r])
+            hits = hits[hits != p]
+            if not len(hits):
+                continue
+            self.join(np.append(hits, p) if p >= 0 else hits)
+            if p < 0:
+                edges[0].append(own[r])
+                edges[1].append(self.ids[hits[0]])
+            homes, guests = hits[self.home[hits]], hits[~self.home[hits]]
+            if p >= 0 and self.home[p]:
+                self.met[p, homes] = True
+            else:  # home in another block of the cluster
+                count[r] += self.size[homes].sum()
+            count[r] += self.size[guests].sum()
+            blind = guests[~np.isin(self.lives[guests], clusters[r].values.to_numpy())]  # whose own search does not meet this vector
+            self.told[blind] += sizes[r]
+        return _found(own, count, *edges)
+
+    def close(self) -> pa.RecordBatch:
+        both = (self.met | self.met.T).astype(np.float32) @ self.size.astype(np.float64)
+        joined = np.flatnonzero(self.label != np.arange(len(self.ids)))
+        return _found(self.ids, both.astype(np.int64) + self.told, self.ids[joined], self.ids[self.label[joined]])
+
+
+def _found(own: np.ndarray, count: np.ndarray, left, right) -> pa.RecordBatch:
+    """Rows (a, n) of vectors with links and rows (a, b) of edges."""
+    some = count > 0
+    a, n = np.concatenate([own[some], np.array(left, np.int64)]), np.concatenate([count[some], np.zeros(len(left), np.int64)])
+    b = pa.concat_arrays([pa.nulls(int(some.sum()), pa.int64()), pa.array(np.array(right, np.int64))])
+    return pa.RecordBatch.from_arrays([pa.array(a), b, pa.array(n)], names=["a", "b", "n"])
+
+
 def _search(least: float):
-    """Each shard has its members (query false) and the vectors that search it (query true)."""
+    """Each shard has its members (query false) and then the vectors that search it (query true)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _groups(batches, _SHARD_KEYS):
-            query = rows["query"].to_numpy(zero_copy_only=False)
-            members, asking = rows.filter(pa.array(~query)), rows.filter(pa.array(query))
-            ids = members["rep"].to_numpy()
-            order = np.argsort(ids, kind="stable")
-            members, ids = members.take(pa.array(order)), ids[order]
-            if not len(ids) or not asking.num_rows:
-                continue
-            lists = []
-            for near in members["near"].to_pylist():
-                at = np.minimum(np.searchsorted(ids, np.array(near, np.int64)), len(ids) - 1)
-                lists.append(at[ids[at] == np.array(near, np.int64)])
-            vectors = _matrix(members["embedding"].combine_chunks())
-            graph, home = Graph(unit(vectors), lists, least), members["home"].to_numpy(zero_copy_only=False)
-            size = members["size"].to_numpy()
-            own, q = asking["rep"].to_numpy(), unit(_matrix(asking["embedding"].combine_chunks()))
-            place = np.minimum(np.searchsorted(ids, own), len(ids) - 1)
-            place = np.where(ids[place] == own, place, -1)
-            found = searched(graph, q, place, least)
-            here = place.copy()
-            here[here >= 0] = np.where(home[here[here >= 0]], here[here >= 0], -1)
-            # links between two homes of this shard are made mutual; those to guests are returned as pairs
-            links: list[set[int]] = [set() for _ in ids]
-            asks = {int(p): r for r, p in enumerate(here.tolist()) if p >= 0}
-            outside: tuple[list[int], list[int]] = ([], [])
-            count = np.zeros(len(own), np.int64)
-            parent = np.arange(len(ids))
-
-            def root(x: int, parent=parent) -> int:
-                while parent[x] != x:
-                    parent[x] = parent[parent[x]]
-                    x = int(parent[x])
-                return x
-
-            bridges: set[tuple[int, int]] = set()
-            for r, hits in enumerate(found):
-                for h in hits.tolist():
-                    if ids[h] == own[r]:
-                        continue
-                    if home[h] and here[r] >= 0:
-                        links[here[r]].add(h)
-                        links[h].add(int(here[r]))
-                    elif home[h]:  # the asker is home in another block of the cluster
-                        count[r] += size[h]
-                        bridges.add((r, h))
-                    else:
-                        outside[0].append(int(own[r]))
-                        outside[1].append(int(ids[h]))
-            for p, r in asks.items():
-                count[r] += sum(int(size[h]) for h in links[p])
-                for h in links[p]:
-                    a, b = root(p), root(h)
-                    parent[max(a, b)] = min(a, b)
-            edges = {(int(ids[p]), int(ids[root(p)])) for p in range(len(ids)) if root(p) != p}
-            edges |= {(int(own[r]), int(ids[root(h)])) for r, h in bridges}
-            for kind, left, right, n in (("count", own[count > 0], own[count > 0], count[count > 0]), ("edge", [e[0] for e in edges], [e[1] for e in edges], [0] * len(edges)), ("pair", *outside, [0] * len(outside[0]))):
-                if len(left):
-                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(left)), pa.array(np.array(left, np.int64)), pa.array(np.array(right, np.int64)), pa.array(np.array(n, np.int64))], names=["kind", "a", "b", "n"])
+        now, parts, shard = None, [], None
+        for (node, block, query), rows in _segments(batches, [*_SHARD_KEYS, "query"]):
+            if (node, block) != now:
+                if shard is not None:
+                    yield shard.close()
+                now, parts, shard = (node, block), [], None
+            if not query:
+                parts.append(rows)
+            elif parts:
+                shard = shard or Shard(pa.Table.from_batches(parts), least)
+                yield shard.ask(rows)
+        if shard is not None:
+            yield shard.close()
 
     return run
 
 
+def _valid() -> Column:
+    """Whether a row's vector can be linked: a label, and finite components that are not all zero."""
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x != 0.0), F.lit(False))
+
+
+def _rows(embeddings: DataFrame) -> DataFrame:
+    return embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long").alias("label")).where("vec_id is not null")
+
+
 def near_duplicates(embeddings: DataFrame, least: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of ``embeddings`` (vec_id, embedding, label).
 
@@ -334,75 +383,109 @@ def near_duplicates(embeddings: DataFrame, least: float = COSINE) -> DataFrame:
     smallest vec_id reachable by links.
 
     Vectors that are null, empty, zero, or hold null or non-finite components,
-    and those without a label, are linked with nothing and kept. Repeated rows
-    are other vectors with the same content; a null vec_id is left out. Only
-    these three columns are read.
+    and those without a label, are linked with nothing and kept. Finite vectors
+    of any length, however large or small, count. Repeated rows are other
+    vectors with the same content; rows with the same vec_id and other content
+    are other vectors too, in one component by their id, whatever their order. A
+    null vec_id is left out. Only these three columns are read. Equal vectors
+    are told by 64-bit fingerprints.
     """
     spark = embeddings.sparkSession
     common.lean(spark)
     n = common.partitions(spark)
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long").alias("label")).where("vec_id is not null")
-    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    valid = rows.where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x != 0.0))
-    text = F.sha2(F.to_json(F.struct(F.transform("embedding", lambda x: x + F.lit(0.0)).alias("e"))), 256)
-    keyed = common.table(valid.select("vec_id", "label", F.size("embedding").alias("width"), "embedding", text.alias("digest")), "vectors")
-    grouped = keyed.groupBy("label", "width", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
-    sized = common.table(grouped, "classes")
-    classes = keyed.join(sized.select(F.col("rep").alias("vec_id"), "size"), "vec_id").dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("rep"), "label", "width", "embedding", "size")
-    classes = common.table(classes, "reps")
-    # the largest labels; what others have is one cluster each, in blocks where it is large
-    large = classes.groupBy("label", "width").agg(F.count("*").alias("n")).where(F.col("n") > SHARD).orderBy(F.desc("n"), "label", "width").limit(CLUSTERS_ALL)
-    sizes = {(r["label"], r["width"]): r["n"] for r in large.collect()}
-    shared = spark.sparkContext.broadcast(centroids(spark, classes, sizes))
-
-    near = classes.mapInArrow(_assign(shared), "rep long, clusters array<long>")
-    placed = common.table(near.select("rep", F.posexplode("clusters").alias("rank", "cluster")), "clusters").join(classes, "rep")
-    counts = placed.groupBy("label", "width", "cluster").agg((F.count("*") / (2 * SHARD) + 1).cast("int").alias("blocks"))
-    placed = placed.join(counts, ["label", "width", "cluster"])
-    placed = common.table(placed.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int")).withColumn("home", F.col("rank") == 0), "shards")
-
-    sort = lambda df: df.repartition(n, *_SHARD_KEYS).sortWithinPartitions(*_SHARD_KEYS)
-    lists = sort(placed.select(*_SHARD_KEYS, "rep", "embedding")).mapInArrow(_build, "rep long, near array<long>")
-    united = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # at most OVERLAP bounded lists
-    united = common.table(united, "adjacency")
-
-    members = placed.join(united, "rep").select(*_SHARD_KEYS, "rep", "embedding", "near", "home", "size", F.lit(False).alias("query"))
-    asking = placed.where("home").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*_SHARD_KEYS, "rep", "embedding", F.lit(None).cast("array<long>").alias("near"), "home", "size", F.lit(True).alias("query"))
-    found = common.table(sort(members.unionByName(asking)).mapInArrow(_search(least), "kind string, a long, b long, n long"), "found")
-
-    pairs = found.where("kind = 'pair'").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = common.table(pairs, "pairs")
-    size = classes.select(F.col("rep").alias("other"), "size")
-    across = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(size, F.col("b") == F.col("other")).select("a", F.col("size").alias("n"))
-    linked = found.where("kind = 'count'").select("a", "n").unionAll(across).groupBy(F.col("a").alias("lid")).agg(F.sum("n").alias("links"))
-    parts = common.components(found.where("kind = 'edge'").select("a", "b").unionAll(pairs))
-
-    final = sized.join(linked, F.col("rep") == F.col("lid"), "left").join(parts.withColumnRenamed("id", "pid"), F.col("rep") == F.col("pid"), "left")
-    final = final.select("label", "width", "digest", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    known = keyed.select("vec_id", "label", "width", "digest").join(final, ["label", "width", "digest"]).select("vec_id", "n_links", "component_id")
-    broken = ~F.coalesce(F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x != 0.0), F.lit(False))
-    rest = rows.where(broken).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    out = known.unionByName(rest)
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    rows = _rows(embeddings)
+    content = F.transform("embedding", lambda x: x + F.lit(0.0))  # one zero, not two
+    keyed = rows.where(_valid()).select("vec_id", "label", F.size("embedding").alias("width"), "embedding", F.xxhash64("label", F.size("embedding"), content).alias("class"))
+    keyed = common.table(keyed, "vectors")
+    sized = common.table(keyed.groupBy("class").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("size")), "classes")
+    classes = keyed.join(sized.withColumnRenamed("least_id", "vec_id"), ["class", "vec_id"]).dropDuplicates(["class"])
+    classes = common.table(classes.select(F.col("class").alias("rep"), "label", "width", "embedding", "size"), "reps")
+
+    placed = shards(classes)
+    counts = placed.groupBy("node").agg((F.count("*") / (2 * SHARD) + 1).cast("int").alias("blocks"))
+    placed = placed.join(counts, "node").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int"))
+    placed = common.table(placed.join(classes, "rep"), "shards")
+    where = placed.groupBy("rep").agg(F.collect_list("node").alias("nodes"), F.max(F.when(F.col("home"), F.col("node"))).alias("lives"))  # a few for each round
+
+    sort = lambda df, *keys: df.repartition(n, *_SHARD_KEYS).sortWithinPartitions(*_SHARD_KEYS, *keys)
+    lists = sort(placed.select(*_SHARD_KEYS, "rep", "embedding"), "rep").mapInArrow(_build, "rep long, near array<long>")
+    united = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # a few bounded lists
+    united = common.table(united.join(where, "rep"), "adjacency")
+
+    columns = [*_SHARD_KEYS, "rep", "embedding", "near", "home", "size", "lives", "nodes"]
+    members = placed.join(united, "rep").select(*columns, F.lit(False).alias("query"))
+    asking = members.where("home").drop("block", "near", "query").join(counts, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asking = asking.withColumn("near", F.lit(None).cast("array<long>")).select(*columns, F.lit(True).alias("query"))
+    found = common.table(sort(members.unionByName(asking), "query", "rep").mapInArrow(_search(least), "a long, b long, n long"), "found")
+
+    # rows that share a vec_id are in one component
+    own = keyed.groupBy("vec_id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a <> z").select("vec_id", "a")
+    own = keyed.select("vec_id", "class").join(own, "vec_id").select("a", F.col("class").alias("b")).where("a <> b").distinct()
+    linked = found.where("b is null").groupBy(F.col("a").alias("lid")).agg(F.sum("n").alias("links"))
+    parts = common.components(found.where("b is not null").select("a", "b").unionByName(own))
+
+    known = sized.join(linked, F.col("class") == F.col("lid"), "left").join(parts.withColumnRenamed("id", "pid"), F.col("class") == F.col("pid"), "left")
+    known = known.select("class", "least_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "class").alias("component"))
+    known = common.table(known, "known")
+    smallest = known.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    final = known.join(smallest, "component").select("class", "n_links", "component_id")
+    good = keyed.select("vec_id", "class").join(final, "class").select("vec_id", "n_links", "component_id")
+    rest = rows.where(~_valid()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return good.unionByName(rest).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+#: Vectors that are held against the rows of a label at once, and rows that one task holds against them, about.
+AUDITED, AGAINST = 256, 100_000
+
+
+def _tally(least: float):
+    """Links of each asked vector; rows come sorted by (label, width, part, salt, asked), those that ask first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, parts, asking, count = None, np.zeros(0, np.int64), [], None, None
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(count)], names=["vec_id", "hits"])
+
+        for key, rows in _segments(batches, ["label", "width", "part", "salt", "other"]):
+            if key[:4] != now:
+                if count is not None:
+                    yield told()
+                now, ids, parts, asking, count = key[:4], np.zeros(0, np.int64), [], None, None
+            if not key[4]:
+                parts.append(rows)
+                continue
+            if not parts:
+                continue
+            if asking is None:
+                table = pa.Table.from_batches(parts)
+                ids, asking = table["vec_id"].to_numpy(), unit(_matrix(table["embedding"].combine_chunks()))
+                count = np.zeros(len(ids), np.int64)
+            count += (asking @ unit(_matrix(common.column(rows, "embedding"))).T >= least).sum(axis=1)
+        if count is not None:
+            yield told()
+
+    return run
 
 
 def audit(embeddings: DataFrame, found: DataFrame, least: float = COSINE, every: int = 50) -> DataFrame:
     """Recall of ``found`` (:func:`near_duplicates`) for the vectors whose id ``every`` divides, against all rows.
 
     Links found are verified, so they are among the exact ones. Rows: vec_id,
-    n_links, exact_links; a vector alone in its label has 0 of them.
+    n_links, exact_links; both are 0 for a vector that can't be linked or is
+    alone in its label and width. Asked vectors meet the rows of their label in
+    blocks of ``AUDITED``. Ids are taken to be distinct.
     """
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long").alias("label")).where("vec_id is not null and label is not null and embedding is not null")
-    asked = rows.where(F.col("vec_id") % every == 0)
-
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (np.array(common.column(batch, c).to_pylist(), np.float64) for c in ("embedding", "other"))
-            with np.errstate(invalid="ignore", divide="ignore"):
-                cosine = (left * right).sum(axis=1) / np.linalg.norm(left, axis=1) / np.linalg.norm(right, axis=1)
-            yield pa.RecordBatch.from_arrays([common.column(batch, "vec_id"), pa.array((cosine >= least).astype(np.int64))], names=["vec_id", "hit"])
-
-    other = asked.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qe"), F.col("label").alias("ql"))
-    joined = rows.join(other, (F.col("label") == F.col("ql")) & (F.col("vec_id") != F.col("qid"))).select(F.col("qid").alias("vec_id"), F.col("qe").alias("embedding"), F.col("embedding").alias("other"))
-    exact = joined.mapInArrow(tally, "vec_id long, hit long").groupBy("vec_id").agg(F.sum("hit").alias("exact_links"))
-    return found.join(asked.select("vec_id"), "vec_id", "left_semi").join(exact, "vec_id", "left").select("vec_id", "n_links", F.coalesce("exact_links", F.lit(0)).alias("exact_links"))
+    n = common.partitions(embeddings.sparkSession)
+    rows = common.table(_rows(embeddings).where(_valid()).withColumn("width", F.size("embedding")), "audited")
+    groups = rows.groupBy("label", "width").agg((F.sum((F.col("vec_id") % every == 0).cast("long")) / AUDITED + 1).cast("int").alias("parts"), (F.count("*") / AGAINST + 1).cast("int").alias("salts"))
+    rows = rows.join(groups, ["label", "width"])
+    spread = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    columns = ["label", "width", "part", "salt", "vec_id", "embedding"]
+    asked = rows.where(F.col("vec_id") % every == 0).withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(6)), F.col("parts")).cast("int")).withColumn("salt", spread("salts")).select(*columns, F.lit(False).alias("other"))
+    other = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("salts")).cast("int")).withColumn("part", spread("parts")).select(*columns, F.lit(True).alias("other"))
+    keys = ["label", "width", "part", "salt"]
+    exact = asked.unionByName(other).repartition(n, *keys).sortWithinPartitions(*keys, "other").mapInArrow(_tally(least), "vec_id long, hits long")
+    exact = exact.groupBy(F.col("vec_id").alias("asked_id")).agg((F.sum("hits") - 1).alias("exact"))  # each meets itself
+    chosen = found.where(F.col("vec_id") % every == 0)
+    return chosen.join(exact, F.col("vec_id") == F.col("asked_id"), "left").select("vec_id", "n_links", F.coalesce("exact", F.lit(0)).alias("exact_links"))
