@@ -3,14 +3,16 @@
 An Aho-Corasick automaton enumerates the pieces that end at each place of a
 text; the best score up to there, and how many pieces it took, are all that is
 carried on. Tie and unknown rules are those of the ``tokenizers`` library's
-Unigram model: of paths with the same score that with the longest last piece
-wins, a character without a piece of its own costs the lowest score less 10,
-and counts as its bytes.
-
-Scores of the vocabulary are whole numbers, whose sums are exact in doubles;
-no piece holds a space mark after another character, or a line break, so the
-best path of a text joins those of its chunks, and each distinct chunk is
-solved once.
+Unigram model: scores are summed from the left in double precision, of paths
+with the same score that with the longest last piece wins, a character without
+a piece of its own costs the lowest score less 10, and counts as its bytes
+where the vocabulary has byte pieces; else a run of such characters is one
+token.
+
+A text is one path in general, as sums in double precision depend on what comes
+before. Where the scores are whole numbers, whose sums are exact, and no piece
+holds a space mark after another character, or a line break, the best path of a
+text joins those of its chunks, and each distinct chunk is solved once.
 """
 
 from __future__ import annotations
@@ -30,18 +32,15 @@ REMEMBERED = 250_000
 
 
 class Counter:
-    """``vocabulary``: (piece, score) pairs, one ``<0xHH>`` for each byte among them."""
+    """``vocabulary``: (piece, score) pairs; with one ``<0xHH>`` for each byte among them, unknown characters are bytes."""
 
     def __init__(self, vocabulary: list[tuple[str, float]]):
         import ahocorasick
 
-        if any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p, _ in vocabulary):
-            raise ValueError("a piece crosses a chunk border")
-        if any(s != int(s) or abs(s) > 1e9 for _, s in vocabulary):
-            raise ValueError("scores must be whole numbers of at most 1e9: other sums are not exact")
         pieces = {p for p, _ in vocabulary}
-        if not all(f"<0x{b:02X}>" in pieces for b in range(256)):
-            raise ValueError("the vocabulary has no byte pieces")
+        self.bytes = all(f"<0x{b:02X}>" in pieces for b in range(256))
+        exact = all(s == int(s) and abs(s) <= 1e9 for _, s in vocabulary)
+        self.chunked = self.bytes and exact and not any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in pieces)
         self.automaton = ahocorasick.Automaton()
         for p, s in vocabulary:
             if p:
@@ -51,32 +50,40 @@ class Counter:
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
         self.memory: dict[str, int] = {}
 
-    def solve(self, chunk: str) -> int:
-        """Pieces in the best path of one chunk."""
-        n = len(chunk)
-        score, count = [0.0] * (n + 1), [0] * (n + 1)
-        ending: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(chunk):
-            ending[end].append(match)
+    def solve(self, text: str) -> int:
+        """Pieces in the best path of a text or chunk."""
+        n = len(text)
+        score, count, strange = [0.0] * (n + 1), [0] * (n + 1), bytearray(n + 1)  # strange: the path ends in an unknown character
+        matches = self.automaton.iter(text)
+        found = next(matches, None)
         for end in range(n):
-            best, pieces, single = None, 0, False
-            for length, s in sorted(ending[end], reverse=True):  # the longest, which starts first, first
+            here = []
+            while found is not None and found[0] == end:
+                here.append(found[1])
+                found = next(matches, None)
+            best, pieces, single, odd = None, 0, False, 0
+            for length, s in sorted(here, reverse=True):  # the longest, which starts first, first
                 single |= length == 1
-                if best is None or score[end + 1 - length] + s > best:
-                    best, pieces = score[end + 1 - length] + s, count[end + 1 - length] + 1
-            if not single and (best is None or score[end] + self.unknown > best):
-                best, pieces = score[end] + self.unknown, count[end] + len(chunk[end].encode())
-            score[end + 1], count[end + 1] = best, pieces
+                total = s + score[end + 1 - length]
+                if best is None or total > best:
+                    best, pieces = total, count[end + 1 - length] + 1
+            if not single and (best is None or self.unknown + score[end] > best):
+                best, odd = self.unknown + score[end], 1
+                pieces = count[end] + (len(text[end].encode("utf-8", "surrogatepass")) if self.bytes else not strange[end])
+            score[end + 1], count[end + 1], strange[end + 1] = best, pieces, odd
         return count[n]
 
     def count(self, text: str) -> int:
         """Tokens of a text: a space mark before it, space marks for spaces."""
         if not text:
             return 0
+        text = SPACE + text.replace(" ", SPACE)
+        if not self.chunked:
+            return self.solve(text)
         if len(self.memory) > REMEMBERED:
             self.memory.clear()
         known, total = self.memory, 0
-        for chunk in self.chunks.findall(SPACE + text.replace(" ", SPACE)):
+        for chunk in self.chunks.findall(text):
             n = known.get(chunk)
             if n is None:
                 n = self.solve(chunk)
