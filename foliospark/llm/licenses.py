@@ -4,7 +4,10 @@ Only DataFrame functions: a text is lower-cased (A-Z), copyright lines go,
 equivalent spellings become one, everything but letters and digits becomes one
 space, and the SHA-256 of what is left is looked up among the digests of known
 texts. A whole text is compared with whole licences; each of its lines is
-compared with known licence notices.
+compared with known licence notices. A copyright line begins with "copyright",
+"(c)" or "©" and goes on with one of these signs, a year or a place for one;
+other lines that begin so, as where body text is wrapped, stay. The table is
+read once.
 """
 
 from __future__ import annotations
@@ -17,8 +20,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Patterns and what they become, in this order, on lower-cased text.
 # They are written so that Java and RE2 read them alike; {1} and {2} are groups.
 RULES = [
-    (r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$", ""),
+    (r"(^|\n)[^a-z0-9\n(©]*(?:copyright[ \t:]*(?:\(c\)|©|[0-9]{4}|[<\[{]*(?:year|yyyy|date))|(?:\(c\)|©)[ \t]*(?:copyright|[0-9]{4}))[^\n]*", "{1}"),
     (r"[^a-z0-9]+", " "),
+    (r"(^| )all rights reserved\b", ""),
     (r"\b(sub|re)?licenc(e|es|ed|ing|ee|or)\b", "{1}licens{2}"),
     (r"\b(authori|organi|recogni|customi|utili|initiali)s(e|ed|es|ing|ation|ations)\b", "{1}z{2}"),
     (r"\b(fav|behavi|col|hon)our", "{1}or"),
@@ -44,6 +48,12 @@ Permission is granted to anyone to use this software for any purpose, including
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
 
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <https://unlicense.org>"""
+
 # Whole licences, without their titles.
 LICENSES = [
     ("MIT", _MIT),
@@ -58,6 +68,25 @@ LICENSES = [
     ("BSD-3-Clause", "\n".join(["BSD 3-Clause License", _BSD, _BSD_THREE, _BSD_END])),
     ("Zlib", _ZLIB),
     ("Zlib", "zlib License\n" + _ZLIB),
+    ("Unlicense", _UNLICENSE),
+]
+# Digests of the canonical forms of long licences, as their stewards publish the texts
+# (Apache-2.0 also without its appendix).
+DIGESTS = [
+    ("Apache-2.0", "04e64e0427d80fdde16fa8415931bf2c09bc943f13ec322a09df188bf23a3543"),
+    ("Apache-2.0", "824065d72ca31b7c727341396be4cf76f464b15d9bef680a3638007ce92a009f"),
+    ("Apache-2.0", "119e2da0e9ec849d113a40405b338c1bbbd2ef9194c22bf2740fa4e195411c40"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-2.0", "12274540925f246f7614a52b7ebddfbe0463ff1ab194088c554c73552c45582d"),
+    ("CC0-1.0", "cccf7894e1b9f4ba9f97728bf0c5baf9e07bc2ac93da7a51556451b1fb2b868e"),
+    ("Artistic-1.0", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
+    ("MPL-1.1", "c723f1c8033214c990abc66d271f80fce0ec8b02e61de8e6af2f8368a0e6727b"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("GFDL-1.3", "a92fdbaeafedd9cbeb812ebbded06ee07e3b1427c81cfc333e682109c594d826"),
 ]
 # Licence notices of one line.
 NOTICES = [
@@ -97,6 +126,11 @@ def known(spark: SparkSession, texts: list[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(texts, "license_id string, text string").groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license_id").alias("license_id")).where("digest is not null")
 
 
+def whole_licenses(spark: SparkSession) -> DataFrame:
+    """(license_id, digest) of the licences that are known as whole texts."""
+    return known(spark, LICENSES).select("license_id", "digest").unionByName(spark.createDataFrame(DIGESTS, "license_id string, digest string"))
+
+
 def scan(docs: DataFrame, licenses: DataFrame | None = None, notices: DataFrame | None = None) -> DataFrame:
     """One row for each doc_id: doc_id, text_digest, license_id, notice_ids.
 
@@ -106,25 +140,23 @@ def scan(docs: DataFrame, licenses: DataFrame | None = None, notices: DataFrame
     DataFrames (license_id, digest), of any size; the built-in ones by default.
 
     Null, empty and letterless texts have a null digest and match nothing. Rows
-    that repeat a doc_id count as one document (the smallest digest, all
-    notices). Rows with a null doc_id make one row. Very long texts are matched
-    whole. Only ``doc_id`` and ``text`` are read.
+    that repeat a doc_id count as one document (the smallest digest, the
+    smallest license_id, all notices). Rows with a null doc_id make one row.
+    Very long texts are matched whole. Only ``doc_id`` and ``text`` are read.
     """
     spark = docs.sparkSession
-    built_in = notices is None
-    licenses = known(spark, LICENSES) if licenses is None else licenses.select("license_id", "digest")
-    notices = known(spark, NOTICES) if built_in else notices.select("license_id", "digest")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    whole = rows.select("doc_id", digest(F.col("text")).alias("digest"))
-    whole = whole.join(licenses, "digest", "left").groupBy("doc_id").agg(F.min("digest").alias("text_digest"), F.min("license_id").alias("license_id"))
+    licenses = whole_licenses(spark) if licenses is None else licenses.select("license_id", "digest")
     lines = F.split("text", "\n")
-    if built_in:  # those that "licens", "licenc" are not in can't be one of ours
-        lines = F.filter(lines, lambda x: x.rlike("(?i)licen[sc]"))
-    lines = rows.select("doc_id", F.explode(lines).alias("line"))
-    found = lines.select("doc_id", digest(F.col("line")).alias("digest")).join(notices, "digest")
-    found = found.groupBy(F.col("doc_id").alias("nid")).agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notice_ids"))
-    joined = whole.join(found, F.col("doc_id").eqNullSafe(F.col("nid")), "left")
-    return joined.select("doc_id", "text_digest", "license_id", F.coalesce("notice_ids", F.lit("")).alias("notice_ids"))
+    if notices is None:  # lines that "licens", "licenc" are not in can't be a built-in notice
+        notices, lines = known(spark, NOTICES), F.filter(lines, lambda x: x.rlike("(?i)licen[sc]"))
+    of = lambda df, kind: df.groupBy("digest").agg(F.min("license_id").alias("id")).select(F.lit(kind).alias("of"), F.col("digest").alias("known"), "id")
+    targets = of(licenses, "text").unionByName(notices.select(F.lit("line").alias("of"), F.col("digest").alias("known"), F.col("license_id").alias("id")))
+    parts = F.concat(F.array(F.struct(F.lit("text").alias("kind"), F.col("text").alias("part"))), F.coalesce(F.transform(lines, lambda x: F.struct(F.lit("line").alias("kind"), x.alias("part"))), F.array()))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(parts).alias("p")).select("doc_id", "p.kind", digest(F.col("p.part")).alias("digest"))
+    found = rows.join(targets, (F.col("kind") == F.col("of")) & (F.col("digest") == F.col("known")), "left")
+    whole = F.col("kind") == "text"
+    found = found.groupBy("doc_id").agg(F.min(F.when(whole, F.col("digest"))).alias("text_digest"), F.min(F.when(whole, F.col("id"))).alias("license_id"), F.collect_set(F.when(~whole, F.col("id"))).alias("ids"))
+    return found.select("doc_id", "text_digest", "license_id", F.array_join(F.array_sort("ids"), ",").alias("notice_ids"))
 
 
 def sql(documents: str = "documents") -> str:
@@ -144,7 +176,8 @@ def sql(documents: str = "documents") -> str:
         return f"{name} AS (SELECT sha256(form) AS digest, min(license_id) AS license_id FROM (SELECT license_id, {form('text')} AS form FROM (VALUES {values(texts)}) v(license_id, text)) GROUP BY 1)"
 
     return f"""
-WITH {held("licenses", LICENSES)}, {held("notices", NOTICES)},
+WITH {held("short_licenses", LICENSES)}, {held("notices", NOTICES)},
+licenses AS (SELECT digest, min(license_id) AS license_id FROM (SELECT digest, license_id FROM short_licenses UNION ALL VALUES {", ".join(f"({quote(d)}, {quote(i)})" for i, d in DIGESTS)}) GROUP BY 1),
 forms AS (SELECT doc_id, {form("text")} AS form FROM {documents}),
 whole AS (SELECT doc_id, CASE WHEN form <> '' THEN sha256(form) END AS digest FROM forms),
 matched AS (SELECT w.doc_id, min(w.digest) AS text_digest, min(l.license_id) AS license_id FROM whole w LEFT JOIN licenses l ON w.digest = l.digest GROUP BY w.doc_id),
