@@ -30,12 +30,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     ``spark.checkpoint.dir`` of the session where it is set; else a folder that
-    was given to ``setCheckpointDir``; else (tests on one machine) a new
-    temporary one.
+    was given to ``setCheckpointDir``; else, where driver and executors are one
+    process, a new temporary one. A cluster must name its folder.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.partition("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="foliospark-")
         sc.setCheckpointDir(named)
         named = sc.getCheckpointDir()
@@ -216,19 +218,20 @@ def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
 
 
 # ------------------------------------------------------------------- components
-def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected ``edges`` as rows (id, component = smallest id).
 
     Rounds of least-neighbour labels with pointer jumping; each round is
     aggregated before it is shuffled and ends in a shared table. A vertex of
     any degree is safe: its edges are only aggregated or joined, and a skewed
-    join is split by AQE.
+    join is split by AQE. Labels only fall, so the rounds end; pointer jumping
+    makes them few.
     """
     spark = edges.sparkSession
     pairs = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
     both = table(pairs.unionAll(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges")
     labels = table(both.groupBy(F.col("x").alias("id")).agg(F.min("y").alias("m")).select("id", F.least("id", "m").alias("component"), F.lit(True).alias("changed")), "labels")
-    for _ in range(most_rounds):
+    while True:
         near = both.join(labels, both.y == labels.id).groupBy(F.col("x").alias("nid")).agg(F.min("component").alias("m"))
         lower = labels.join(near, F.col("id") == F.col("nid"), "left").select("id", F.col("component").alias("old"), F.least("component", F.coalesce("m", "component")).alias("label"))
         roots = labels.select(F.col("id").alias("rid"), F.col("component").alias("root"))
@@ -239,4 +242,3 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         if labels.where("changed").limit(1).count() == 0:
             drop_table(both)
             return labels.select("id", "component")
-    raise RuntimeError(f"components: no fixpoint after {most_rounds} rounds")
