@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import functools
 import re
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-GAP = 300
+from foliospark.operators.lineage import cut
+
+#: Characters between a path and its title, and of a body's beginning that it is known by, at most.
+GAP, BODY = 300, 120
 
 
 def page_offsets(pages: DataFrame, book: str, page: str, text: str) -> DataFrame:
@@ -26,6 +34,71 @@ def page_of(offsets: DataFrame, starts: DataFrame, book: str, offset: str, page:
     return both.withColumn("page_found", last).where("_k = 1").select("_r.*", F.col("page_found").alias(page))
 
 
+# ------------------------------------------------------------ texts in a text
+#: Characters of patterns in one automaton, and of a text in one slice, about.
+PATTERNS, SLICE = 4_000_000, 1_000_000
+
+
+def lowered(text: str) -> str:
+    """In small letters, of the same length: a letter that would become two stays, so that places hold in the text itself."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x) == 1 else c for c in text for x in (c.lower(),))
+
+
+def automaton(words: Iterable[tuple[str, int]]):
+    """An Aho-Corasick automaton whose words tell which numbers they have; None without words."""
+    import ahocorasick
+
+    numbers: dict[str, list[int]] = {}
+    for word, number in words:
+        if word:
+            numbers.setdefault(word, []).append(number)
+    if not numbers:
+        return None
+    made = ahocorasick.Automaton()
+    for word, own in numbers.items():
+        made.add_word(word, (len(word), own))
+    made.make_automaton()
+    return made
+
+
+def pattern_blocks(patterns: DataFrame, size: Column) -> Iterator[list[Row]]:
+    """The rows of ``patterns`` in blocks of about ``PATTERNS`` characters, each of which is broadcast by itself."""
+    total = patterns.agg(F.sum(size).alias("n")).first()["n"] or 0
+    n = int(total // PATTERNS) + 1
+    dealt = patterns if n == 1 else patterns.withColumn("_block", F.pmod(F.xxhash64(*patterns.columns), F.lit(n)))
+    for i in range(n):
+        yield (dealt if n == 1 else dealt.where(F.col("_block") == i).drop("_block")).collect()
+
+
+def first_hits(texts: DataFrame, patterns: DataFrame, key: str, text: str, pattern_key: str, pattern: str) -> DataFrame:
+    """(key, pattern_key, first_hit): where each text first holds each pattern, from 1; texts that hold it only.
+
+    One pass over the texts finds all patterns of a block; no text is shuffled.
+    An empty pattern is in every text.
+    """
+    sc, parts = texts.sparkSession.sparkContext, []
+    schema = T.StructType([texts.schema[key], patterns.schema[pattern_key], T.StructField("first_hit", T.LongType())])
+    for block in pattern_blocks(patterns.select(pattern_key, pattern).where(F.col(pattern).isNotNull()), F.length(pattern) + 8):
+        shared = sc.broadcast([tuple(r) for r in block])
+
+        def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            words = shared.value
+            seek, always = automaton((w, i) for i, (_, w) in enumerate(words)), [i for i, (_, w) in enumerate(words) if not w]
+            for batch in batches:
+                rows: list[tuple] = []
+                for own, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    first = dict.fromkeys(always, 1)
+                    for end, (length, numbers) in seek.iter(body) if seek is not None else ():
+                        for i in numbers:
+                            first.setdefault(i, end - length + 2)
+                    rows += [(own, words[i][0], at) for i, at in first.items()]
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=to_arrow_schema(schema))
+
+        parts.append(texts.select(key, text).where(F.col(text).isNotNull()).mapInArrow(find, schema))
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
 def occurrences(path: str, title: str, body: str, text: str, gap: int = GAP) -> list[tuple[int, int, str]]:
     """Where a document begins in a text: (head, body start, how), all lower-cased beforehand.
 
@@ -33,43 +106,86 @@ def occurrences(path: str, title: str, body: str, text: str, gap: int = GAP) ->
     inside the path does); without any, the first place of the body's first 120
     characters, if it has 40. A document without a title has no headings.
     """
-    heads = [m.start() for m in re.finditer(f"(?={re.escape(path)})", text)] if title else []
-    titles = [text.find(title, h) for h in heads]
-    found = [(h, t + len(title), "heading") for h, t in zip(heads, titles, strict=True) if t >= 0 and t - h - len(path) <= gap]
-    start = -1 if found or len(body[:120]) < 40 else text.find(body[:120])
-    return found if start < 0 else [(start, start, "body")]
+    heads = [h for m in re.finditer(f"(?={re.escape(path)})", text) if (h := heading_at(m.start(), path, title, text, gap))] if title else []
+    start = -1 if heads or len(body[:BODY]) < 40 else text.find(body[:BODY])
+    return heads if start < 0 else [(start, start, "body")]
+
+
+def heading_at(head: int, path: str, title: str, text: str, gap: int) -> tuple[int, int, str] | None:
+    """The heading whose path stands at ``head``, if its title follows within ``gap``."""
+    at = text.find(title, head, head + len(path) + gap + len(title))
+    return (head, at + len(title), "heading") if at >= 0 else None
 
 
 def anchors(docs: DataFrame, books: DataFrame, gap: int = GAP) -> DataFrame:
     """(book, id, head, body_start, how) of each document (book, id, path, title, body) in its book's text (book, text).
 
-    A book's text is met by its documents in bounded groups of salted rows.
+    Texts are cut into slices that overlap by the longest heading, and each
+    slice is passed over once for each block of documents, whose paths and
+    beginnings are the words of one automaton. A document without a path is
+    looked for at every place of the slice.
     """
-    schema = "book string, id long, head long, body_start long, how string"
-    salted = docs.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(16)).cast("int"))
-    texts = books.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
-
-    def find(key, own: pd.DataFrame, book: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for text in book["text"]:
-            low = text.lower()
-            for d in own.itertuples():
-                rows += [(key[0], d.id, head, start, how) for head, start, how in occurrences(d.path.lower(), d.title.lower(), d.body.lower(), low, gap)]
-        return pd.DataFrame(rows, columns=["book", "id", "head", "body_start", "how"])
-
-    return salted.groupBy("book", "salt").cogroup(texts.groupBy("book", "salt")).applyInPandas(find, schema)
-
-
-def thinned(events: Column) -> Column:
-    """Of sorted structs (head, body_start, ...), those whose head is not inside the last kept one."""
-    keep = lambda acc, e: F.when((F.size(acc) == 0) | (e["head"] >= F.element_at(acc, -1)["body_start"]), F.concat(acc, F.array(e))).otherwise(acc)
-    return F.aggregate(F.array_sort(events), F.filter(events, lambda e: F.lit(False)), keep)
+    spark = docs.sparkSession
+    own = docs.select("book", F.col("id").cast("long").alias("id"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("path", "title")], F.left(F.coalesce("body", F.lit("")), F.lit(BODY)).alias("body")).where("title <> '' or length(body) >= 40")
+    longest = own.agg(F.max(F.length("path") + F.length("title")).alias("n")).first()["n"] or 0
+    over = max(BODY, longest + gap)
+    cuts = books.where(F.length("text") > 0).select("book", "text", F.explode(F.sequence(F.lit(0), F.ceil(F.length("text") / SLICE).cast("int") - 1)).alias("i"))
+    slices = cuts.select("book", (F.col("i").cast("long") * SLICE).alias("begin"), F.substr("text", F.col("i") * SLICE + 1, F.lit(SLICE + over)).alias("text"))
+    schema = T.StructType([docs.schema["book"], *(T.StructField(n, T.LongType()) for n in ("id", "head", "body_start")), T.StructField("how", T.StringType())])
+    parts = []
+    for block in pattern_blocks(own, F.length("path") + F.length("title") + F.length("body") + 16):
+        shared = spark.sparkContext.broadcast([(r["book"], r["id"], *(lowered(r[c]) for c in ("path", "title", "body"))) for r in block])
+
+        def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            asked = shared.value
+            paths = automaton((d[2], i) for i, d in enumerate(asked) if d[3])
+            bodies = automaton((d[4], i) for i, d in enumerate(asked) if len(d[4]) >= 40)
+            bare = [i for i, d in enumerate(asked) if d[3] and not d[2]]
+            for batch in batches:
+                rows = []
+                for book, begin, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    text = lowered(raw)
+                    at = [(end - length + 1, i) for end, (length, numbers) in paths.iter(text) for i in numbers] if paths is not None else []
+                    at += [(h, i) for i in bare if asked[i][0] == book for h in range(min(len(text), SLICE))]
+                    for head, i in at:
+                        named, own_id, path, title, _ = asked[i]
+                        if named == book and head < SLICE and (found := heading_at(head, path, title, text, gap)):
+                            rows.append((book, own_id, begin + found[0], begin + found[1], "heading"))
+                    first: dict[int, int] = {}
+                    for end, (length, numbers) in bodies.iter(text) if bodies is not None else ():
+                        for i in numbers:
+                            if asked[i][0] == book and end - length + 1 < SLICE:
+                                first.setdefault(i, begin + end - length + 1)
+                    rows += [(book, asked[i][1], h, h, "body") for i, h in first.items()]
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=to_arrow_schema(schema))
+
+        parts.append(slices.select("book", "begin", "text").mapInArrow(find, schema))
+    found = cut(functools.reduce(DataFrame.unionAll, parts))
+    headed = found.where("how = 'heading'")
+    rest = found.where("how = 'body'").groupBy("book", "id").agg(F.min("head").alias("head")).join(headed.select("book", "id"), ["book", "id"], "left_anti")
+    return headed.unionByName(rest.select("book", "id", "head", F.col("head").alias("body_start"), F.lit("body").alias("how")))
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def outside(heads: pd.Series, starts: pd.Series) -> pd.Series:
+    """Of sorted events, the places (from 1) of those whose head is not inside the last kept one."""
+
+    def kept(head, start) -> list[int]:
+        out, end = [], None
+        for i, (h, s) in enumerate(zip(head, start, strict=True), 1):
+            if end is None or h >= end:
+                out.append(i)
+                end = s
+        return out
+
+    return pd.Series([kept(h, s) for h, s in zip(heads, starts, strict=True)])
 
 
 def boundaries(events: DataFrame, book: str = "book") -> DataFrame:
     """Events of each book thinned and with the head of the next kept one (null: the end)."""
-    lists = events.groupBy(book).agg(F.collect_list(F.struct("head", "body_start", "how", "id")).alias("e"))  # one small struct for each heading of a book
-    kept = lists.select(book, F.explode(thinned(F.col("e"))).alias("x")).select(book, "x.*")
+    lists = events.groupBy(book).agg(F.array_sort(F.collect_list(F.struct("head", "body_start", "how", "id"))).alias("e"))  # one small struct for each heading of a book
+    places = outside(F.transform("e", lambda x: x["head"].cast("long")), F.transform("e", lambda x: x["body_start"].cast("long")))
+    kept = lists.select(book, "e", F.explode(places).alias("i")).select(book, F.element_at("e", F.col("i")).alias("x")).select(book, "x.*")
     return kept.withColumn("next_head", F.lead("head").over(Window.partitionBy(book).orderBy("head", "body_start", "how", "id")))
 
 

@@ -49,6 +49,8 @@ def compared(docs: DataFrame, other: DataFrame, node_titles: DataFrame | None =
     ``docs``: (book, id, path, title, markdown); ``other``: :func:`aligned`.
     Web references are path, title and text of all documents and the titles of
     all nodes; the documents' own n-grams are those of their text only.
+    ``extra_in_pdf`` and ``extra_in_web`` hold the first passages that the other
+    side lacks.
     """
     key = lambda df: df.withColumn("key", F.concat_ws("/", "book", F.col("id").cast("string")))
     mark = F.regexp_replace("markdown", FIGURE_MARK, " ")
@@ -57,15 +59,18 @@ def compared(docs: DataFrame, other: DataFrame, node_titles: DataFrame | None =
     if node_titles is not None:
         known = known.unionByName(node_titles.where("title <> ''").select("book", F.col("title").alias("text")))
     pdf = key(other)
-    grams = lambda df: df.select("book", F.explode(tx.shingles(tx.words(F.lower("text")), n)).alias("shingle")).distinct()
+    grams = lambda df: coverage.reference(df, n=n, by=["book"])
     bags = lambda df: df.select("book", F.explode(tx.words(F.lower("text"))).alias("word")).groupBy("book", "word").agg(F.count("*").alias("n"))
 
     def side(own: DataFrame, whole: DataFrame, name: str) -> DataFrame:
-        rows = own.select("book", "key", F.explode(tx.shingles(tx.words(F.lower("text")), n)).alias("shingle"))
-        found = rows.join(grams(whole).withColumn("hit", F.lit(1)), ["book", "shingle"], "left").groupBy("key").agg(F.count("*").alias(f"{name}_words"), F.count_if(F.col("hit").isNull()).alias(f"only_in_{name}"))
+        rows = coverage.shingle_rows(own, ["book", "key"], n=n)
+        marked = rows.join(grams(whole).withColumn("hit", F.lit(1)), ["book", "gram"], "left")
+        found = marked.groupBy("key").agg(F.count("*").alias(f"{name}_words"), F.count_if(F.col("hit").isNull()).alias(f"only_in_{name}"))
+        shown = coverage.passages(own, marked.where("hit is null").select("book", "key", "pos"), ["book", "key"])
+        shown = shown.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("run", "passage"))), lambda x: x["passage"]).alias(f"extra_in_{name}"))  # a few
         words = own.select("book", "key", F.explode(tx.words(F.lower("text"))).alias("word")).groupBy("book", "key", "word").agg(F.count("*").alias("c"))
         shared = words.join(bags(whole), ["book", "word"], "left").groupBy("key").agg((F.sum(F.least("c", F.coalesce("n", F.lit(0)))) / F.sum("c")).alias(f"lexical_{name}"))
-        out = own.select("key").join(found, "key", "left").join(shared, "key", "left").na.fill(0, [f"{name}_words", f"only_in_{name}"]).na.fill(1.0, [f"lexical_{name}"])
+        out = own.select("key").join(found, "key", "left").join(shown, "key", "left").join(shared, "key", "left").withColumn(f"extra_in_{name}", F.coalesce(f"extra_in_{name}", F.array().cast("array<string>"))).na.fill(0, [f"{name}_words", f"only_in_{name}"]).na.fill(1.0, [f"lexical_{name}"])
         return out.withColumn(f"coverage_{name}", coverage.ratio(F.col(f"{name}_words") - F.col(f"only_in_{name}"), F.col(f"{name}_words")))
 
     both = pdf.select("book", "id", "key", "page", "page_end", "anchored_by").join(side(pdf, known, "pdf"), "key").join(side(web, other, "web"), "key")

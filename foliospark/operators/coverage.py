@@ -1,6 +1,7 @@
 """What of one body of text is found in another: n-gram and word-bag coverage, with a verdict.
 
-Membership is exact: n-grams are compared as arrays of words, never by sketch.
+N-grams meet by 128-bit keys, so that eight copies of a text are neither held
+nor shuffled; words themselves are only looked at where passages are shown.
 """
 
 from __future__ import annotations
@@ -11,31 +12,69 @@ from pyspark.sql import functions as F
 from foliospark.functions import text as tx
 
 N = 8
+#: Passages of missing text: characters between places of one passage, and how many are shown.
+GAP, SHOWN = 200, 5
+
+
+def gram_key(shingle: Column) -> Column:
+    """128 bits of an n-gram."""
+    return F.struct(F.xxhash64(shingle).alias("a"), F.xxhash64(F.lit(N), shingle).alias("b"))
 
 
 def shingle_rows(docs: DataFrame, key: list[str], text: str = "text", n: int = N) -> DataFrame:
-    """(key..., pos, shingle) for each n-gram position of the lower-cased text."""
-    return docs.select(*key, F.posexplode(tx.shingles(tx.words(F.lower(text)), n)).alias("pos", "shingle"))
+    """(key..., pos, gram) for each n-gram position of the lower-cased text."""
+    return docs.select(*key, F.posexplode(F.transform(tx.shingles(tx.words(F.lower(text)), n), gram_key)).alias("pos", "gram"))
 
 
-def reference(docs: DataFrame, text: str = "text", n: int = N) -> DataFrame:
-    """The distinct n-grams of a body of text."""
+def shingle_texts(docs: DataFrame, text: str = "text", n: int = N) -> DataFrame:
+    """The distinct n-grams of a body of text as words."""
     return docs.select(F.explode(tx.shingles(tx.words(F.lower(text)), n)).alias("shingle")).distinct()
 
 
-def missing(rows: DataFrame, known: DataFrame) -> DataFrame:
+def reference(docs: DataFrame, text: str = "text", n: int = N, by: list[str] | None = None) -> DataFrame:
+    """The distinct n-grams of a body of text by their keys; of each body, where ``by`` names some."""
+    return docs.select(*(by or []), F.explode(F.transform(tx.shingles(tx.words(F.lower(text)), n), gram_key)).alias("gram")).distinct()
+
+
+def missing(rows: DataFrame, known: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows of :func:`shingle_rows` whose n-gram the reference lacks."""
-    return rows.join(known, "shingle", "left_anti")
+    return rows.join(known, [*(by or []), "gram"], "left_anti")
+
+
+def word_places(docs: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """(key..., pos, start): where each word of the lower-cased text begins, in characters from 0."""
+    parts = F.transform(F.regexp_extract_all(F.lower(text), F.lit(f"(?s)(.*?)({tx.WORD})"), F.lit(0)), F.length)
+    words = F.transform(tx.words(F.lower(text)), F.length)
+    rows = docs.select(*key, F.posexplode(F.arrays_zip(parts.alias("part"), words.alias("word"))).alias("pos", "x"))
+    before = Window.partitionBy(*key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.select(*key, "pos", (F.sum("x.part").over(before) - F.col("x.word")).cast("long").alias("start"))
+
+
+def passages(docs: DataFrame, gone: DataFrame, key: list[str], text: str = "text", gap: int = GAP, most: int | None = SHOWN) -> DataFrame:
+    """(key..., run, first, passage): the text about missing n-grams (key..., pos), the first ``most`` runs of each document.
+
+    Places less than ``gap`` characters apart are one run, whose passage goes on
+    for ``gap`` characters after its last place. Places are of the lower-cased
+    text; where lower-casing changes a text's length, its passages are lower-cased too.
+    """
+    held = docs.join(gone.select(*key).distinct(), key, "left_semi").select(*key, F.when(F.length(F.lower(text)) == F.length(text), F.col(text)).otherwise(F.lower(text)).alias("_text"))
+    at = gone.select(*key, "pos").join(word_places(held, key, "_text"), [*key, "pos"])
+    named = at.withColumn("_key", F.struct(*key))
+    found = runs(named, "_key", "start", gap).select("_key.*", "run", "first", "last")
+    if most is not None:
+        found = found.where(F.col("run") <= most)
+    cut = F.substr("_text", (F.col("first") + 1).cast("int"), (F.col("last") - F.col("first") + gap).cast("int"))
+    return found.join(held, key).select(*key, "run", "first", tx.strip(cut).alias("passage"))
 
 
 def ngram_coverage(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text", n: int = N) -> DataFrame:
     """(key, total, n_only, coverage): n-gram positions, those not in the reference, and 1 - n_only / total; 1.0 where there are none.
 
-    Positions are joined as they are: where the reference is small enough to be
-    broadcast, no n-gram is shuffled, only counts are.
+    Positions are joined by their keys: where the reference is small enough to
+    be broadcast nothing but counts is shuffled, else sixteen bytes a position.
     """
-    rows = shingle_rows(docs, [key], text, n).select(key, "shingle")
-    marked = rows.join(known.withColumn("found", F.lit(1)), "shingle", "left")
+    rows = shingle_rows(docs, [key], text, n).select(key, "gram")
+    marked = rows.join(known.withColumn("found", F.lit(1)), "gram", "left")
     counts = marked.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("total"), F.count_if(F.col("found").isNull()).alias("n_only"))
     joined = docs.select(key).join(counts, F.col(key) == F.col("_k"), "left")
     total, only = F.coalesce("total", F.lit(0)), F.coalesce("n_only", F.lit(0))

@@ -1,15 +1,24 @@
-"""Cutting lineage between rounds of iterative operators."""
+"""Cutting lineage between rounds of iterative operators, and the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` from a reliable checkpoint in the shared folder that ``spark.checkpoint.dir`` names (a temporary one where none is set)."""
-    sc = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where driver and executors are one process."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="foliospark-"))
+        named = sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and sc.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="foliospark-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` from a reliable checkpoint in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()

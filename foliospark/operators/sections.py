@@ -14,19 +14,21 @@ def packed(sizes: Column, cap: int = CAP, tail: int = TAIL) -> Column:
     """Part numbers for an ordered array of sizes.
 
     A part is closed when it holds something and the next size would lift it
-    over ``cap``; a last part below ``tail`` joins the one before it.
+    over ``cap``; a last part below ``tail`` joins the one before it. The fold
+    keeps only where parts begin, so it grows with their number.
     """
-    state = F.struct(F.lit(0).cast("long").alias("total"), F.lit(1).alias("part"), F.lit(0).alias("held"), F.array().cast("array<int>").alias("parts"))
+    state = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("at"), F.array(F.lit(0)).alias("begins"))
 
     def step(acc: Column, size: Column) -> Column:
-        new = (acc["held"] > 0) & (acc["total"] + size > cap)
-        part = F.when(new, acc["part"] + 1).otherwise(acc["part"])
-        return F.struct(F.when(new, size).otherwise(acc["total"] + size).alias("total"), part.alias("part"), F.when(new, 1).otherwise(acc["held"] + 1).alias("held"), F.concat(acc["parts"], F.array(part)).alias("parts"))
+        new = (acc["at"] > F.element_at(acc["begins"], -1)) & (acc["total"] + size > cap)
+        return F.struct(F.when(new, size).otherwise(acc["total"] + size).alias("total"), (acc["at"] + 1).alias("at"), F.when(new, F.concat(acc["begins"], F.array(acc["at"]))).otherwise(acc["begins"]).alias("begins"))
 
     def close(acc: Column) -> Column:
-        last = acc["part"]
-        small = (last > 1) & (acc["total"] < tail)
-        return F.transform(acc["parts"], lambda p: F.when(small & (p == last), p - 1).otherwise(p))
+        begins = acc["begins"]
+        small = (F.size(begins) > 1) & (acc["total"] < tail)
+        begins = F.when(small, F.slice(begins, F.lit(1), F.size(begins) - 1)).otherwise(begins)
+        ends = F.concat(F.slice(begins, F.lit(2), F.size(begins)), F.array(acc["at"]))
+        return F.flatten(F.transform(F.arrays_zip(begins.alias("a"), ends.alias("b")), lambda x, i: F.array_repeat(i + 1, x["b"] - x["a"])))
 
     return F.aggregate(sizes, state, step, close)
 

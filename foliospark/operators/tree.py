@@ -7,22 +7,24 @@ tree, so a tree of any size costs its depth in rounds.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.operators.lineage import cut
 
-MOST_LEVELS = 64
-
 
-def levels(nodes: DataFrame, most: int = MOST_LEVELS) -> DataFrame:
+def levels(nodes: DataFrame) -> DataFrame:
     """Nodes with depth and path_ord (the sibling ordinals from the root), whose order is the reading order.
 
-    Nodes that no root leads to are left out. A cycle is never reached from a root.
+    Levels are added until one is empty, however deep the tree. Ids are
+    distinct, so each node is reached once; nodes that no root leads to, cycles
+    among them, are left out.
     """
     front = nodes.where("parent is null").select("id", "parent", "sib_ord", F.lit(0).alias("depth"), F.array("sib_ord").alias("path_ord"), F.array("id").alias("chain"))
     out, below = front, nodes.where("parent is not null")
-    for depth in range(1, most):
+    for depth in itertools.count(1):
         up = front.select(F.col("id").alias("up"), F.col("path_ord").alias("up_ord"), F.col("chain").alias("up_chain"))
         front = below.join(up, below.parent == F.col("up")).select("id", "parent", "sib_ord", F.lit(depth).alias("depth"), F.concat("up_ord", F.array("sib_ord")).alias("path_ord"), F.concat("up_chain", F.array("id")).alias("chain"))
         if depth > 2:  # the first levels are cheaper planned than probed
@@ -30,6 +32,8 @@ def levels(nodes: DataFrame, most: int = MOST_LEVELS) -> DataFrame:
             if front.limit(1).count() == 0:
                 break
         out = out.unionAll(front)
+        if depth % 16 == 0:  # a deep tree's plan stays short
+            out = cut(out)
     return out
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from foliospark.functions import text as tx
 from foliospark.operators import changes, coverage, guard, units
 from foliospark.plans.texts import sql_words
 from foliospark.registry import query
@@ -257,11 +258,27 @@ def missing_shingles(spark, sf):
 def missing_runs(spark, sf):
     """Runs of n-gram positions that are less than five apart: here those that the benchmark has."""
     d, b = read(spark, sf, "documents"), read(spark, sf, "benchmark")
-    found = coverage.shingle_rows(d, ["doc_id"]).join(coverage.reference(b), "shingle", "left_semi").select("doc_id", F.col("pos").cast("long").alias("pos"))
+    found = coverage.shingle_rows(d, ["doc_id"]).join(coverage.reference(b), "gram", "left_semi").select("doc_id", F.col("pos").cast("long").alias("pos"))
     return coverage.runs(found, "doc_id", "pos", 5).withColumn("run", F.col("run").cast("long"))
 
 
+@query(
+    "missing_passages",
+    f"""WITH known AS ({_REF}), gone AS (SELECT doc_id, pos FROM ({_ROWS}) r WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.s = r.s)),
+    parts AS (SELECT doc_id, regexp_extract_all(lower(text), '(?s)(.*?)({tx.WORD})', 0) AS p, {_W} AS w FROM documents), words AS (SELECT doc_id, unnest(p) AS part, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM parts),
+    places AS (SELECT doc_id, pos, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY pos) - length(word) AS start FROM words), spots AS (SELECT g.doc_id, p.start FROM gone g JOIN places p USING (doc_id, pos)),
+    o AS (SELECT *, CASE WHEN start - lag(start) OVER (PARTITION BY doc_id ORDER BY start) >= 200 THEN 1 ELSE 0 END AS o FROM spots), n AS (SELECT *, sum(o) OVER (PARTITION BY doc_id ORDER BY start) + 1 AS run FROM o),
+    r AS (SELECT doc_id, run, min(start) AS first, max(start) AS last FROM n GROUP BY ALL HAVING run <= 5)
+    SELECT r.doc_id, run::BIGINT AS run, first::BIGINT AS first, sha256(regexp_replace(substr(CASE WHEN length(lower(text)) = length(text) THEN text ELSE lower(text) END, first::BIGINT + 1, (last - first + 200)::BIGINT), '^{tx.SPACE}+|{tx.SPACE}+$', '', 'g')) AS passage FROM r JOIN documents d USING (doc_id)""",
+)
+def missing_passages(spark, sf):
+    """The first passages of each document that the benchmark lacks, by their places in characters."""
+    d, b = read(spark, sf, "documents"), read(spark, sf, "benchmark")
+    gone = coverage.missing(coverage.shingle_rows(d, ["doc_id"]), coverage.reference(b))
+    return coverage.passages(d, gone, ["doc_id"]).withColumn("passage", F.sha2("passage", 256)).withColumn("run", F.col("run").cast("long"))
+
+
 @query("shingle_union", f"WITH b AS ({_REF}), c AS (SELECT DISTINCT unnest({_SH}) AS s FROM (SELECT {_W} AS w FROM conversations)) SELECT count(*)::BIGINT AS n, count(DISTINCT left(s, 3))::BIGINT AS n_heads FROM (SELECT s FROM b UNION SELECT s FROM c)")
 def shingle_union(spark, sf):
-    both = coverage.reference(read(spark, sf, "benchmark")).union(coverage.reference(read(spark, sf, "conversations"))).distinct()
+    both = coverage.shingle_texts(read(spark, sf, "benchmark")).union(coverage.shingle_texts(read(spark, sf, "conversations"))).distinct()
     return both.agg(F.count("*").alias("n"), F.count_distinct(F.left(F.array_join("shingle", " "), F.lit(3))).alias("n_heads"))

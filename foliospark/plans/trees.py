@@ -28,7 +28,7 @@ def nodes(spark, sf):
 
 
 def levelled(spark, sf):
-    return tree.levels(nodes(spark, sf), 4)
+    return tree.levels(nodes(spark, sf))
 
 
 @query("tree_preorder", f"WITH RECURSIVE {TREE_SQL} SELECT id, depth::BIGINT AS depth, row_number() OVER (ORDER BY path_ord)::BIGINT AS position FROM tree")

@@ -336,16 +336,10 @@ def identity_verification(spark, sf):
     return rows.select("source", F.coalesce("heads", F.lit("")).alias("heads"), "crumbs", "matched", problems.alias("problems"))
 
 
-@query("containment_first_hit", "SELECT b.item_id, d.doc_id, instr(d.text, left(b.text, 60))::BIGINT AS first_hit FROM documents d JOIN benchmark b ON contains(d.text, left(b.text, 60))")
+@query("containment_first_hit", "SELECT b.item_id, d.doc_id, instr(d.text, b.text)::BIGINT AS first_hit FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def containment_first_hit(spark, sf):
-    """Documents that hold the beginning of an item, and where. Both sides meet by an eight-word run, never all pairs."""
-    d, b = read(spark, sf, "documents"), read(spark, sf, "benchmark")
-    own = coverage.shingle_rows(d, ["doc_id"], n=3).select("doc_id", F.array_join("shingle", " ").alias("s"))
-    # the first three whole words of an item are inside its first 60 characters
-    first = b.select("item_id", F.left("text", F.lit(60)).alias("begin")).withColumn("s", F.array_join(F.slice(tx.words(F.lower("begin")), 1, 3), " "))
-    pairs = own.join(first, "s").select("doc_id", "item_id", "begin").distinct()
-    hits = pairs.join(d.select(F.col("doc_id").alias("did"), "text"), F.col("doc_id") == F.col("did"))
-    return hits.select("item_id", "doc_id", F.instr(F.col("text"), F.col("begin")).cast("long").alias("first_hit")).where("first_hit > 0")
+    """Documents that hold an item's whole text, and where they first do."""
+    return align.first_hits(read(spark, sf, "documents"), read(spark, sf, "benchmark"), "doc_id", "text", "item_id", "text").select("item_id", "doc_id", "first_hit")
 
 
 @query("document_anchors")
@@ -357,8 +351,8 @@ def document_anchors(spark, sf):
     return align.anchors(docs, books)
 
 
-@query("page_clean_lines", "SELECT doc_id, len(k)::BIGINT AS kept FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '' AND NOT regexp_matches(x, '\\.{5,}\\s*\\d+\\s*$')) AS k FROM documents)")
+@query("page_clean_lines", "SELECT doc_id, sha256(array_to_string(list_filter(l, lambda x: NOT regexp_matches(x, '\\.{5,}\\s*\\d+\\s*$')), chr(10))) AS kept, (1 + len(list_filter(l, lambda x: regexp_matches(x, '\\.{5,}\\s*\\d+\\s*$'))))::BIGINT AS dropped FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS l FROM documents)")
 def page_clean_lines(spark, sf):
     page = F.concat(F.lit("HEADER\n 12 \n\nHeader\n"), "text", F.lit("\nChapter ........ 9\n"))
     keep, dropped = align.clean_lines(page, F.lit("header"))
-    return read(spark, sf, "documents").select("doc_id", F.size(keep).cast("long").alias("kept"))
+    return read(spark, sf, "documents").select("doc_id", F.sha2(F.array_join(keep, "\n"), 256).alias("kept"), dropped.cast("long").alias("dropped"))

@@ -29,7 +29,7 @@ def is_file(spark: SparkSession, path: str) -> bool:
 def html_pages(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, html) of a folder of ``<page_id>.html`` files; bytes that are no UTF-8 are replaced."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)\.html$", 1).alias("page_id"), F.decode("content", "UTF-8").alias("html"))
+    return files.select(F.regexp_extract("path", r"([^/]+)\.html$", 1).alias("page_id"), F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
 
 
 def binaries(spark: SparkSession, path: str) -> DataFrame:
@@ -98,19 +98,40 @@ def write_json_lines(df: DataFrame, path: str, order: list[str], append: bool =
 
 
 def write_markdown(texts: DataFrame, path: str, name: str = "filename", text: str = "text") -> DataFrame:
-    """One file for each row, written by the tasks through Hadoop-compatible partition folders.
+    """One file of that name for each row, of distinct names; names may hold folders.
 
-    The result (filename, size) is what was written; stale files go, as the
-    folder is replaced as a whole.
+    Tasks write the texts, each to a partition folder of its own; then the
+    driver moves the files to their names, which costs it a rename for each
+    file and no text. A file ends in one line break. The result (filename,
+    size) is what was written; stale files go, as the folder is replaced as a
+    whole once all is there.
     """
-    rows = texts.select(F.col(name).alias("file"), F.col(text).alias("value"))
     spark = texts.sparkSession
     fs, where = _fs(spark, path)
-    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    rows.repartition("file").write.partitionBy("file").option("lineSep", "\n").text(staging)
-    fs.delete(where, True)
-    fs.rename(_fs(spark, staging)[1], where)
-    return texts.select(F.col(name).alias("filename"), F.octet_length(text).cast("long").alias("size"))
+    staging, ready = (f"{path.rstrip('/')}.{x}-{uuid.uuid4().hex}" for x in ("staging", "ready"))
+    at = lambda p: _fs(spark, p)[1]
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+
+    def move(source, target) -> None:
+        if not fs.rename(source, target):
+            raise OSError(f"could not move {source} to {target}")
+
+    body = F.regexp_replace(F.col(text), r"\n\z", "")
+    try:
+        texts.select(F.col(name).alias("file"), body.alias("value")).repartition("file").write.partitionBy("file").option("lineSep", "\n").text(staging)
+        fs.mkdirs(at(ready))
+        for folder in fs.listStatus(at(staging)):
+            if folder.isDirectory():
+                target = at(f"{ready}/{unescape(folder.getPath().getName().partition('=')[2])}")
+                fs.mkdirs(target.getParent())
+                (part,) = [x.getPath() for x in fs.listStatus(folder.getPath()) if x.getPath().getName().startswith("part-")]
+                move(part, target)
+        fs.delete(where, True)
+        move(at(ready), where)
+    finally:
+        for left in (staging, ready):
+            fs.delete(at(left), True)
+    return texts.select(F.col(name).alias("filename"), (F.octet_length(body) + 1).cast("long").alias("size"))
 
 
 def front_matter(fields: list[tuple[str, Column]]) -> Column:

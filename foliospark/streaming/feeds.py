@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliospark.operators import changes
+from foliospark.operators import changes, lineage
 from foliospark.sources import files
 
+
 def event_stream(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A file or a folder of events as a stream."""
     schema = schema or spark.read.parquet(path).schema
@@ -34,11 +35,24 @@ def sessions(stream: DataFrame, gap: str = "30 minutes", late: str = "10 minutes
 
 
 def drain(stream: DataFrame, mode: str = "complete") -> DataFrame:
-    """Run a stream over all that is there and return its result table."""
-    name = f"drained_{uuid.uuid4().hex}"
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+    """Run a stream over all that is there and return its result table, which executors write to the shared folder.
+
+    In complete mode a batch's result replaces that of the batch before it.
+    """
+    spark = stream.sparkSession
+    at = f"{lineage.shared_dir(spark)}/drained-{uuid.uuid4().hex}"
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        if mode == "complete":
+            files.staged(batch, f"{at}/result")
+        else:
+            batch.write.mode("overwrite").parquet(f"{at}/result/batch-{epoch}")
+
+    query = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    if not files.exists(spark, f"{at}/result"):  # a stream without any batch
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(f"{at}/result")
 
 
 def track(stream: DataFrame, state: str, report: str, checkpoint: str):

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -181,3 +182,105 @@ def test_page_of(spark):
     assert rows(starts) == [("b", 1, 0), ("b", 3, 4)]
     offsets = spark.createDataFrame([("b", 0), ("b", 3), ("b", 4), ("b", 99)], "book string, off long")
     assert rows(align.page_of(offsets, starts, "book", "off", "page").select("off", "page")) == [(0, 1), (3, 1), (4, 3), (99, 3)]
+
+
+def test_trees_of_any_depth(spark):
+    chain = spark.createDataFrame([(i, i - 1 if i else None, 0) for i in range(90)] + [(200, 201, 0), (201, 200, 0)], "id long, parent long, sib_ord int")
+    got = {r["id"]: r["depth"] for r in tree.levels(chain).collect()}
+    assert got == {i: i for i in range(90)}
+
+
+def test_packing_keeps_only_where_parts_begin(spark):
+    """The fold of a group of very many members ends soon."""
+    sizes = [(i * 37) % 900 + 1 for i in range(60_000)]
+    start = time.perf_counter()
+    got = packed(spark, sizes, 1_500_000, 10)
+    assert time.perf_counter() - start < 20 and len(got) == len(sizes) and got[-1] == max(got) == len(set(got)) == 19
+
+
+def slow_anchors(docs, books, gap):
+    return sorted((b, i, *x) for b, i, path, title, body in docs for x in align.occurrences(path.lower(), title.lower(), body.lower(), books[b].lower(), gap))
+
+
+@pytest.mark.parametrize("patterns, piece", [(4_000_000, 1_000_000), (300, 700)])
+def test_anchors_equal_a_search_for_each_document(spark, monkeypatch, patterns, piece):
+    """In slices and blocks of any size, with repeated paths, titles beyond the gap, bodies only, and no path."""
+    monkeypatch.setattr(align, "PATTERNS", patterns)
+    monkeypatch.setattr(align, "SLICE", piece)
+    rng = random.Random(5)
+    word = lambda: rng.choice(["uno", "dos", "tres", "Libro", "Ñandú", "x"])
+    books, docs = {}, []
+    for b in "ab":
+        text = []
+        for i in range(25):
+            path, title = f"Libro {rng.randrange(4)}, Letra {rng.choice('AB')}", f"Norma {rng.randrange(9)}"
+            body = " ".join(word() for _ in range(rng.randrange(30)))
+            docs.append((b, i, rng.choice([path, path, path, ""]), rng.choice([title, title, ""]), body))
+            text += [path, " ".join(word() for _ in range(rng.randrange(12))), title, body]
+        books[b] = " ".join(text)
+    got = align.anchors(spark.createDataFrame(docs, "book string, id long, path string, title string, body string"), spark.createDataFrame(list(books.items()), "book string, text string"), 40)
+    want = slow_anchors(docs, books, 40)
+    assert len(want) > 30 and sorted(map(tuple, got.collect())) == want
+
+
+def test_small_letters_keep_places():
+    assert align.lowered("AİB") == "aİb" and align.lowered("ÑÁ") == "ñá"
+
+
+@pytest.mark.parametrize("patterns", [4_000_000, 20])
+def test_first_hits_equal_a_search_for_each_pair(spark, monkeypatch, patterns):
+    monkeypatch.setattr(align, "PATTERNS", patterns)
+    texts, items = {1: "the cat sat on the mat", 2: "concatenate", 3: "", 4: None}, {1: "cat", 2: "the", 3: "", 4: "cat sat", 5: None, 6: "cat"}
+    got = align.first_hits(spark.createDataFrame(list(texts.items()), "d long, text string"), spark.createDataFrame(list(items.items()), "i long, text string"), "d", "text", "i", "text")
+    want = [(d, i, t.find(p) + 1) for d, t in texts.items() if t is not None for i, p in items.items() if p is not None and p in t]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_thinning_of_very_many_events(spark):
+    n = 30_000
+    events = spark.range(n).select(F.lit("b").alias("book"), "id", (F.col("id") * 10).alias("head"), (F.col("id") * 10 + F.when(F.col("id") % 100 == 0, 95).otherwise(3)).alias("body_start"), F.lit("heading").alias("how"))
+    got = align.boundaries(events)
+    assert got.count() == n - n // 100 * 9 and got.where("next_head is null").count() == 1
+
+
+def test_passages_by_characters(spark):
+    shared = "one two three four five six seven eight nine ten"
+    far = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([("b", 1, f"{shared} NEW WORDS here {far} {shared}"), ("b", 2, shared), ("b", 3, "")], "book string, id long, text string")
+    known = coverage.reference(spark.createDataFrame([(shared + " " + far,)], "text string"))
+    gone = coverage.missing(coverage.shingle_rows(docs, ["book", "id"]), known)
+    got = coverage.passages(docs, gone, ["book", "id"], gap=60).orderBy("first").collect()
+    text = docs.where("id = 1").first()["text"]
+    first = [text.find("four")]
+    assert [r["first"] for r in got][:1] == first and got[0]["passage"].startswith("four five six seven eight nine ten NEW WORDS") and all(r["passage"] in text for r in got) and {r["id"] for r in got} == {1}
+    assert len(coverage.passages(docs, gone, ["book", "id"], gap=1, most=2).collect()) == 2
+
+
+def exact_by_hand(before, after):
+    """Unit events of one document as the rules say: in reading order, old units claimed by id, the last of a number answering to it."""
+    had, out = set(), []
+    for number, text in after:
+        same = next((n for n, t in before if t == text and n not in had), None)
+        last = next((t for n, t in reversed(before) if n == number), None)
+        if same is not None:
+            had.add(same)
+            out += [("renumbered", number, same)] if same != number else []
+        elif last is not None and number not in had:
+            had.add(number)
+            out += [("modified", number, None)] if last != text else []
+        else:
+            out.append(("added", number, None))
+    for n in dict.fromkeys(n for n, _ in before):
+        if n not in had and n not in {x[1] for x in out}:
+            out.append(("removed", n, None))
+    return sorted(out, key=repr)
+
+
+def test_exact_events_equal_the_rules(spark):
+    rng = random.Random(6)
+    for _ in range(12):
+        before, after = ([(str(rng.randrange(4)), rng.choice("abcdef")) for _ in range(rng.randrange(7))] for _ in range(2))
+        if not before:
+            continue
+        got = rows(units.exact_events(unit_rows(spark, *before), unit_rows(spark, *after)).select("type", "number", "from_number")) if after else None
+        assert got is None or got == exact_by_hand(before, after), (before, after)

@@ -119,10 +119,12 @@ def test_html_and_binaries(spark, tmp_path):
 
 
 def test_markdown_sink(spark, tmp_path):
-    texts = spark.createDataFrame([("01.md", "# a\n\nb"), ("02.md", "c")], "filename string, text string")
-    assert rows(files.write_markdown(texts, str(tmp_path / "md"))) == [("01.md", 6), ("02.md", 1)]
-    (part,) = (tmp_path / "md" / "file=01.md").glob("part-*")
-    assert part.read_text() == "# a\n\nb\n"
+    texts = spark.createDataFrame([("01.md", "# a\n\nb"), ("a/02.md", "c\n")], "filename string, text string")
+    assert rows(files.write_markdown(texts, str(tmp_path / "md"))) == [("01.md", 7), ("a/02.md", 2)]
+    held = {str(p.relative_to(tmp_path / "md")): p.read_text() for p in (tmp_path / "md").rglob("*.md")}
+    assert held == {"01.md": "# a\n\nb\n", "a/02.md": "c\n"} and [p.name for p in tmp_path.iterdir()] == ["md"]
+    files.write_markdown(texts.where("filename = '01.md'"), str(tmp_path / "md"))
+    assert [p.name for p in (tmp_path / "md").rglob("*.md")] == ["01.md"]
 
 
 def test_purge_is_dry_by_default(spark, tmp_path):
@@ -200,3 +202,19 @@ def test_run_log_stream(spark, tmp_path):
     assert rows(got) == [("x", 1)]
 
 
+
+
+def test_pages_of_bytes_that_are_no_text(spark, tmp_path):
+    (tmp_path / "7.html").write_bytes(b"<p>caf\xe9 \xff</p>")
+    assert rows(files.html_pages(spark, str(tmp_path))) == [("7", "<p>caf\ufffd \ufffd</p>")]
+
+
+def test_json_document(spark, tmp_path):
+    (tmp_path / "d.json").write_text('[\n  {"id": "a",\n   "n": 1},\n  {"id": "b"}\n]')
+    assert rows(files.json_document(spark, str(tmp_path / "d.json"), "id string, n long")) == [("a", 1), ("b", None)]
+    assert files.json_document(spark, str(tmp_path / "none"), "id string").count() == 0
+
+
+def test_crawl_of_any_depth(spark):
+    pages = spark.createDataFrame([(str(i), f'<nav><a href="/{i + 1}">t</a></nav>') for i in range(80)], "page_id string, html string")
+    assert {int(r["id"]): r["depth"] for r in web.crawl(pages, "0").collect()} == {i: i + 1 for i in range(81)}
