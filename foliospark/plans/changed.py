@@ -77,7 +77,18 @@ def changes_by_severity(spark, sf):
     return ranked.orderBy("severity", "doc_id")
 
 
-@query("changelog_blocks")
+def _listed(texts) -> str:
+    return "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in texts) + "]"
+
+
+@query(
+    "changelog_blocks",
+    f"""WITH {COMPARED_SQL}, k AS (SELECT unnest({_listed(changes.CATEGORIES)}) AS cat, unnest(range({len(changes.CATEGORIES)})) AS rank, unnest({_listed(changes.EXPLAIN[c] for c in changes.CATEGORIES)}) AS what),
+    n AS (SELECT cat, rank, what, count(c.doc_id) AS n FROM k LEFT JOIN compared c ON category = cat GROUP BY ALL)
+    SELECT '0.0' AS ord, '# documents' || chr(10) || chr(10) || '| class | documents | meaning |' || chr(10) || '| --- | ---: | --- |' AS block UNION ALL SELECT '1.' || rank, '| ' || cat || ' | ' || n || ' | ' || what || ' |' FROM n
+    UNION ALL SELECT '2.' || rank || '.-1', chr(10) || '## ' || cat || ' (' || n || ')' || chr(10) FROM n WHERE n > 0
+    UNION ALL SELECT '2.' || rank || '.' || doc_id, '### document ' || doc_id || chr(10) || CASE WHEN new_notes = '' THEN '' ELSE '- ' || replace(new_notes, '|', chr(10) || '- ') END FROM compared JOIN n ON cat = category""",
+)
 def changelog_blocks(spark, sf):
     citation = F.concat(F.lit("document "), F.col("doc_id").cast("string"))
     log = changes.changelog(compared(spark, sf).withColumn("citation", citation), "documents")
@@ -262,15 +273,15 @@ def missing_runs(spark, sf):
     return coverage.runs(found, "doc_id", "pos", 5).withColumn("run", F.col("run").cast("long"))
 
 
-@query(
-    "missing_passages",
-    f"""WITH known AS ({_REF}), gone AS (SELECT doc_id, pos FROM ({_ROWS}) r WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.s = r.s)),
-    parts AS (SELECT doc_id, regexp_extract_all(lower(text), '(?s)(.*?)({tx.WORD})', 0) AS p, {_W} AS w FROM documents), words AS (SELECT doc_id, unnest(p) AS part, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM parts),
-    places AS (SELECT doc_id, pos, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY pos) - length(word) AS start FROM words), spots AS (SELECT g.doc_id, p.start FROM gone g JOIN places p USING (doc_id, pos)),
-    o AS (SELECT *, CASE WHEN start - lag(start) OVER (PARTITION BY doc_id ORDER BY start) >= 200 THEN 1 ELSE 0 END AS o FROM spots), n AS (SELECT *, sum(o) OVER (PARTITION BY doc_id ORDER BY start) + 1 AS run FROM o),
-    r AS (SELECT doc_id, run, min(start) AS first, max(start) AS last FROM n GROUP BY ALL HAVING run <= 5)
-    SELECT r.doc_id, run::BIGINT AS run, first::BIGINT AS first, sha256(regexp_replace(substr(CASE WHEN length(lower(text)) = length(text) THEN text ELSE lower(text) END, first::BIGINT + 1, (last - first + 200)::BIGINT), '^{tx.SPACE}+|{tx.SPACE}+$', '', 'g')) AS passage FROM r JOIN documents d USING (doc_id)""",
-)
+_PASSAGES = f"""gone AS (SELECT doc_id, pos FROM ({_ROWS}) r WHERE NOT EXISTS (SELECT 1 FROM ({_REF}) k WHERE k.s = r.s)),
+parts AS (SELECT doc_id, regexp_extract_all(lower(text), '(?s)(.*?)({tx.WORD})', 0) AS p, {_W} AS w FROM documents), words AS (SELECT doc_id, unnest(p) AS part, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM parts),
+places AS (SELECT doc_id, pos, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY pos) - length(word) AS start FROM words), spots AS (SELECT g.doc_id, p.start FROM gone g JOIN places p USING (doc_id, pos)),
+o AS (SELECT *, CASE WHEN start - lag(start) OVER (PARTITION BY doc_id ORDER BY start) >= 200 THEN 1 ELSE 0 END AS o FROM spots), n AS (SELECT *, sum(o) OVER (PARTITION BY doc_id ORDER BY start) + 1 AS run FROM o),
+found AS (SELECT doc_id, run, min(start) AS first, max(start) AS last FROM n GROUP BY ALL HAVING run <= 5),
+passages AS (SELECT f.doc_id, run::BIGINT AS run, first::BIGINT AS first, regexp_replace(substr(CASE WHEN length(lower(text)) = length(text) THEN text ELSE lower(text) END, first::BIGINT + 1, (last - first + 200)::BIGINT), '^{tx.SPACE}+|{tx.SPACE}+$', '', 'g') AS passage FROM found f JOIN documents d USING (doc_id))"""
+
+
+@query("missing_passages", f"WITH {_PASSAGES} SELECT doc_id, run, first, sha256(passage) AS passage FROM passages")
 def missing_passages(spark, sf):
     """The first passages of each document that the benchmark lacks, by their places in characters."""
     d, b = read(spark, sf, "documents"), read(spark, sf, "benchmark")

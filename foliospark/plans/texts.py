@@ -41,7 +41,12 @@ def exact_duplicate_groups(spark, sf):
     return read(spark, sf, "documents").groupBy(F.sha2("text", 256).alias("sha256")).agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc")).where("n_docs > 1")
 
 
-_CANON = sql_strip(f"regexp_replace(translate(nfc_normalize(text), '{q(tx.QUOTES + tx.DOUBLE_QUOTES + tx.DASHES)}', '{q(chr(39) * 4)}\"\"-----'), '{S}+', ' ', 'g')")
+def sql_canonical(x: str) -> str:
+    marks, plain = q(tx.QUOTES + tx.DOUBLE_QUOTES + tx.DASHES), q("'" * len(tx.QUOTES) + '"' * len(tx.DOUBLE_QUOTES) + "-" * len(tx.DASHES))
+    return sql_strip(f"regexp_replace(translate(nfc_normalize({x}), '{marks}', '{plain}'), '{S}+', ' ', 'g')")
+
+
+_CANON = sql_canonical("text")
 
 
 @query("canonical_text_len", f"SELECT doc_id, length(c)::BIGINT AS n_chars, sha256(c) AS sha256, length(lower(c)) = length(c) AS keeps_length FROM (SELECT doc_id, {_CANON} AS c FROM documents)")
@@ -192,7 +197,12 @@ def excerpt(spark, sf):
     return read(spark, sf, "documents").select("doc_id", tx.excerpt(F.col("text")).alias("excerpt"))
 
 
-@query("paragraphs_restored")
+_FLAT = "source || '. - ' || replace(text, chr(10), ' 12. Á ') || ' Nota de actualización: nueva'"
+_UNTITLED = f"regexp_replace(substr({_FLAT}, length(source) + 1), '^[ .-]+', '')"
+_ITEMS = f"regexp_replace(regexp_replace({_UNTITLED}, '([.;:)])\\s+(\\d{{1,3}}[.)]\\s+[A-ZÁÉÍÓÚÑ¿(])', '\\1\n\n\\2', 'g'), '(?i)\\s*Nota de actualizaci[óo]n:\\s*', '\n\n> **Nota de actualización:** ', 'g')"
+
+
+@query("paragraphs_restored", f"SELECT doc_id, sha256({sql_strip(f'regexp_replace({_ITEMS}, $$\n{{3,}}$$, $$\n\n$$, $$g$$)')}) AS sha256 FROM documents")
 def paragraphs_restored(spark, sf):
     made = F.concat("source", F.lit(". - "), F.replace("text", F.lit("\n"), F.lit(" 12. Á ")), F.lit(" Nota de actualización: nueva"))
     return read(spark, sf, "documents").select("doc_id", F.sha2(tx.pdf_markdown(made, F.col("source")), 256).alias("sha256"))

@@ -57,7 +57,7 @@ _KIND = "CASE WHEN id LIKE 'n%' AND sib_ord % 3 = 0 THEN 'title' WHEN id LIKE 'n
 def nearest_ancestor(spark, sf):
     n = nodes(spark, sf)
     kind = F.when(F.col("id").startswith("n") & (F.col("sib_ord") % 3 == 0), "title").when(F.col("id").startswith("n") & (F.col("sib_ord") % 3 == 1), "letter").when(F.col("id").startswith("c") & (F.col("sib_ord") % 10 == 0), "letter")
-    return tree.nearest(tree.levels(n, 4), n.select("id", kind.alias("kind")), ["title", "letter"])
+    return tree.nearest(tree.levels(n), n.select("id", kind.alias("kind")), ["title", "letter"])
 
 
 _SIZES = f"SELECT source, doc_id, len({sql_words('text')})::BIGINT AS words FROM documents"

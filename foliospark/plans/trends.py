@@ -183,7 +183,11 @@ def bars(spark, sf):
     return read(spark, sf, "orders").select("o_orderkey", analytics.bar(F.col("o_orderkey").cast("double"), F.lit(5000.0), 20).alias("bar"))
 
 
-@query("sparklines")
+@query(
+    "sparklines",
+    f"""WITH b AS (SELECT user_id, bucket, avg(value) AS mean FROM ({_BUCKETS}) GROUP BY ALL), v AS (SELECT user_id, list(mean ORDER BY bucket) AS v, min(mean) AS lo, max(mean) AS hi FROM b GROUP BY 1)
+    SELECT user_id, CASE WHEN lo = hi THEN repeat('⠤', len(v)) ELSE array_to_string(list_transform(v, lambda x: substr('⠀⣀⣄⣤⣦⣶⣷⣿', 1 + least(floor((x - lo) / (hi - lo) * 7)::INT, 7), 1)), '') END AS line FROM v""",
+)
 def sparklines(spark, sf):
     b = analytics.bucket_means(read(spark, sf, "events"), "user_id", ["ts", "event_id"], "value", 20)
     lists = b.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "mean"))), lambda x: x["mean"]).alias("v"))  # at most 20 points
