@@ -23,6 +23,12 @@ def joined_text(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lists.select("book", F.array_join(F.transform("l", lambda x: x["text"]), " ").alias("text")), starts
 
 
+def joined(pieces: DataFrame, key: list[str]) -> DataFrame:
+    """(key..., head, text, occurrences, page, page_end): pieces (head, piece, page_begin, page_stop) of each document in order."""
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("head", "piece"))), lambda x: x["piece"]), "\n\n")
+    return pieces.groupBy(*key).agg(F.min("head").alias("head"), text.alias("text"), F.count("*").alias("occurrences"), F.min("page_begin").alias("page"), F.max("page_stop").alias("page_end"))
+
+
 def aligned(docs: DataFrame, pages: DataFrame) -> DataFrame:
     """Documents as the second publication has them: (book, id, head, text, anchored_by, occurrences, page, page_end).
 
@@ -37,10 +43,7 @@ def aligned(docs: DataFrame, pages: DataFrame) -> DataFrame:
     spans = align.page_of(cut.withColumn("last", F.col("head") + F.length("piece")), starts, "book", "head", "page")
     spans = align.page_of(spans.withColumnRenamed("page", "page_begin"), starts, "book", "last", "page").withColumnRenamed("page", "page_stop")
     how = kept.groupBy("book", "id").agg(F.min("how").alias("anchored_by"))
-    rows = spans.groupBy("book", "id").agg(
-        F.min("head").alias("head"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("head", "piece"))), lambda x: x["piece"]), "\n\n").alias("text"), F.count("*").alias("occurrences"), F.min("page_begin").alias("page"), F.max("page_stop").alias("page_end"),
-    )
-    return rows.join(how, ["book", "id"])
+    return joined(spans, ["book", "id"]).join(how, ["book", "id"])
 
 
 def compared(docs: DataFrame, other: DataFrame, node_titles: DataFrame | None = None, n: int = coverage.N) -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.functions import text as tx
+from foliospark.operators import align
+
 # The shares and counts below or above which a corpus counts as degraded.
 MIN_WITH_PATH, MIN_WITH_CONTENT, MAX_EMPTY, MAX_DRIFT = 0.95, 0.98, 10, 0.25
 
@@ -73,3 +76,25 @@ def drift(now: DataFrame, before: DataFrame, value: str) -> DataFrame:
     """Relative change of ``value`` from ``before`` to ``now`` for each book; 0 where there was nothing."""
     joined = now.select("book", F.col(value).alias("n")).join(before.select(F.col("book").alias("_b"), F.col(value).alias("p")), F.col("book") == F.col("_b"))
     return joined.select("book", F.when(F.col("p") != 0, (F.col("n") - F.col("p")) / F.col("p")).otherwise(0.0).alias("drift"))
+
+
+def identity(pages: DataFrame, paths: DataFrame, head: str, crumb: str, counts: DataFrame | None = None) -> DataFrame:
+    """(book, heads, crumbs, matched, problems): whether sampled pages (book, text) are of the book they are taken for.
+
+    ``head`` finds a running header's book, ``crumb`` a page's breadcrumb, which
+    must begin a known path or be begun by one (``paths``: path). ``counts``
+    (book, pages) brings the test that there are pages at all.
+    """
+    p = pages.select("book", F.translate("text", tx.DASHES, "-" * len(tx.DASHES)).alias("page"))
+    heads = p.select(F.col("book").alias("_h"), F.explode(F.regexp_extract_all("page", F.lit(head), F.lit(1))).alias("head")).groupBy("_h").agg(F.array_join(F.array_sort(F.collect_set("head")), ",").alias("heads"))
+    crumbs = p.select("book", tx.spaced(F.regexp_extract("page", crumb, 1)).alias("crumb")).where("crumb <> ''")
+    known = align.prefix_semi(crumbs, paths.select(tx.spaced(F.col("path")).alias("path")).distinct(), "crumb", "path").groupBy(F.col("book").alias("_m")).agg(F.count("*").alias("matched"))
+    rows = p.select("book").distinct().join(crumbs.groupBy(F.col("book").alias("_c")).agg(F.count("*").alias("crumbs")), F.col("book") == F.col("_c"), "left")
+    rows = rows.join(heads, F.col("book") == F.col("_h"), "left").join(known, F.col("book") == F.col("_m"), "left").na.fill(0, ["crumbs", "matched"])
+    empty = F.lit(None).cast("string")
+    if counts is not None:
+        rows = rows.join(counts.select(F.col("book").alias("_n"), "pages"), F.col("book") == F.col("_n"), "left")
+        empty = F.when(F.coalesce("pages", F.lit(0)) <= 0, "no pages")
+    wrong = F.when(F.col("heads").isNull(), "no running header").when(F.col("heads") != F.col("book"), F.concat(F.lit("header says "), "heads"))
+    strange = F.when((F.col("crumbs") >= 2) & (F.col("crumbs") - F.col("matched") > F.floor(F.col("crumbs") / 2)), "sections are not in the tree")
+    return rows.select("book", F.coalesce("heads", F.lit("")).alias("heads"), "crumbs", "matched", F.concat_ws("; ", empty, wrong, strange).alias("problems"))

@@ -47,6 +47,11 @@ def usage(docs: DataFrame, doc: str, order: str, figures: Column) -> DataFrame:
     return docs.select(F.explode(figures).alias("figure"), F.struct(F.col(order).alias("o"), F.col(doc).alias("d")).alias("x")).groupBy("figure").agg(F.transform(F.array_sort(F.collect_set("x")), lambda x: x["d"]).alias("documents"))
 
 
+def reverse(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
+    """(key, value): the value of each key's last row in order, as a lookup that later rows overwrite."""
+    return rows.groupBy(key).agg(F.max_by(value, order).alias(value))
+
+
 def compared_sets(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """One row: distinct keys of both sides, of the left only, of the right only."""
     a, b = left.select(F.col(key).alias("a")).distinct(), right.select(F.col(key).alias("b")).distinct()

@@ -71,6 +71,18 @@ def heading(title: Column, part: Column, parts: Column) -> Column:
     return F.concat(F.lit("# "), title, F.when(parts > 1, F.concat(F.lit(" — Parte "), part.cast("string"), F.lit(" de "), parts.cast("string"))).otherwise(""))
 
 
+def markdown(files: DataFrame, docs: DataFrame, key: list[str], order: str, fields: list[tuple[str, str]]) -> DataFrame:
+    """``files`` (``key``, title, part, parts and the fields' columns) with text: front matter, heading, the documents in order.
+
+    ``docs``: ``key``, ``order``, citation, markdown.
+    """
+    block = F.concat(F.lit("**Cita:** "), "citation", F.lit("\n\n"), "markdown", F.lit("\n"))
+    bodies = docs.groupBy(*key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, block.alias("_b")))), lambda x: x["_b"]), "\n").alias("_body"))
+    front = F.concat(F.lit("---"), *[x for name, column in fields for x in (F.lit(f"\n{name}: "), F.col(column).cast("string"))], F.lit("\n---\n"))
+    text = F.concat(front, heading(F.col("title"), F.col("part"), F.col("parts")), F.lit("\n\n"), "_body")
+    return files.join(bodies, key).withColumn("text", text).drop("_body")
+
+
 def navigation(part: Column, parts: Column, previous: Column, following: Column) -> Column:
     """The line that joins the parts of a title; null where there is one part only."""
     hops = F.concat_ws(" · ", F.when(part > 1, F.concat(F.lit("anterior: `"), previous, F.lit("`"))), F.when(part < parts, F.concat(F.lit("siguiente: `"), following, F.lit("`"))))

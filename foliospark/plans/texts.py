@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from foliospark.functions import html
 from foliospark.functions import text as tx
 from foliospark.registry import query
 from foliospark.sources.tables import read
@@ -68,12 +69,8 @@ def page_title(spark, sf):
     SELECT page_id, pos::BIGINT AS pos, href, {sql_clean("label")} AS title FROM flat""",
 )
 def page_nav_children(spark, sf):
-    """Links of the menu block in document order: the children of a page."""
-    link = F.lit('(?s)<a href="([^"]*)">(.*?)</a>')
-    block = read(spark, sf, "pages").select("page_id", F.regexp_extract("html", "(?s)<nav>(.*?)</nav>", 1).alias("b"))
-    pairs = F.arrays_zip(F.regexp_extract_all("b", link, F.lit(1)).alias("h"), F.regexp_extract_all("b", link, F.lit(2)).alias("t"))
-    flat = block.select("page_id", F.posexplode(pairs).alias("p", "x"))
-    return flat.select("page_id", (F.col("p") + 1).cast("long").alias("pos"), F.col("x.h").alias("href"), tx.clean_text(F.col("x.t")).alias("title"))
+    flat = read(spark, sf, "pages").select("page_id", F.posexplode(html.children(F.col("html"))).alias("p", "x"))
+    return flat.select("page_id", (F.col("p") + 1).cast("long").alias("pos"), F.col("x.href").alias("href"), F.col("x.title").alias("title"))
 
 
 @query(

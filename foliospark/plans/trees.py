@@ -148,11 +148,7 @@ def emit_once_ancestors(spark, sf):
 )
 def markdown_section(spark, sf):
     """Each part as one Markdown text: front matter, heading, its documents with their citations."""
-    n = named(spark, sf)
-    d = read(spark, sf, "documents").select(F.col("doc_id").alias("did"), "text", "lang")
-    block = F.concat(F.lit("**Cita:** "), "lang", F.lit(", "), F.col("doc_id").cast("string"), F.lit("\n\n"), "text", F.lit("\n"))
-    bodies = packed_docs(spark, sf).join(d, F.col("doc_id") == F.col("did")).select(F.col("source").alias("bs"), F.col("part").alias("bp"), "doc_id", block.alias("b"))
-    bodies = bodies.groupBy("bs", "bp").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "b"))), lambda x: x["b"]), "\n").alias("body"))
-    front = F.concat(*[x for k, c in (("section", "source"), ("order", "index"), ("part", "part"), ("parts", "parts")) for x in (F.lit(f"\n{k}: "), F.col(c).cast("string"))])
-    text = F.concat(F.lit("---"), front, F.lit("\n---\n"), sections.heading(F.col("title"), F.col("part"), F.col("parts")), F.lit("\n\n"), F.col("body"))
-    return n.join(bodies, (F.col("source") == F.col("bs")) & (F.col("part") == F.col("bp"))).select("filename", F.sha2(text, 256).alias("sha256"))
+    d = read(spark, sf, "documents").select(F.col("doc_id").alias("did"), F.concat("lang", F.lit(", "), F.col("doc_id").cast("string")).alias("citation"), F.col("text").alias("markdown"))
+    docs = packed_docs(spark, sf).join(d, F.col("doc_id") == F.col("did")).select("source", "part", "doc_id", "citation", "markdown")
+    made = sections.markdown(named(spark, sf), docs, ["source", "part"], "doc_id", [("section", "source"), ("order", "index"), ("part", "part"), ("parts", "parts")])
+    return made.select("filename", F.sha2("text", 256).alias("sha256"))

@@ -6,11 +6,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as tx
-from foliospark.operators import align, analytics, index
+from foliospark.operators import align, analytics, compare, coverage, guard, index
 from foliospark.plans.changed import _JUDGED
 from foliospark.plans.texts import LOOSE_SQL, STRICT_SQL, loose, sql_words, strict
-from foliospark.operators import coverage
 from foliospark.registry import query
+from foliospark.sources import files
 from foliospark.sources.tables import read
 
 # ---------------------------------------------------------------------- index
@@ -90,14 +90,22 @@ def index_detail_lines(spark, sf):
 @query("image_first_source", "SELECT sha256(text) AS sha256, min(doc_id) AS first_doc, count(*)::BIGINT AS n FROM documents GROUP BY 1")
 def image_first_source(spark, sf):
     """One row for each content, with the first place that has it."""
-    return read(spark, sf, "documents").groupBy(F.sha2("text", 256).alias("sha256")).agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"))
+    return files.by_content(read(spark, sf, "documents").select(F.sha2("text", 256).alias("sha256"), "doc_id"), "doc_id").withColumnRenamed("first", "first_doc")
 
 
 @query("new_sources_anti", """WITH l AS (SELECT regexp_extract(html, 'lang="([^"]*)"', 1) AS lang, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS src FROM pages) SELECT DISTINCT src FROM l WHERE src NOT IN (SELECT src FROM l WHERE lang = 'en')""")
 def new_sources_anti(spark, sf):
     """Distinct addresses that an index (here: that of the English pages) has not."""
-    p = read(spark, sf, "pages").select(F.regexp_extract("html", 'lang="([^"]*)"', 1).alias("lang"), F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("src"))
-    return p.select("src").distinct().join(p.where("lang = 'en'").select(F.col("src").alias("s")).distinct(), F.col("src") == F.col("s"), "left_anti")
+    p, pattern = read(spark, sf, "pages"), 'href="([^"]*)"'
+    english = p.where(F.regexp_extract("html", 'lang="([^"]*)"', 1) == "en").select(F.explode(F.regexp_extract_all("html", F.lit(pattern), F.lit(1))).alias("src"))
+    return files.new_sources(p, english.distinct(), F.col("html"), pattern)
+
+
+@query("figure_sources", "SELECT sha256(text) AS figure, arg_max(source, doc_id) AS source FROM documents GROUP BY 1")
+def figure_sources(spark, sf):
+    """Where each content was last met."""
+    d = read(spark, sf, "documents").select(F.sha2("text", 256).alias("figure"), "source", "doc_id")
+    return index.reverse(d, "figure", "source", "doc_id")
 
 
 @query("book_subset", "SELECT doc_id, source FROM documents WHERE source IN ('src3', 'src1')")
@@ -267,21 +275,21 @@ def boundary_thinning(spark, sf):
 
 @query(
     "slice_to_next",
-    """WITH e AS (SELECT doc_id, text, unnest([1, 40, 200]) AS head FROM documents), n AS (SELECT *, lead(head, 1, length(text)) OVER (PARTITION BY doc_id ORDER BY head) AS nxt FROM e)
-    SELECT doc_id, head::BIGINT AS head, sha256(substr(text, head, greatest(0, nxt - head))) AS piece FROM n""",
+    """WITH e AS (SELECT doc_id, text, unnest([1, 40, 200]) AS head FROM documents), n AS (SELECT *, lead(head, 1, length(text) + 1) OVER (PARTITION BY doc_id ORDER BY head) AS nxt FROM e)
+    SELECT doc_id, head::BIGINT AS head, sha256(trim(substr(text, head, greatest(0, nxt - head)))) AS piece FROM n""",
 )
 def slice_to_next(spark, sf):
-    e = read(spark, sf, "documents").select("doc_id", "text", F.explode(F.array(*[F.lit(x) for x in (1, 40, 200)])).alias("head"))
-    nxt = F.lead("head").over(Window.partitionBy("doc_id").orderBy("head"))
-    e = e.withColumn("n", F.coalesce(nxt, F.length("text")))
-    return e.select("doc_id", F.col("head").cast("long").alias("head"), F.sha2(F.substr("text", F.col("head"), F.greatest(F.lit(0), F.col("n") - F.col("head"))), 256).alias("piece"))
+    d = read(spark, sf, "documents").select(F.col("doc_id").alias("book"), "text")
+    e = d.select("book", F.explode(F.array(*[F.lit(x).cast("long") for x in (0, 39, 199)])).alias("head")).withColumn("id", F.col("head") + 1).withColumn("body_start", F.col("head"))
+    kept = e.withColumn("next_head", F.lead("head").over(Window.partitionBy("book").orderBy("head")))
+    return align.pieces(kept, d).select(F.col("book").alias("doc_id"), F.col("id").alias("head"), F.sha2("piece", 256).alias("piece"))
 
 
 @query("pieces_joined", "SELECT conv_id, sha256(string_agg(text, chr(10) || chr(10) ORDER BY turn)) AS joined, min(turn) AS first_turn, max(turn) AS last_turn FROM conversations GROUP BY conv_id")
 def pieces_joined(spark, sf):
     """Pieces of a document joined in order, with the span of pages they come from."""
-    c = read(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("x"), F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"))
-    return c.select("conv_id", F.sha2(F.array_join(F.transform("x", lambda x: x["text"]), "\n\n"), 256).alias("joined"), "first_turn", "last_turn")
+    c = read(spark, sf, "conversations").select("conv_id", F.col("turn").alias("head"), F.col("text").alias("piece"), F.col("turn").alias("page_begin"), F.col("turn").alias("page_stop"))
+    return compare.joined(c, ["conv_id"]).select("conv_id", F.sha2("text", 256).alias("joined"), F.col("page").alias("first_turn"), F.col("page_end").alias("last_turn"))
 
 
 @query("interval_claim", "WITH s AS (SELECT n_nationkey AS section, n_nationkey * 3 AS a, n_nationkey * 3 + 6 AS b FROM nation) SELECT c.c_custkey AS figure, arg_min(s.section, s.section) AS section FROM customer c JOIN s ON c.c_custkey % 90 BETWEEN s.a AND s.b GROUP BY 1")
@@ -329,15 +337,9 @@ def identity_verification(spark, sf):
     d = read(spark, sf, "documents")
     named = F.when(F.col("doc_id") % 211 == 0, "src99").otherwise(F.col("source"))
     page = F.concat(F.lit("Compendium – "), named, F.lit("\nLibro "), "source", F.lit(","), "lang", F.lit("\n"), "text")
-    p = d.select("source", "lang", F.translate(page, tx.DASHES, "-----").alias("page"))
-    heads_ = p.select("source", F.explode(F.regexp_extract_all("page", F.lit(_HEAD), F.lit(1))).alias("head")).groupBy(F.col("source").alias("hs")).agg(F.array_join(F.array_sort(F.collect_set("head")), ",").alias("heads"))
-    crumbs = p.select("source", tx.spaced(F.regexp_extract("page", "(?m)^(Libro [^,]*,.+)$", 1)).alias("crumb"))
-    known = d.where(F.col("lang").isin("en", "de")).select(tx.spaced(F.concat(F.lit("Libro "), "source", F.lit(","), "lang")).alias("path")).distinct()
-    matched = align.prefix_semi(crumbs, known, "crumb", "path").groupBy(F.col("source").alias("ms")).agg(F.count("*").alias("matched"))
-    counts = crumbs.groupBy("source").agg(F.count("*").alias("crumbs"))
-    rows = counts.join(heads_, F.col("source") == F.col("hs"), "left").join(matched, F.col("source") == F.col("ms"), "left").withColumn("matched", F.coalesce("matched", F.lit(0)))
-    problems = F.concat_ws("; ", F.when(F.col("heads").isNull(), "no running header").when(F.col("heads") != F.col("source"), F.concat(F.lit("header says "), "heads")), F.when((F.col("crumbs") >= 2) & (F.col("crumbs") - F.col("matched") > F.floor(F.col("crumbs") / 2)), "sections are not in the tree"))
-    return rows.select("source", F.coalesce("heads", F.lit("")).alias("heads"), "crumbs", "matched", problems.alias("problems"))
+    pages = d.select(F.col("source").alias("book"), page.alias("text"))
+    paths = d.where(F.col("lang").isin("en", "de")).select(F.concat(F.lit("Libro "), "source", F.lit(","), "lang").alias("path"))
+    return guard.identity(pages, paths, _HEAD, "(?m)^(Libro [^,]*,.+)$").withColumnRenamed("book", "source")
 
 
 @query("containment_first_hit", "SELECT b.item_id, d.doc_id, instr(d.text, b.text)::BIGINT AS first_hit FROM documents d JOIN benchmark b ON contains(d.text, b.text)")

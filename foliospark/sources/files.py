@@ -39,9 +39,18 @@ def binaries(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("path").alias("src"), digest.alias("sha256"), F.concat(digest, F.when(suffix == "", ".bin").otherwise(suffix)).alias("file"), F.col("length").alias("size"))
 
 
-def new_sources(pages: DataFrame, index: DataFrame, body: Column) -> DataFrame:
-    """Distinct image sources in page bodies that the index (src) has not."""
-    found = pages.select(F.explode(F.regexp_extract_all(body, F.lit(r"""<img\b[^>]*?\bsrc\s*=\s*["']([^"']+)"""), F.lit(1))).alias("src")).distinct()
+#: Where a body names its images.
+IMAGE = r"""<img\b[^>]*?\bsrc\s*=\s*["']([^"']+)"""
+
+
+def by_content(found: DataFrame, order: str = "src") -> DataFrame:
+    """(sha256, first, n): one row for each content of ``found`` (sha256 and ``order``), with the first place that has it."""
+    return found.groupBy("sha256").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+
+
+def new_sources(pages: DataFrame, index: DataFrame, body: Column, pattern: str = IMAGE) -> DataFrame:
+    """Distinct sources that page bodies name and the index (src) has not."""
+    found = pages.select(F.explode(F.regexp_extract_all(body, F.lit(pattern), F.lit(1))).alias("src")).distinct()
     return found.join(index.select("src"), "src", "left_anti")
 
 
@@ -73,6 +82,26 @@ def json_document(spark: SparkSession, path: str, schema: T.StructType | str) ->
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+STATE = "book string, id string, etag string, last_modified string"
+
+
+def http_state(spark: SparkSession, path: str) -> DataFrame:
+    """What conditional requests are made with: (book, id, etag, last_modified); empty before the first crawl."""
+    return spark.read.schema(STATE).parquet(path) if exists(spark, path) else spark.createDataFrame([], STATE)
+
+
+def keep_http_state(answers: DataFrame, path: str) -> None:
+    """Advance the state by ``answers`` (book, id, status, etag, last_modified), a row for each page asked for.
+
+    A page that was sent anew replaces its row; one that has not changed or
+    could not be had keeps the row it has.
+    """
+    spark = answers.sparkSession
+    sent = answers.where("status = 200").dropDuplicates(["book", "id"]).select("book", F.col("id").cast("string").alias("id"), "etag", "last_modified")
+    old = http_state(spark, path).join(sent.select("book", "id"), ["book", "id"], "left_anti")
+    staged(old.unionByName(sent), path)
+
+
 # ------------------------------------------------------------------------ sinks
 def staged(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
     """Overwrite ``path`` only when the whole new content is written: a failed job leaves the old one."""

@@ -218,3 +218,11 @@ def test_json_document(spark, tmp_path):
 def test_crawl_of_any_depth(spark):
     pages = spark.createDataFrame([(str(i), f'<nav><a href="/{i + 1}">t</a></nav>') for i in range(80)], "page_id string, html string")
     assert {int(r["id"]): r["depth"] for r in web.crawl(pages, "0").collect()} == {i: i + 1 for i in range(81)}
+
+
+def test_state_of_conditional_requests(spark, tmp_path):
+    path, schema = str(tmp_path / "state"), "book string, id string, status int, etag string, last_modified string"
+    assert files.http_state(spark, path).count() == 0
+    files.keep_http_state(spark.createDataFrame([("a", "1", 200, "x", ""), ("a", "2", 200, "y", ""), ("b", "1", 404, "", "")], schema), path)
+    files.keep_http_state(spark.createDataFrame([("a", "1", 200, "z", "d"), ("a", "2", 304, "", ""), ("b", "1", 200, "w", "")], schema), path)
+    assert rows(files.http_state(spark, path)) == [("a", "1", "z", "d"), ("a", "2", "y", ""), ("b", "1", "w", "")]
