@@ -155,10 +155,15 @@ def verify(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 
 class Block:
-    """Sets of a block with their classes and components, and an inverted list over them."""
+    """Sets of a block with their classes and components, and an inverted list over them.
+
+    Components that a link has joined are one from then on, so at most as many
+    links are told as there are components.
+    """
 
     def __init__(self, percent: int):
         self.percent, self.ids, self.components, self.sets = percent, [], [], []
+        self.above: dict[int, int] = {}  # a component that was joined to another, and that
 
     def add(self, own: int, component: int, grams: np.ndarray) -> None:
         self.ids.append(own)
@@ -171,9 +176,10 @@ class Block:
         order = np.argsort(grams, kind="stable")
         self.distinct, start = np.unique(grams[order], return_index=True)
         self.start, self.holder = np.append(start, len(order)), np.repeat(np.arange(len(self.sets)), self.sizes)[order]
+        self.label = np.array(self.components, np.int64)  # what each member's component is joined to
 
-    def links(self, own: int, component: int, grams: np.ndarray) -> list[int]:
-        """One linked member for each other component."""
+    def links(self, component: int, grams: np.ndarray) -> list[int]:
+        """Linked members that join the component with others."""
         at = np.searchsorted(self.distinct, grams)
         at = at[(at < len(self.distinct)) & (self.distinct[np.minimum(at, len(self.distinct) - 1)] == grams)]
         if not len(at):
@@ -185,8 +191,17 @@ class Block:
             n, f = reach[some], first[some]
             if len(n):
                 both += np.bincount(self.holder[np.repeat(f - np.cumsum(n) + n, n) + np.arange(n.sum())], minlength=len(both))
-        found = np.flatnonzero(100 * both >= self.percent * (self.sizes + len(grams) - both))
-        return list({self.components[i]: self.ids[i] for i in found.tolist() if self.components[i] != component and self.ids[i] != own}.values())
+        found, out = np.flatnonzero(100 * both >= self.percent * (self.sizes + len(grams) - both)), []
+        while component in self.above:
+            component = self.above[component]
+        found = found[self.label[found] != component]
+        while len(found):
+            out.append(self.ids[found[0]])
+            joined = int(self.label[found[0]])
+            self.above[joined] = component
+            self.label[self.label == joined] = component
+            found = found[self.label[found] != component]
+        return out
 
 
 def _meet(percent: int):
@@ -196,7 +211,7 @@ def _meet(percent: int):
         now, left, ready = None, Block(percent), False
 
         def found(own: int, component: int, grams: np.ndarray, out: tuple[list[int], list[int]]) -> None:
-            for other in left.links(own, component, grams):
+            for other in left.links(component, grams):
                 out[0].append(min(own, other))
                 out[1].append(max(own, other))
 
@@ -236,10 +251,15 @@ def _blocks(mixed: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     """(id, component, group, block, alone) of the classes in ``mixed`` bands; ``alone``: no other block holds anything of the group."""
     n = common.partitions(mixed.sparkSession)
     who = common.table(mixed.groupBy("id").agg(F.min("center").alias("family"), F.first("component").alias("component")), "families")
-    # centers that a class has in common are of one group; groups of very many classes have few different pairs of them
-    pairs = common.table(mixed.select("id", "center").join(who.select("id", "family"), "id").where("center <> family").select("center", "family").distinct(), "center-pairs")
-    groups = common.components(pairs, "center", "family").select(F.col("id").alias("gid"), F.col("component").alias("of"))
-    who = who.join(groups, F.col("family") == F.col("gid"), "left").select("id", "family", "component", F.coalesce("of", "family").alias("group"))
+    # a class is of the group of its family, and that of its own family: most of a large group meets in a few roots
+    rooted = who.select("id", "family", "component", F.col("family").alias("root"))
+    for _ in range(3):
+        rooted = rooted.join(who.select(F.col("id").alias("root"), F.col("family").alias("above")), "root").select("id", "family", "component", F.col("above").alias("root"))
+        rooted = common.table(rooted, "rooted")
+    pairs = mixed.select("id", "center").join(rooted.select("id", "root"), "id").select("center", "root").distinct()
+    pairs = pairs.join(rooted.select(F.col("id").alias("center"), F.col("root").alias("other")), "center").where("root <> other").select("root", "other").distinct()
+    groups = common.components(pairs, "root", "other").select(F.col("id").alias("gid"), F.col("component").alias("of"))
+    who = rooted.join(groups, F.col("root") == F.col("gid"), "left").select("id", "family", "component", F.coalesce("of", "root").alias("group"))
     who = common.table(who.join(sets.select(F.col("class").alias("id"), "n").dropDuplicates(["id"]), "id"), "members")
     total = F.sum("n").alias("total")
     one = who.groupBy("group").agg(total).withColumn("alone", F.col("total") <= block)
@@ -348,6 +368,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
 def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of each component of near duplicates.
 
-    Of rows that repeat a kept doc_id all stay, as do rows without a doc_id.
+    Rows of one doc_id are one document: of a kept one all stay and of another
+    one all go, whatever their texts. Rows without a doc_id stay.
     """
     return common.restrict(docs, near_duplicates(docs, k, percent).where("not kept"), "doc_id", "doc_id", "left_anti")

@@ -147,6 +147,75 @@ def test_trees_and_calibration():
     assert (np.diff(xs) >= 0).all() and (np.diff(ys) >= 0).all() and 0 < ys.min() and ys.max() < 1
 
 
+def slow_features(text, lexicon):
+    """The features of one text, word by word."""
+    words = [w for w in re.split(r"[\x09-\x0d ]+", text) if w]
+    facts = []
+    for w in words:
+        core, odd = toxicity.letters(w)
+        begin = max([lexicon.get(f"{k}{core[:k]}", 0.0) for k in (4, 5, 6) if len(core) > k], default=0.0)
+        facts.append((lexicon.get(core, 0.0), begin, core in toxicity.SECOND_PERSON, odd))
+    n, size, alphas = max(len(words), 1), max(sum(map(len, words)), 1), max(sum(c.isalpha() for w in words for c in w), 1)
+    hits, starts = sum(f[0] > 0 for f in facts), sum(f[1] > 0 and not f[0] > 0 for f in facts)
+    persons = [i for i, f in enumerate(facts) if f[2]]
+    near = sum((f[0] > 0 or f[1] > 0) and any(abs(i - j) <= toxicity.NEAR for j in persons) for i, f in enumerate(facts))
+    capitals = [sum(map(str.isupper, w)) for w in words]
+    return [
+        np.log1p(len(words)), 100 * hits / n, np.log1p(hits), max([f[0] for f in facts], default=0), np.log1p(sum(f[0] for f in facts)), 100 * starts / n, np.log1p(starts), max([f[1] for f in facts], default=0), np.log1p(sum(f[1] for f in facts)), np.log1p(near),
+        sum(capitals) / alphas, sum(not c.isalnum() for w in words for c in w) / size, sum(c in "!?" for w in words for c in w) / size, sum(c > 1 and w.isupper() for c, w in zip(capitals, words, strict=True)) / n, sum(f[3] for f in facts) / n,
+    ]
+
+
+def test_features_equal_a_slow_version():
+    rng = random.Random(19)
+    lexicon = {"dolt": 2.0, "clod": 1.5, "4drec": 1.0, "6dreckb": 3.0}
+    pool = ["you", "DU", "dolt", "D0lt!", "c1od", "dreckab", "dreckbaum", "plain", "It's", "WHAT?!", "...", "42", "x-ray", "é", "tu"]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randrange(40))) for _ in range(300)] + ["", " \n"]
+    got = toxicity.features(pa.array([*texts, None]), lexicon)
+    assert np.allclose(got, [slow_features(t, lexicon) for t in [*texts, ""]])
+
+
+def slow_score(trees, row):
+    margin = trees.base
+    for feature, cut, leaf in zip(trees.features, trees.cuts, trees.leaves, strict=True):
+        at = 0
+        while at < len(feature):
+            at = 2 * at + 1 + int(row[feature[at]] > cut[at])
+        margin += leaf[at - len(feature)]
+    return 1 / (1 + np.exp(-margin))
+
+
+def test_trees_equal_a_slow_version():
+    """Scores by walking each tree, and the first split by trying all."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 4)).round(1)
+    y = ((x[:, 2] > 0.3) ^ (rng.random(400) < 0.1)).astype(float)
+    trees = Trees(rounds=15).fit(x, y)
+    assert np.allclose(trees.predict(x), [slow_score(trees, row) for row in x])
+    p = 1 / (1 + np.exp(-trees.base))
+
+    def gain(f, c):
+        sides = [(y[m] - p, m.sum() * p * (1 - p)) for m in (x[:, f] <= c, x[:, f] > c)]
+        return sum(g.sum() ** 2 / (h + 1) for g, h in sides) if all(h >= trees.least for _, h in sides) else -1
+
+    edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, 33)[1:-1])) for f in range(4)]
+    best = max(gain(f, c) for f in range(4) for c in edges[f])
+    assert np.isclose(gain(trees.features[0][0], trees.cuts[0][0]), best)
+
+
+def test_calibration_equals_a_slow_version():
+    """The best rising fit, by the greatest of the least means of runs."""
+    rng = np.random.default_rng(3)
+    score, y = rng.permutation(60) / 60, rng.integers(0, 2, 60).astype(float)
+    order = np.argsort(score)
+    t = y[order]
+    fit = [max(min(t[a : b + 1].mean() for b in range(i, 60)) for a in range(i + 1)) for i in range(60)]
+    sizes = {v: fit.count(v) for v in fit}
+    xs, ys = isotonic(score, y)
+    want = np.maximum.accumulate([(v * sizes[v] + 0.5) / (sizes[v] + 1) for v in fit])
+    assert np.allclose(np.interp(score[order], xs, ys), want)
+
+
 # ------------------------------------------------------------------ licences
 def test_licence_scan(spark, odd, none):
     mit = next(t for i, t in licenses.LICENSES if i == "MIT")
@@ -740,6 +809,62 @@ def test_mixtures_keep_the_selected_set(spark):
     assert top == {i: (x or [("und", 0.0)])[0] for i, x in got.items()}
 
 
+def slow_trigrams(text):
+    """Counts of letter trigrams by bucket: small letters, one blank for all between them and one at either end."""
+    letters = "".join(c.lower() if c.isalpha() and len(c.lower()) == 1 else c if c.isalpha() else " " for c in f" {text} ")
+    plain = re.sub(" +", " ", letters)
+    out: dict = {}
+    for a, b, c in zip(plain, plain[1:], plain[2:]):
+        code = np.array([(ord(a) << 42) ^ (ord(b) << 21) ^ ord(c)], np.uint64)
+        bucket = int(common.mix(code)[0]) >> (64 - language.BITS)
+        out[bucket] = out.get(bucket, 0) + 1
+    return out
+
+
+def slow_mixture(counts, p):
+    """The set of languages with the best penalised likelihood and their shares, by EM one trigram at a time."""
+    k, total = p.shape[1], sum(counts.values())
+
+    def shares(allowed):
+        share = [1 / len(allowed) if j in allowed else 0.0 for j in range(k)]
+        for _ in range(language.STEPS):
+            new = [0.0] * k
+            for b, n in counts.items():
+                part = [p[b, j] * share[j] for j in range(k)]
+                for j in range(k):
+                    new[j] += n * part[j] / sum(part) / total
+            moved, share = max(abs(x - y) for x, y in zip(new, share, strict=True)), new
+            if moved < 1e-3:
+                break
+        return share, sum(n * np.log(sum(p[b, j] * share[j] for j in range(k))) for b, n in counts.items())
+
+    first, _ = shares(range(k))
+    order = sorted(range(k), key=lambda j: -first[j])
+    best = None
+    for m in range(1, k + 1):
+        if m > 1 and first[order[m - 1]] < 0.02:
+            break
+        share, loglik = shares(order[:m])
+        value = loglik - language.PENALTY * (m - 1) * np.log(total + 1)
+        if best is None or value > best[0]:
+            best = value, order[:m], share
+    return best[1], best[2]
+
+
+def test_mixtures_equal_a_slow_version(spark):
+    rng = random.Random(20)
+    data = [(i, phrase(rng, lang, 40), lang) for i in range(200) for lang in [rng.choice(list(SYLLABLES))]]
+    model = language.fit(spark.createDataFrame(data, "doc_id long, text string, lang string"))
+    texts = [" ".join(phrase(rng, lang, rng.randrange(1, 50)) for lang in rng.sample(list(SYLLABLES), rng.randrange(1, 4))) for _ in range(40)] + ["Ünder Öl", "a", "Ab1c  d"]
+    row, bucket, count, _ = language.trigrams(pa.array(texts))
+    for i, (t, found) in enumerate(zip(texts, model.mixtures(pa.array(texts)), strict=True)):
+        counts = slow_trigrams(t)
+        assert dict(zip(bucket[row == i].tolist(), count[row == i].tolist(), strict=True)) == counts
+        chosen, share = slow_mixture(counts, model.p.astype(float))
+        assert {lang for lang, _ in found} == {model.names[j] for j in chosen}, t
+        assert all(abs(s - share[model.names.index(lang)]) < 2e-3 for lang, s in found)
+
+
 @pytest.mark.parametrize("share", [0.75, 0.6, 0.1])
 def test_shares_of_a_long_mixture(spark, share):
     rng = random.Random(7)
