@@ -52,6 +52,10 @@ def parse(ctx: Context) -> None:
     for line in guard.enforce(guard.problems(facts, limits, previous), ctx.force):
         print(f"warning: {line}")
     files.staged(made.drop("n_units"), ctx.path("documents"))
+    totals = made.groupBy("book").agg(F.count("*").alias("documents"), F.sum("n_units").alias("units"), F.sum(F.size("figures")).alias("figures"))
+    lost = made.agg(F.sum(F.size(F.regexp_extract_all("markdown", F.lit(r"\[\[FIG-MISSING:"), F.lit(0)))).alias("n")).first()["n"]
+    for line in guard.summary("parse", totals, {"images are missing": lost or 0}):
+        print(line)
     runs = guard.metrics(made.select("book", "markdown", "figures", F.col("amendment_notes").alias("notes"), F.when(F.col("n_units") > 0, F.sequence(F.lit(1), F.col("n_units"))).alias("units")))
     files.write_json_lines(runs.withColumn("at", F.current_timestamp()), ctx.path("runs"), ["book"], append=True)
 

@@ -64,6 +64,15 @@ def problems(docs: DataFrame, limits: DataFrame, previous: DataFrame | None = No
     return rows.select("book", F.when(n == 0, F.array_compact(F.array(few))).otherwise(rest).alias("problems"))
 
 
+def summary(stage: str, totals: DataFrame, missing: dict[str, int] | None = None) -> list[str]:
+    """What a stage says in the end: a line for each row of ``totals`` (book and numbers), their sums, and a warning for each kind of thing that is missing."""
+    numbers = [c for c in totals.columns if c != "book"]
+    sums = totals.agg(*[F.sum(c).alias(c) for c in numbers]).withColumn("book", F.lit("total"))
+    rows = totals.orderBy("book").collect() + sums.select(*totals.columns).collect()  # a row for each book
+    said = [f"{stage}: {r['book']}: " + ", ".join(f"{r[c] or 0} {c}" for c in numbers) for r in rows]
+    return said + [f"warning: {stage}: {n} {what}" for what, n in (missing or {}).items() if n]
+
+
 def enforce(found: DataFrame, force: bool = False) -> list[str]:
     """Raise with every problem of every book, or, with ``force``, return them. One row a book comes to the driver."""
     lines = [f"{r['book']}: {p}" for r in found.where(F.size("problems") > 0).orderBy("book").collect() for p in r["problems"]]

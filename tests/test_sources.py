@@ -226,3 +226,88 @@ def test_state_of_conditional_requests(spark, tmp_path):
     files.keep_http_state(spark.createDataFrame([("a", "1", 200, "x", ""), ("a", "2", 200, "y", ""), ("b", "1", 404, "", "")], schema), path)
     files.keep_http_state(spark.createDataFrame([("a", "1", 200, "z", "d"), ("a", "2", 304, "", ""), ("b", "1", 200, "w", "")], schema), path)
     assert rows(files.http_state(spark, path)) == [("a", "1", "z", "d"), ("a", "2", "y", ""), ("b", "1", "w", "")]
+
+
+def test_agents_take_turns():
+    c, site = client(*[Answer(200, b"x")] * 4)
+    for _ in range(4):
+        c.fetch("https://h/a")
+    names = [headers["User-Agent"] for _, _, headers in site.asked]
+    assert names[:3] == list(web.AGENTS) and names[3] == names[0]
+    c, site = client(Answer(200, b"x"))
+    c.agents = ()
+    c.fetch("https://h/a")
+    assert site.asked[0][2]["User-Agent"] == web.AGENTS[0]
+
+
+@pytest.fixture
+def site():
+    """A site on this machine: pages with menus and images, one page that is not there, and how often each was asked for."""
+    import http.server
+    import threading
+
+    pages = {
+        "/r": b'<nav><a href="/a">A</a><a href="/b">B</a></nav><img src="i/1.PNG">', "/a": b'<nav><a href="/r">R</a><a href="/gone">G</a></nav><img src="i/2.png">caf\xe9', "/b": b'<nav><a href="/a">A</a></nav><article>x</article><img src="i/no.png">',
+        "/i/1.PNG": b"one", "/i/2.png": b"one",
+    }
+    asked = []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(self.path)
+            body = pages.get(self.path)
+            tag = f'"{self.path}"'
+            self.send_response(404 if body is None else 304 if self.headers.get("If-None-Match") == tag else 200)
+            body = b"" if body is None or self.headers.get("If-None-Match") == tag else body
+            self.send_header("ETag", tag)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}/", asked
+    server.shutdown()
+
+
+def test_crawl_of_a_site_with_its_images(spark, site):
+    base, asked = site
+    pages = web.crawl_site(spark, base, "r", 2)
+    got = {r["page_id"]: (r["html"], r["error"]) for r in pages.collect()}
+    assert set(got) == {"r", "a", "b", "gone"} and got["a"][0].endswith("caf\ufffd") and "404" in got["gone"][1]
+    assert sorted(asked) == ["/a", "/b", "/gone", "/r"]
+    tree = {r["id"]: (r["parent"], r["depth"]) for r in web.crawl(pages.where("html is not null"), "r").collect()}
+    assert tree == {"r": (None, 1), "a": ("r", 2), "b": ("r", 2), "gone": ("a", 3)}
+    images = web.new_images(pages, spark.createDataFrame([("i/0.png",)], "src string"), base, 2).collect()
+    files_ = {r["src"]: r["file"] and r["file"][64:] for r in images}
+    assert files_ == {"i/1.PNG": ".png", "i/2.png": ".png", "i/no.png": None} and len({r["sha256"] for r in images if r["sha256"]}) == 1
+    again = web.fetched(spark.createDataFrame([(base + "a", '"/a"', None)], "url string, etag string, last_modified string")).first()
+    assert (again["status"], again["content"], again["error"]) == (304, None, None)
+
+
+def test_programs_for_pdf_files(tmp_path, monkeypatch):
+    """What poppler's programs print becomes rows; these stand in for them."""
+    import pandas as pd
+
+    for name, script in {"pdfinfo": 'echo "Title: x"; echo "Pages:          3"', "pdftotext": 'printf "one\\ftwo\\f"', "pdfimages": 'printf a > "$4-002-000.png"; printf b > "$4-010-001.png"'}.items():
+        (tmp_path / name).write_text(f"#!/bin/sh\n{script}\n")
+        (tmp_path / name).chmod(0o755)
+    monkeypatch.setenv("PATH", f"{tmp_path}:/usr/bin:/bin")
+    assert pdf.available() and pdf.page_count(b"%PDF") == 3
+    batch = pd.DataFrame({"path": ["f.pdf"], "content": [b"%PDF"]})
+    (texts,) = pdf._texts(iter([batch]))
+    assert texts.to_dict("records") == [{"path": "f.pdf", "pages": 3, "text": "one\ftwo\f"}]
+    images = pd.concat(pdf._images(iter([batch])))
+    assert [tuple(r) for r in images[["page", "n", "content"]].itertuples(index=False)] == [(2, 0, b"a"), (10, 1, b"b")]
+
+
+def test_summary_of_a_stage(spark):
+    from foliospark.operators import guard
+
+    totals = spark.createDataFrame([("b", 2, 5), ("a", 1, 0)], "book string, documents long, units long")
+    assert guard.summary("parse", totals, {"images are missing": 2, "pages are missing": 0}) == [
+        "parse: a: 1 documents, 0 units", "parse: b: 2 documents, 5 units", "parse: total: 3 documents, 5 units", "warning: parse: 2 images are missing",
+    ]
