@@ -302,13 +302,17 @@ def _encode(path: str, digests: bool):
         first, last = np.array([model.bos], "<u4"), np.array([model.eos], "<u4")
         for batch in common.slices(batches, "text"):
             texts = [t or "" for t in common.column(batch, "text").to_pylist()]
-            ids = [np.concatenate([first, x, last]) for x in model.encode(texts)]
+            own = common.column(batch, "doc_id")
+            try:
+                ids = [np.concatenate([first, x, last]) for x in model.encode(texts)]
+            except AssertionError as e:
+                raise AssertionError(f"{e}, in documents {own[0]} to {own[-1]}") from None
             lists = [x.tolist() for x in ids]
             decoded = model.library.decode(lists, num_threads=1) if lists else []
-            for back, t in zip(decoded, texts, strict=True):
+            for doc_id, back, t in zip(own, decoded, texts, strict=True):
                 if back != t.replace(SPACE, " "):
-                    raise AssertionError(f"decoding does not lead back to a text of {len(t)} characters: {t[:80]!r}")
-            known = [common.column(batch, "doc_id"), pa.array([len(x) for x in lists], pa.int64())]
+                    raise AssertionError(f"decoding does not lead back to document {doc_id}, a text of {len(t)} characters: {t[:80]!r}")
+            known = [own, pa.array([len(x) for x in lists], pa.int64())]
             if digests:
                 rest = [pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids]), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded])]
                 yield pa.RecordBatch.from_arrays(known + rest, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
