@@ -42,9 +42,10 @@ def html_to_markdown(spark, sf):
 
 
 @query("parsed_documents", """SELECT page_id::VARCHAR AS pvid, 'https://example.org/w3-propertyvalue-' || page_id || '.html' AS url, 'Capítulo ' || page_id AS title,
-    'Libro I. Todo > Título ' || upper(regexp_extract(html, 'lang="([^"]*)"', 1)) || ' > Letra A. Parte' AS path, regexp_extract(html, 'lang="([^"]*)"', 1) AS topics FROM pages""")
+    'Libro I. Todo > Título ' || upper(regexp_extract(html, 'lang="([^"]*)"', 1)) || ' > Letra A. Parte' AS path, regexp_extract(html, 'lang="([^"]*)"', 1) AS topics,
+    'Libro I. Todo > Título ' || upper(regexp_extract(html, 'lang="([^"]*)"', 1)) || ' > Letra A. Parte, Capítulo ' || page_id AS citation, sha256('<div id="cuerpo_documento">' || html || '<table><tr><th>a</th><td>b|c</td></tr><tr><td>1</td></tr></table><img src="x.png"><img src="y.png"><h6>Nota de actualización: modificado</h6>') AS source_sha256 FROM pages""")
 def parsed_documents(spark, sf):
-    return parsed(spark, sf).select("pvid", "url", "title", "path", F.array_join("topics", ",").alias("topics"))
+    return parsed(spark, sf).select("pvid", "url", "title", "path", "citation", "source_sha256", F.array_join("topics", ",").alias("topics"))
 
 
 @query("hierarchy_levels", """SELECT page_id::VARCHAR AS pvid, 'Libro I. Todo' AS book, 'Título ' || upper(regexp_extract(html, 'lang="([^"]*)"', 1)) AS title, 'Letra A. Parte' AS letter, 'Capítulo ' || page_id AS chapter FROM pages""")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,6 +40,27 @@ def binaries(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("path").alias("src"), digest.alias("sha256"), F.concat(digest, F.when(suffix == "", ".bin").otherwise(suffix)).alias("file"), F.col("length").alias("size"))
 
 
+def write_json_document(df: DataFrame, path: str, order: list[str], most: int = 100_000) -> None:
+    """All rows in order as one indented JSON text, for people and configuration: ``most`` rows at most, else an error.
+
+    The new text replaces the old one when it is whole.
+    """
+    rows = df.orderBy(*order).limit(most + 1).toJSON().collect()  # of proven size
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows for one document; write_json_lines takes any number")
+    spark = df.sparkSession
+    fs, where = _fs(spark, path)
+    _, staging = _fs(spark, f"{path}.staging-{uuid.uuid4().hex}")
+    out = fs.create(staging, True)
+    try:
+        out.write(bytearray(json.dumps([json.loads(x) for x in rows], ensure_ascii=False, indent=2).encode() + b"\n"))
+    finally:
+        out.close()
+    fs.delete(where, False)
+    if not fs.rename(staging, where):
+        raise OSError(f"could not move {staging} to {path}")
+
+
 #: Where a body names its images.
 IMAGE = r"""<img\b[^>]*?\bsrc\s*=\s*["']([^"']+)"""
 

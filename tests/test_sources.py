@@ -213,6 +213,13 @@ def test_json_document(spark, tmp_path):
     (tmp_path / "d.json").write_text('[\n  {"id": "a",\n   "n": 1},\n  {"id": "b"}\n]')
     assert rows(files.json_document(spark, str(tmp_path / "d.json"), "id string, n long")) == [("a", 1), ("b", None)]
     assert files.json_document(spark, str(tmp_path / "none"), "id string").count() == 0
+    again = str(tmp_path / "e.json")
+    for _ in range(2):
+        files.write_json_document(spark.createDataFrame([("b", None), ("a", 1), ("ñ", 2)], "id string, n long"), again, ["id"])
+    assert (tmp_path / "e.json").read_text().startswith('[\n  {\n    "id": "a",\n    "n": 1\n  },') and rows(files.json_document(spark, again, "id string, n long")) == [("a", 1), ("b", None), ("ñ", 2)]
+    assert not list(tmp_path.glob("*staging*"))
+    with pytest.raises(ValueError):
+        files.write_json_document(spark.range(3), again, ["id"], most=2)
 
 
 def test_crawl_of_any_depth(spark):
