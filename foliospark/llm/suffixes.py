@@ -24,9 +24,11 @@ Plan
    Runs that another document has too are joined to passages.
 
 An interval is settled where it lies, in one piece of the array, unless it
-crosses the border of a piece or is larger than ``PIECE``; what is then left
-open is aggregated by the fingerprint of its runs, partly before any shuffle.
-Equal texts are held once, by their smallest doc_id.
+crosses the border of a piece or is larger than ``PIECE``. Then a piece tells
+each run by the smallest document that it has there, and these few rows are
+aggregated over all pieces. Its other documents are known to come later; each
+stretch of their runs is one row, and stretches of the same runs are looked up
+once. Equal texts are held once, by their smallest doc_id.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,9 +120,9 @@ def _neighbours(reach: int):
             keep[1:] |= alike
             keep[:-1] |= alike
             held = piece.slice(len(keep) - 1), bool(keep[-1])
-            yield from piece.slice(0, len(keep) - 1).filter(pa.array(keep[:-1])).select(["doc_id", "text_hash", "pos"]).to_batches()
+            yield from piece.slice(0, len(keep) - 1).filter(pa.array(keep[:-1])).select(["doc_id", "pos"]).to_batches()
         if held is not None:
-            yield from held[0].select(["doc_id", "text_hash", "pos"]).to_batches()
+            yield from held[0].select(["doc_id", "pos"]).to_batches()
 
     return run
 
@@ -163,7 +166,9 @@ def _runs(least: int, window: int):
     return run
 
 
-_MATCH = "doc_id long, text_hash long, start int, last int, first_doc_id long, run long"
+#: Stretches of runs that another document has: settled with its smallest document, or later than that of the same
+#: ``stretch``, whose runs are told apart; and open runs, of which ``several`` documents of the piece may have one.
+_MATCH = "doc_id long, text_hash long, start int, last int, first_doc_id long, run long, several boolean, stretch long"
 
 
 def _flat(piece: pa.Table) -> tuple[np.ndarray, ...]:
@@ -175,31 +180,59 @@ def _flat(piece: pa.Table) -> tuple[np.ndarray, ...]:
     return row, place, listed.flatten().to_numpy()
 
 
-def _settled(piece: pa.Table) -> pa.RecordBatch:
-    """Matches within whole intervals: places start to last whose runs another document has too, the smallest such one."""
-    row, place, run = _flat(piece)
-    doc = piece["doc_id"].to_numpy()[row]
+def _holders(doc: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the smallest document with its run, and whether another one has it."""
     order = np.lexsort((doc, run))
     _, first, which = np.unique(run[order], return_index=True, return_inverse=True)
     low, high = doc[order][first], doc[order][np.append(first[1:], len(order)) - 1]
     smallest, several = np.empty(len(run), np.int64), np.empty(len(run), bool)
     smallest[order], several[order] = low[which], (low != high)[which]
-    row, place, smallest = row[several], place[several], smallest[several]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1) | (smallest[1:] != smallest[:-1])
+    return smallest, several
+
+
+def _stretches(place: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last entry of each stretch of consecutive places with the same values, over the rows of any suffixes."""
+    new = np.ones(len(place), bool)
+    new[1:] = place[1:] != place[:-1] + 1
+    for values in same:
+        new[1:] |= values[1:] != values[:-1]
     begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(row))[: len(begin)] - 1
-    of = row[begin]
-    return _matches(piece["doc_id"].to_numpy()[of], piece["text_hash"].to_numpy()[of], place[begin], place[end], pa.array(smallest[begin]), pa.nulls(len(begin), pa.int64()))
+    return begin, np.append(begin[1:], len(place))[: len(begin)] - 1
+
+
+def _settled(piece: pa.Table) -> pa.RecordBatch:
+    """Matches within whole intervals: places start to last whose runs another document has too, the smallest such one."""
+    row, place, run = _flat(piece)
+    doc, text = piece["doc_id"].to_numpy()[row], piece["text_hash"].to_numpy()[row]
+    smallest, several = _holders(doc, run)
+    doc, text, place, smallest = doc[several], text[several], place[several], smallest[several]
+    begin, end = _stretches(place, doc, text, smallest)
+    return _matches(len(begin), doc_id=doc[begin], text_hash=text[begin], start=place[begin], last=place[end], first_doc_id=smallest[begin])
 
 
 def _open(piece: pa.Table) -> pa.RecordBatch:
+    """What a piece has of intervals that go on in others; see :data:`_MATCH`."""
     row, place, run = _flat(piece)
-    return _matches(piece["doc_id"].to_numpy()[row], piece["text_hash"].to_numpy()[row], place, place, pa.nulls(len(row), pa.int64()), pa.array(run))
+    doc, text = piece["doc_id"].to_numpy()[row], piece["text_hash"].to_numpy()[row]
+    smallest, several = _holders(doc, run)
+    least = doc == smallest
+    rows = [_matches(int(least.sum()), doc_id=doc[least], text_hash=text[least], start=place[least], last=place[least], run=run[least], several=several[least])]
+    doc, text, place, run = doc[~least], text[~least], place[~least], run[~least]
+    begin, end = _stretches(place, doc, text)
+    keys = np.array([xxhash.xxh3_64_intdigest(run[a : b + 1].tobytes()) for a, b in zip(begin.tolist(), end.tolist(), strict=True)], U64).view(np.int64)
+    rows.append(_matches(len(begin), doc_id=doc[begin], text_hash=text[begin], start=place[begin], last=place[end], stretch=keys))
+    distinct, at = np.unique(keys, return_index=True)
+    sizes = (end - begin + 1)[at]
+    own = np.repeat(begin[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    rows.append(_matches(len(own), run=run[own], stretch=np.repeat(distinct, sizes)))
+    return pa.Table.from_batches(rows).combine_chunks().to_batches()[0] if sum(x.num_rows for x in rows) else rows[0]
+
+
+_KINDS = [(x.split()[0], {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[x.split()[1]]) for x in _MATCH.split(", ")]
 
 
-def _matches(doc, text, start, last, first, run) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(text, pa.int64()), pa.array(start, pa.int32()), pa.array(last, pa.int32()), first, run], names=["doc_id", "text_hash", "start", "last", "first_doc_id", "run"])
+def _matches(n: int, **columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in _KINDS], names=[c for c, _ in _KINDS])
 
 
 def _extend(most: int):
@@ -271,23 +304,28 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, window: int = WINDOW, pi
     made = digested.mapInArrow(_retained(least, window), "doc_id long, text_hash long, digest binary, n_words int, high array<long>, low array<long>, head array<long>, pos array<int>")
     made = common.table(made.where(F.col("n_words") >= least), "suffixes")
     texts = common.table(made.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("high_id")), "texts")
-    copies = made.select("doc_id", "text_hash", "digest", "n_words").join(texts.where("rep < high_id"), "digest").select("doc_id", "text_hash", "n_words", "rep").distinct()
+    copies = made.select("doc_id", "text_hash", "digest", "n_words").join(texts.where("rep < high_id"), "digest").select("doc_id", "text_hash", "digest", "n_words", "rep").distinct()
+    copies = common.table(copies, "copies")
 
-    live = made.join(texts.select(F.col("digest"), F.col("rep").alias("doc_id")), ["doc_id", "digest"])
-    suffix = live.select("doc_id", "text_hash", F.explode(F.arrays_zip("high", "low", "head", "pos")).alias("s")).select("s.*", "doc_id", "text_hash")
+    again = copies.where("doc_id <> rep").select("doc_id", "digest")
+    again = F.broadcast(again) if again.count() <= common.BROADCAST_IDS else again.hint("merge")  # suffixes are not shuffled for the sake of a few copies
+    suffix = made.join(again, ["doc_id", "digest"], "left_anti").select("doc_id", F.explode(F.arrays_zip("high", "low", "head", "pos")).alias("s")).select("s.*", "doc_id")
     order = ("high", "low", "head", "doc_id", "pos")
     array = suffix.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    stays = array.mapInArrow(_neighbours(reach), "doc_id long, text_hash long, pos int")
-    found = common.table(stays.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("found")), "survivors")
+    stays = array.mapInArrow(_neighbours(reach), "doc_id long, pos int")
+    found = common.table(stays.groupBy("doc_id").agg(F.collect_set("pos").alias("found")), "survivors")  # of several texts of an id, what stays of any
 
-    told = docs.join(found, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "found").mapInArrow(_runs(least, window), "doc_id long, text_hash long, head long, start int, runs array<long>")
+    told = docs.join(found, "doc_id").select("doc_id", "text_hash", "text", "found").mapInArrow(_runs(least, window), "doc_id long, text_hash long, head long, start int, runs array<long>")
     pieces = told.repartitionByRange(n, "head", "doc_id", "start").sortWithinPartitions("head", "doc_id", "start")
     matches = common.table(pieces.mapInArrow(_extend(piece), _MATCH), "matches")
-    open_ = matches.where("run is not null").select("doc_id", "text_hash", "start", "last", "run")
-    shared = open_.groupBy("run").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")).where("first_doc_id <> last_doc_id").select("run", "first_doc_id")
-    shared = common.table(shared, "shared")  # apart from the join, so that a passage that very many documents hold is split there
+    open_ = matches.where("run is not null and doc_id is not null").select("doc_id", "text_hash", "start", "last", "run", "several")
+    shared = open_.groupBy("run").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"), F.max("several").alias("several")).where("first_doc_id <> last_doc_id or several").select("run", "first_doc_id")
+    shared = common.table(shared, "shared")  # apart from the joins, so that what very many documents hold is split there
+    stretches = matches.where("run is not null and doc_id is null").select("stretch", "run").distinct().join(shared, "run")
+    stretches = common.table(stretches.groupBy("stretch").agg(F.min("first_doc_id").alias("first_doc_id")), "stretches")
     columns = ["doc_id", "text_hash", "start", "last", "first_doc_id"]
-    marked = matches.where("run is null").select(*columns).unionByName(open_.join(shared, "run").select(*columns))
+    later = matches.where("stretch is not null and doc_id is not null").drop("first_doc_id").join(stretches, "stretch")
+    marked = matches.where("first_doc_id is not null").select(*columns).unionByName(open_.join(shared, "run").select(*columns)).unionByName(later.select(*columns))
     marked = marked.withColumn("first", F.col("doc_id") == F.col("first_doc_id"))
 
     by = Window.partitionBy("doc_id", "text_hash", "first").orderBy("start", "last")

@@ -981,6 +981,16 @@ def test_repeats_equal_brute_force(spark, piece):
     want = brute_repeats(texts, 50)
     assert {k: v for k, v in got.items() if not k[1]} == {k: v for k, v in want.items() if not k[1]}
     assert got == want
+    holders: dict = {}
+    for i, t in enumerate(texts):
+        w = split(t)
+        for p in range(len(w) - 49):
+            holders.setdefault(tuple(w[p : p + 50]), set()).add(i)
+    alone = [i for i, t in enumerate(texts) if texts.count(t) == 1]  # of copies, whole spans name the first copy
+    for r in suffixes.repeated_spans(d, piece=piece).where(F.col("doc_id").isin(alone)).collect():
+        w = split(texts[r["doc_id"]])
+        firsts = [min(holders[tuple(w[p : p + 50])]) for p in range(r["start_word"], r["end_word"] - 49) if len(holders[tuple(w[p : p + 50])]) > 1]
+        assert r["first_doc_id"] == min(f for f in firsts if (f == r["doc_id"]) == r["first"])
     if piece != suffixes.PIECE:
         return
     clean = {r["doc_id"]: r for r in suffixes.without_repeats(d).collect()}

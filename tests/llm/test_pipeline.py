@@ -1,10 +1,15 @@
 """The pipeline on a small corpus, stage by stage."""
 
+import hashlib
 import random
 
+import numpy as np
+
 import __spark_entry__ as entry
 import corpus_pipeline
-from tests.llm.test_llm import chatter, docs, toxic_corpus
+from foliospark.llm import decontaminate, pieces
+from foliospark.llm.queries import tokenizer
+from tests.llm.test_llm import brute_components, brute_leaks, brute_repeats, chatter, docs, families, split, toxic_corpus
 
 
 def test_registered():
@@ -71,3 +76,41 @@ def test_stages_on_odd_rows(spark, tmp_path):
     empty = whole.where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_stages_equal_slow_versions(spark, tmp_path):
+    """Each stage after the first against brute force over what the stage before it left."""
+    rng = random.Random(14)
+    d, labels = toxic_corpus(spark, 150)
+    passages, items = [chatter(rng, rng.randrange(48, 70), 5000) for _ in range(4)], [(k, chatter(rng, rng.randrange(5, 30), 5000)) for k in range(5)]
+    texts = families(rng, 15)
+    for _ in range(40):
+        parts = [rng.choice([*passages, chatter(rng, 40, 5000), rng.choice(items)[1], " ".join(rng.choice(items)[1].split()[::-1])]) for _ in range(rng.randrange(1, 4))]
+        texts.append(" ".join([*parts, chatter(rng, rng.randrange(30), 5000)]))
+    d.unionByName(docs(spark, [*texts, "", None], 10_000)).write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    sf, seen = str(tmp_path), []
+    now = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, now, sf).write.parquet(f"{sf}/{name}")
+        now = spark.read.parquet(f"{sf}/{name}")
+        seen.append(now.orderBy("doc_id").collect())
+    before = [(r["doc_id"], r["text"]) for r in seen[0]]
+    assert len(before) > 150
+
+    kept = [before[i] for i, _, _, own in brute_components([t for _, t in before], 5, 80) if own]
+    assert [(r["doc_id"], r["text"]) for r in seen[1]] == kept and len(kept) < len(before)
+
+    gone = brute_repeats([t for _, t in kept], 50)
+    want = [[w for p, w in enumerate(split(t)) if p not in gone.get((i, False), set())] for i, (_, t) in enumerate(kept)]
+    cut = [(r["doc_id"], r["text"]) for r in seen[2]]
+    assert [(i, split(t)) for i, t in cut] == [(i, w) for (i, _), w in zip(kept, want, strict=True)] and cut != kept
+
+    leaking = {row[0] for row in brute_leaks([(i, t or "") for i, t in cut], items, 80, decontaminate.SEED)}
+    clean = [(i, t) for i, t in cut if i not in leaking]
+    assert leaking and [(r["doc_id"], r["text"]) for r in seen[3]] == clean
+
+    library = pieces.load(tokenizer("piece_bpe_32k.model")).library
+    ids = {i: library.encode(t or "", add_bos=True, add_eos=True) for i, t in clean}
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"]) for r in seen[4]} == {i: (len(x), hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest()) for i, x in ids.items()}
