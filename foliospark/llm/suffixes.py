@@ -304,10 +304,10 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, window: int = WINDOW, pi
     made = digested.mapInArrow(_retained(least, window), "doc_id long, text_hash long, digest binary, n_words int, high array<long>, low array<long>, head array<long>, pos array<int>")
     made = common.table(made.where(F.col("n_words") >= least), "suffixes")
     texts = common.table(made.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("high_id")), "texts")
-    copies = made.select("doc_id", "text_hash", "digest", "n_words").join(texts.where("rep < high_id"), "digest").select("doc_id", "text_hash", "digest", "n_words", "rep").distinct()
-    copies = common.table(copies, "copies")
+    copies = made.select("doc_id", "text_hash", "digest", "n_words").join(texts.where("rep < high_id"), "digest").select("doc_id", "text_hash", "digest", "n_words", "rep")
+    copies = common.table(copies, "copies").distinct()  # apart from the join, so that very many copies are split there
 
-    again = copies.where("doc_id <> rep").select("doc_id", "digest")
+    again = common.table(copies.where("doc_id <> rep").select("doc_id", "digest"), "again")
     again = F.broadcast(again) if again.count() <= common.BROADCAST_IDS else again.hint("merge")  # suffixes are not shuffled for the sake of a few copies
     suffix = made.join(again, ["doc_id", "digest"], "left_anti").select("doc_id", F.explode(F.arrays_zip("high", "low", "head", "pos")).alias("s")).select("s.*", "doc_id")
     order = ("high", "low", "head", "doc_id", "pos")
