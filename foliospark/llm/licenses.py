@@ -110,8 +110,11 @@ NOTICES = [
 def canonical(text: Column) -> Column:
     """The canonical form of a text; null stays null."""
     text = F.translate(text, _UPPER, _LOWER)
-    for pattern, new in RULES:
-        text = F.regexp_replace(text, pattern, new.replace("{1}", "$1").replace("{2}", "$2"))
+    (lines, none), *rules = [(p, new.replace("{1}", "$1").replace("{2}", "$2")) for p, new in RULES]
+    marked = F.contains(text, F.lit("copyright")) | F.contains(text, F.lit("(c)")) | F.contains(text, F.lit("©"))
+    text = F.when(marked, F.regexp_replace(text, lines, none)).otherwise(text)  # the first rule looks at every line
+    for pattern, new in rules:
+        text = F.regexp_replace(text, pattern, new)
     return F.trim(text)
 
 
