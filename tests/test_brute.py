@@ -94,7 +94,7 @@ def document_anchors(spark):
 
 @brute
 def html_to_markdown(spark):
-    """The blocks after the page itself, which are the same for all, and that the page's own paragraphs are all there in order."""
+    """Only the blocks set after each page, its notes and figures; :func:`test_markdown_equals_another_parser` holds whole texts."""
     return [(r["page_id"], True) for r in pages.site(spark, SF).collect()]
 
 
