@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,3 +23,10 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` from a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from a table in the shared folder: computed once, also where a checkpoint would compute it twice."""
+    path = f"{shared_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
