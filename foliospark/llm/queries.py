@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import decontaminate, language, licenses, minhash, pieces, suffixes, toxicity, unigram, vectors, warc
+from foliospark.llm import decontaminate, language, licenses, merkle, minhash, pieces, runs, suffixes, toxicity, unigram, vectors, warc
 
 
 def tokenizer(name: str) -> str:
@@ -60,6 +60,14 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_spans(_read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.with_planted_runs(_read(spark, sf_dir, "documents")))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_read(spark, sf_dir, "documents"))
+
+
 _ALL = (
     op1_toxicity,
     op2_license_scan,
@@ -71,6 +79,8 @@ _ALL = (
     op8_language_id,
     op9_token_counts,
     op10_suffix_array_dedup,
+    op11_periodic_runs,
+    op12_merkle_manifest,
 )
 
 
@@ -80,4 +90,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can say the same; tests/llm holds the others against brute force or held-out rows."""
-    return {"op2_license_scan": licenses.sql()}
+    return {"op2_license_scan": licenses.sql(), "op12_merkle_manifest": merkle.sql()}
