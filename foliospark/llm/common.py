@@ -55,6 +55,11 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def left(path: str, spark: SparkSession) -> None:
+    """Delete ``path`` of the shared folder when the process ends."""
+    _LEFT[path] = spark
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete what :func:`table` wrote; only for tables nothing refers to any more."""
     _delete(getattr(df, "_foliospark_path", None))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import decontaminate, language, licenses, merkle, minhash, pieces, runs, suffixes, toxicity, unigram, vectors, warc
+from foliospark.llm import decontaminate, language, licenses, merkle, minhash, ngrams, pieces, runs, suffixes, toxicity, unigram, vectors, warc
 
 
 def tokenizer(name: str) -> str:
@@ -68,6 +68,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(_read(spark, sf_dir, "documents"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.scores(_read(spark, sf_dir, "documents"))
+
+
 _ALL = (
     op1_toxicity,
     op2_license_scan,
@@ -81,6 +85,7 @@ _ALL = (
     op10_suffix_array_dedup,
     op11_periodic_runs,
     op12_merkle_manifest,
+    op13_lm_scoring,
 )
 
 
