@@ -125,18 +125,61 @@ def keep_http_state(answers: DataFrame, path: str) -> None:
 
 
 # ------------------------------------------------------------------------ sinks
+def _step(act, *args) -> None:
+    """One step at the file system, which is done or not."""
+    if act(*args) is False:
+        raise OSError(f"the file system refused {act} of {', '.join(map(str, args))}")
+
+
+def _swap(spark: SparkSession, ready: str, path: str) -> None:
+    """Put the whole folder ``ready`` in the place of ``path``; :func:`settle` ends what a death leaves."""
+    fs, where = _fs(spark, path.rstrip("/"))
+    old, _at = f"{path.rstrip('/')}.old", lambda p: _fs(spark, p)[1]
+    next_ = f"{path.rstrip('/')}.next"
+    _step(fs.rename, _at(ready), _at(next_))  # from here on the new folder is the one that counts
+    if fs.exists(where):
+        _step(fs.rename, where, _at(old))
+    _step(fs.rename, _at(next_), where)
+    _step(fs.delete, _at(old), True) if fs.exists(_at(old)) else None
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """End a replacement of the folder ``path`` that died half way; the new folder takes its place where it was whole.
+
+    Only for the one who writes there: a running replacement must not be ended by another.
+    """
+    fs, where = _fs(spark, path.rstrip("/"))
+    next_, old = (_fs(spark, f"{path.rstrip('/')}.{x}")[1] for x in ("next", "old"))
+    if fs.exists(next_):
+        if fs.exists(where):
+            fs.delete(old, True)
+            fs.rename(where, old)
+        fs.rename(next_, where)
+    if fs.exists(old) and fs.exists(where):
+        fs.delete(old, True)
+    parent, name = where.getParent(), where.getName()
+    for left in fs.listStatus(parent) if fs.exists(parent) else []:
+        if left.getPath().getName().startswith((f"{name}.staging-", f"{name}.ready-")):
+            fs.delete(left.getPath(), True)
+
+
 def staged(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
-    """Overwrite ``path`` only when the whole new content is written: a failed job leaves the old one."""
+    """Overwrite the folder ``path`` only when the whole new content is written: a failed job leaves the old one.
+
+    A driver that dies between the renames leaves the new folder whole beside
+    its place, where :func:`settle`, which every such write begins with, puts
+    it. State that must be there at any moment is a table of ``versions``.
+    """
     spark = df.sparkSession
-    fs, where = _fs(spark, path)
+    settle(spark, path)
+    fs, _ = _fs(spark, path)
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
     try:
         df.write.format(fmt).options(**options).save(staging)
-        fs.delete(where, True)
-        if not fs.rename(_fs(spark, staging)[1], where):
-            raise OSError(f"could not move {staging} to {path}")
-    finally:
+        _swap(spark, staging, path)
+    except Exception:
         fs.delete(_fs(spark, staging)[1], True)
+        raise
 
 
 def write_json_lines(df: DataFrame, path: str, order: list[str], append: bool = False) -> None:
@@ -158,7 +201,8 @@ def write_markdown(texts: DataFrame, path: str, name: str = "filename", text: st
     whole once all is there.
     """
     spark = texts.sparkSession
-    fs, where = _fs(spark, path)
+    settle(spark, path)
+    fs, _ = _fs(spark, path)
     staging, ready = (f"{path.rstrip('/')}.{x}-{uuid.uuid4().hex}" for x in ("staging", "ready"))
     at = lambda p: _fs(spark, p)[1]
     unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
@@ -177,8 +221,7 @@ def write_markdown(texts: DataFrame, path: str, name: str = "filename", text: st
                 fs.mkdirs(target.getParent())
                 (part,) = [x.getPath() for x in fs.listStatus(folder.getPath()) if x.getPath().getName().startswith("part-")]
                 move(part, target)
-        fs.delete(where, True)
-        move(at(ready), where)
+        _swap(spark, ready, path)
     finally:
         for left in (staging, ready):
             fs.delete(at(left), True)
