@@ -69,10 +69,17 @@ def read(spark: SparkSession, path: str, number: int | None = None) -> DataFrame
     found = version(spark, path, number)
     if found is None:
         raise FileNotFoundError(f"no version {'' if number is None else number} of {path}")
-    schema = StructType.fromJson(json.loads(found.schema))
-    if not found.parts:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*(f"{path}/data/{p}" for p in found.parts))
+    return _parts(spark, path, found, list(found.parts))
+
+
+def parts(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """The rows of some parts of the table's last version, by the names in :class:`Version`."""
+    return _parts(spark, path, version(spark, path), names)
+
+
+def _parts(spark: SparkSession, path: str, of: Version, names: list[str]) -> DataFrame:
+    schema = StructType.fromJson(json.loads(of.schema))
+    return spark.read.schema(schema).parquet(*(f"{path}/data/{p}" for p in names)) if names else spark.createDataFrame([], schema)
 
 
 def _write_data(df: DataFrame, path: str) -> str:
