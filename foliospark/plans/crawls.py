@@ -13,10 +13,10 @@ from foliospark.sources.tables import read
 
 
 def _site(spark, sf, second: bool):
-    """The test pages, each with a menu of the two pages that follow from its number; between the crawls some change, come, go or fail."""
+    """The test pages, each with a menu of the eight pages that follow from its number; between the crawls some change, come, go or fail."""
     p = read(spark, sf, "pages")
     i = F.col("page_id")
-    kids = F.concat(*[x for k in (1, 2) for x in (F.lit('<a href="/'), (i * 2 + k).cast("string"), F.lit('">t</a>'))])
+    kids = F.concat(*[x for k in range(1, 9) for x in (F.lit('<a href="/'), (i * 8 + k).cast("string"), F.lit('">t</a>'))])
     changed = F.when(i % 7 == 1, "!").otherwise("") if second else F.lit("")
     made = F.concat(F.lit("<nav>"), kids, F.lit("</nav><article>"), "html", F.lit("</article>"), changed)
     rows = p.select(F.concat(F.lit("site/"), i.cast("string")).alias("url"), F.when(i % 3 > 0, F.md5(made)).alias("etag"), made.alias("html"), F.when((i % 13 == 9) if second else F.lit(False), "HTTP 403").alias("error"), i)
@@ -25,12 +25,12 @@ def _site(spark, sf, second: bool):
 
 @query(
     "revalidated_crawl",
-    """WITH RECURSIVE two(k) AS (VALUES (1::BIGINT), (2)),
-    a AS (SELECT 0::BIGINT AS id UNION ALL SELECT a.id * 2 + k FROM a JOIN pages p ON p.page_id = a.id AND a.id % 17 <> 3, two),
+    """WITH RECURSIVE eight(k) AS (SELECT range::BIGINT FROM range(1, 9)),
+    a AS (SELECT 0::BIGINT AS id UNION ALL SELECT a.id * 8 + k FROM a JOIN pages p ON p.page_id = a.id AND a.id % 17 <> 3, eight),
     known AS (SELECT id FROM a JOIN pages p ON p.page_id = a.id WHERE id % 17 <> 3),
     b AS (SELECT 0::BIGINT AS id, 1 AS depth UNION ALL
-        SELECT b.id * 2 + k, depth + 1 FROM b JOIN pages p ON p.page_id = b.id AND b.id % 11 <> 5 AND (b.id % 13 <> 9 OR b.id IN (SELECT id FROM known)), two),
-    told AS (SELECT b.id, depth, k.id IS NOT NULL AS old, p.html, '<nav><a href="/' || (b.id * 2 + 1) || '">t</a><a href="/' || (b.id * 2 + 2) || '">t</a></nav><article>' || html || '</article>' AS body,
+        SELECT b.id * 8 + k, depth + 1 FROM b JOIN pages p ON p.page_id = b.id AND b.id % 11 <> 5 AND (b.id % 13 <> 9 OR b.id IN (SELECT id FROM known)), eight),
+    told AS (SELECT b.id, depth, k.id IS NOT NULL AS old, p.html, '<nav>' || (SELECT string_agg('<a href="/' || (b.id * 8 + k) || '">t</a>', '' ORDER BY k) FROM eight) || '</nav><article>' || html || '</article>' AS body,
         CASE WHEN p.html IS NULL OR b.id % 11 = 5 THEN 'removed' WHEN b.id % 13 = 9 THEN 'failed' WHEN k.id IS NULL THEN 'new' WHEN b.id % 7 = 1 THEN 'changed' ELSE 'same' END AS kind
         FROM b LEFT JOIN pages p ON p.page_id = b.id LEFT JOIN known k ON k.id = b.id)
     SELECT id::VARCHAR AS page_id, depth, kind, CASE WHEN kind IN ('new', 'changed') THEN 2 WHEN kind = 'same' OR (kind = 'failed' AND old) THEN 1 END::BIGINT AS body_run,

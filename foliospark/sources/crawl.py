@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from foliospark.operators.lineage import written
 from foliospark.sources import versions, web
@@ -36,6 +37,10 @@ def _rows(spark: SparkSession, path: str) -> DataFrame:
     return versions.read(spark, at) if versions.exists(spark, at) else spark.createDataFrame([], ROWS)
 
 
+def _fitted(rows: DataFrame) -> DataFrame:
+    return rows.select(*(F.col(f.name).cast(f.dataType) for f in StructType.fromDDL(ROWS)))
+
+
 def runs(spark: SparkSession, path: str) -> DataFrame:
     """A row for each crawl that came to its end; empty before the first."""
     at = f"{path}/runs"
@@ -77,9 +82,9 @@ def crawl(spark: SparkSession, base: str, root: str, path: str, revalidate: bool
     and answers as :func:`web.fetched` does.
     """
     at = f"{path}/pages"
-    run = 1 + max(spark.createDataFrame([(0,)], "run long").unionAll(_rows(spark, path).select("run")).agg(F.max("run")).first()[0], 0)  # one number
+    run = 1 + (_rows(spark, path).agg(F.max("run")).first()[0] if versions.exists(spark, at) else 0)  # one number
     cache = written(known(spark, path), "known").select("page_id", *(F.col(c).alias(f"old_{c.removeprefix('body_')}") for c in ("body_run", "sha256", "children", "etag", "last_modified")))
-    front = spark.createDataFrame([(root,)], "page_id string")
+    front = spark.range(1).select(F.lit(root).alias("page_id"))
     own: list[str] = []  # this crawl's parts of the table
     while True:
         here = front.join(cache, "page_id", "left").withColumn("run", F.lit(run).cast("long"))
@@ -92,11 +97,11 @@ def crawl(spark: SparkSession, base: str, root: str, path: str, revalidate: bool
                 "page_id", F.lit("cached").alias("kind"), *old, F.lit(None).cast("string").alias("html"), F.col("old_sha256").alias("sha256"), F.col("old_children").alias("children"), F.col("old_run").alias("body_run"), F.lit(None).cast("string").alias("error"),
             ))
         level = level.select(F.lit(run).cast("long").alias("run"), F.lit(len(own) + 1).alias("depth"), "*")
-        own.append(versions.write(spark.createDataFrame([], ROWS).unionByName(level), at, append=True).parts[-1])
+        own.append(versions.write(_fitted(level), at, append=True).parts[-1])
         seen = versions.parts(spark, at, own).select("page_id")
         found = versions.parts(spark, at, own[-1:]).select(F.explode("children").alias("page_id")).distinct()
         front = written(found.join(seen, "page_id", "left_anti"), "front")
-        if not front.limit(1).count():
+        if front.isEmpty():
             break
     kinds = ["new", "changed", "same", "failed", "removed"]
     count = versions.parts(spark, at, own).agg(F.count("*").alias("pages"), F.count_if(F.col("kind") != "cached").alias("asked"), *(F.count_if(F.col("kind") == k).alias(k) for k in kinds))
@@ -125,7 +130,7 @@ def compact(spark: SparkSession, path: str) -> None:
     bodies = _rows(spark, path).where("html is not null").select(F.col("page_id").alias("of_page"), F.col("run").alias("of_run"), "html")
     whole = rows.join(bodies, (F.col("page_id") == F.col("of_page")) & (F.col("body_run") == F.col("of_run")), "left")
     whole = whole.withColumn("body_run", F.when(F.col("body_run").isNotNull(), F.col("run")))
-    versions.write(spark.createDataFrame([], ROWS).unionByName(whole.drop("of_page", "of_run")), f"{path}/pages")
+    versions.write(_fitted(whole), f"{path}/pages")
     versions.vacuum(spark, f"{path}/pages")
 
 
