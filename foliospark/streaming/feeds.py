@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliospark.operators import changes, lineage
-from foliospark.sources import files
+from foliospark.sources import files, versions
 
 
 def event_stream(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -55,23 +55,31 @@ def drain(stream: DataFrame, mode: str = "complete") -> DataFrame:
     return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(f"{at}/result")
 
 
-def track(stream: DataFrame, state: str, report: str, checkpoint: str):
+def track(stream: DataFrame, state: str, report: str, checkpoint: str, order: str | None = None):
     """Classify each batch of documents (doc_id, source_sha256, content_sha256, notes) against the last state.
 
-    The first batch is the baseline. Changes of a batch are appended to
-    ``report`` before the state moves on, so a batch that fails is reported
-    again, never lost. Returns the running query.
+    The first batch is the baseline. Of several rows of a document in a batch
+    the one of the greatest ``order`` counts, or, without one, of the greatest
+    digests. State and report are tables of versions, and each says which
+    batches it holds: a batch that is replayed is neither lost nor reported
+    twice. The whole state is written for each batch; ``tracking.changes`` keeps
+    it by document. Returns the running query.
     """
 
     def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        latest = batch.dropDuplicates(["doc_id"])
-        if files.exists(spark, state):
-            old = spark.read.parquet(state)
+        last = versions.version(spark, state)
+        if last and last.feeds["track"] >= epoch:
+            return
+        held = [c for c in batch.columns if c != "doc_id"]
+        rank = [*([order] if order else []), "source_sha256", "content_sha256"]
+        latest = batch.groupBy("doc_id").agg(F.max_by(F.struct(*held), F.struct(*rank)).alias("x")).select("doc_id", "x.*").select(*batch.columns)
+        if last:
+            old = versions.read(spark, state)
             known = changes.compare(old, latest).where("category is not null and category <> 'removed'")
-            known.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(report)
+            versions.write(known.withColumn("epoch", F.lit(epoch)), report, append=True, feed="track", batch=epoch)
             latest = old.join(latest.select("doc_id"), "doc_id", "left_anti").unionByName(latest)
-        files.staged(latest, state)
+        versions.write(latest, state, feed="track", batch=epoch)
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,12 +1,13 @@
 import gzip
 import http.client
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from foliospark import cli
-from foliospark.sources import config, files, pdf, web
+from foliospark.sources import config, files, pdf, versions, web
 from foliospark.streaming import feeds
 from tests.conftest import rows
 
@@ -192,8 +193,15 @@ def test_streamed_snapshots(spark, tmp_path):
     run()
     spark.createDataFrame([(2, "x", "b", []), (3, "c", "c", [])], schema).write.mode("append").parquet(source)
     run()
-    assert rows(spark.read.parquet(report).select("doc_id", "category")) == [(2, "cosmetic"), (3, "new")]
-    assert spark.read.parquet(state).count() == 3
+    assert rows(versions.read(spark, report).select("doc_id", "category")) == [(2, "cosmetic"), (3, "new")]
+    assert versions.read(spark, state).count() == 3
+    spark.createDataFrame([(3, "d", "d", []), (3, "c", "z", []), (2, "x", "b", [])], schema).coalesce(1).write.mode("append").parquet(source)
+    shutil.copytree(tmp_path / "ck", tmp_path / "before")
+    for _ in range(2):  # the second time as after a crash before the checkpoint was written
+        run()
+        shutil.rmtree(tmp_path / "ck")
+        shutil.copytree(tmp_path / "before", tmp_path / "ck")
+    assert rows(versions.read(spark, report).select("doc_id", "category")) == [(2, "cosmetic"), (3, "editorial"), (3, "new")]
 
 
 def test_run_log_stream(spark, tmp_path):
