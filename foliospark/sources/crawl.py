@@ -124,14 +124,13 @@ def pages(spark: SparkSession, path: str, run: int | None = None) -> DataFrame:
 
 
 def compact(spark: SparkSession, path: str) -> None:
-    """Keep the last crawl only, with all its bodies, in one part; versions before it go."""
+    """A version of the last crawl only, with all its bodies, in one part. Versions before it stay until they are vacuumed."""
     last = runs(spark, path).agg(F.max("run")).first()[0]
     rows = met(spark, path, last).drop("html")
     bodies = _rows(spark, path).where("html is not null").select(F.col("page_id").alias("of_page"), F.col("run").alias("of_run"), "html")
     whole = rows.join(bodies, (F.col("page_id") == F.col("of_page")) & (F.col("body_run") == F.col("of_run")), "left")
     whole = whole.withColumn("body_run", F.when(F.col("body_run").isNotNull(), F.col("run")))
-    versions.write(_fitted(whole), f"{path}/pages")
-    versions.vacuum(spark, f"{path}/pages")
+    versions.write(_fitted(whole), f"{path}/pages", rearranged=True)
 
 
 def recorded(site: DataFrame) -> Ask:

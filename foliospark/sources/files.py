@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliospark.sources import versions
+
 
 def _fs(spark: SparkSession, path: str):
     """Hadoop's file system for a path, and the path; works on any store that Spark reads."""
@@ -109,7 +111,7 @@ STATE = "book string, id string, etag string, last_modified string"
 
 def http_state(spark: SparkSession, path: str) -> DataFrame:
     """What conditional requests are made with: (book, id, etag, last_modified); empty before the first crawl."""
-    return spark.read.schema(STATE).parquet(path) if exists(spark, path) else spark.createDataFrame([], STATE)
+    return versions.read(spark, path) if versions.exists(spark, path) else spark.createDataFrame([], STATE)
 
 
 def keep_http_state(answers: DataFrame, path: str) -> None:
@@ -121,7 +123,7 @@ def keep_http_state(answers: DataFrame, path: str) -> None:
     spark = answers.sparkSession
     sent = answers.where("status = 200").dropDuplicates(["book", "id"]).select("book", F.col("id").cast("string").alias("id"), "etag", "last_modified")
     old = http_state(spark, path).join(sent.select("book", "id"), ["book", "id"], "left_anti")
-    staged(old.unionByName(sent), path)
+    versions.write(old.unionByName(sent), path)
 
 
 # ------------------------------------------------------------------------ sinks

@@ -25,12 +25,17 @@ class Conflict(Exception):
 
 @dataclass(frozen=True)
 class Version:
-    """A committed version. ``feeds``: of each named feed the last of its batches that the table holds."""
+    """A committed version.
+
+    ``feeds``: of each named feed the last of its batches that the table holds;
+    ``rearranged``: it has no rows that the version before had not.
+    """
 
     number: int
     parts: tuple[str, ...]
     schema: str
     feeds: dict[str, int] = field(default_factory=dict)
+    rearranged: bool = False
 
 
 def _store(spark: SparkSession, path: str):
@@ -57,7 +62,7 @@ def version(spark: SparkSession, path: str, number: int | None = None) -> Versio
         told = json.loads(bytes(stream.readAllBytes()).decode())
     finally:
         stream.close()
-    return Version(told["number"], tuple(told["parts"]), told["schema"], told["feeds"])
+    return Version(told["number"], tuple(told["parts"]), told["schema"], told["feeds"], told["rearranged"])
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -115,7 +120,7 @@ def _publish(spark: SparkSession, path: str, draft: str, number: int) -> None:
         raise
 
 
-def write(df: DataFrame, path: str, append: bool = False, feed: str | None = None, batch: int = 0) -> Version:
+def write(df: DataFrame, path: str, append: bool = False, feed: str | None = None, batch: int = 0, rearranged: bool = False) -> Version:
     """Commit the next version: ``df`` alone, or after the rows of the version before.
 
     With a ``feed`` the commit also says that its ``batch`` is in the table,
@@ -132,7 +137,7 @@ def write(df: DataFrame, path: str, append: bool = False, feed: str | None = Non
     held = last.parts if append and last else ()
     if held and StructType.fromJson(json.loads(last.schema)).simpleString() != df.schema.simpleString():
         raise ValueError(f"rows of {df.schema.simpleString()} do not fit the table at {path}")
-    told = Version(last.number + 1 if last else 1, (*held, _write_data(df, path)), df.schema.json(), feeds)
+    told = Version(last.number + 1 if last else 1, (*held, _write_data(df, path)), df.schema.json(), feeds, rearranged)
     _publish(spark, path, _write_draft(spark, path, told), told.number)
     return told
 
