@@ -1003,17 +1003,49 @@ def test_repeats_equal_brute_force(spark, piece):
     assert not any(k[1] is False for k in brute_repeats([clean[i]["text"] for i in range(len(texts)) if i not in range(n, n + 5) and i != n + 6], 50))
 
 
-def test_common_prefix_is_counted_in_blocks():
+def test_common_prefixes_are_counted_in_letters_and_words():
     rng = np.random.default_rng(3)
     one = rng.integers(0, 2**63, 60).astype(np.uint64)
-    for same in (0, 7, 8, 20, 24, 33, 34, 35, 50):
+    for same in (0, 7, 8, 20, 24, 31, 32, 33, 50):
         other = one.copy()
         other[same:] = rng.integers(0, 2**63, 60 - same)
-        keys = []
-        for w in (one, other):
-            at = np.array([0])
-            keys.append([*suffixes.letters(common.gram_hashes(w, 8), at), common.gram_hashes(w, 35)[at]])
-        assert suffixes.common_prefix(*keys, 35).tolist() == [35 if same >= 35 else same // 8 * 8]
+        keys = [suffixes.letters(common.gram_hashes(w, 8), np.array([0])) for w in (one, other)]
+        assert suffixes.common_letters(*keys).tolist() == [min(4, same // 8)]
+        words = [(w[None, 32:50] >> np.uint64(32)).astype(np.uint32) for w in (one, other)]
+        assert suffixes.common_words(*words, np.array([18])).tolist() == [min(max(0, same - 32), 18)]
+        assert suffixes.common_words(*words, np.array([5])).tolist() == [min(max(0, same - 32), 5)]
+
+
+def pieces_of(texts, order):
+    """The surroundings of all suffixes of ``texts``, in an order of the rows."""
+    cols = {"doc_id": pa.array(range(len(texts))), "text_hash": pa.array(range(len(texts))), "text": pa.array(texts)}
+    every = [list(range(len(split(t)))) for t in texts]
+    (batch,) = suffixes._surroundings(50, 19)(iter([pa.RecordBatch.from_pydict(cols | {"found": pa.array(every, pa.list_(pa.int32()))})]))
+    rows_ = sorted(batch.to_pylist(), key=lambda r: (r["high"], r["low"], r["right"], r["doc_id"], r["pos"]))
+    return pa.Table.from_pylist([rows_[i] for i in order(len(rows_))], batch.schema)
+
+
+def covered(piece):
+    told = suffixes._settled(piece, 50, 19).to_pylist()
+    return {(r["doc_id"], p) for r in told for p in range(r["start"], r["last"] + 1)}
+
+
+def test_matches_come_from_the_order_and_the_words_around(monkeypatch):
+    """The array's order, its common prefixes and the words to the left each decide what matches."""
+    rng = random.Random(21)
+    passages = [chatter(rng, 60, 9000) for _ in range(5)]
+    texts = [" ".join(rng.choice([chatter(rng, 20, 9000), rng.choice(passages), " ".join(rng.choice(passages).split()[4:])]) for _ in range(4)) for _ in range(30)]
+    want = {(i, p) for i, t in enumerate(texts) for p in range(len(split(t)) - 49) if sum(" ".join(split(t)[p : p + 50]) + " " in " ".join(split(u)) + " " for u in texts) > 1}
+    assert covered(pieces_of(texts, range)) == want
+    assert covered(pieces_of(texts, lambda n: rng.sample(range(n), n))) != want  # out of order
+    real = suffixes.common_words
+    for wrong in (lambda *x: real(*x) + 18, lambda *x: real(*x) * 0):
+        with monkeypatch.context() as m:
+            m.setattr(suffixes, "common_words", wrong)
+            assert covered(pieces_of(texts, range)) != want
+    blind = pieces_of(texts, range)
+    blind = blind.set_column(blind.schema.get_field_index("left"), "left", pa.array([b"\0" * len(x) for x in blind["left"].to_pylist()], pa.binary()))
+    assert covered(blind) != want
 
 
 def test_repeats_of_a_repeated_id_with_other_texts(spark):

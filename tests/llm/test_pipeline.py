@@ -15,7 +15,7 @@ from tests.llm.test_llm import brute_components, brute_leaks, brute_repeats, cha
 def test_registered():
     names = set(entry.queries())
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity" and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
