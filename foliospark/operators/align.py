@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from foliospark.operators import ranks, successors
 from foliospark.operators.lineage import cut
 
 #: Characters between a path and its title, and of a body's beginning that it is known by, at most.
@@ -181,12 +182,29 @@ def outside(heads: pd.Series, starts: pd.Series) -> pd.Series:
     return pd.Series([kept(h, s) for h, s in zip(heads, starts, strict=True)])
 
 
-def boundaries(events: DataFrame, book: str = "book") -> DataFrame:
+#: Events of a book that are thinned as one array; larger books by pointer doubling.
+LARGE = 100_000
+
+
+def boundaries(events: DataFrame, book: str = "book", large: int = LARGE) -> DataFrame:
     """Events of each book thinned and with the head of the next kept one (null: the end)."""
+    order = ["head", "body_start", "how", "id"]
+    big = events.groupBy(book).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > large).select(F.col(book).alias("_b"))
+    if big.isEmpty():
+        kept = _thinned(events, book)
+    else:
+        spread = successors.thinned(events.join(big, F.col(book).eqNullSafe(F.col("_b")), "left_semi").select(book, *order), book, order, "head", "body_start")
+        kept = _thinned(events.join(big, F.col(book).eqNullSafe(F.col("_b")), "left_anti"), book).unionByName(spread.select(book, *order))
+        placed = ranks.numbered(kept, order, [book], "_at")
+        after = placed.select(F.col(book).alias("_b"), (F.col("_at") - 1).alias("_before"), F.col("head").alias("next_head"))
+        return placed.join(after, F.col(book).eqNullSafe(F.col("_b")) & (F.col("_at") == F.col("_before")), "left").select(book, *order, "next_head")
+    return kept.withColumn("next_head", F.lead("head").over(Window.partitionBy(book).orderBy(*order)))
+
+
+def _thinned(events: DataFrame, book: str) -> DataFrame:
     lists = events.groupBy(book).agg(F.array_sort(F.collect_list(F.struct("head", "body_start", "how", "id"))).alias("e"))  # one small struct for each heading of a book
     places = outside(F.transform("e", lambda x: x["head"].cast("long")), F.transform("e", lambda x: x["body_start"].cast("long")))
-    kept = lists.select(book, "e", F.explode(places).alias("i")).select(book, F.element_at("e", F.col("i")).alias("x")).select(book, "x.*")
-    return kept.withColumn("next_head", F.lead("head").over(Window.partitionBy(book).orderBy("head", "body_start", "how", "id")))
+    return lists.select(book, "e", F.explode(places).alias("i")).select(book, F.element_at("e", F.col("i")).alias("x")).select(book, "x.*")
 
 
 def pieces(kept: DataFrame, books: DataFrame, book: str = "book") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as tx
+from foliospark.operators import ranks, successors
 
 CAP, TAIL = 15_000, 2_000
 
@@ -33,17 +34,28 @@ def packed(sizes: Column, cap: int = CAP, tail: int = TAIL) -> Column:
     return F.aggregate(sizes, state, step, close)
 
 
-def pack(rows: DataFrame, group: str, order: str, size: str, cap: int = CAP, tail: int = TAIL) -> DataFrame:
+#: Rows of a group that are folded as one array; larger groups by pointer doubling.
+LARGE = 100_000
+
+
+def pack(rows: DataFrame, group: str, order: str, size: str, cap: int = CAP, tail: int = TAIL, large: int = LARGE) -> DataFrame:
     """``rows`` with part and parts within their group.
 
-    The fold is sequential by its rule (a part's start depends on where the
-    part before it was closed), so a group's (order, size) pairs are folded in
-    one place; only they are, not the texts.
+    A part's start depends on where the part before it was closed. A group of up
+    to ``large`` rows is folded as one array of (order, size); of a larger one
+    ``successors.packed`` finds the same parts over many tasks.
     """
-    lists = rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("l"))
+    big = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > large).select(F.col(group).alias("_b"))
+    spread = not big.isEmpty()
+    folded = rows.join(big, F.col(group).eqNullSafe(F.col("_b")), "left_anti") if spread else rows
+    lists = folded.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("l"))
     parts = lists.select(group, F.posexplode(F.arrays_zip(F.col("l"), packed(F.transform("l", lambda x: x["s"]), cap, tail).alias("p"))).alias("at", "x"))
     numbered = parts.select(F.col(group).alias("_g"), F.col("x.l.o").alias("_o"), F.col("x.p").alias("part"))
     totals = numbered.groupBy("_g").agg(F.max("part").alias("parts")).withColumnRenamed("_g", "_t")
+    if spread:
+        found = successors.packed(rows.join(big, F.col(group).eqNullSafe(F.col("_b")), "left_semi"), group, order, size, cap, tail)
+        numbered = numbered.unionByName(found.select(F.col(group).alias("_g"), F.col(order).alias("_o"), "part"))
+        totals = totals.unionByName(found.select(F.col(group).alias("_t"), "parts").distinct())
     joined = rows.join(numbered, F.col(group).eqNullSafe(F.col("_g")) & (F.col(order) == F.col("_o")))
     return joined.join(totals, F.col(group).eqNullSafe(F.col("_t"))).drop("_g", "_o", "_t")
 
@@ -62,9 +74,9 @@ def part_name(sequence: Column, index: Column, title: Column, part: Column, part
 
 
 def ordinals(rows: DataFrame, group: str, order: str) -> DataFrame:
-    """(group, index): groups numbered by the first appearance of their members."""
+    """(group, index): groups numbered from 1 by the first appearance of their members."""
     first = rows.groupBy(group).agg(F.min(order).alias("_first"))
-    return first.withColumn("index", F.row_number().over(Window.orderBy("_first")).cast("long")).drop("_first")
+    return ranks.numbered(first, ["_first", group], position="_at").select(group, (F.col("_at") + 1).alias("index"))
 
 
 def heading(title: Column, part: Column, parts: Column) -> Column:
