@@ -1,5 +1,8 @@
 """``python -m foliospark.cli [STAGE ...] [-b BOOK ...]``: stages over books, in the order of the configuration.
 
+Without names: crawl, parse, changes, export, pdf, compare, bundle. ``refresh``
+is instead of ``crawl``: it asks the site for what has changed.
+
 All names are checked before anything runs. A stage's time is recorded even if
 it fails. ``--force`` turns violated invariants into warnings.
 """
@@ -9,82 +12,12 @@ from __future__ import annotations
 import argparse
 import sys
 import time
-from collections.abc import Callable
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.functions import html
-from foliospark.operators import changes, guard, index, sections, units
-from foliospark.functions import text as tx
-from foliospark.sources import config, files
-
-
-@dataclass
-class Context:
-    """What a stage works with: the books, where pages are and where results go."""
-
-    spark: SparkSession
-    books: DataFrame
-    base: str
-    out: str
-    force: bool = False
-
-    def slugs(self) -> list[str]:
-        return [r["slug"] for r in self.books.orderBy("ord").select("slug").collect()]  # as many as the configuration has
-
-    def path(self, kind: str) -> str:
-        return f"{self.out}/{kind}"
-
-
-def parse(ctx: Context) -> None:
-    """Pages (book, page_id, html) to documents; checked before they are written."""
-    pages = ctx.spark.read.parquet(ctx.path("pages")).join(ctx.books.select("slug"), F.col("book") == F.col("slug"), "left_semi")
-    images = ctx.spark.read.parquet(ctx.path("images")) if files.exists(ctx.spark, ctx.path("images")) else None
-    made = html.parsed(pages, images, base=ctx.base).join(pages.select(F.col("page_id").cast("string").alias("pid"), "book"), F.col("pvid") == F.col("pid")).drop("pid")
-    made = made.withColumn("n_units", F.size(F.filter(F.split("markdown", "\n\n"), lambda b: b.rlike(units.UNIT_START))))
-    facts = made.select("book", "markdown", "figures", "path", F.sequence(F.lit(1), F.greatest("n_units", F.lit(1))).alias("u"), "n_units").withColumn("units", F.when(F.col("n_units") > 0, F.col("u")))
-    limits = ctx.books.select(F.col("slug").alias("book"), F.col("pvid").alias("root"), "min_documents", "min_units")
-    previous = None
-    if files.exists(ctx.spark, ctx.path("documents")):
-        previous = ctx.spark.read.parquet(ctx.path("documents")).groupBy("book").agg(F.sum(F.length("markdown")).alias("chars"))
-    for line in guard.enforce(guard.problems(facts, limits, previous), ctx.force):
-        print(f"warning: {line}")
-    files.staged(made.drop("n_units"), ctx.path("documents"))
-    totals = made.groupBy("book").agg(F.count("*").alias("documents"), F.sum("n_units").alias("units"), F.sum(F.size("figures")).alias("figures"))
-    lost = made.agg(F.sum(F.size(F.regexp_extract_all("markdown", F.lit(r"\[\[FIG-MISSING:"), F.lit(0)))).alias("n")).first()["n"]
-    for line in guard.summary("parse", totals, {"images are missing": lost or 0}):
-        print(line)
-    runs = guard.metrics(made.select("book", "markdown", "figures", F.col("amendment_notes").alias("notes"), F.when(F.col("n_units") > 0, F.sequence(F.lit(1), F.col("n_units"))).alias("units")))
-    files.write_json_lines(runs.withColumn("at", F.current_timestamp()), ctx.path("runs"), ["book"], append=True)
-
-
-def changed(ctx: Context) -> None:
-    """Documents against the last snapshot; the snapshot moves on after the report is written."""
-    now = ctx.spark.read.parquet(ctx.path("documents")).select("book", F.col("pvid").alias("doc_id"), "source_sha256", "content_sha256", F.col("amendment_notes").alias("notes"))
-    if files.exists(ctx.spark, ctx.path("state")):
-        found = changes.compare(ctx.spark.read.parquet(ctx.path("state")), now).where("category is not null")
-        files.staged(found, ctx.path("changes"))
-    files.staged(now, ctx.path("state"))
-
-
-def export(ctx: Context) -> None:
-    """Sections of bounded size as Markdown files, documents as JSON lines."""
-    docs = ctx.spark.read.parquet(ctx.path("documents"))
-    rows = docs.select(F.col("book").alias("source"), F.col("pvid").cast("long").alias("doc_id"), "markdown", "citation", tx.word_count(F.col("markdown")).alias("words"))
-    packed = sections.pack(rows, "source", "doc_id", "words")
-    order = sections.ordinals(packed, "source", "doc_id").withColumnRenamed("source", "s")
-    block = F.concat(F.lit("**Cita:** "), F.col("citation"), F.lit("\n\n"), F.col("markdown"), F.lit("\n"))
-    parts = packed.withColumn("block", block).groupBy("source", "part", "parts").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "block"))), lambda x: x["block"]), "\n").alias("text"))  # at most the size of a file
-    named = parts.join(order, F.col("source") == F.col("s")).withColumn("sequence", F.row_number().over(Window.orderBy("index", "part")))
-    name = sections.part_name(F.col("sequence"), F.col("index"), F.col("source"), F.col("part"), F.col("parts"))
-    files.write_markdown(named.select(name.alias("filename"), F.concat(sections.heading(F.col("source"), F.col("part"), F.col("parts")), F.lit("\n\n"), "text").alias("text")), ctx.path("markdown"))
-    files.write_json_lines(docs, ctx.path("documents_jsonl"), ["book", "pvid"])
-    files.staged(index.usage(docs, "pvid", "pvid", F.col("figures")), ctx.path("figures"))
-
-
-STAGES: dict[str, Callable[[Context], None]] = {"parse": parse, "changes": changed, "export": export}
+from foliospark.sources import config
+from foliospark.stages import DEFAULT, STAGES, Context
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -95,7 +28,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     parser.add_argument("--out", default="data")
     parser.add_argument("--force", action="store_true")
     args = parser.parse_args(argv)
-    names = args.stages or list(STAGES)
+    names = args.stages or list(DEFAULT)
     if unknown := [s for s in names if s not in STAGES]:
         parser.error(f"unknown stage: {', '.join(unknown)}; known: {', '.join(STAGES)}")
     settings = config.load(args.config)
@@ -103,7 +36,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if unknown := [b for b in args.book if b not in known]:
         parser.error(f"unknown book: {', '.join(unknown)}; known: {', '.join(known)}")
     spark = spark or SparkSession.builder.appName("foliospark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    ctx = Context(spark, config.books(spark, settings, args.book or None), settings.get("crawl", {}).get("base_url", ""), args.out, args.force)
+    ctx = Context(spark, config.books(spark, settings, args.book or None), settings.get("crawl", {}).get("base_url", ""), args.out, args.force, settings)
     for name in names:
         began, ok = time.monotonic(), False
         try:

@@ -127,12 +127,12 @@ def anchors(docs: DataFrame, books: DataFrame, gap: int = GAP) -> DataFrame:
     looked for at every place of the slice.
     """
     spark = docs.sparkSession
-    own = docs.select("book", F.col("id").cast("long").alias("id"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("path", "title")], F.left(F.coalesce("body", F.lit("")), F.lit(BODY)).alias("body")).where("title <> '' or length(body) >= 40")
+    own = docs.select("book", "id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("path", "title")], F.left(F.coalesce("body", F.lit("")), F.lit(BODY)).alias("body")).where("title <> '' or length(body) >= 40")
     longest = own.agg(F.max(F.length("path") + F.length("title")).alias("n")).first()["n"] or 0
     over = max(BODY, longest + gap)
     cuts = books.where(F.length("text") > 0).select("book", "text", F.explode(F.sequence(F.lit(0), F.ceil(F.length("text") / SLICE).cast("int") - 1)).alias("i"))
     slices = cuts.select("book", (F.col("i").cast("long") * SLICE).alias("begin"), F.substr("text", F.col("i") * SLICE + 1, F.lit(SLICE + over)).alias("text"))
-    schema = T.StructType([docs.schema["book"], *(T.StructField(n, T.LongType()) for n in ("id", "head", "body_start")), T.StructField("how", T.StringType())])
+    schema = T.StructType([docs.schema["book"], T.StructField("id", docs.schema["id"].dataType), *(T.StructField(n, T.LongType()) for n in ("head", "body_start")), T.StructField("how", T.StringType())])
     parts = []
     for block in pattern_blocks(own, F.length("path") + F.length("title") + F.length("body") + 16):
         shared = spark.sparkContext.broadcast([(r["book"], r["id"], *(lowered(r[c]) for c in ("path", "title", "body"))) for r in block])

@@ -25,6 +25,7 @@ ROWS = (
 RUNS = "run long, root string, pages long, asked long, new long, changed long, same long, failed long, removed long"
 _LINK = '(?s)<a href="/?([^"#]*)">'
 Ask = Callable[[DataFrame, int], DataFrame]
+Menu = Callable[[Column], Column]
 
 
 def menu(html: Column) -> Column:
@@ -53,7 +54,7 @@ def known(spark: SparkSession, path: str) -> DataFrame:
     return _rows(spark, path).groupBy("page_id").agg(last.alias("x")).select("page_id", "x.*").where("body_run is not null")
 
 
-def _told(answers: DataFrame) -> DataFrame:
+def _told(answers: DataFrame, menu: Menu) -> DataFrame:
     """Rows of the cache from answers (as of :func:`web.fetched`) that carry what was known (old_*)."""
     html = F.make_valid_utf8(F.col("content").cast("string"))
     gone = F.col("error").rlike(r"^HTTP (404|410)\b")
@@ -70,10 +71,11 @@ def _told(answers: DataFrame) -> DataFrame:
     )
 
 
-def crawl(spark: SparkSession, base: str, root: str, path: str, revalidate: bool = True, at_a_time: int = 3, ask: Ask = web.fetched) -> int:
+def crawl(spark: SparkSession, base: str, root: str, path: str, revalidate: bool = True, at_a_time: int = 3, ask: Ask = web.fetched, page: str = "{}", menu: Menu = menu) -> int:
     """Crawl the site below ``root`` once more and return the crawl's number; its pages are in the cache at ``path``.
 
-    A page is at ``base`` and its id; its children are the links of its menu.
+    A page is at ``base`` and its id within ``page``; its children are the ids
+    that ``menu`` finds in it.
     Each page of a level is asked for once, with the validators of the cache;
     without ``revalidate`` only pages that the cache has not are asked for. A
     page that has not changed keeps its body and its children; one that can't
@@ -82,6 +84,7 @@ def crawl(spark: SparkSession, base: str, root: str, path: str, revalidate: bool
     and answers as :func:`web.fetched` does.
     """
     at = f"{path}/pages"
+    before, _, after = page.partition("{}")
     run = 1 + (_rows(spark, path).agg(F.max("run")).first()[0] if versions.exists(spark, at) else 0)  # one number
     cache = written(known(spark, path), "known").select("page_id", *(F.col(c).alias(f"old_{c.removeprefix('body_')}") for c in ("body_run", "sha256", "children", "etag", "last_modified")))
     front = spark.range(1).select(F.lit(root).alias("page_id"))
@@ -89,8 +92,8 @@ def crawl(spark: SparkSession, base: str, root: str, path: str, revalidate: bool
     while True:
         here = front.join(cache, "page_id", "left").withColumn("run", F.lit(run).cast("long"))
         due = here if revalidate else here.where("old_run is null")
-        asked = due.select(F.concat(F.lit(base), "page_id").alias("url"), F.col("old_etag").alias("etag"), F.col("old_last_modified").alias("last_modified"), *here.columns)
-        level = _told(ask(asked, at_a_time))
+        asked = due.select(F.concat(F.lit(base + before), "page_id", F.lit(after)).alias("url"), F.col("old_etag").alias("etag"), F.col("old_last_modified").alias("last_modified"), *here.columns)
+        level = _told(ask(asked, at_a_time), menu)
         if not revalidate:
             old = [F.col(f"old_{c}").alias(c) for c in ("etag", "last_modified")]
             level = level.unionByName(here.where("old_run is not null").select(

@@ -173,7 +173,7 @@ def test_stages(spark, tmp_path, capsys):
     pages = spark.createDataFrame([("book-i", 11, page), ("book-i", 12, page.replace("Uno", "Dos"))], "book string, page_id long, html string")
     pages.write.parquet(str(out / "pages"))
     args = ["-b", "book-i", "--config", str(tmp_path / "config.toml"), "--out", str(out)]
-    assert cli.main(args, spark) == 0
+    assert cli.main([*args, "parse", "changes", "export"], spark) == 0
     docs = spark.read.parquet(str(out / "documents"))
     assert rows(docs.select("pvid", "citation")) == [("11", "Libro I, Uno"), ("12", "Libro I, Dos")]
     assert not (out / "changes").exists()
