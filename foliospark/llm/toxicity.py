@@ -12,12 +12,13 @@ pass without a shuffle.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm import common
@@ -25,9 +26,9 @@ from foliospark.llm.trees import Trees, isotonic
 
 #: At most so many labelled rows are learned from: those with the lowest hash of doc_id.
 SAMPLE = 12_000
-#: At most so many lexicon entries, the most telling ones.
-LEXICON = 20_000
 FOLDS = 4
+#: A lexicon's terms: in so many toxic rows at least, with log odds and a log-likelihood ratio above these.
+ROWS, ODDS, SURPRISE = 3, 1.5, 15
 NEAR = 5
 THRESHOLD = 0.7
 # Second-person words in English, German, French and Spanish.
@@ -131,7 +132,7 @@ def _features(shared):
     return run
 
 
-def _telling(counts: list[tuple[str, np.ndarray, np.ndarray]], toxic: np.ndarray, clean: np.ndarray, without: int | None, most: int) -> dict[str, float]:
+def _telling(counts: list[tuple[str, np.ndarray, np.ndarray]], toxic: np.ndarray, clean: np.ndarray, without: int | None) -> dict[str, float]:
     """Terms that tell toxic rows, weighed by their log odds; ``without``: a fold whose counts are left out."""
     use = np.arange(FOLDS) != (-1 if without is None else without)
     nt, nc = toxic[use].sum(), clean[use].sum()
@@ -141,9 +142,20 @@ def _telling(counts: list[tuple[str, np.ndarray, np.ndarray]], toxic: np.ndarray
     odds = np.log((t + 0.5) / (nt + 1)) - np.log((c + 0.5) / (nc + 1))
     share, of = nt / (nt + nc), np.maximum(t + c, 1)
     surprise = 2 * (t * np.log(np.maximum(t, 1e-9) / of / share) + c * np.log(np.maximum(c, 1e-9) / of / (1 - share)))
-    keep = np.flatnonzero((t >= 3) & (odds > 1.5) & (surprise > 15))
-    keep = keep[np.argsort(-surprise[keep], kind="stable")][:most]
-    return {counts[i][0]: float(odds[i]) for i in keep}
+    return {counts[i][0]: float(odds[i]) for i in np.flatnonzero((t >= ROWS) & (odds > ODDS) & (surprise > SURPRISE))}
+
+
+def _told(toxic: np.ndarray, clean: np.ndarray, without: int | None) -> Column:
+    """Whether a row of counts (n1_<fold>, n0_<fold>) passes the test of :func:`_telling`, or nearly so."""
+    use = [f for f in range(FOLDS) if f != without]
+    nt, nc = int(toxic[use].sum()), int(clean[use].sum())
+    if not nt or not nc:
+        return F.lit(False)
+    t, c = (sum((F.col(f"n{k}_{f}") for f in use[1:]), F.col(f"n{k}_{use[0]}")).cast("double") for k in (1, 0))
+    odds = F.log((t + 0.5) / (nt + 1)) - F.log((c + 0.5) / (nc + 1))
+    share, of = nt / (nt + nc), F.greatest(t + c, F.lit(1.0))
+    part = lambda n, s: n * F.log(F.greatest(n, F.lit(1e-9)) / of / s)
+    return (t >= ROWS) & (odds > ODDS - 1e-6) & (2 * (part(t, share) + part(c, 1 - share)) > SURPRISE - 1e-6)
 
 
 class Model:
@@ -160,7 +172,7 @@ class Model:
         return np.clip(0.999 * np.interp(raw, *self.curve) + 0.001 * raw, 0.0, 1.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon_size: int = LEXICON) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from ``labels`` (doc_id, toxic) of ``docs``; give it only rows that may be learned from."""
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").cast("long").alias("lid"), F.col("toxic").cast("int").alias("toxic")).where("lid is not null and toxic in (0, 1)").groupBy("lid").agg(F.max("toxic").alias("toxic"))
@@ -174,11 +186,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon_size:
         return Model({}, None, None, float(toxic.sum() > 0))
     of = lambda f, k: F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == k), 1).otherwise(0))
     found = rows.select("text", "fold", "toxic").mapInArrow(_terms, "term string, fold int, toxic int")
-    found = found.groupBy("term").agg(F.sum("toxic").alias("t"), *[of(f, k).alias(f"n{k}_{f}") for k in (0, 1) for f in range(FOLDS)])
-    # the terms of most toxic documents, at most so many for each fold's lexicon to choose from
-    top = found.where("t >= 3").withColumn("odds", F.col("t") / F.greatest(F.lit(1), sum(F.col(f"n0_{f}") for f in range(FOLDS)))).orderBy(F.desc(F.col("odds") * F.col("t")), "term").limit(4 * lexicon_size).collect()
+    found = found.groupBy("term").agg(*[of(f, k).alias(f"n{k}_{f}") for k in (0, 1) for f in range(FOLDS)])
+    # the terms that any fold's lexicon or the whole one takes: at most those of the sample's toxic documents
+    told = functools.reduce(Column.__or__, [_told(toxic, clean, without) for without in (None, *range(FOLDS))])
+    top = found.where(told).select("term", *[f"n{k}_{f}" for k in (0, 1) for f in range(FOLDS)]).collect()
     counts = [(r["term"], np.array([r[f"n1_{f}"] for f in range(FOLDS)]), np.array([r[f"n0_{f}"] for f in range(FOLDS)])) for r in top]
-    lexicons = {f: _telling(counts, toxic, clean, f, lexicon_size) for f in range(FOLDS)}
+    lexicons = {f: _telling(counts, toxic, clean, f) for f in range(FOLDS)}
     made = rows.select("text", "fold", "toxic").mapInArrow(_features(spark.sparkContext.broadcast(lexicons)), "fold int, toxic int, features array<double>").toPandas()
     x, y, fold_of = np.array(made["features"].tolist()).reshape(-1, N_FEATURES), made["toxic"].to_numpy(float), made["fold"].to_numpy()
     unseen = np.zeros(len(y))
@@ -186,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon_size:
         own = fold_of == f
         if own.any():
             unseen[own] = Trees().fit(x[~own], y[~own]).predict(x[own]) if (~own).any() else y.mean()
-    return Model(_telling(counts, toxic, clean, None, lexicon_size), Trees().fit(x, y), isotonic(unseen, y), float(y.mean()))
+    return Model(_telling(counts, toxic, clean, None), Trees().fit(x, y), isotonic(unseen, y), float(y.mean()))
 
 
 def _score(shared):

@@ -106,6 +106,29 @@ def toxic_corpus(spark, n=900):
     return docs(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int")
 
 
+def test_lexicon_is_every_term_that_the_counts_tell(spark):
+    d, labels = toxic_corpus(spark, 400)
+    model = toxicity.fit(d, labels)
+    texts = {(r["text"], t["toxic"]) for r in d.collect() for t in labels.collect() if t["doc_id"] == r["doc_id"]}
+    n = [sum(t == k for _, t in texts) for k in (0, 1)]
+    counts: dict = {}
+    for text, kind in texts:
+        for w in {w for w in text.split()}:
+            core = w.translate(str.maketrans("01", "oi")) if not w.isalpha() and w[0] == "c" else "".join(c for c in w.translate(str.maketrans("01345 7", "oieas t")) if c.isalpha())
+            for term in {core, *(f"{k}{core[:k]}" for k in (4, 5, 6) if len(core) > k)} if len(core) >= 2 else ():
+                counts.setdefault(term, [set(), set()])[kind].add(text)
+    want = {}
+    for term, (clean, toxic) in counts.items():
+        t, c = len(toxic), len(clean)
+        odds = np.log((t + 0.5) / (n[1] + 1)) - np.log((c + 0.5) / (n[0] + 1))
+        share = n[1] / sum(n)
+        surprise = 2 * sum(x * np.log(x / (t + c) / s) for x, s in ((t, share), (c, 1 - share)) if x)
+        if t >= 3 and odds > 1.5 and surprise > 15:
+            want[term] = odds
+    assert model.lexicon.keys() == want.keys() and {"dolt", "numbskull", "clod" if "clod" in want else "ciod"} <= want.keys()
+    assert all(model.lexicon[k] == pytest.approx(v) for k, v in want.items())
+
+
 def test_toxicity_of_held_out_rows(spark):
     d, labels = toxic_corpus(spark)
     got = {r["doc_id"]: r for r in toxicity.scores(d, labels).collect()}
