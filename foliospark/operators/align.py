@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliospark.operators import ranks, successors
-from foliospark.operators.lineage import cut
+from foliospark.operators.lineage import cut, written
 
 #: Characters between a path and its title, and of a body's beginning that it is known by, at most.
 GAP, BODY = 300, 120
@@ -27,12 +27,23 @@ def page_offsets(pages: DataFrame, book: str, page: str, text: str) -> DataFrame
 
 
 def page_of(offsets: DataFrame, starts: DataFrame, book: str, offset: str, page: str) -> DataFrame:
-    """``offsets`` with the page that each falls on: the last that starts at or before it."""
-    a = starts.select(F.col(book).alias("_b"), F.col("start").alias("_o"), F.col(page).alias("_p"), F.lit(0).alias("_k"), F.lit(None).cast("struct<x:int>").alias("_r"))
-    rows = offsets.select(F.col(book).alias("_b"), F.col(offset).alias("_o"), F.lit(None).cast(starts.schema[page].dataType).alias("_p"), F.lit(1).alias("_k"), F.struct("*").alias("_r"))
-    both = a.drop("_r").unionByName(rows, allowMissingColumns=True)
-    last = F.last("_p", ignorenulls=True).over(Window.partitionBy("_b").orderBy("_o", "_k").rowsBetween(Window.unboundedPreceding, 0))
-    return both.withColumn("page_found", last).where("_k = 1").select("_r.*", F.col("page_found").alias(page))
+    """``offsets`` with the page that each falls on: the last that starts at or before it.
+
+    Starts and offsets are dealt out together by ranges of (book, place), so a
+    book of any size is spread; a range knows the last start of the ranges
+    before it.
+    """
+    a = starts.select(F.col(book).alias("_b"), F.col("start").cast("long").alias("_o"), F.col(page).alias("_p"), F.lit(0).alias("_k"))
+    rows = offsets.select(F.col(book).alias("_b"), F.col(offset).cast("long").alias("_o"), F.lit(None).cast(starts.schema[page].dataType).alias("_p"), F.lit(1).alias("_k"), F.struct("*").alias("_r"))
+    both = rows.unionByName(a, allowMissingColumns=True)
+    n = int(offsets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(both.repartitionByRange(n, "_b", "_o", "_k", F.xxhash64("_r")).withColumn("_part", F.spark_partition_id()), "places")
+    before = Window.partitionBy("_c").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    lasts = dealt.groupBy(F.col("_b").alias("_c"), F.col("_part").alias("_at")).agg(F.max_by("_p", F.when(F.col("_k") == 0, F.struct("_o", "_p"))).alias("_last"))
+    carried = lasts.select("_c", "_at", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+    inside = F.last("_p", ignorenulls=True).over(Window.partitionBy("_b", "_part").orderBy("_o", "_k", "_p").rowsBetween(Window.unboundedPreceding, 0))
+    found = dealt.withColumn("_in", inside).where("_k = 1").join(carried, F.col("_b").eqNullSafe(F.col("_c")) & (F.col("_part") == F.col("_at")), "left")
+    return found.select("_r.*", F.coalesce("_in", "_carry").alias(page))
 
 
 # ------------------------------------------------------------ texts in a text
@@ -218,10 +229,15 @@ def claimed(figures: DataFrame, spans: DataFrame) -> DataFrame:
     """Each figure goes to the first section in order whose pages hold it: (figure, section).
 
     ``figures``: (book, figure, page, n); ``spans``: (book, section, ord, first, last).
-    Spans are opened to their pages, so the join is by equality.
+    A span lies in at most three buckets of its own size's power of two, and a
+    figure asks in one bucket of each size that there is, so the join is by
+    equality and spans of any length are a few rows.
     """
-    pages = spans.select(F.col("book").alias("_b"), "section", "ord", F.explode(F.sequence("first", "last")).alias("_p"))
-    hits = figures.join(pages, (F.col("book") == F.col("_b")) & (F.col("page") == F.col("_p")))
+    sized = spans.where("last >= first").withColumn("_lvl", F.floor(F.log2(F.col("last") - F.col("first") + 1)).cast("int"))
+    levels = [r["_lvl"] for r in sized.select("_lvl").distinct().collect()]  # as many as a length has bits
+    held = sized.select(F.col("book").alias("_b"), "section", "ord", "first", "last", "_lvl", F.explode(F.expr("sequence(shiftright(cast(first as long), _lvl), shiftright(cast(last as long), _lvl))")).alias("_bucket"))
+    asked = figures.select("book", "figure", "page", "n", F.explode(F.array(*[F.lit(x) for x in sorted(levels)]).cast("array<int>")).alias("_l")).withColumn("_at", F.expr("shiftright(cast(page as long), _l)"))
+    hits = asked.join(held, (F.col("book") == F.col("_b")) & (F.col("_l") == F.col("_lvl")) & (F.col("_at") == F.col("_bucket")) & F.col("page").between(F.col("first"), F.col("last")))
     return hits.groupBy("figure").agg(F.min_by("section", F.struct("ord", "page", "n")).alias("section"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import text as tx
 from foliospark.operators import align
+from foliospark.operators.lineage import written
 
 # The shares and counts below or above which a corpus counts as degraded.
 MIN_WITH_PATH, MIN_WITH_CONTENT, MAX_EMPTY, MAX_DRIFT = 0.95, 0.98, 10, 0.25
@@ -94,9 +95,12 @@ def identity(pages: DataFrame, paths: DataFrame, head: str, crumb: str, counts:
     must begin a known path or be begun by one (``paths``: path). ``counts``
     (book, pages) brings the test that there are pages at all.
     """
-    p = pages.select("book", F.translate("text", tx.DASHES, "-" * len(tx.DASHES)).alias("page"))
-    heads = p.select(F.col("book").alias("_h"), F.explode(F.regexp_extract_all("page", F.lit(head), F.lit(1))).alias("head")).groupBy("_h").agg(F.array_join(F.array_sort(F.collect_set("head")), ",").alias("heads"))
-    crumbs = p.select("book", tx.spaced(F.regexp_extract("page", crumb, 1)).alias("crumb")).where("crumb <> ''")
+    dashed = F.when(F.col("text").rlike(f"[{tx.DASHES}]"), F.translate("text", tx.DASHES, "-" * len(tx.DASHES))).otherwise(F.col("text"))
+    p = pages.select("book", dashed.alias("page"))
+    # texts are searched once; what is found in them is small
+    p = written(p.select("book", F.array_distinct(F.regexp_extract_all("page", F.lit(head), F.lit(1))).alias("found"), tx.spaced(F.regexp_extract("page", crumb, 1)).alias("crumb")), "identity")
+    heads = p.select(F.col("book").alias("_h"), F.explode("found").alias("head")).groupBy("_h").agg(F.array_join(F.array_sort(F.collect_set("head")), ",").alias("heads"))
+    crumbs = p.select("book", "crumb").where("crumb <> ''")
     known = align.prefix_semi(crumbs, paths.select(tx.spaced(F.col("path")).alias("path")).distinct(), "crumb", "path").groupBy(F.col("book").alias("_m")).agg(F.count("*").alias("matched"))
     rows = p.select("book").distinct().join(crumbs.groupBy(F.col("book").alias("_c")).agg(F.count("*").alias("crumbs")), F.col("book") == F.col("_c"), "left")
     rows = rows.join(heads, F.col("book") == F.col("_h"), "left").join(known, F.col("book") == F.col("_m"), "left").na.fill(0, ["crumbs", "matched"])

@@ -105,3 +105,28 @@ def test_a_group_of_a_million_rows(spark):
     got = successors.packed(df, "g", "id", "s", 15_000, 2_000).groupBy("part").agg(F.count("*").alias("n"), F.sum(F.col("id") % 7).alias("words")).orderBy("part").collect()
     assert sum(r.n for r in got) == 1_000_000 and [r.part for r in got] == list(range(1, len(got) + 1))
     assert all(14_993 < r.words <= 15_000 for r in got[:-1])
+
+
+# ------------------------------------------------------------- places and spans
+def test_pages_of_places_in_large_books(spark):
+    rng = random.Random(8)
+    starts = [(b, p, s) for b in ("x", "y", None) for p, s in enumerate(sorted(rng.sample(range(3000), 60 if b == "x" else 3)))]
+    asked = [(i, rng.choice(["x", "x", "y", "z"]), rng.randrange(-5, 3200), "p") for i in range(400)]
+    got = align.page_of(spark.createDataFrame(asked, "id long, book string, off long, page_note string"), spark.createDataFrame(starts, "book string, page long, start long"), "book", "off", "page")
+    assert got.columns == ["id", "book", "off", "page_note", "page"]
+    want = [(i, b, o, n, max(((s, p) for c, p, s in starts if c == b and s <= o), default=(0, None))[1]) for i, b, o, n in asked]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_figures_of_spans_of_any_length(spark):
+    rng = random.Random(9)
+    spans = [(b, s, s % 17, (f := rng.randrange(5000)), f + rng.choice([0, 1, 2, 30, 700, 1_000_000, -1])) for b in "xy" for s in range(60)]
+    figures = [(rng.choice("xyz"), f, rng.randrange(6000), n) for f in range(80) for n in range(rng.randrange(1, 4))]
+    got = align.claimed(spark.createDataFrame(figures, "book string, figure long, page long, n long"), spark.createDataFrame(spans, "book string, section long, ord long, first long, last long"))
+    want = {}
+    for b, f, p, n in figures:
+        for c, s, o, first, last in spans:
+            if b == c and first <= p <= last:
+                want.setdefault(f, []).append(((o, p, n), s))
+    found = {r["figure"]: r["section"] for r in got.collect()}
+    assert found.keys() == want.keys() and all(found[f] in {s for k, s in of if k == min(of)[0]} for f, of in want.items())
