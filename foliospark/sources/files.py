@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliospark.sources import versions
+from foliospark.sources import filewriter, versions
 
 
 def _fs(spark: SparkSession, path: str):
@@ -196,37 +196,18 @@ def write_json_lines(df: DataFrame, path: str, order: list[str], append: bool =
 def write_markdown(texts: DataFrame, path: str, name: str = "filename", text: str = "text") -> DataFrame:
     """One file of that name for each row, of distinct names; names may hold folders.
 
-    Tasks write the texts, each to a partition folder of its own; then the
-    driver moves the files to their names, which costs it a rename for each
-    file and no text. A file ends in one line break. The result (filename,
-    size) is what was written; stale files go, as the folder is replaced as a
-    whole once all is there.
+    Tasks write each text to its file in a folder beside ``path``, which takes
+    its place in one step when all have ended; stale files go with the old
+    folder. A file ends in one line break. The result (filename, size) is what
+    was written.
     """
     spark = texts.sparkSession
     settle(spark, path)
-    fs, _ = _fs(spark, path)
-    staging, ready = (f"{path.rstrip('/')}.{x}-{uuid.uuid4().hex}" for x in ("staging", "ready"))
-    at = lambda p: _fs(spark, p)[1]
-    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-
-    def move(source, target) -> None:
-        if not fs.rename(source, target):
-            raise OSError(f"could not move {source} to {target}")
-
+    spark.dataSource.register(filewriter.NamedFiles)
     body = F.regexp_replace(F.col(text), r"\n\z", "")
-    try:
-        texts.select(F.col(name).alias("file"), body.alias("value")).repartition("file").write.partitionBy("file").option("lineSep", "\n").text(staging)
-        fs.mkdirs(at(ready))
-        for folder in fs.listStatus(at(staging)):
-            if folder.isDirectory():
-                target = at(f"{ready}/{unescape(folder.getPath().getName().partition('=')[2])}")
-                fs.mkdirs(target.getParent())
-                (part,) = [x.getPath() for x in fs.listStatus(folder.getPath()) if x.getPath().getName().startswith("part-")]
-                move(part, target)
-        _swap(spark, ready, path)
-    finally:
-        for left in (staging, ready):
-            fs.delete(at(left), True)
+    whole = _fs(spark, path.rstrip("/"))[0].makeQualified(_fs(spark, path.rstrip("/"))[1]).toString()
+    texts.select(F.col(name).alias("filename"), F.concat(body, F.lit("\n")).alias("text")).write.format("named_files").mode("overwrite").option("path", whole).save()
+    settle(spark, path)
     return texts.select(F.col(name).alias("filename"), (F.octet_length(body) + 1).cast("long").alias("size"))
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from foliospark.sources import versions
+from foliospark.sources.filewriter import store_of
 
 SCHEMA = "run long, depth int, page_id string, kind string, etag string, last_modified string, html string, sha256 string, error string"
 _COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -33,13 +34,6 @@ class LostVersions(Exception):
     """Versions that a reader has not read are gone."""
 
 
-def _store(path: str) -> tuple[fs.FileSystem, str]:
-    """A store and a path in it, for workers that have no session."""
-    if path.startswith("file:"):
-        path = "/" + path[5:].lstrip("/")
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-
-
 @dataclass
 class _File(InputPartition):
     path: str
@@ -50,14 +44,14 @@ class _Reader(DataSourceStreamReader):
         self.path, self.name, self.kinds = path.rstrip("/"), name, kinds
 
     def _commits(self) -> dict[int, str]:
-        store, at = _store(f"{self.path}/pages/commits")
+        store, at = store_of(f"{self.path}/pages/commits")
         if store.get_file_info(at).type == fs.FileType.NotFound:
             return {}
         found = {f.base_name[:-5]: f.path for f in store.get_file_info(fs.FileSelector(at)) if f.base_name.endswith(".json")}
         return {int(n): p for n, p in found.items() if n.isdigit()}
 
     def _told(self, path: str) -> dict:
-        store, _ = _store(self.path)
+        store, _ = store_of(self.path)
         with store.open_input_stream(path) as f:
             return json.loads(f.read())
 
@@ -81,12 +75,12 @@ class _Reader(DataSourceStreamReader):
             if not told.get("rearranged") or (not begin and n == wanted[0]):
                 added += [p for p in told["parts"] if p not in held]
             held |= set(told["parts"])
-        store, at = _store(f"{self.path}/pages/data")
+        store, at = store_of(f"{self.path}/pages/data")
         files = [f.path for p in added for f in store.get_file_info(fs.FileSelector(f"{at}/{p}")) if f.base_name.endswith(".parquet")]
         return [_File(f) for f in sorted(files)]
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
-        store, _ = _store(self.path)
+        store, _ = store_of(self.path)
         with store.open_input_file(partition.path) as f:
             for batch in pq.ParquetFile(f).iter_batches(1000, columns=_COLUMNS):
                 batch = batch.select(_COLUMNS)
@@ -99,7 +93,7 @@ class _Reader(DataSourceStreamReader):
         """Leave word that versions after ``offset`` are still to be read."""
         if not self.name:
             return
-        store, at = _store(f"{self.path}/readers")
+        store, at = store_of(f"{self.path}/readers")
         store.create_dir(at, recursive=True)
         draft = f"{at}/.{uuid.uuid4().hex}"
         with store.open_output_stream(draft) as f:
@@ -129,7 +123,7 @@ def changed(spark: SparkSession, path: str, reader: str = "") -> DataFrame:
 
 def forget(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
     """As ``versions.vacuum`` of the cache, but for what named readers have not read."""
-    store, at = _store(f"{path.rstrip('/')}/readers")
+    store, at = store_of(f"{path.rstrip('/')}/readers")
     last = versions.version(spark, f"{path}/pages").number
     read = [last]
     if store.get_file_info(at).type != fs.FileType.NotFound:

@@ -128,6 +128,22 @@ def test_markdown_sink(spark, tmp_path):
     assert [p.name for p in (tmp_path / "md").rglob("*.md")] == ["01.md"]
 
 
+def test_many_named_files(spark, tmp_path):
+    path = str(tmp_path / "md")
+    texts = spark.range(3000).select(F.concat(F.lit("d"), F.col("id") % 7, F.lit("/"), "id", F.lit(".md")).alias("filename"), F.concat(F.lit("# "), "id").alias("text"))
+    files.write_markdown(texts, path)
+    held = list((tmp_path / "md").rglob("*"))
+    assert sum(p.is_file() for p in held) == 3000 and (tmp_path / "md/d3/10.md").read_text() == "# 10\n" and [p.name for p in tmp_path.iterdir()] == ["md"]
+    with pytest.raises(Exception, match="boom"):
+        files.write_markdown(texts.withColumn("text", F.when(F.col("filename") == "d3/10.md", F.raise_error(F.lit("boom"))).otherwise("new")), path)
+    for wrong in (["a.md", "a.md"], ["../a.md"], [""]):
+        with pytest.raises(Exception, match="names|no name"):
+            files.write_markdown(spark.createDataFrame([(n, "x") for n in wrong], "filename string, text string"), path)
+    assert (tmp_path / "md/d3/10.md").read_text() == "# 10\n"
+    files.write_markdown(texts.limit(0), path)
+    assert [p.name for p in tmp_path.iterdir()] == ["md"] and not list((tmp_path / "md").iterdir())
+
+
 def test_purge_is_dry_by_default(spark, tmp_path):
     (tmp_path / "c").mkdir()
     (tmp_path / "c" / "f").write_text("abc")
