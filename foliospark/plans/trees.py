@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as tx
-from foliospark.operators import sections, tree
+from foliospark.operators import sections, tours, tree
 from foliospark.plans.texts import sql_words
 from foliospark.registry import query
 from foliospark.sources.tables import read
@@ -60,6 +60,22 @@ def nearest_ancestor(spark, sf):
     return tree.nearest(tree.levels(n), n.select("id", kind.alias("kind")), ["title", "letter"])
 
 
+_DEEP = "SELECT doc_id AS id, CASE WHEN doc_id > 0 THEN greatest(0, doc_id - 1 - doc_id % 3) END AS parent FROM documents"
+
+
+@query(
+    "deep_tree_tour",
+    f"""WITH RECURSIVE n AS ({_DEEP}), t AS (SELECT id, 0::BIGINT AS depth, [id] AS chain FROM n WHERE parent IS NULL UNION ALL SELECT n.id, depth + 1, list_append(chain, n.id) FROM n JOIN t ON n.parent = t.id),
+    sizes AS (SELECT a AS id, count(*)::BIGINT AS size FROM (SELECT unnest(chain) AS a FROM t) GROUP BY a)
+    SELECT t.id, row_number() OVER (ORDER BY chain)::BIGINT AS position, depth, size FROM t JOIN sizes USING (id)""",
+)
+def deep_tree_tour(spark, sf):
+    """Places, depths and subtrees of a tree that is a third as deep as it has nodes."""
+    i = F.col("doc_id")
+    n = read(spark, sf, "documents").select(i.alias("id"), F.when(i > 0, F.greatest(F.lit(0), i - 1 - i % 3)).alias("parent"), i.alias("sib_ord"))
+    return tours.toured(n)
+
+
 _SIZES = f"SELECT source, doc_id, len({sql_words('text')})::BIGINT AS words FROM documents"
 # the packing rule as a recursive walk along each group
 _PACK_SQL = f"""sizes AS ({_SIZES}), numbered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM sizes),
@@ -93,6 +109,14 @@ def capped_packing(spark, sf):
     return packed_docs(spark, sf).select("source", "doc_id", "words", "part", "parts")
 
 
+@query("capped_packing_spread", f"WITH RECURSIVE {_PACK_SQL} SELECT source, doc_id, words, part, parts FROM parts")
+def capped_packing_spread(spark, sf):
+    """As ``capped_packing``, every group as one that is too large for an array."""
+    d = read(spark, sf, "documents").select("source", "doc_id", tx.word_count(F.col("text")).alias("words"))
+    packed = sections.pack(d, "source", "doc_id", "words", large=0)
+    return packed.select("source", "doc_id", "words", F.col("part").cast("long").alias("part"), F.col("parts").cast("long").alias("parts"))
+
+
 @query("group_ordinals", f"WITH RECURSIVE {_PACK_SQL} SELECT source, idx AS index, part, parts, sequence, words, docs FROM sequenced")
 def group_ordinals(spark, sf):
     return sequenced(spark, sf).select("source", "index", "part", "parts", "sequence", "words", "docs")

@@ -262,17 +262,23 @@ def heads(spark, sf):
     return e.select(F.col("user_id").alias("book"), F.col("event_id").alias("id"), head.alias("head"), (head + F.col("event_id") % 90).alias("body_start"), F.lit("heading").alias("how"))
 
 
-@query(
-    "boundary_thinning",
-    f"""WITH RECURSIVE e AS (SELECT *, row_number() OVER (PARTITION BY book ORDER BY head, body_start, id) AS rn FROM ({_EV})),
+_THINNED = f"""WITH RECURSIVE e AS (SELECT *, row_number() OVER (PARTITION BY book ORDER BY head, body_start, id) AS rn FROM ({_EV})),
     walk AS (SELECT book, id, head, body_start, rn, true AS kept, body_start AS last FROM e WHERE rn = 1
     UNION ALL SELECT e.book, e.id, e.head, e.body_start, e.rn, e.head >= w.last, CASE WHEN e.head >= w.last THEN e.body_start ELSE w.last END FROM walk w JOIN e ON e.book = w.book AND e.rn = w.rn + 1)
-    SELECT book, id, head, body_start, lead(head) OVER (PARTITION BY book ORDER BY head, body_start, id) AS next_head FROM walk WHERE kept""",
-)
+    SELECT book, id, head, body_start, lead(head) OVER (PARTITION BY book ORDER BY head, body_start, id) AS next_head FROM walk WHERE kept"""
+
+
+@query("boundary_thinning", _THINNED)
 def boundary_thinning(spark, sf):
     return align.boundaries(heads(spark, sf)).select("book", "id", "head", "body_start", "next_head")
 
 
+@query("boundary_thinning_spread", _THINNED)
+def boundary_thinning_spread(spark, sf):
+    """As ``boundary_thinning``, every book as one that is too large for an array."""
+    return align.boundaries(heads(spark, sf), large=0).select("book", "id", "head", "body_start", "next_head")
+
+
 @query(
     "slice_to_next",
     """WITH e AS (SELECT doc_id, text, unnest([1, 40, 200]) AS head FROM documents), n AS (SELECT *, lead(head, 1, length(text) + 1) OVER (PARTITION BY doc_id ORDER BY head) AS nxt FROM e)
@@ -348,7 +354,19 @@ def containment_first_hit(spark, sf):
     return align.first_hits(read(spark, sf, "documents"), read(spark, sf, "benchmark"), "doc_id", "text", "item_id", "text").select("item_id", "doc_id", "first_hit")
 
 
-@query("document_anchors")
+@query(
+    "document_anchors",
+    """WITH RECURSIVE c AS (SELECT (conv_id % 8)::VARCHAR AS book, conv_id * 1000 + turn AS id, lower(left(text, 12)) AS path, lower(substr(text, 14, 10)) AS title, lower(left(text, 120)) AS body, conv_id, turn, text FROM conversations),
+    books AS (SELECT book, lower(string_agg(text, ' ' ORDER BY conv_id, turn, text)) AS whole FROM c GROUP BY book),
+    asked AS (SELECT book, id, path, title, body, whole FROM c JOIN books USING (book) WHERE title <> '' OR length(body) >= 40),
+    found AS (SELECT book, id, path, title, instr(whole, path) AS pos FROM asked WHERE title <> '' AND contains(whole, path)
+        UNION ALL SELECT f.book, id, path, title, pos + instr(substr(whole, pos + 1), path) FROM found f JOIN books b ON f.book = b.book AND contains(substr(whole, pos + 1), path)),
+    places AS (SELECT f.*, whole FROM found f JOIN books USING (book)),
+    heads AS (SELECT book, id, pos - 1 AS head, pos - 1 + instr(substr(whole, pos, length(path) + 300 + length(title)), title) - 1 + length(title) AS body_start
+        FROM places WHERE contains(substr(whole, pos, length(path) + 300 + length(title)), title)),
+    bodies AS (SELECT book, id, instr(whole, body) - 1 AS head FROM asked a WHERE length(body) >= 40 AND contains(whole, body) AND NOT EXISTS (SELECT 1 FROM heads h WHERE h.book = a.book AND h.id = a.id))
+    SELECT book, id, head, body_start, 'heading' AS how FROM heads UNION ALL SELECT book, id, head, head, 'body' FROM bodies""",
+)
 def document_anchors(spark, sf):
     """Where conversations begin in the joined text of their book."""
     c = read(spark, sf, "conversations").withColumn("book", (F.col("conv_id") % 8).cast("string"))
