@@ -11,7 +11,7 @@ from tests.conftest import rows
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-PYTHON = {"canonical_text_len", "slug_names", "part_filenames", "part_navigation", "markdown_section", "html_to_markdown", "parsed_documents", "hierarchy_levels", "figures_resolved", "unified_diff", "unit_events_exact", "document_anchors", "compared_publications", "comparison_report", "boundary_thinning", "containment_first_hit", "publication_sections"}
+PYTHON = {"canonical_text_len", "slug_names", "part_filenames", "part_navigation", "markdown_section", "html_to_markdown", "parsed_documents", "hierarchy_levels", "figures_resolved", "unified_diff", "unit_events_exact", "document_anchors", "compared_publications", "comparison_report", "boundary_thinning", "boundary_thinning_spread", "containment_first_hit", "publication_sections"}
 
 
 @needs_tables
