@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliospark.operators import ranks, successors
-from foliospark.operators.lineage import cut, written
+from foliospark.operators.lineage import written
 
 #: Characters between a path and its title, and of a body's beginning that it is known by, at most.
 GAP, BODY = 300, 120
@@ -48,7 +50,7 @@ def page_of(offsets: DataFrame, starts: DataFrame, book: str, offset: str, page:
 
 # ------------------------------------------------------------ texts in a text
 #: Characters of patterns in one automaton, and of a text in one slice, about.
-PATTERNS, SLICE = 4_000_000, 1_000_000
+PATTERNS, SLICE = 4_000_000, 50_000
 
 
 def lowered(text: str) -> str:
@@ -129,52 +131,206 @@ def heading_at(head: int, path: str, title: str, text: str, gap: int) -> tuple[i
     return (head, at + len(title), "heading") if at >= 0 else None
 
 
-def anchors(docs: DataFrame, books: DataFrame, gap: int = GAP) -> DataFrame:
-    """(book, id, head, body_start, how) of each document (book, id, path, title, body) in its book's text (book, text).
+def placed(pages: DataFrame, book: str = "book", page: str = "page", text: str = "text") -> DataFrame:
+    """(book, page, text, start): pages that have text, with where each begins in the book's joined text, one blank between pages.
 
-    Texts are cut into slices that overlap by the longest heading, and each
-    slice is passed over once for each block of documents, whose paths and
-    beginnings are the words of one automaton. A document without a path is
-    looked for at every place of the slice.
+    Pages are dealt out by ranges of (book, page); a range knows how much text
+    the ranges before it have, so no task sees a whole book.
     """
-    spark = docs.sparkSession
-    own = docs.select("book", "id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("path", "title")], F.left(F.coalesce("body", F.lit("")), F.lit(BODY)).alias("body")).where("title <> '' or length(body) >= 40")
-    longest = own.agg(F.max(F.length("path") + F.length("title")).alias("n")).first()["n"] or 0
-    over = max(BODY, longest + gap)
-    cuts = books.where(F.length("text") > 0).select("book", "text", F.explode(F.sequence(F.lit(0), F.ceil(F.length("text") / SLICE).cast("int") - 1)).alias("i"))
-    slices = cuts.select("book", (F.col("i").cast("long") * SLICE).alias("begin"), F.substr("text", F.col("i") * SLICE + 1, F.lit(SLICE + over)).alias("text"))
-    schema = T.StructType([docs.schema["book"], T.StructField("id", docs.schema["id"].dataType), *(T.StructField(n, T.LongType()) for n in ("head", "body_start")), T.StructField("how", T.StringType())])
-    parts = []
-    for block in pattern_blocks(own, F.length("path") + F.length("title") + F.length("body") + 16):
-        shared = spark.sparkContext.broadcast([(r["book"], r["id"], *(lowered(r[c]) for c in ("path", "title", "body"))) for r in block])
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = pages.where(F.length(text) > 0).select(F.col(book).alias("book"), F.col(page).alias("page"), F.col(text).alias("text"))
+    dealt = written(rows.repartitionByRange(n, "book", "page", "text").withColumn("_part", F.spark_partition_id()), "pages")
+    size = F.length("text").cast("long") + 1
+    before = Window.partitionBy("_c").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy(F.col("book").alias("_c"), F.col("_part").alias("_at")).agg(F.sum(size).alias("_n"))
+    carried = sums.select("_c", "_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.sum(size).over(Window.partitionBy("book", "_part").orderBy("page", "text").rowsBetween(Window.unboundedPreceding, -1))
+    found = dealt.withColumn("_in", F.coalesce(inside, F.lit(0))).join(carried, F.col("book").eqNullSafe(F.col("_c")) & (F.col("_part") == F.col("_at")))
+    return found.select("book", "page", "text", (F.col("_before") + F.col("_in")).alias("start"))
 
-        def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            asked = shared.value
-            paths = automaton((d[2], i) for i, d in enumerate(asked) if d[3])
-            bodies = automaton((d[4], i) for i, d in enumerate(asked) if len(d[4]) >= 40)
-            bare = [i for i, d in enumerate(asked) if d[3] and not d[2]]
+
+def slices(books: DataFrame, width: int, over: int = 0) -> DataFrame:
+    """(book, begin, text): each book's text in slices of ``width`` characters and ``over`` more of the next.
+
+    ``books``: (book, text), whole texts, or the pages (book, start, text) of :func:`placed`.
+    """
+    if "start" not in books.columns:
+        schema = T.StructType([books.schema["book"], T.StructField("begin", T.LongType()), T.StructField("text", T.StringType())])
+
+        def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = []
-                for book, begin, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    text = lowered(raw)
-                    at = [(end - length + 1, i) for end, (length, numbers) in paths.iter(text) for i in numbers] if paths is not None else []
-                    at += [(h, i) for i in bare if asked[i][0] == book for h in range(min(len(text), SLICE))]
-                    for head, i in at:
-                        named, own_id, path, title, _ = asked[i]
-                        if named == book and head < SLICE and (found := heading_at(head, path, title, text, gap)):
-                            rows.append((book, own_id, begin + found[0], begin + found[1], "heading"))
-                    first: dict[int, int] = {}
-                    for end, (length, numbers) in bodies.iter(text) if bodies is not None else ():
-                        for i in numbers:
-                            if asked[i][0] == book and end - length + 1 < SLICE:
-                                first.setdefault(i, begin + end - length + 1)
-                    rows += [(book, asked[i][1], h, h, "body") for i, h in first.items()]
-                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=to_arrow_schema(schema))
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    for begin in range(0, len(text), width):
+                        yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([begin], pa.int64()), pa.array([text[begin : begin + width + over]])], names=schema.names)
+
+        return books.select("book", "text").where(F.length("text") > 0).mapInArrow(cut_up, schema)
+    # a page but the first begins with the blank before it
+    whole = F.when(F.col("start") > 0, F.concat(F.lit(" "), "text")).otherwise(F.col("text"))
+    own = books.select("book", whole.alias("_t"), (F.col("start") - (F.col("start") > 0).cast("long")).alias("_from")).withColumn("_to", F.col("_from") + F.length("_t"))
+    cells = F.sequence(F.greatest(F.lit(0), F.floor((F.col("_from") - over) / width)).cast("long"), F.floor((F.col("_to") - 1) / width).cast("long"))
+    cut_rows = own.select("*", F.explode(cells).alias("_cell")).withColumn("_low", F.greatest("_from", F.col("_cell") * width))
+    high = F.least(F.col("_to"), (F.col("_cell") + 1) * width + over)
+    part = F.substring("_t", (F.col("_low") - F.col("_from") + 1).cast("int"), (high - F.col("_low")).cast("int"))
+    lists = cut_rows.select("book", "_cell", F.struct("_low", part.alias("_part")).alias("_x")).groupBy("book", "_cell").agg(F.array_sort(F.collect_list("_x")).alias("_l"))  # a slice's text
+    return lists.select("book", (F.col("_cell") * width).alias("begin"), F.array_join(F.transform("_l", lambda x: x["_part"]), "").alias("text"))
+
+
+#: What is searched for: paths, titles, titles of documents without a path, beginnings of bodies.
+PATHS, TITLES, BARE, BODIES = range(4)
+#: Bits of the filter that tasks hold: for each document, and at most; a fuller one lets more places pass to the join.
+BITS, MOST_BITS = 100, 1 << 27
+_A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+_ALL = (1 << 64) - 1
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _B
+    return x ^ (x >> np.uint64(29))
+
+
+def _levels(text: str, longest: int) -> list[np.ndarray]:
+    """A hash of the 1, 2, 4, 8... letters from each place of a text, up to ``longest``."""
+    out = [_mixed(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) * _A + _C)]
+    while (size := 1 << len(out)) <= min(longest, len(text)):
+        half = size >> 1
+        out.append(_mixed(out[-1][:-half] * _A + out[-1][half:]))
+    return out
+
+
+def _begun(level: np.ndarray, kind: int, j: int) -> np.ndarray:
+    """Keys of what begins with the 2^j letters hashed."""
+    return _mixed(level + np.uint64(int(_C) * (kind * 64 + j + 1) & _ALL))
+
+
+def _keys(level: np.ndarray, at: np.ndarray, length: np.ndarray | int, kind: int, j: int) -> np.ndarray:
+    """Keys of the words of ``length`` at ``at``, 2^j letters or more and less than twice as many: two hashes cover each."""
+    both = _mixed(level[at] * _B + level[at + length - (1 << j)])
+    return _mixed(both + _A * (np.atleast_1d(length).astype(np.uint64) * np.uint64(8) + np.uint64(kind + 1)))
+
+
+def _bits(keys: np.ndarray, n: int) -> list[np.ndarray]:
+    """The two bits of each key."""
+    return [keys & np.uint64(n - 1), (keys >> np.uint64(32)) & np.uint64(n - 1)]
+
+
+def pattern_filter(asked: DataFrame) -> tuple[np.ndarray, dict[int, list[int]]]:
+    """A filter of all that is searched for, and the lengths of each kind. ``asked``: path, title, body."""
+    kinds = {PATHS: ("path", "path <> '' and title <> ''"), TITLES: ("title", "path <> '' and title <> ''"), BARE: ("title", "path = '' and title <> ''"), BODIES: ("body", "length(body) >= 40")}
+    facts = asked.agg(F.count("*").alias("n"), *[F.array_sort(F.collect_set(F.when(F.expr(x), F.length(c)))).alias(str(k)) for k, (c, x) in kinds.items()]).first()  # distinct lengths
+    lengths = {k: facts[str(k)] for k in kinds}
+    n = min(MOST_BITS, 1 << max(16, (facts["n"] * BITS).bit_length()))
+    words = functools.reduce(DataFrame.unionAll, [asked.where(x).select(F.lit(k).alias("kind"), F.col(c).alias("word")) for k, (c, x) in kinds.items()])
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(1).to_pylist()
+            size = np.array([len(w) for w in own], np.int64)
+            if not len(own):
+                continue
+            first, kinds_of, text = np.cumsum(size) - size, batch.column(0).to_numpy(), "".join(own)
+            levels, classes = _levels(text, int(size.max())), np.frexp(size)[1] - 1
+            found = []
+            for kind, j in {*zip(kinds_of.tolist(), classes.tolist(), strict=True)}:
+                mine = (kinds_of == kind) & (classes == j)
+                found += _bits(_begun(levels[j][first[mine]], kind, j), n) + _bits(_keys(levels[j], first[mine], size[mine], kind, j), n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).astype(np.int64))], names=["bit"])
+
+    bits = words.mapInArrow(told, "bit long")
+    rows = bits.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("own")).toArrow()  # MOST_BITS / 64 rows at most
+    made = np.zeros(n >> 6, np.uint64)
+    made[rows.column("at").to_numpy()] = rows.column("own").to_numpy().view(np.uint64)
+    return made, lengths
+
+
+def met(text: str, made: np.ndarray, classes: dict[int, dict[int, list[int]]], longest: int) -> dict[int, list[tuple[int, int]]]:
+    """By kind, the (place, length) of all that passes the filter, by place; some of it may not be searched for."""
+    levels, n = _levels(text, longest), len(made) << 6
+
+    def passed(keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+        for bit in (0, 1):
+            b = _bits(keys, n)[bit]
+            held = (made[b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) != 0
+            keys, at = keys[held], at[held]
+        return at
+
+    out: dict[int, list[tuple[int, int]]] = {}
+    for kind, own in classes.items():
+        found = []
+        for j, lengths in own.items():
+            if j >= len(levels):
+                continue
+            begun = passed(_begun(levels[j], kind, j), np.arange(len(levels[j])))
+            for length in lengths:
+                at = begun[begun + length <= len(text)]
+                found += [(h, length) for h in passed(_keys(levels[j], at, length, kind, j), at).tolist()]
+        out[kind] = sorted(found)
+    return out
+
+
+def anchors(docs: DataFrame, books: DataFrame, gap: int = GAP) -> DataFrame:
+    """(book, id, head, body_start, how) of each document (book, id, path, title, body) in its book's text (book, text).
 
-        parts.append(slices.select("book", "begin", "text").mapInArrow(find, schema))
-    found = cut(functools.reduce(DataFrame.unionAll, parts))
-    headed = found.where("how = 'heading'")
-    rest = found.where("how = 'body'").groupBy("book", "id").agg(F.min("head").alias("head")).join(headed.select("book", "id"), ["book", "id"], "left_anti")
+    ``books`` may also be pages, see :func:`slices`. Texts are cut into slices
+    that overlap by the longest heading. Each slice is passed over once: hashes
+    of the letters from each place are held against a filter of all paths,
+    titles and beginnings, and what passes is joined with the documents by its
+    text. A document without a path is looked for at every place of the slice.
+    """
+    own = docs.select("book", "id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("path", "title")], F.left(F.coalesce("body", F.lit("")), F.lit(BODY)).alias("body")).where("title <> '' or length(body) >= 40")
+    small = T.StructType([T.StructField(f.name, f.dataType) for f in own.schema])
+
+    def small_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([lowered(x) for x in batch.column(i).to_pylist()], pa.string()) for i in (2, 3, 4))], names=small.names)
+
+    asked = written(own.mapInArrow(small_letters, small), "asked")
+    made, lengths = pattern_filter(asked)
+    classes = {k: {j: [x for x in v if x.bit_length() - 1 == j] for j in sorted({x.bit_length() - 1 for x in v})} for k, v in lengths.items()}
+    longest = max((max(v, default=0) for v in lengths.values()), default=0)
+    width, over = SLICE, max([BODY, *(max(lengths[a], default=0) + max(lengths[b], default=0) + gap for a, b in ((PATHS, TITLES), (BARE, BARE)))])
+    shared = docs.sparkSession.sparkContext.broadcast(made)
+    schema = T.StructType([T.StructField("book", docs.schema["book"].dataType), T.StructField("how", T.StringType()), T.StructField("path", T.StringType()), T.StructField("word", T.StringType()), *(T.StructField(n, T.LongType()) for n in ("head", "last", "body_start"))])
+    arrow = to_arrow_schema(schema)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for book, begin, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                text = lowered(raw)
+                at = met(text, shared.value, classes, longest)
+                rows, titles = [], at[TITLES]
+                places = [t for t, _ in titles]
+                for head, length in at[PATHS]:
+                    if head >= width:
+                        break
+                    first: dict[str, int] = {}
+                    for t, size in titles[bisect_left(places, head) : bisect_right(places, head + length + gap)]:
+                        first.setdefault(text[t : t + size], t + size)
+                    rows += [(book, "heading", text[head : head + length], w, begin + head, begin + head, begin + stop) for w, stop in first.items()]
+                before: dict[str, int] = {}
+                for t, size in at[BARE]:
+                    w = text[t : t + size]
+                    low, high = max(before.get(w, 0), t - gap), min(t, width - 1)
+                    before[w] = t + 1
+                    if low <= high:
+                        rows.append((book, "bare", "", w, begin + low, begin + high, begin + t + size))
+                begun: dict[str, int] = {}
+                for h, size in at[BODIES]:
+                    if h < width:
+                        begun.setdefault(text[h : h + size], begin + h)
+                rows += [(book, "body", "", w, h, h, h) for w, h in begun.items()]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
+
+    hits = written(slices(books, width, over).mapInArrow(find, schema), "hits").withColumnRenamed("book", "_b").withColumnRenamed("path", "_p")
+    same = F.col("book").eqNullSafe(F.col("_b"))
+    headings = asked.where("path <> '' and title <> ''").join(hits.where("how = 'heading'"), same & (F.col("path") == F.col("_p")) & (F.col("title") == F.col("word"))).select("book", "id", "head", "body_start", "how")
+    if lengths[BARE]:
+        bare = asked.where("path = '' and title <> ''").join(hits.where("how = 'bare'"), same & (F.col("title") == F.col("word")))
+        headings = headings.unionByName(bare.select("book", "id", F.explode(F.sequence("head", "last")).alias("head"), "body_start", F.lit("heading").alias("how")))
+    headed = written(headings, "headings")
+    begun = hits.where("how = 'body'").groupBy("_b", "word").agg(F.min("head").alias("head"))
+    first = asked.where("length(body) >= 40").join(begun, same & (F.col("body") == F.col("word"))).groupBy("book", "id").agg(F.min("head").alias("head"))
+    rest = first.join(headed.select("book", "id"), ["book", "id"], "left_anti")
     return headed.unionByName(rest.select("book", "id", "head", F.col("head").alias("body_start"), F.lit("body").alias("how")))
 
 
@@ -219,12 +375,27 @@ def _thinned(events: DataFrame, book: str) -> DataFrame:
 
 
 def pieces(kept: DataFrame, books: DataFrame, book: str = "book") -> DataFrame:
-    """The text of each kept event up to the next: (book, id, head, piece)."""
+    """The text of each kept event up to the next: (book, id, head, piece); books by their whole texts."""
     end = F.coalesce("next_head", F.length("text").cast("long"))
     joined = kept.join(books.withColumnRenamed(book, "_b"), F.col(book) == F.col("_b"))
     return joined.select(book, "id", "head", F.trim(F.substring("text", (F.col("body_start") + 1).cast("int"), (end - F.col("body_start")).cast("int"))).alias("piece"))
 
 
+def page_pieces(kept: DataFrame, pages: DataFrame) -> DataFrame:
+    """As :func:`pieces`, those that hold text, from the pages of :func:`placed`: each event meets only the slices that its text lies in."""
+    width = SLICE
+    stops = pages.groupBy(F.col("book").alias("_s")).agg(F.max(F.col("start") + F.length("text")).alias("_end"))
+    spans = kept.join(stops, F.col("book") == F.col("_s")).withColumn("_to", F.least(F.coalesce("next_head", "_end"), "_end")).where(F.col("_to") > F.col("body_start"))
+    cells = F.sequence(F.floor(F.col("body_start") / width).cast("long"), F.floor((F.col("_to") - 1) / width).cast("long"))
+    asked = spans.select("book", "id", "head", "body_start", "_to", F.explode(cells).alias("_cell")).withColumn("_low", F.greatest(F.col("body_start"), F.col("_cell") * width))
+    texts = slices(pages, width).select(F.col("book").alias("_b"), F.floor(F.col("begin") / width).alias("_c"), "text")
+    part = F.substring("text", (F.col("_low") - F.col("_cell") * width + 1).cast("int"), (F.least(F.col("_to"), (F.col("_cell") + 1) * width) - F.col("_low")).cast("int"))
+    found = asked.join(texts, (F.col("book") == F.col("_b")) & (F.col("_cell") == F.col("_c"))).select("book", "id", "head", F.struct("_low", part.alias("_part")).alias("_x"))
+    # of kept events that hold text, none begins where another does
+    lists = found.groupBy("book", "id", "head").agg(F.array_sort(F.collect_list("_x")).alias("_l"))
+    return lists.select("book", "id", "head", F.trim(F.array_join(F.transform("_l", lambda x: x["_part"]), "")).alias("piece")).where("piece <> ''")
+
+
 def claimed(figures: DataFrame, spans: DataFrame) -> DataFrame:
     """Each figure goes to the first section in order whose pages hold it: (figure, section).
 

@@ -7,22 +7,12 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import text as tx
 from foliospark.operators import align, coverage
+from foliospark.operators.lineage import written
 
 # Fixed value: figure markers count as blanks where texts are compared.
 FIGURE_MARK = r"\[\[FIG(?:-MISSING)?:[^\]]*\]\]"
 
 
-def joined_text(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(book, text) of all pages joined by blanks, and (book, page, start); pages keep their true number.
-
-    ``pages``: (book, page, text), one canonical line of text for each page.
-    A book's text is one value, as positions in it are what alignment is about.
-    """
-    starts = align.page_offsets(pages, "book", "page", "text")
-    lists = pages.where("length(text) > 0").groupBy("book").agg(F.array_sort(F.collect_list(F.struct("page", "text"))).alias("l"))
-    return lists.select("book", F.array_join(F.transform("l", lambda x: x["text"]), " ").alias("text")), starts
-
-
 def joined(pieces: DataFrame, key: list[str]) -> DataFrame:
     """(key..., head, text, occurrences, page, page_end): pieces (head, piece, page_begin, page_stop) of each document in order."""
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("head", "piece"))), lambda x: x["piece"]), "\n\n")
@@ -35,13 +25,17 @@ def aligned(docs: DataFrame, pages: DataFrame) -> DataFrame:
     ``docs``: (book, id, path, title, markdown). Pieces of a document that is
     met more than once are joined in order.
     """
-    books, starts = joined_text(pages)
+    book = align.placed(pages)
+    starts = book.select("book", "page", "start")
     body = tx.canonical(F.regexp_replace("markdown", FIGURE_MARK, " "))
     asked = docs.select("book", "id", tx.canonical(F.coalesce("path", F.lit(""))).alias("path"), tx.canonical(F.coalesce("title", F.lit(""))).alias("title"), F.coalesce(body, F.lit("")).alias("body"))
-    kept = align.boundaries(align.anchors(asked, books))
-    cut = align.pieces(kept, books).where("piece <> ''")
-    spans = align.page_of(cut.withColumn("last", F.col("head") + F.length("piece")), starts, "book", "head", "page")
-    spans = align.page_of(spans.withColumnRenamed("page", "page_begin"), starts, "book", "last", "page").withColumnRenamed("page", "page_stop")
+    kept = written(align.boundaries(align.anchors(asked, book)), "kept")
+    cut = written(align.page_pieces(kept, book), "pieces")
+    # places only go through the search for pages, texts stay; a piece is known by its book and head
+    spans = cut.select("book", "head", (F.col("head") + F.length("piece")).alias("last"))
+    spans = align.page_of(spans, starts, "book", "head", "page").withColumnRenamed("page", "page_begin")
+    spans = align.page_of(spans, starts, "book", "last", "page").withColumnRenamed("page", "page_stop")
+    spans = cut.join(spans, ["book", "head"])
     how = kept.groupBy("book", "id").agg(F.min("how").alias("anchored_by"))
     return joined(spans, ["book", "id"]).join(how, ["book", "id"])
 

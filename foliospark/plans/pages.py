@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from foliospark.functions import html
 from foliospark.functions import text as tx
 from foliospark.operators import compare, coverage, render
+from foliospark.operators.lineage import written
 from foliospark.plans import trends
 from foliospark.plans.changed import _JUDGED, _PASSAGES, _SH, _W
 from foliospark.plans.texts import LOOSE_SQL, STRICT_SQL, sql_canonical, sql_words
@@ -271,6 +272,13 @@ def _two_sides(spark, sf):
     return docs, pages
 
 
+def _found(spark, sf):
+    """Documents, what the second publication has of them (made once), and both sides compared."""
+    docs, pages = _two_sides(spark, sf)
+    other = written(compare.aligned(docs, pages), "aligned")
+    return docs, other, compare.compared(docs, other)
+
+
 _SIDES = f"""src AS (SELECT (conv_id % 8)::VARCHAR AS book, conv_id * 1000 + turn AS id, text AS markdown FROM conversations),
 docs AS (SELECT *, 'Libro ' || book || ', Letra ' || id AS path, 'Norma ' || id || ' fin' AS title, {sql_canonical("CASE WHEN id % 3 = 0 THEN regexp_replace(markdown, 'e', 'a', 'g') ELSE markdown END")} AS body FROM src),
 pdf AS (SELECT book, id, body AS text FROM docs WHERE body <> ''), web AS (SELECT book, id, markdown AS text FROM docs), known_web AS (SELECT book, concat_ws(' ', path, title, markdown) AS text FROM docs)"""
@@ -293,8 +301,7 @@ p.total > 3 * w.total + 250 AS alignment_suspect, CASE WHEN p.cov >= 0.95 THEN '
 
 @query("compared_publications", f"WITH {_COMPARED} SELECT * FROM compared")
 def compared_publications(spark, sf):
-    docs, pages = _two_sides(spark, sf)
-    found = compare.compared(docs, compare.aligned(docs, pages))
+    docs, _, found = _found(spark, sf)
     return found.select("book", "id", "page", "page_end", "anchored_by", "pdf_words", "web_words", "only_in_pdf", "only_in_web", F.round("coverage_pdf", 6).alias("coverage_pdf"), F.round("coverage_web", 6).alias("coverage_web"), "alignment_suspect", "verdict")
 
 
@@ -304,8 +311,8 @@ def compared_publications(spark, sf):
     {", ".join(f"(count(*) FILTER (verdict = '{v}'))::BIGINT AS {v}" for v in ("match", "unaligned", "reformatted", "extra_in_pdf"))}, (count(*) - count(c.id))::BIGINT AS unanchored FROM docs d LEFT JOIN compared c USING (book, id) GROUP BY 1""",
 )
 def comparison_report(spark, sf):
-    docs, pages = _two_sides(spark, sf)
-    return compare.report(docs, compare.compared(docs, compare.aligned(docs, pages)))
+    docs, _, found = _found(spark, sf)
+    return compare.report(docs, found)
 
 
 @query(
@@ -315,8 +322,7 @@ def comparison_report(spark, sf):
 )
 def publication_sections(spark, sf):
     """Each book as the second publication has it: its documents with their pages and texts, and a warning where they may not be aligned."""
-    docs, pages = _two_sides(spark, sf)
-    other = compare.aligned(docs, pages)
-    verdicts = compare.compared(docs, other).select("book", "id", "verdict")
+    docs, other, found = _found(spark, sf)
+    verdicts = found.select("book", "id", "verdict")
     rows = other.join(verdicts, ["book", "id"]).join(docs.select("book", "id", "title"), ["book", "id"]).withColumn("body", F.col("text"))
     return render.publication_section(rows, ["book"], ["id"]).withColumn("ord", F.col("ord").cast("long")).withColumn("line", F.sha2("line", 256))

@@ -18,6 +18,35 @@ def test_alignment_and_coverage(spark):
     assert (total["documents"], total["aligned"], total["unanchored"], total["match"], total["extra_words_in_pdf"]) == (3, 2, 1, 1, 7)
 
 
+def test_alignment_in_slices_of_pages(spark, monkeypatch):
+    """No row holds more of a book than a slice, whatever its length, and pieces come out whole."""
+    from foliospark.operators import align
+
+    monkeypatch.setattr(align, "SLICE", 97)
+    bodies = {i: " ".join(f"p{i}x{k}" for k in range(i * 3 % 50)) for i in range(40)}
+    docs = spark.createDataFrame([("ab"[i % 2], i, f"Libro {i % 2}, Letra {i}", f"Norma {i} fin", t) for i, t in bodies.items()], "book string, id long, path string, title string, markdown string")
+    pages = docs.selectExpr("book", "id as page", "concat_ws(' ', path, title, markdown) as text")
+    held = align.placed(pages)
+    cut = align.slices(held, 97, 20)
+    whole = {b: " ".join(r["text"] for r in sorted(held.where(f"book = '{b}'").collect(), key=lambda r: r["page"])) for b in "ab"}
+    assert {(r["book"], r["begin"]): r["text"] for r in cut.collect()} == {(b, k): t[k : k + 117] for b, t in whole.items() for k in range(0, len(t), 97)}
+    assert all(whole[r["book"]][r["start"] :].startswith(r["text"]) for r in held.collect())
+    other = compare.aligned(docs, pages)
+    assert rows(other.select("id", "text", "page", "page_end", "anchored_by")) == sorted(((i, t, i, i, "heading") for i, t in bodies.items() if t), key=repr)
+
+
+def test_books_do_not_meet_every_document(spark, monkeypatch):
+    """Each slice is passed over once, however many documents there are: nothing of them but a filter reaches the tasks."""
+    from foliospark.operators import align
+
+    monkeypatch.setattr(align, "PATTERNS", 10)
+    monkeypatch.setattr(align, "pattern_blocks", None)
+    docs = spark.createDataFrame([("b", i, f"Libro {i},", f"N {i}.", "") for i in range(50)], "book string, id long, path string, title string, body string")
+    books = spark.createDataFrame([("b", " ".join(f"Libro {i}, N {i}." for i in range(50)))], "book string, text string")
+    made, _ = align.pattern_filter(docs)
+    assert made.nbytes == 1 << 13 and rows(align.anchors(docs, books).select("id")) == sorted(((i,) for i in range(50)), key=repr)
+
+
 def test_verified_download(tmp_path):
     path = tmp_path / "a" / "f.pdf"
     c, _ = client(Answer(200, ETag='"1"', Content_Length="2"), Answer(200, b"ok"))
