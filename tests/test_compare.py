@@ -47,6 +47,19 @@ def test_books_do_not_meet_every_document(spark, monkeypatch):
     assert made.nbytes == 1 << 13 and rows(align.anchors(docs, books).select("id")) == sorted(((i,) for i in range(50)), key=repr)
 
 
+def test_report_is_the_same_for_any_slices(spark, monkeypatch):
+    """Books are no single values: a report counts the same however their texts are cut, and takes no whole text."""
+    from foliospark.operators import align
+
+    docs = spark.createDataFrame([("ab"[i % 2], i, f"Libro {i % 2}, Letra {i}", f"Norma {i} fin", " ".join(f"p{i}x{k}" for k in range(i + 1))) for i in range(30)], "book string, id long, path string, title string, markdown string")
+    pages = docs.where("id % 5 > 0").selectExpr("book", "id as page", "concat_ws(' ', path, title, if(id % 3 = 0, replace(markdown, 'x', 'y'), markdown)) as text")
+    found = []
+    for width in (61, 50_000):
+        monkeypatch.setattr(align, "SLICE", width)
+        found.append(rows(compare.report(docs, compare.compared(docs, compare.aligned(docs, pages)))))
+    assert found[0] == found[1] and [(r[0], r[1], r[2], r[-1]) for r in found[0]] == [("a", 15, 12, 3), ("b", 15, 12, 3)] and not hasattr(compare, "joined_text")
+
+
 def test_verified_download(tmp_path):
     path = tmp_path / "a" / "f.pdf"
     c, _ = client(Answer(200, ETag='"1"', Content_Length="2"), Answer(200, b"ok"))
