@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as tx
-from foliospark.operators import analytics
+from foliospark.operators import analytics, ranks
 
 
 def _lines(df: DataFrame, section: int, order: list, line: Column) -> DataFrame:
@@ -74,8 +74,8 @@ def publication_section(docs: DataFrame, key: list[str], order: list[str]) -> Da
     pages = F.concat(F.lit("*p. "), F.col("page").cast("string"), F.when(F.col("page_end") != F.col("page"), F.concat(F.lit("-"), F.col("page_end").cast("string"))).otherwise(""), F.lit("*"))
     warning = F.when(F.col("verdict") == "unaligned", F.lit("> **unaligned**: this text may hold more than its document"))
     lines = F.filter(F.array(F.concat(F.lit("## "), "title"), pages, warning, F.col("body")), lambda x: x.isNotNull())
-    place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-    return docs.withColumn("section", place).select(*key, "section", F.posexplode(lines).alias("ord", "line"))
+    numbered = ranks.numbered(docs, order, key, "section").withColumn("section", (F.col("section") + 1).cast("int"))  # a book's texts are spread
+    return numbered.select(*key, "section", F.posexplode(lines).alias("ord", "line"))
 
 
 def book_index(profiles: DataFrame, files: DataFrame, topics: DataFrame, latest: DataFrame, title: str, recent: int = 12, figures: DataFrame | None = None, outline: DataFrame | None = None) -> DataFrame:

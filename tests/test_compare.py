@@ -60,6 +60,16 @@ def test_report_is_the_same_for_any_slices(spark, monkeypatch):
     assert found[0] == found[1] and [(r[0], r[1], r[2], r[-1]) for r in found[0]] == [("a", 15, 12, 3), ("b", 15, 12, 3)] and not hasattr(compare, "joined_text")
 
 
+def test_sections_are_numbered_over_ranges(spark):
+    """No task numbers, and no window holds, all texts of a book."""
+    docs = spark.createDataFrame([("ab"[i % 2], 99 - i, f"t{i}", i, i + i % 3, "unaligned" if i == 7 else "match", f"body {i}") for i in range(40)], "book string, id long, title string, page long, page_end long, verdict string, body string")
+    got = render.publication_section(docs, ["book"], ["id"])
+    assert "_n_part" in got._jdf.queryExecution().toString()
+    heads = [(r["book"], r["section"], r["line"]) for r in got.where("ord = 0").collect()]
+    assert sorted(heads) == sorted((b, k + 1, f"## t{i}") for j, b in enumerate("ab") for k, i in enumerate(range(38 + j, -1, -2)))
+    assert got.where("book = 'b' and line like '> **unaligned**%'").count() == 1
+
+
 def test_verified_download(tmp_path):
     path = tmp_path / "a" / "f.pdf"
     c, _ = client(Answer(200, ETag='"1"', Content_Length="2"), Answer(200, b"ok"))
