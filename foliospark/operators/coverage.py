@@ -6,8 +6,11 @@ nor shuffled; words themselves are only looked at where passages are shown.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliospark.functions import text as tx
 
@@ -21,9 +24,15 @@ def gram_key(shingle: Column) -> Column:
     return F.struct(F.xxhash64(shingle).alias("a"), F.xxhash64(F.lit(N), shingle).alias("b"))
 
 
+def grams(text: Column, n: int) -> Column:
+    """Keys of all n-grams of the lower-cased text in order; each word is hashed once, its n-grams from the words' hashes."""
+    runs = lambda h: F.transform(F.when(F.size(h) > 0, F.sequence(F.lit(1), F.greatest(F.size(h) - (n - 1), F.lit(1)))).otherwise(F.array().cast("array<int>")), lambda i: F.slice(h, i, n))
+    return F.transform(tx.let(F.transform(tx.words(F.lower(text)), lambda w: F.xxhash64(w)), runs), gram_key)
+
+
 def shingle_rows(docs: DataFrame, key: list[str], text: str = "text", n: int = N) -> DataFrame:
     """(key..., pos, gram) for each n-gram position of the lower-cased text."""
-    return docs.select(*key, F.posexplode(F.transform(tx.shingles(tx.words(F.lower(text)), n), gram_key)).alias("pos", "gram"))
+    return docs.select(*key, F.posexplode(grams(F.col(text), n)).alias("pos", "gram"))
 
 
 def shingle_texts(docs: DataFrame, text: str = "text", n: int = N) -> DataFrame:
@@ -33,7 +42,7 @@ def shingle_texts(docs: DataFrame, text: str = "text", n: int = N) -> DataFrame:
 
 def reference(docs: DataFrame, text: str = "text", n: int = N, by: list[str] | None = None) -> DataFrame:
     """The distinct n-grams of a body of text by their keys; of each body, where ``by`` names some."""
-    return docs.select(*(by or []), F.explode(F.transform(tx.shingles(tx.words(F.lower(text)), n), gram_key)).alias("gram")).distinct()
+    return docs.select(*(by or []), F.explode(grams(F.col(text), n)).alias("gram")).distinct()
 
 
 def missing(rows: DataFrame, known: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -41,13 +50,41 @@ def missing(rows: DataFrame, known: DataFrame, by: list[str] | None = None) -> D
     return rows.join(known, [*(by or []), "gram"], "left_anti")
 
 
-def word_places(docs: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    """(key..., pos, start): where each word of the lower-cased text begins, in characters from 0."""
-    parts = F.transform(F.regexp_extract_all(F.lower(text), F.lit(f"(?s)(.*?)({tx.WORD})"), F.lit(0)), F.length)
-    words = F.transform(tx.words(F.lower(text)), F.length)
-    rows = docs.select(*key, F.posexplode(F.arrays_zip(parts.alias("part"), words.alias("word"))).alias("pos", "x"))
-    before = Window.partitionBy(*key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.select(*key, "pos", (F.sum("x.part").over(before) - F.col("x.word")).cast("long").alias("start"))
+def _spans(n: int, gap: int, most: int | None, found: bool):
+    """First and last place of each run, one after the other, from the place of the first word, the lengths of words with what is after them and the positions missing, or ``found``."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def spans(lead: pd.Series, parts: pd.Series, positions: pd.Series) -> pd.Series:
+        out = []
+        for before, part, at in zip(lead, parts, positions, strict=True):
+            sizes = np.asarray(part, np.int64)
+            starts = before + np.cumsum(sizes) - sizes
+            gone = np.zeros(len(starts), bool)
+            if found and len(starts):
+                gone[: max(len(starts) - n + 1, 1)] = True
+            if at is not None:
+                at = np.asarray(at, np.int64)
+                gone[at[at < len(starts)]] = not found
+            held = starts[gone]
+            opens = np.flatnonzero(np.diff(held) >= gap)
+            both = np.stack([held[np.concatenate([[0], opens + 1])], held[np.concatenate([opens, [-1]])]], 1) if len(held) else np.zeros((0, 2), np.int64)
+            out.append(both[:most].ravel())
+        return pd.Series(out)
+
+    return spans
+
+
+def _shown(docs: DataFrame, key: list[str], text: str, spans, gap: int) -> DataFrame:
+    """(key..., run, first, passage) of documents with ``_pos``, each from its own row: neither words nor places are shuffled."""
+    own = F.when(F.length(F.lower(text)) == F.length(text), F.col(text)).otherwise(F.lower(text))
+    rest = "[^" + tx.WORD[1:-2] + "]*"
+    low = docs.select(*key, own.alias("_text"), "_pos").withColumn("_low", F.lower("_text"))
+    lead = F.length(F.regexp_extract("_low", "^" + rest, 0))
+    sizes = low.select(*key, "_text", "_pos", lead.alias("_lead"), F.transform(F.regexp_extract_all("_low", F.lit(tx.WORD + rest), F.lit(0)), F.length).alias("_parts"))
+    found = sizes.where(F.size("_parts") > 0).select(*key, "_text", spans("_lead", "_parts", "_pos").alias("_s")).where(F.size("_s") > 0)
+    pairs = F.transform(F.sequence(F.lit(0), (F.size("_s") / 2 - 1).cast("int")), lambda i: F.struct(F.get("_s", i * 2).alias("first"), F.get("_s", i * 2 + 1).alias("last")))
+    cut = F.substr("_text", (F.col("_x.first") + 1).cast("int"), (F.col("_x.last") - F.col("_x.first") + gap).cast("int"))
+    return found.select(*key, "_text", F.posexplode(pairs).alias("_i", "_x")).select(*key, (F.col("_i") + 1).cast("long").alias("run"), F.col("_x.first").alias("first"), tx.strip(cut).alias("passage"))
 
 
 def passages(docs: DataFrame, gone: DataFrame, key: list[str], text: str = "text", gap: int = GAP, most: int | None = SHOWN) -> DataFrame:
@@ -57,14 +94,15 @@ def passages(docs: DataFrame, gone: DataFrame, key: list[str], text: str = "text
     for ``gap`` characters after its last place. Places are of the lower-cased
     text; where lower-casing changes a text's length, its passages are lower-cased too.
     """
-    held = docs.join(gone.select(*key).distinct(), key, "left_semi").select(*key, F.when(F.length(F.lower(text)) == F.length(text), F.col(text)).otherwise(F.lower(text)).alias("_text"))
-    at = gone.select(*key, "pos").join(word_places(held, key, "_text"), [*key, "pos"])
-    named = at.withColumn("_key", F.struct(*key))
-    found = runs(named, "_key", "start", gap).select("_key.*", "run", "first", "last")
-    if most is not None:
-        found = found.where(F.col("run") <= most)
-    cut = F.substr("_text", (F.col("first") + 1).cast("int"), (F.col("last") - F.col("first") + gap).cast("int"))
-    return found.join(held, key).select(*key, "run", "first", tx.strip(cut).alias("passage"))
+    lists = gone.groupBy(*key).agg(F.collect_list("pos").alias("_pos"))  # one document's positions
+    return _shown(docs.join(lists, key), key, text, _spans(N, gap, most, False), gap)
+
+
+def lacking(docs: DataFrame, known: DataFrame, key: list[str], text: str = "text", n: int = N, gap: int = GAP, most: int | None = SHOWN) -> DataFrame:
+    """:func:`passages` of all n-grams that the reference lacks; only the positions that it has are shuffled."""
+    lists = shingle_rows(docs, key, text, n).join(known, "gram", "left_semi").groupBy(*key).agg(F.collect_list("pos").alias("_pos"))  # one document's positions
+    held = docs.select(*key, text).dropna(subset=key)
+    return _shown(held.join(lists, key, "left"), key, text, _spans(n, gap, most, True), gap)
 
 
 def ngram_coverage(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text", n: int = N) -> DataFrame:

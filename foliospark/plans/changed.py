@@ -285,8 +285,7 @@ passages AS (SELECT f.doc_id, run::BIGINT AS run, first::BIGINT AS first, regexp
 def missing_passages(spark, sf):
     """The first passages of each document that the benchmark lacks, by their places in characters."""
     d, b = read(spark, sf, "documents"), read(spark, sf, "benchmark")
-    gone = coverage.missing(coverage.shingle_rows(d, ["doc_id"]), coverage.reference(b))
-    return coverage.passages(d, gone, ["doc_id"]).withColumn("passage", F.sha2("passage", 256)).withColumn("run", F.col("run").cast("long"))
+    return coverage.lacking(d, coverage.reference(b), ["doc_id"]).withColumn("passage", F.sha2("passage", 256))
 
 
 @query("shingle_union", f"WITH b AS ({_REF}), c AS (SELECT DISTINCT unnest({_SH}) AS s FROM (SELECT {_W} AS w FROM conversations)) SELECT count(*)::BIGINT AS n, count(DISTINCT left(s, 3))::BIGINT AS n_heads FROM (SELECT s FROM b UNION SELECT s FROM c)")

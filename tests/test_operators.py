@@ -1,4 +1,5 @@
 import random
+import re
 import time
 
 import pytest
@@ -256,6 +257,29 @@ def test_passages_by_characters(spark):
     assert len(coverage.passages(docs, gone, ["book", "id"], gap=1, most=2).collect()) == 2
 
 
+def test_passages_without_places_of_words(spark):
+    """What the reference lacks is shown from each document's own row: no window, and no row for each word that is missing."""
+    word = lambda i: ["İa", "b-c", "déf", "GH", "x1"][i % 5] + str(i)
+    texts = ["", "  ", "one", "..Uno dos", " ".join(map(word, range(300))), "¡ " + " ".join(f"{word(i)}," for i in range(90)) + " " * 260 + " ".join(map(word, range(40))) + " ."]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "no id"), (90, None)], "id long, text string")
+    known = coverage.reference(spark.createDataFrame([(" ".join(map(word, range(20, 60))),), ("one",)], "text string"))
+    got = coverage.lacking(docs, known, ["id"], gap=60, most=None)
+    assert "Window" not in got._jdf.queryExecution().toString() and "left_anti" not in got._jdf.queryExecution().toString().lower().replace(" ", "_").replace("leftanti", "left_anti")
+    gone = coverage.missing(coverage.shingle_rows(docs, ["id"]), known)
+    assert rows(got) == rows(coverage.passages(docs, gone, ["id"], gap=60, most=None))
+    found = {}
+    for r in gone.collect():
+        if r["id"] is not None:
+            low = (texts[r["id"]] if len(texts[r["id"]].lower()) == len(texts[r["id"]]) else texts[r["id"]].lower()).lower()
+            found.setdefault(r["id"], []).append([m.start() for m in re.finditer(r"[^\W]+", low)][r["pos"]])
+    want = []
+    for i, places in found.items():
+        places.sort()
+        opens = [k for k, p in enumerate(places) if k == 0 or p - places[k - 1] >= 60]
+        want += [(i, n + 1, places[k]) for n, k in enumerate(opens)]
+    assert rows(got.select("id", "run", "first")) == sorted(want, key=repr) and len(want) > 5
+
+
 def exact_by_hand(before, after):
     """Unit events of one document as the rules say: in reading order, old units claimed by id, the last of a number answering to it."""
     had, out = set(), []
