@@ -6,11 +6,8 @@ nor shuffled; words themselves are only looked at where passages are shown.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliospark.functions import text as tx
 
@@ -50,41 +47,41 @@ def missing(rows: DataFrame, known: DataFrame, by: list[str] | None = None) -> D
     return rows.join(known, [*(by or []), "gram"], "left_anti")
 
 
-def _spans(n: int, gap: int, most: int | None, found: bool):
-    """First and last place of each run, one after the other, from the place of the first word, the lengths of words with what is after them and the positions missing, or ``found``."""
+def _spans(lead: Column, parts: Column, positions: Column, n: int, gap: int, most: int | None, found: bool) -> Column:
+    """First and last place of each run, from the place of the first word, the lengths of words with what is after them and the positions missing, or ``found``, in order.
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def spans(lead: pd.Series, parts: pd.Series, positions: pd.Series) -> pd.Series:
-        out = []
-        for before, part, at in zip(lead, parts, positions, strict=True):
-            sizes = np.asarray(part, np.int64)
-            starts = before + np.cumsum(sizes) - sizes
-            gone = np.zeros(len(starts), bool)
-            if found and len(starts):
-                gone[: max(len(starts) - n + 1, 1)] = True
-            if at is not None:
-                at = np.asarray(at, np.int64)
-                gone[at[at < len(starts)]] = not found
-            held = starts[gone]
-            opens = np.flatnonzero(np.diff(held) >= gap)
-            both = np.stack([held[np.concatenate([[0], opens + 1])], held[np.concatenate([opens, [-1]])]], 1) if len(held) else np.zeros((0, 2), np.int64)
-            out.append(both[:most].ravel())
-        return pd.Series(out)
+    One fold over the words; what it keeps grows with the runs only.
+    """
+    kind = "array<struct<first:bigint,last:bigint>>"
+    none = F.lit(None).cast("long")
+    state = F.struct(F.lit(0).alias("i"), lead.cast("long").alias("at"), F.lit(0).alias("k"), none.alias("first"), none.alias("last"), F.array().cast(kind).alias("runs"))
+
+    def closed(acc: Column, when: Column) -> Column:
+        room = when & acc["last"].isNotNull() & (F.size(acc["runs"]) < most if most is not None else F.lit(True))
+        return F.when(room, F.concat(acc["runs"], F.array(F.struct(acc["first"].alias("first"), acc["last"].alias("last"))))).otherwise(acc["runs"])
+
+    def step(acc: Column, size: Column) -> Column:
+        named = F.coalesce(F.get(positions, acc["k"]) == acc["i"], F.lit(False))
+        gone = ~named & (acc["i"] < F.greatest(F.size(parts) - (n - 1), F.lit(1))) if found else named
+        opens = gone & F.coalesce(acc["at"] - acc["last"] >= gap, F.lit(True))
+        return F.struct(
+            (acc["i"] + 1).alias("i"), (acc["at"] + size).alias("at"), F.when(named, acc["k"] + 1).otherwise(acc["k"]).alias("k"),
+            F.when(opens, acc["at"]).otherwise(acc["first"]).alias("first"), F.when(gone, acc["at"]).otherwise(acc["last"]).alias("last"), closed(acc, opens).alias("runs"),
+        )
 
-    return spans
+    return F.aggregate(parts, state, step, lambda acc: closed(acc, F.lit(True)))
 
 
-def _shown(docs: DataFrame, key: list[str], text: str, spans, gap: int) -> DataFrame:
+def _shown(docs: DataFrame, key: list[str], text: str, n: int, gap: int, most: int | None, found: bool) -> DataFrame:
     """(key..., run, first, passage) of documents with ``_pos``, each from its own row: neither words nor places are shuffled."""
     own = F.when(F.length(F.lower(text)) == F.length(text), F.col(text)).otherwise(F.lower(text))
     rest = "[^" + tx.WORD[1:-2] + "]*"
     low = docs.select(*key, own.alias("_text"), "_pos").withColumn("_low", F.lower("_text"))
     lead = F.length(F.regexp_extract("_low", "^" + rest, 0))
-    sizes = low.select(*key, "_text", "_pos", lead.alias("_lead"), F.transform(F.regexp_extract_all("_low", F.lit(tx.WORD + rest), F.lit(0)), F.length).alias("_parts"))
-    found = sizes.where(F.size("_parts") > 0).select(*key, "_text", spans("_lead", "_parts", "_pos").alias("_s")).where(F.size("_s") > 0)
-    pairs = F.transform(F.sequence(F.lit(0), (F.size("_s") / 2 - 1).cast("int")), lambda i: F.struct(F.get("_s", i * 2).alias("first"), F.get("_s", i * 2 + 1).alias("last")))
+    sizes = tx.let(F.transform(F.regexp_extract_all("_low", F.lit(tx.WORD + rest), F.lit(0)), F.length), lambda p: _spans(lead, p, F.col("_pos"), n, gap, most, found))
+    each = low.select(*key, "_text", F.posexplode(sizes).alias("_i", "_x"))
     cut = F.substr("_text", (F.col("_x.first") + 1).cast("int"), (F.col("_x.last") - F.col("_x.first") + gap).cast("int"))
-    return found.select(*key, "_text", F.posexplode(pairs).alias("_i", "_x")).select(*key, (F.col("_i") + 1).cast("long").alias("run"), F.col("_x.first").alias("first"), tx.strip(cut).alias("passage"))
+    return each.select(*key, (F.col("_i") + 1).cast("long").alias("run"), F.col("_x.first").alias("first"), tx.strip(cut).alias("passage"))
 
 
 def passages(docs: DataFrame, gone: DataFrame, key: list[str], text: str = "text", gap: int = GAP, most: int | None = SHOWN) -> DataFrame:
@@ -94,15 +91,15 @@ def passages(docs: DataFrame, gone: DataFrame, key: list[str], text: str = "text
     for ``gap`` characters after its last place. Places are of the lower-cased
     text; where lower-casing changes a text's length, its passages are lower-cased too.
     """
-    lists = gone.groupBy(*key).agg(F.collect_list("pos").alias("_pos"))  # one document's positions
-    return _shown(docs.join(lists, key), key, text, _spans(N, gap, most, False), gap)
+    lists = gone.groupBy(*key).agg(F.array_sort(F.array_distinct(F.collect_list("pos"))).alias("_pos"))  # one document's positions
+    return _shown(docs.join(lists, key), key, text, N, gap, most, False)
 
 
 def lacking(docs: DataFrame, known: DataFrame, key: list[str], text: str = "text", n: int = N, gap: int = GAP, most: int | None = SHOWN) -> DataFrame:
     """:func:`passages` of all n-grams that the reference lacks; only the positions that it has are shuffled."""
-    lists = shingle_rows(docs, key, text, n).join(known, "gram", "left_semi").groupBy(*key).agg(F.collect_list("pos").alias("_pos"))  # one document's positions
+    lists = shingle_rows(docs, key, text, n).join(known, "gram", "left_semi").groupBy(*key).agg(F.array_sort(F.array_distinct(F.collect_list("pos"))).alias("_pos"))  # one document's positions
     held = docs.select(*key, text).dropna(subset=key)
-    return _shown(held.join(lists, key, "left"), key, text, _spans(n, gap, most, True), gap)
+    return _shown(held.join(lists, key, "left"), key, text, n, gap, most, True)
 
 
 def ngram_coverage(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text", n: int = N) -> DataFrame:
