@@ -102,11 +102,13 @@ _FIG = "SELECT CASE WHEN a IS NULL THEN 'right only' WHEN b IS NULL THEN 'left o
 )
 def coverage_report(spark, sf):
     d, b = read(spark, sf, "documents"), read(spark, sf, "benchmark")
-    gone = coverage.missing(coverage.shingle_rows(d, ["doc_id"]), coverage.reference(b))
+    judged = written(coverage.judged(d, b), "judged")  # asked for by each part of the report
+    # only passages of the documents that are shown are looked for
+    shown = d.join(F.broadcast(render.most_missing(judged).select("_d")), F.col("doc_id") == F.col("_d"), "left_semi")
     left, right = (d.where(x).select(F.md5("text").alias(c)).distinct() for x, c in (("doc_id % 3 > 0", "a"), ("doc_id % 3 < 2", "b")))
     side = F.when(F.col("a").isNull(), "right only").when(F.col("b").isNull(), "left only").otherwise("both")
     figures = left.join(right, F.col("a") == F.col("b"), "full_outer").groupBy(side.alias("side")).agg(F.count("*").alias("n"))
-    return render.coverage_report(coverage.judged(d, b), "Documents against benchmark", passages=coverage.passages(d, gone, ["doc_id"]), figures=figures)
+    return render.coverage_report(judged, "Documents against benchmark", passages=coverage.lacking(shown, coverage.reference(b), ["doc_id"]), figures=figures)
 
 
 _LATEST = f"WITH a AS ({LOOSE_SQL}), s AS (SELECT number, source, max(date) AS d, min(doc_id) AS o FROM a GROUP BY ALL) SELECT number, max(d) AS date, string_agg(source, ', ' ORDER BY o, source) AS places FROM s GROUP BY number ORDER BY date DESC, number DESC LIMIT 12"
