@@ -218,17 +218,25 @@ UNION ALL SELECT 4, 0, '## coverage' UNION ALL SELECT 4, 1, '█ match ▓ refor
 UNION ALL SELECT 5, row_number() OVER (ORDER BY book), rpad(book, 8, ' ') || ' ' || repeat('█', {_STACK[0]}) || repeat('▓', {_STACK[1]}) || repeat('▒', {_STACK[2]}) || repeat('░', greatest(0, 40 - {' - '.join(_STACK)})) FROM four)"""
 
 
-def _states(spark, sf):
-    d = read(spark, sf, "documents").withColumn("book", F.col("source"))
-    size = d.groupBy("book").agg(F.sum(F.octet_length("text")).alias("bytes"))
-    done = d.groupBy("book").agg(F.count("*").alias("documents")).withColumn("margin", F.col("documents") / 45.0 - 1)
-    four = _verdicts(spark, sf).groupBy("book").agg(*[F.count_if(F.col("verdict") == v).alias(v) for v in ("match", "reformatted", "extra_in_pdf", "unaligned")])
-    return render.state_charts(size, done, four)
+def _facts(spark, sf):
+    """(book, documents, bytes) and (book, verdict, n), each made once for all parts of a report."""
+    sizes = read(spark, sf, "documents").groupBy(F.col("source").alias("book")).agg(F.count("*").alias("documents"), F.sum(F.octet_length("text")).alias("bytes"))
+    return written(sizes, "sizes"), written(_verdicts(spark, sf).groupBy("book", "verdict").agg(F.count("*").alias("n")), "verdicts")
+
+
+def _of(verdict: str):
+    return F.coalesce(F.sum(F.when(F.col("verdict") == verdict, F.col("n"))), F.lit(0)).alias(verdict)
+
+
+def _states(sizes, verdicts):
+    done = sizes.select("book", "documents", (F.col("documents") / 45.0 - 1).alias("margin"))
+    four = verdicts.groupBy("book").agg(*[_of(v) for v in ("match", "reformatted", "extra_in_pdf", "unaligned")])
+    return render.state_charts(sizes.select("book", "bytes"), done, four)
 
 
 @query("state_charts", f"WITH {_STATE} SELECT * FROM state")
 def state_charts(spark, sf):
-    return _states(spark, sf)
+    return _states(*_facts(spark, sf))
 
 
 @query(
@@ -239,11 +247,9 @@ def state_charts(spark, sf):
 )
 def metrics_report(spark, sf):
     """The snapshot of all metrics, and the report that is made of it."""
-    d = read(spark, sf, "documents").withColumn("book", F.col("source"))
-    counted = lambda c, name: d.groupBy("book").agg(c.alias(name))
-    covered = _verdicts(spark, sf).groupBy("book").agg(F.count_if(F.col("verdict") == "match").alias("match"))
-    snap = render.snapshot(counted(F.count("*"), "documents"), counted(F.sum(F.octet_length("text")), "bytes"), covered)
-    return render.metrics_report(snap, _trends(spark, sf), _states(spark, sf), ["documents", "bytes", "match"])
+    sizes, verdicts = _facts(spark, sf)
+    snap = render.snapshot(sizes.select("book", "documents"), sizes.select("book", "bytes"), verdicts.groupBy("book").agg(_of("match")))
+    return render.metrics_report(snap, _trends(spark, sf), _states(sizes, verdicts), ["documents", "bytes", "match"])
 
 
 @query("stacked_shares", "SELECT source, repeat('█', a) || repeat('▓', b) || repeat('▒', greatest(0, 40 - a - b)) AS bar FROM (SELECT source, round_even(count(*) FILTER (lang = 'en') * 1.0::DOUBLE / count(*) * 40, 0)::INT AS a, round_even(count(*) FILTER (lang = 'de') * 1.0::DOUBLE / count(*) * 40, 0)::INT AS b FROM documents GROUP BY source)")

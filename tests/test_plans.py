@@ -51,3 +51,11 @@ def test_parts_of_a_subset_keep_their_names(spark):
     some = packed.where("doc_id % 2 = 0").join(order, "g")
     whole = {(r["doc_id"]): (r["index"], r["part"]) for r in packed.join(order, "g").collect()}
     assert all(whole[r["doc_id"]] == (r["index"], r["part"]) for r in some.collect())
+
+
+@needs_tables
+@pytest.mark.parametrize("name, scans", [("coverage_report", 6), ("metrics_report", 0)])
+def test_reports_judge_documents_once(spark, name, scans):
+    """All parts of a report are made from one table of verdicts, not each from the documents."""
+    plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("/documents.parquet") <= scans
