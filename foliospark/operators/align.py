@@ -135,10 +135,11 @@ def placed(pages: DataFrame, book: str = "book", page: str = "page", text: str =
     """(book, page, text, start): pages that have text, with where each begins in the book's joined text, one blank between pages.
 
     Pages are dealt out by ranges of (book, page); a range knows how much text
-    the ranges before it have, so no task sees a whole book.
+    the ranges before it have, so no task sees a whole book. Their texts are
+    made once, before ranges are told from samples.
     """
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = pages.where(F.length(text) > 0).select(F.col(book).alias("book"), F.col(page).alias("page"), F.col(text).alias("text"))
+    rows = written(pages.select(F.col(book).alias("book"), F.col(page).alias("page"), F.col(text).alias("text")), "texts").where(F.length("text") > 0)
     dealt = written(rows.repartitionByRange(n, "book", "page", "text").withColumn("_part", F.spark_partition_id()), "pages")
     size = F.length("text").cast("long") + 1
     before = Window.partitionBy("_c").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
@@ -247,8 +248,8 @@ def met(text: str, made: np.ndarray, classes: dict[int, dict[int, list[int]]], l
     levels, n = _levels(text, longest), len(made) << 6
 
     def passed(keys: np.ndarray, at: np.ndarray) -> np.ndarray:
-        for bit in (0, 1):
-            b = _bits(keys, n)[bit]
+        for shift in (0, 32):
+            b = (keys >> np.uint64(shift)) & np.uint64(n - 1)
             held = (made[b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) != 0
             keys, at = keys[held], at[held]
         return at

@@ -1,3 +1,9 @@
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 from foliospark.operators import compare, render
 from foliospark.sources import bundle, download, monitor
 from tests.conftest import rows
@@ -114,3 +120,65 @@ def test_root_index_needs_all_books(spark):
     recent = spark.createDataFrame([(7, "2020-01-02")], "number long, date string")
     assert render.root_index(books, topics, 2, recent).count() == 0
     assert "| a | 1 | 1 | 1 | 1.000 |" in [r["line"] for r in render.root_index(books, topics, 1, recent).collect()]
+
+
+def _brute(docs, other, n=8):
+    """Counts of both sides by key, word by word: n-gram positions, those that the other side's book lacks, words lacking."""
+    tokens = lambda t: re.findall(r"\w+", t.lower())
+    runs = lambda w: [tuple(w[i : i + n]) for i in range(max(len(w) - n + 1, 1))] if w else []
+    out = {}
+    for name, own, whole in (("pdf", [(b, i, t) for b, i, t in other], [(b, f"{p} {t} {m}") for b, _, p, t, m in docs]), ("web", [(b, i, m) for b, i, _, _, m in docs], [(b, t) for b, _, t in other])):
+        known, bag = {(b, g) for b, t in whole for g in runs(tokens(t))}, Counter((b, w) for b, t in whole for w in tokens(t))
+        for b, i, t in own:
+            w = tokens(t)
+            shared = sum(min(c, bag[b, x]) for x, c in Counter(w).items()) / len(w) if w else 1.0
+            out[b, i, name] = (len(runs(w)), sum((b, g) not in known for g in runs(w)), round(shared, 9))
+    return out
+
+
+def test_counts_of_both_sides_equal_brute_force(spark, monkeypatch):
+    """Texts that equal their mates, short ones, changed ones, copies in other documents, words that stand more often, empty ones; in any blocks."""
+    draw = random.Random(3)
+    some = lambda k: " ".join(draw.choice("ab cd ef gh ñu ij kl mn op qr".split()) for _ in range(k))
+    docs, other = [], []
+    for i in range(120):
+        b, text = "xyz"[i % 3], some(draw.choice((0, 1, 3, 7, 8, 9, 30)))
+        docs.append((b, i, "" if i % 5 == 0 else f"L {i}", "" if i % 5 == 0 else f"T {i}", text))
+        kind = draw.choice("same same change other more drop".split())
+        if kind != "drop":
+            other.append((b, i, {"same": text, "change": text.replace("ab", "zz"), "other": some(20), "more": f"{text} {text} ab"}[kind]))
+    d = spark.createDataFrame(docs, "book string, id long, path string, title string, markdown string")
+    o = spark.createDataFrame([(*x, "heading", 1, 1) for x in other], "book string, id long, text string, anchored_by string, page long, page_end long")
+    want = _brute(docs, other)
+    for block in (1_000_000, 25):
+        monkeypatch.setattr(compare, "BLOCK", block)
+        for n in (8, 3):
+            want = _brute(docs, other, n)
+            got = {(r["book"], r["id"], s): (r[f"{s}_words"], r[f"only_in_{s}"], round(r[f"lexical_{s}"], 9)) for r in compare.compared(d, o, n=n).collect() for s in ("pdf", "web")}
+            assert got == {k: v for k, v in want.items() if k[:2] in {x[:2] for x in other}}
+
+
+def test_words_are_told_once_and_equal_texts_are_not_searched(spark):
+    """The report splits no text again, and no n-gram of a text that stands unchanged on the other side is shuffled."""
+    docs = spark.createDataFrame([("b", i, f"L {i}", f"T {i}", " ".join(f"w{i}x{k}" for k in range(20))) for i in range(30)], "book string, id long, path string, title string, markdown string")
+    other = docs.selectExpr("book", "id", "if(id = 7, concat(markdown, ' end'), markdown) as text", "'heading' as anchored_by", "id as page", "id as page_end")
+    got = compare.report(docs, compare.compared(docs, other))
+    assert "regexp_extract_all" not in got._jdf.queryExecution().optimizedPlan().toString()
+    h = F.transform(F.split("text", " "), lambda w: F.xxhash64(w))
+    web, pdf = (x.select("book", F.col("id").cast("string").alias("key"), F.array().cast("array<bigint>").alias("lead"), h.alias("h")) for x in (docs.withColumnRenamed("markdown", "text"), other))
+    pairs = compare.paired(pdf, web)
+    assert pairs.count() == 1 and rows(compare.asked_grams(pairs).select("key", "pos")) == [("7", 13)] and compare.asked_words(pairs).count() == 1
+
+
+def test_page_texts_are_made_once(spark):
+    """Ranges are told from what is written: samples do not make the texts a second time, nor does the search for empty ones."""
+    from foliospark.operators import align
+
+    made = spark.sparkContext.accumulator(0)
+
+    def text(i: int) -> str:
+        made.add(1)
+        return f"page {i}" if i % 4 else ""
+
+    pages = spark.range(40).select(F.lit("b").alias("book"), F.col("id").alias("page"), F.udf(text)("id").alias("text"))
+    assert align.placed(pages).count() == 30 and made.value == 40
