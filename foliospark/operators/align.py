@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -180,6 +180,8 @@ def slices(books: DataFrame, width: int, over: int = 0) -> DataFrame:
 PATHS, TITLES, BARE, BODIES = range(4)
 #: Bits of the filter that tasks hold: for each document, and at most; a fuller one lets more places pass to the join.
 BITS, MOST_BITS = 100, 1 << 27
+#: Pairs of a path and a title after it that a task looks at together, about.
+PAIRS = 1_000_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _ALL = (1 << 64) - 1
 
@@ -198,15 +200,20 @@ def _levels(text: str, longest: int) -> list[np.ndarray]:
     return out
 
 
-def _begun(level: np.ndarray, kind: int, j: int) -> np.ndarray:
-    """Keys of what begins with the 2^j letters hashed."""
-    return _mixed(level + np.uint64(int(_C) * (kind * 64 + j + 1) & _ALL))
+def _begun(level: np.ndarray, kind: int, j: int, salt: np.ndarray | np.uint64) -> np.ndarray:
+    """Keys of what begins with the 2^j letters hashed, in the book that ``salt`` is of."""
+    return _mixed((level ^ salt) + np.uint64(int(_C) * (kind * 64 + j + 1) & _ALL))
 
 
-def _keys(level: np.ndarray, at: np.ndarray, length: np.ndarray | int, kind: int, j: int) -> np.ndarray:
+def _keys(level: np.ndarray, at: np.ndarray, length: np.ndarray | int, kind: int, j: int, salt: np.ndarray | np.uint64) -> np.ndarray:
     """Keys of the words of ``length`` at ``at``, 2^j letters or more and less than twice as many: two hashes cover each."""
     both = _mixed(level[at] * _B + level[at + length - (1 << j)])
-    return _mixed(both + _A * (np.atleast_1d(length).astype(np.uint64) * np.uint64(8) + np.uint64(kind + 1)))
+    return _mixed((both ^ salt) + _A * (np.atleast_1d(length).astype(np.uint64) * np.uint64(8) + np.uint64(kind + 1)))
+
+
+def _both(path: np.ndarray, title: np.ndarray) -> np.ndarray:
+    """Keys of a path with a title, by the keys of either."""
+    return _mixed(path * _B + title)
 
 
 def _bits(keys: np.ndarray, n: int) -> list[np.ndarray]:
@@ -214,68 +221,119 @@ def _bits(keys: np.ndarray, n: int) -> list[np.ndarray]:
     return [keys & np.uint64(n - 1), (keys >> np.uint64(32)) & np.uint64(n - 1)]
 
 
+def _held(keys: np.ndarray, made: np.ndarray) -> np.ndarray:
+    """Which of the keys, by their numbers, pass the filter."""
+    at = np.arange(len(keys))
+    for shift in (0, 32):
+        b = (keys[at] >> np.uint64(shift)) & np.uint64((len(made) << 6) - 1)
+        at = at[(made[b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) != 0]
+    return at
+
+
+def _surely(keys: np.ndarray, made: np.ndarray) -> np.ndarray:
+    """As :func:`_held`, of keys that have four bits."""
+    at = _held(keys, made)
+    return at[_held(_mixed(keys[at]), made)]
+
+
 def pattern_filter(asked: DataFrame) -> tuple[np.ndarray, dict[int, list[int]]]:
-    """A filter of all that is searched for, and the lengths of each kind. ``asked``: path, title, body."""
+    """A filter of all that is searched for in each book, each path with its title too, and the lengths of each kind. ``asked``: book, path, title, body."""
     kinds = {PATHS: ("path", "path <> '' and title <> ''"), TITLES: ("title", "path <> '' and title <> ''"), BARE: ("title", "path = '' and title <> ''"), BODIES: ("body", "length(body) >= 40")}
     facts = asked.agg(F.count("*").alias("n"), *[F.array_sort(F.collect_set(F.when(F.expr(x), F.length(c)))).alias(str(k)) for k, (c, x) in kinds.items()]).first()  # distinct lengths
     lengths = {k: facts[str(k)] for k in kinds}
     n = min(MOST_BITS, 1 << max(16, (facts["n"] * BITS).bit_length()))
-    words = functools.reduce(DataFrame.unionAll, [asked.where(x).select(F.lit(k).alias("kind"), F.col(c).alias("word")) for k, (c, x) in kinds.items()])
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = batch.column(1).to_pylist()
-            size = np.array([len(w) for w in own], np.int64)
-            if not len(own):
-                continue
-            first, kinds_of, text = np.cumsum(size) - size, batch.column(0).to_numpy(), "".join(own)
-            levels, classes = _levels(text, int(size.max())), np.frexp(size)[1] - 1
-            found = []
-            for kind, j in {*zip(kinds_of.tolist(), classes.tolist(), strict=True)}:
-                mine = (kinds_of == kind) & (classes == j)
-                found += _bits(_begun(levels[j][first[mine]], kind, j), n) + _bits(_keys(levels[j], first[mine], size[mine], kind, j), n)
+            salts, (paths, titles, bodies) = batch.column(0).to_numpy().view(np.uint64), (c.to_pylist() for c in batch.columns[1:])
+            found = [np.zeros(0, np.uint64)]
+
+            def keys(kind: int, rows: list[int], words: list[str], salts=salts, found=found) -> np.ndarray:
+                own, salt = [words[i] for i in rows], salts[rows]
+                size = np.array([len(w) for w in own], np.int64)
+                made = np.zeros(len(own), np.uint64)
+                if own:
+                    first, levels, classes = np.cumsum(size) - size, _levels("".join(own), int(size.max())), np.frexp(size)[1] - 1
+                    for j in np.unique(classes).tolist():
+                        mine = classes == j
+                        made[mine] = _keys(levels[j], first[mine], size[mine], kind, j, salt[mine])
+                        found += _bits(_begun(levels[j][first[mine]], kind, j, salt[mine]), n)
+                    found += [*_bits(made, n), *(_bits(_mixed(made), n) if kind == BODIES else [])]
+                return made
+
+            headed = [i for i, t in enumerate(titles) if t and paths[i]]
+            both = _both(keys(PATHS, headed, paths), keys(TITLES, headed, titles))
+            found += [*_bits(both, n), *_bits(_mixed(both), n)]  # as _surely asks
+            keys(BARE, [i for i, t in enumerate(titles) if t and not paths[i]], titles)
+            keys(BODIES, [i for i, t in enumerate(bodies) if len(t) >= 40], bodies)
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).astype(np.int64))], names=["bit"])
 
-    bits = words.mapInArrow(told, "bit long")
+    bits = asked.select(F.xxhash64("book").alias("salt"), "path", "title", "body").mapInArrow(told, "bit long")
     rows = bits.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("own")).toArrow()  # MOST_BITS / 64 rows at most
     made = np.zeros(n >> 6, np.uint64)
     made[rows.column("at").to_numpy()] = rows.column("own").to_numpy().view(np.uint64)
     return made, lengths
 
 
-def met(text: str, made: np.ndarray, classes: dict[int, dict[int, list[int]]], longest: int) -> dict[int, list[tuple[int, int]]]:
-    """By kind, the (place, length) of all that passes the filter, by place; some of it may not be searched for."""
-    levels, n = _levels(text, longest), len(made) << 6
-
-    def passed(keys: np.ndarray, at: np.ndarray) -> np.ndarray:
-        for shift in (0, 32):
-            b = (keys >> np.uint64(shift)) & np.uint64(n - 1)
-            held = (made[b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) != 0
-            keys, at = keys[held], at[held]
-        return at
-
-    out: dict[int, list[tuple[int, int]]] = {}
+def met(text: str, salt: np.uint64, made: np.ndarray, classes: dict[int, dict[int, list[int]]], longest: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By kind, the places, lengths and keys of all that passes the filter, by place; some of it may not be searched for."""
+    levels = _levels(text, longest)
+    out = {}
     for kind, own in classes.items():
-        found = []
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
         for j, lengths in own.items():
             if j >= len(levels):
                 continue
-            begun = passed(_begun(levels[j], kind, j), np.arange(len(levels[j])))
+            begun = _held(_begun(levels[j], kind, j, salt), made)
             for length in lengths:
                 at = begun[begun + length <= len(text)]
-                found += [(h, length) for h in passed(_keys(levels[j], at, length, kind, j), at).tolist()]
-        out[kind] = sorted(found)
+                keys = _keys(levels[j], at, length, kind, j, salt)
+                held = _surely(keys, made) if kind == BODIES else _held(keys, made)  # bodies have many lengths
+                found.append((at[held], np.full(len(held), length), keys[held]))
+        place, size, key = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((size, place))
+        out[kind] = place[order], size[order], key[order]
     return out
 
 
+def paired(paths: tuple[np.ndarray, np.ndarray, np.ndarray], titles: tuple[np.ndarray, np.ndarray, np.ndarray], made: np.ndarray, gap: int) -> Iterator[tuple[int, int, int, int]]:
+    """(place, length) of each path with those of each title that begins within ``gap`` of its end, by place, where both together pass the filter."""
+    (head, length, path), (place, size, title) = paths, titles
+    low = np.searchsorted(place, head)
+    counts = np.searchsorted(place, head + length + gap, "right") - low
+    total, i = np.cumsum(counts), 0
+    while i < len(head):
+        stop = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + PAIRS, "right")))
+        n = counts[i:stop]
+        row = np.repeat(np.arange(i, stop), n)
+        t = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + low[row]
+        both = _both(path[row], title[t])
+        held = _surely(both, made)
+        row, t = row[held], t[held]
+        yield from zip(head[row].tolist(), length[row].tolist(), place[t].tolist(), size[t].tolist(), strict=True)
+        i = stop
+
+
+def _told(*words: str) -> bytes:
+    """128 bits of some words."""
+    return hashlib.sha256("".join(f"{len(w)} {w}" for w in words).encode()).digest()[:16]
+
+
+def _tells(*words: str) -> Column:
+    """As :func:`_told`, of columns."""
+    return F.unhex(F.left(F.sha2(F.concat(*[x for w in words for x in (F.length(w).cast("string"), F.lit(" "), F.col(w))]), 256), F.lit(32)))
+
+
 def anchors(docs: DataFrame, books: DataFrame, gap: int = GAP) -> DataFrame:
     """(book, id, head, body_start, how) of each document (book, id, path, title, body) in its book's text (book, text).
 
     ``books`` may also be pages, see :func:`slices`. Texts are cut into slices
     that overlap by the longest heading. Each slice is passed over once: hashes
-    of the letters from each place are held against a filter of all paths,
-    titles and beginnings, and what passes is joined with the documents by its
-    text. A document without a path is looked for at every place of the slice.
+    of the letters from each place are held against a filter of the book's
+    paths, titles and beginnings. Of a path and a title after it both pass, but
+    also the two together, so what is written are headings, not all that may
+    stand near each other. They are joined with the documents by 128 bits of
+    their texts. A document without a path is looked for at every place of the slice.
     """
     own = docs.select("book", "id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("path", "title")], F.left(F.coalesce("body", F.lit("")), F.lit(BODY)).alias("body")).where("title <> '' or length(body) >= 40")
     small = T.StructType([T.StructField(f.name, f.dataType) for f in own.schema])
@@ -290,49 +348,52 @@ def anchors(docs: DataFrame, books: DataFrame, gap: int = GAP) -> DataFrame:
     longest = max((max(v, default=0) for v in lengths.values()), default=0)
     width, over = SLICE, max([BODY, *(max(lengths[a], default=0) + max(lengths[b], default=0) + gap for a, b in ((PATHS, TITLES), (BARE, BARE)))])
     shared = docs.sparkSession.sparkContext.broadcast(made)
-    schema = T.StructType([T.StructField("book", docs.schema["book"].dataType), T.StructField("how", T.StringType()), T.StructField("path", T.StringType()), T.StructField("word", T.StringType()), *(T.StructField(n, T.LongType()) for n in ("head", "last", "body_start"))])
+    schema = T.StructType([T.StructField("book", docs.schema["book"].dataType), T.StructField("how", T.StringType()), T.StructField("key", T.BinaryType()), *(T.StructField(n, T.LongType()) for n in ("head", "last", "body_start"))])
     arrow = to_arrow_schema(schema)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for book, begin, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for book, begin, raw, salt in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = lowered(raw)
-                at = met(text, shared.value, classes, longest)
-                rows, titles = [], at[TITLES]
-                places = [t for t, _ in titles]
-                for head, length in at[PATHS]:
-                    if head >= width:
-                        break
-                    first: dict[str, int] = {}
-                    for t, size in titles[bisect_left(places, head) : bisect_right(places, head + length + gap)]:
-                        first.setdefault(text[t : t + size], t + size)
-                    rows += [(book, "heading", text[head : head + length], w, begin + head, begin + head, begin + stop) for w, stop in first.items()]
+                at = met(text, np.uint64(salt & _ALL), shared.value, classes, longest)
+                rows, mine, last = [], slice(0, int(np.searchsorted(at[PATHS][0], width))), None
+                for head, length, t, size in paired(tuple(x[mine] for x in at[PATHS]), at[TITLES], shared.value, gap):
+                    if last != (head, length):
+                        last, first = (head, length), set()
+                    if (w := text[t : t + size]) not in first:
+                        first.add(w)
+                        rows.append((book, "heading", _told(text[head : head + length], w), begin + head, begin + head, begin + t + size))
                 before: dict[str, int] = {}
-                for t, size in at[BARE]:
+                for t, size in zip(*(x.tolist() for x in at[BARE][:2]), strict=True):
                     w = text[t : t + size]
                     low, high = max(before.get(w, 0), t - gap), min(t, width - 1)
                     before[w] = t + 1
                     if low <= high:
-                        rows.append((book, "bare", "", w, begin + low, begin + high, begin + t + size))
+                        rows.append((book, "bare", _told(w), begin + low, begin + high, begin + t + size))
                 begun: dict[str, int] = {}
-                for h, size in at[BODIES]:
+                for h, size in zip(*(x.tolist() for x in at[BODIES][:2]), strict=True):
                     if h < width:
                         begun.setdefault(text[h : h + size], begin + h)
-                rows += [(book, "body", "", w, h, h, h) for w, h in begun.items()]
+                rows += [(book, "body", _told(w), h, h, h) for w, h in begun.items()]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
-    hits = written(slices(books, width, over).mapInArrow(find, schema), "hits").withColumnRenamed("book", "_b").withColumnRenamed("path", "_p")
-    same = F.col("book").eqNullSafe(F.col("_b"))
-    headings = asked.where("path <> '' and title <> ''").join(hits.where("how = 'heading'"), same & (F.col("path") == F.col("_p")) & (F.col("title") == F.col("word"))).select("book", "id", "head", "body_start", "how")
-    if lengths[BARE]:
-        bare = asked.where("path = '' and title <> ''").join(hits.where("how = 'bare'"), same & (F.col("title") == F.col("word")))
-        headings = headings.unionByName(bare.select("book", "id", F.explode(F.sequence("head", "last")).alias("head"), "body_start", F.lit("heading").alias("how")))
-    headed = written(headings, "headings")
-    begun = hits.where("how = 'body'").groupBy("_b", "word").agg(F.min("head").alias("head"))
-    first = asked.where("length(body) >= 40").join(begun, same & (F.col("body") == F.col("word"))).groupBy("book", "id").agg(F.min("head").alias("head"))
-    rest = first.join(headed.select("book", "id"), ["book", "id"], "left_anti")
-    return headed.unionByName(rest.select("book", "id", "head", F.col("head").alias("body_start"), F.lit("body").alias("how")))
+    salted = slices(books, width, over).withColumn("salt", F.xxhash64(F.col("book").cast(docs.schema["book"].dataType)))
+    hits = written(salted.mapInArrow(find, schema), "hits").withColumnRenamed("book", "_b").withColumnRenamed("key", "_key")
+    same = F.col("book").eqNullSafe(F.col("_b")) & (F.col("key") == F.col("_key"))
+    headings, headed = [], []
+    for how, kind, words, of in (("heading", PATHS, ("path", "title"), "path <> '' and title <> ''"), ("bare", BARE, ("title",), "path = '' and title <> ''")):
+        if lengths[kind]:
+            own, found = asked.where(of).select("book", "id", _tells(*words).alias("key")), hits.where(F.col("how") == how)
+            at = F.col("head") if how == "heading" else F.explode(F.sequence("head", "last"))
+            headings.append(own.join(found, same).select("book", "id", at.alias("head"), "body_start", F.lit("heading").alias("how")))
+            headed.append(own.join(found.select("_b", "_key").distinct(), same, "left_semi").select("book", "id"))
+    # documents with headings are told by their keys: headings are not written, copies have as many as the square of their number
+    rest = asked.where("length(body) >= 40").select("book", "id", _tells("body").alias("key"))
+    rest = written(functools.reduce(lambda left, x: left.join(x, ["book", "id"], "left_anti"), headed, rest), "rest")
+    first = rest.join(hits.where("how = 'body'"), same).groupBy("book", "id").agg(F.min("head").alias("head"))
+    bodies = first.select("book", "id", "head", F.col("head").alias("body_start"), F.lit("body").alias("how"))
+    return functools.reduce(DataFrame.unionByName, [*headings, bodies])
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))

@@ -224,6 +224,20 @@ def test_anchors_equal_a_search_for_each_document(spark, monkeypatch, patterns,
     assert len(want) > 30 and sorted(map(tuple, got.collect())) == want
 
 
+def test_anchors_write_headings_not_what_stands_near(spark, monkeypatch):
+    """Every path has all titles within the gap, in two books, and one document has copies: what is written follows the documents."""
+    tables, write = {}, align.written
+    monkeypatch.setattr(align, "written", lambda df, name: tables.setdefault(name, write(df, name)))
+    monkeypatch.setattr(align, "PAIRS", 7, raising=False)
+    text = " ".join([f"libro {i}," for i in range(40)] + [f"n {i}." for i in range(40)] + ["copia de norma"] * 30)
+    docs = [("ab"[i % 2], i, f"Libro {i},", f"N {i}.", "") for i in range(40)] + [("a", 100 + i, "Copia", "Norma", "") for i in range(30)]
+    docs.append(("b", 200, "Copia", "falta", "copia de norma " * 9))
+    got = align.anchors(spark.createDataFrame(docs, "book string, id long, path string, title string, body string"), spark.createDataFrame([("a", text), ("b", text)], "book string, text string"), 900)
+    want = slow_anchors(docs, {"a": text, "b": text}, 900)
+    assert sorted(map(tuple, got.collect())) == want and [w[1:] for w in want if w[1] == 200] == [(200, text.index("copia"), text.index("copia"), "body")]
+    assert len(want) == 40 + 30 * 30 + 1 and sum(t.count() for t in tables.values()) < 3 * len(docs)
+
+
 def test_small_letters_keep_places():
     assert align.lowered("AİB") == "aİb" and align.lowered("ÑÁ") == "ñá"
 
